@@ -1,0 +1,32 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Reference / configuration tables above this many rows are joined with a shuffle
+# (AQE may still pick a broadcast at run time from real statistics).
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows, else ``df``.
+
+    The bound is checked with a ``limit(max_rows + 1).count()`` job, which stops reading
+    as soon as the bound is exceeded, so checking a big table stays cheap.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def bounded_collect(df: DataFrame, max_rows: int, what: str) -> list:
+    """Collect a configuration frame to the driver, refusing anything above ``max_rows``.
+
+    Only rule / layout / mapping configuration is ever collected (to compile expressions);
+    data never is.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"{what}: more than {max_rows} rows; this is configuration, not data")
+    return rows
