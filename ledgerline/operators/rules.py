@@ -6,7 +6,7 @@ C4-C9 rule predicates / scopes / log projection, D9 + E1 latest ingestion, I1 ev
 
 Rules are configuration: the resolved rule frame is small and is collected (with a hard
 bound) to compile Column expressions.  Data is never collected: every object is scanned
-once, all of its rules evaluated as one ``explode(filter(array(when(...))))`` projection.
+once, all of its rules evaluated as one ``explode(array_compact(array(when(...))))`` projection.
 """
 
 from __future__ import annotations
@@ -225,8 +225,9 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
     df, keymap = _object_key_columns(src, rules, alias)
     is_table = [(r.get("ObjectType") or "").lower() == "table" for r in rules]
 
-    # Latest load per non-history table rule, all rules in one aggregate job.
-    latest_aggs, latest_idx = [], {}
+    # Latest load of the rule's country under its ingestion condition, as a scalar
+    # subquery; Catalyst merges the subqueries of all rules of the object into one aggregate.
+    latest: dict[int, Column] = {}
     for i, r in enumerate(rules):
         if not is_table[i] or name.endswith(K.HISTORY_SUFFIX):
             continue
@@ -237,14 +238,11 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
             if not fld:
                 raise ValueError("table rule without a country field cannot select the latest load")
             scope = ing_c & (F.col(keymap[fld]) == F.lit(r["Country"]))
-            agg = F.max(F.when(scope, F.col("rawingestiondttm"))).alias(f"__m{i}")
-            df.select(agg)  # analyse now, so a bad rule is isolated
-            latest_idx[i] = len(latest_aggs)
-            latest_aggs.append(agg)
-        except (AnalysisException, ValueError, Exception) as e:
+            agg = df.agg(F.max(F.when(scope, F.col("rawingestiondttm"))).alias("m"))
+            latest[i] = agg.scalar()
+        except Exception as e:
             problems.append(RuleProblem(name, r, str(e).splitlines()[0]))
             is_table[i] = None  # mark failed
-    latest_vals = list(df.agg(*latest_aggs).first()) if latest_aggs else []
 
     conds, structs = [], []
     for i, r in enumerate(rules):
@@ -258,8 +256,7 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
                 if name.endswith(K.HISTORY_SUFFIX):
                     cond = cond & (F.col("createddttm") == ctx.date_col())
                 else:
-                    m = latest_vals[latest_idx[i]]
-                    cond = cond & (F.col("rawingestiondttm") == F.lit(m)) if m is not None else F.lit(False)
+                    cond = cond & (F.col("rawingestiondttm") == latest[i])
                 fld = r.get("CountryKeyField") or ""
                 if fld:
                     key = F.col(keymap[fld])
@@ -289,7 +286,7 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
         return None
     hits = (
         df.where(any_of(conds))
-        .select(F.explode(F.filter(F.array(*structs), lambda x: x.isNotNull())).alias("v"))
+        .select(F.explode(F.array_compact(F.array(*structs))).alias("v"))
         .select("v.*")
     )
     return _with_run_columns(hits, ctx)

@@ -85,8 +85,8 @@ def vendor_region(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(VENDOR_REGION, "Vendor string, Region string")
 
 
-def table_rules_config(t: Tables, templates=TABLE_RULES) -> DataFrame:
-    countries = all_nations(t)
+def table_rules_config(t: Tables, templates=TABLE_RULES, countries: str | None = None) -> DataFrame:
+    countries = countries if countries is not None else all_nations(t)
     rows = [
         (countries, st, ot, on, fld, "", "", cond, err, rec, sev, fc, ck, ing, ven, comp, SOURCE, act)
         for (st, ot, on, fld, cond, err, rec, sev, fc, ck, ing, ven, comp, act) in templates
@@ -94,6 +94,23 @@ def table_rules_config(t: Tables, templates=TABLE_RULES) -> DataFrame:
     return t.spark.createDataFrame(rows, CONFIG_SCHEMA)
 
 
+RULE_DEFAULTS = dict(Stage="dag06", ObjectType="file", ObjectName="", ObjectField="", Operator="",
+                     ObjectFieldValue="", AdditionalCondition="", ErrorCode="E001", Recommendation="",
+                     SeverityID="S1", FieldsCode="F1", CountryKeyField="", FileIngestionCondition="",
+                     Vendor="vend1", Component="core", Source=SOURCE, IsActive=True)
+
+
+def rules_config(t: Tables, specs: list[dict], countries: str | None = None) -> DataFrame:
+    """Configuration rows from partial specs; ``Country`` defaults to every nation."""
+    countries = countries if countries is not None else all_nations(t)
+    names = [f.name for f in CONFIG_SCHEMA.fields]
+    rows = []
+    for spec in specs:
+        d = dict(RULE_DEFAULTS, Country=countries, **spec)
+        rows.append(tuple(d[n] for n in names))
+    return t.spark.createDataFrame(rows, CONFIG_SCHEMA)
+
+
 def lineitem_history(t: Tables, run_date: str = RUN_DATE) -> DataFrame:
     """lineitem ⋈ orders ⋈ customer ⋈ nation stamped as the run date's history slice."""
     return (

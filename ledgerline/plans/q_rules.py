@@ -19,7 +19,8 @@ def _ctx(stage="dag05", component=""):
 
 def _rules(t: Tables, ctx, templates=C.TABLE_RULES, countries=None):
     sp = t.spark
-    return R.resolve_rules(C.table_rules_config(t, templates), C.error_map(sp), C.severity_map(sp),
+    clist = ",".join(countries) if countries is not None else None
+    return R.resolve_rules(C.table_rules_config(t, templates, clist), C.error_map(sp), C.severity_map(sp),
                            C.fields_map(sp), C.vendor_region(sp), ctx,
                            countries if countries is not None else C.run_countries(t))
 
@@ -73,3 +74,178 @@ def rules_table_violations(spark, sf_dir):
     if problems:
         raise RuntimeError(f"rule problems: {problems}")
     return log.select(*LOG_OUT)
+
+
+# --------------------------------------------------------------------------- D1 / D2 / G1
+
+DAG06_SPECS = [
+    dict(ObjectName="vend1/<REGION_PLACEHOLDER>/payfile_<COUNTRY_PLACEHOLDER>", ObjectField="1",
+         Operator="NOTIN", ObjectFieldValue="['1','2']", AdditionalCondition="A", ErrorCode="E001",
+         FieldsCode="F1"),
+    dict(ObjectName="vend1/<REGION_PLACEHOLDER>/payfile_<COUNTRY_PLACEHOLDER>", ObjectField="2",
+         Operator="DATEFORMAT", ObjectFieldValue=r"^\d{4}\d{2}\d{2}$", AdditionalCondition="N",
+         ErrorCode="E005", SeverityID="S2", FieldsCode="F3"),
+    dict(ObjectName="vend1/<REGION_PLACEHOLDER>/payfile_<COUNTRY_PLACEHOLDER>", Operator="BASELINEQUERY",
+         ObjectFieldValue="SELECT COUNT(*) FROM lines", ErrorCode="E001"),
+    dict(ObjectName="vend1/<REGION_PLACEHOLDER>/payfile_<COUNTRY_PLACEHOLDER>", Operator="BASELINEQUERY",
+         ObjectFieldValue="SELECT COUNT(*) FROM other", ErrorCode="E999", Vendor="vend3"),
+    dict(ObjectName="skipped_inactive", Operator="IN", IsActive=False),
+    dict(ObjectName="skipped_component", Operator="IN", Component="other"),
+    dict(ObjectName="skipped_vendor", Operator="IN", Vendor="vend2"),
+]
+
+
+def _values_sql(specs):
+    cols = [f.name for f in C.CONFIG_SCHEMA.fields if f.name != "Country"]
+    rows = []
+    for spec in specs:
+        d = dict(C.RULE_DEFAULTS, **spec)
+        vals = []
+        for c in cols:
+            v = d[c]
+            vals.append(("TRUE" if v else "FALSE") if isinstance(v, bool) else "'" + str(v).replace("'", "''") + "'")
+        rows.append("(" + ", ".join(vals) + ")")
+    return f"(VALUES {', '.join(rows)}) AS cfg({', '.join(cols)})"
+
+
+def _map_values(rows, cols):
+    body = ", ".join("(" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in r) + ")" for r in rows)
+    return f"(VALUES {body}) AS m({', '.join(cols)})"
+
+
+RULES_RESOLVED_SQL = f"""WITH cfg AS (SELECT (SELECT string_agg(n_name, ',' ORDER BY n_name) FROM nation) AS Country, *
+    FROM {_values_sql(DAG06_SPECS)}),
+err AS (SELECT * FROM {_map_values(C.ERROR_MAP, ['code', 'Description', 'Type'])}),
+sev AS (SELECT * FROM {_map_values(C.SEVERITY_MAP, ['SeverityID', 'SeverityDescription'])}),
+fm AS (SELECT * FROM {_map_values(C.FIELDS_MAP, ['FieldsCode', 'LogFields'])}),
+vr AS (SELECT * FROM {_map_values(C.VENDOR_REGION, ['Vendor', 'Region'])}),
+base AS (SELECT * FROM cfg WHERE Source = '{SOURCE}' AND Stage = 'dag06' AND IsActive AND Component = 'core'),
+allr AS (
+  SELECT b.Country, b.Stage, b.ObjectType, b.ObjectName, b.ObjectField, b.Operator, b.ObjectFieldValue,
+         b.AdditionalCondition, b.ErrorCode, b.Recommendation, err.Description AS ErrorDescription,
+         sev.SeverityDescription AS ErrorSeverity, err.Type AS Type, fm.LogFields AS AdditionalFields,
+         b.CountryKeyField, b.FileIngestionCondition, b.Vendor, b.Component
+  FROM base b JOIN err ON b.ErrorCode = err.code JOIN sev ON b.SeverityID = sev.SeverityID
+  JOIN fm ON b.FieldsCode = fm.FieldsCode JOIN vr ON b.Vendor = vr.Vendor WHERE vr.Region = '{RUN_REGION}'
+  UNION ALL
+  SELECT b.Country, b.Stage, b.ObjectType, b.ObjectName, b.ObjectField, b.Operator, b.ObjectFieldValue,
+         b.AdditionalCondition, b.ErrorCode, b.Recommendation, '', '', '', '', '', '', b.Vendor, b.Component
+  FROM base b JOIN vr ON b.Vendor = vr.Vendor WHERE vr.Region = '{RUN_REGION}' AND b.Operator = 'BASELINEQUERY')
+SELECT c AS Country, Stage, ObjectType, ObjectName, ObjectField, Operator, ObjectFieldValue, AdditionalCondition,
+       ErrorCode, Recommendation, ErrorDescription, ErrorSeverity, Type, AdditionalFields, CountryKeyField,
+       FileIngestionCondition, Vendor, Component
+FROM (SELECT *, unnest(string_split(Country, ',')) AS c FROM allr)
+WHERE c IN (SELECT n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = '{RUN_REGION}')"""
+
+
+@query("rules_resolved", RULES_RESOLVED_SQL)
+def rules_resolved(spark, sf_dir):
+    """Rules of the file stage: 4 joins, baseline branch (UNION ALL), countries exploded."""
+    t = Tables(spark, sf_dir)
+    ctx = _ctx(stage="dag06", component="core")
+    sp = t.spark
+    return R.resolve_rules(C.rules_config(t, DAG06_SPECS), C.error_map(sp), C.severity_map(sp),
+                           C.fields_map(sp), C.vendor_region(sp), ctx, C.run_countries(t))
+
+
+# --------------------------------------------------------------------------- C6 (E004)
+
+MISMATCH_RULES = [
+    ("dag05", "table", "orders_history", "country_raw", "o_orderstatus = 'F'", "E004",
+     "Check country", "S1", "F5", "country_raw", "", "vend1", "core", True),
+]
+
+
+def _orders_history(t: Tables):
+    return (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+            .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .withColumn("country_raw", F.when(F.col("o_orderkey") % 10 == 0, F.lit(None).cast("string"))
+                        .otherwise(F.col("n_name")))
+            .withColumn("createddttm", F.date_sub(F.lit(RUN_DATE).cast("date"), (F.col("o_orderkey") % 3).cast("int"))))
+
+
+_OH = ("(SELECT *, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE n_name END AS country_raw, "
+       f"CAST(DATE '{RUN_DATE}' - CAST(o_orderkey % 3 AS INTEGER) AS DATE) AS createddttm "
+       "FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)")
+_F5 = ["o_orderkey", "o_orderstatus"]
+
+RULES_COUNTRY_MISMATCH_SQL = (
+    _log_select("cty.n_name", "core", "orders_history", "High", "Error", _desc("Country mismatch", _F5),
+                "country_raw", "Check country")
+    + f" FROM {_OH} o JOIN {_ASIA} cty ON coalesce(o.country_raw, '') <> cty.n_name"
+    + f" WHERE (o_orderstatus = 'F') AND o.createddttm = DATE '{RUN_DATE}'")
+
+
+@query("rules_country_mismatch", RULES_COUNTRY_MISMATCH_SQL)
+def rules_country_mismatch(spark, sf_dir):
+    """E004 rules scope with ``IFNULL(key,'') NOT IN (country)`` instead of ``key IN``."""
+    t = Tables(spark, sf_dir)
+    ctx = _ctx()
+    rules = _rules(t, ctx, MISMATCH_RULES)
+    log, problems = R.evaluate_rules(rules, {"orders_history": _orders_history(t)}, ctx)
+    if problems:
+        raise RuntimeError(f"rule problems: {problems}")
+    return log.select(*LOG_OUT)
+
+
+# --------------------------------------------------------------------------- C5
+
+SLICE_RULES = [
+    ("dag05", "table", "orders_history", "o_totalprice", "o_totalprice > 300000", "E001",
+     "Check price", "S1", "F5", "n_name", "", "vend1", "core", True),
+]
+
+RULES_HISTORY_SLICE_SQL = (
+    _log_select("n_name", "core", "orders_history", "High", "Error", _desc("Quantity above limit", _F5),
+                "o_totalprice", "Check price")
+    + f" FROM {_OH} o WHERE (o_totalprice > 300000) AND o.createddttm = DATE '{RUN_DATE}' AND n_name IN {_ASIA}")
+
+
+@query("rules_history_slice", RULES_HISTORY_SLICE_SQL)
+def rules_history_slice(spark, sf_dir):
+    """A table named ``...history`` is scoped to ``createddttm = run date``."""
+    t = Tables(spark, sf_dir)
+    ctx = _ctx()
+    rules = _rules(t, ctx, SLICE_RULES)
+    log, problems = R.evaluate_rules(rules, {"orders_history": _orders_history(t)}, ctx)
+    if problems:
+        raise RuntimeError(f"rule problems: {problems}")
+    return log.select(*LOG_OUT)
+
+
+# --------------------------------------------------------------------------- D9 / E1
+
+INGEST_RULES = [
+    ("dag05", "table", "events_raw", "value", "value > 50", "E001", "Check value", "S1", "F6",
+     "event_type", "value < 90", "vend1", "core", True),
+    ("dag05", "table", "events_raw", "user_id", "user_id % 7 = 0", "E002", "Check user", "S2", "F6",
+     "event_type", "", "vend1", "core", True),
+]
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+_F6 = ["event_id", "user_id"]
+_EV = "(SELECT *, date_trunc('day', ts) AS rawingestiondttm FROM events)"
+
+RULES_LATEST_INGESTION_SQL = (
+    _log_select("e.event_type", "core", "events_raw", "High", "Error", _desc("Quantity above limit", _F6),
+                "value", "Check value")
+    + f" FROM {_EV} e JOIN (SELECT event_type AS c, max(rawingestiondttm) AS mx FROM {_EV} WHERE value < 90"
+    " GROUP BY event_type) m ON e.event_type = m.c AND e.rawingestiondttm = m.mx WHERE (value > 50)"
+    "\nUNION ALL\n"
+    + _log_select("e.event_type", "core", "events_raw", "Low", "Warning", _desc("Discount above limit", _F6),
+                  "user_id", "Check user")
+    + f" FROM {_EV} e JOIN (SELECT event_type AS c, max(rawingestiondttm) AS mx FROM {_EV}"
+    " GROUP BY event_type) m ON e.event_type = m.c AND e.rawingestiondttm = m.mx WHERE (user_id % 7 = 0)")
+
+
+@query("rules_latest_ingestion", RULES_LATEST_INGESTION_SQL)
+def rules_latest_ingestion(spark, sf_dir):
+    """Raw tables are scoped to the latest load of the rule's country (D9 scalar subquery, E1)."""
+    t = Tables(spark, sf_dir)
+    ctx = _ctx()
+    rules = _rules(t, ctx, INGEST_RULES, countries=EVENT_TYPES)
+    rules = rules  # countries here are event types
+    obj = t.events.withColumn("rawingestiondttm", F.date_trunc("day", "ts"))
+    log, problems = R.evaluate_rules(rules, {"events_raw": obj}, ctx)
+    if problems:
+        raise RuntimeError(f"rule problems: {problems}")
+    return log.select(*LOG_OUT)
