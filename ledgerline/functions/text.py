@@ -19,7 +19,7 @@ def prefix_match(value: Column, pattern) -> Column:
     may be a Python string or a Column (rlike accepts a pattern column).
     """
     p = F.lit(pattern) if isinstance(pattern, str) else pattern
-    return value.rlike(F.concat(F.lit("^(?:"), p, F.lit(")")))
+    return F.regexp_like(value, F.concat(F.lit("^(?:"), p, F.lit(")")))
 
 
 def glob_to_regex(glob: str) -> str:

@@ -249,3 +249,179 @@ def rules_latest_ingestion(spark, sf_dir):
     if problems:
         raise RuntimeError(f"rule problems: {problems}")
     return log.select(*LOG_OUT)
+
+
+# --------------------------------------------------------------------------- I3
+
+PROCESSES = [("Payroll",), ("equity",), (None,)]
+
+
+def _ingestion_rows(t: Tables):
+    ev = t.events
+    return ev.select(
+        F.lit("Ingestion").alias("stage"),
+        F.when(F.col("user_id") % 2 == 0, F.lit("ASIA")).otherwise(F.lit("EUROPE")).alias("region"),
+        F.concat(F.lit("NATION_"), (F.col("user_id") % 25).cast("string")).alias("country"),
+        F.lit(SOURCE).alias("source"), F.lit("core").alias("sourcecomponent"),
+        F.lit("events").alias("objectname"), F.lit("High").alias("errorseverity"),
+        F.lit("Error").alias("type"),
+        F.concat(F.lit("bad event "), F.col("event_id").cast("string")).alias("errordescription"),
+        "event_type",
+    )
+
+
+def _prior_log(t: Tables):
+    ing = _ingestion_rows(t)
+    cols = ["stage", "region", "country", "source", "sourcecomponent", "objectname", "errorseverity",
+            "type", "errordescription"]
+
+    def mk(df, d):
+        return df.select(F.lit(ORCHESTRATOR).alias("orchestratorid"), *cols, F.lit("").alias("erroridentifier"),
+                         F.lit(d).cast("date").alias("createddttm"),
+                         F.lit(FIXED_NOW).cast("timestamp").alias("recordtimestamp"), F.lit("").alias("recommendation"))
+    return mk(ing.where(F.col("event_type") == "click"), RUN_DATE).unionByName(
+        mk(ing.where(F.col("event_type") == "view"), "2024-01-14"))
+
+
+_ING_SQL = ("(SELECT 'Ingestion' AS stage, CASE WHEN user_id % 2 = 0 THEN 'ASIA' ELSE 'EUROPE' END AS region, "
+            "'NATION_' || CAST(user_id % 25 AS VARCHAR) AS country, 'payroll' AS source, 'core' AS sourcecomponent, "
+            "'events' AS objectname, 'High' AS errorseverity, 'Error' AS type, "
+            "'bad event ' || CAST(event_id AS VARCHAR) AS errordescription, event_type FROM events)")
+_ING_COLS = ("stage, region, country, source, sourcecomponent, objectname, errorseverity, type, errordescription")
+
+INGESTION_ERRORS_MOVED_SQL = f"""WITH ing AS {_ING_SQL},
+log0 AS (SELECT '{ORCHESTRATOR}' AS orchestratorid, {_ING_COLS}, '' AS erroridentifier, DATE '{RUN_DATE}' AS createddttm,
+           '' AS recommendation FROM ing WHERE event_type = 'click'
+         UNION ALL SELECT '{ORCHESTRATOR}', {_ING_COLS}, '', DATE '2024-01-14', '' FROM ing WHERE event_type = 'view')
+SELECT * FROM log0 WHERE NOT coalesce(createddttm = DATE '{RUN_DATE}' AND source = '{SOURCE}' AND region = '{RUN_REGION}'
+  AND stage = 'Ingestion' AND orchestratorid = '{ORCHESTRATOR}' AND sourcecomponent = 'core'
+  AND country IN {_ASIA}, false)
+UNION ALL
+SELECT '{ORCHESTRATOR}', {_ING_COLS}, '', DATE '{RUN_DATE}', '' FROM ing
+WHERE event_type = 'error' AND source = '{SOURCE}' AND region = '{RUN_REGION}' AND country IN {_ASIA}
+  AND sourcecomponent = 'core'"""
+
+
+@query("ingestion_errors_moved", INGESTION_ERRORS_MOVED_SQL)
+def ingestion_errors_moved(spark, sf_dir):
+    """Stage dag02 of an ingestion source replaces the log's Ingestion slice (A9 + I3)."""
+    t = Tables(spark, sf_dir)
+    ctx = _ctx(stage="dag02", component="core")
+    processes = spark.createDataFrame(PROCESSES, "Process string")
+    log = _prior_log(t)
+    if ctx.stage == "dag02" and R.is_ingestion_source(processes, ctx.source):
+        ing = _ingestion_rows(t).where(F.col("event_type") == "error").drop("event_type")
+        log = R.move_ingestion_errors(ing, log, ctx, C.run_countries(t))
+    return log.select(*LOG_OUT)
+
+
+# --------------------------------------------------------------------------- D3 / E12
+
+def _thresholds(t: Tables):
+    return t.nation.select(F.col("n_name").alias("country"),
+                           F.when(F.col("n_nationkey") % 3 == 0, F.lit(""))
+                           .when(F.col("n_nationkey") % 3 == 1, F.lit("117"))
+                           .otherwise(F.lit("200")).alias("threshold"))
+
+
+def _flagship_summary(t: Tables):
+    from ..operators import thresholds as TH
+    ctx = _ctx()
+    rules = _rules(t, ctx)
+    hist = C.lineitem_history(t)
+    log, _ = R.evaluate_rules(rules, {"lineitem_history": hist}, ctx)
+    base = TH.baseline_count(hist.where(F.col("n_name").isin(C.run_countries(t)))
+                             .withColumnRenamed("n_name", "country"), ["country"])
+    fails = TH.failure_counts(log, ["country"])
+    return TH.summary_rows(base, fails, None, _thresholds(t), ["country"]), rules
+
+
+_SUMMARY_CTE = f"""v AS ({RULES_TABLE_VIOLATIONS_SQL}),
+b AS (SELECT n_name AS country, count(*) AS baseline FROM {_OBJ} WHERE n_name IN {_ASIA} GROUP BY n_name),
+f AS (SELECT country, count_if(type = 'Error') AS stagefailure FROM v GROUP BY country),
+th AS (SELECT n_name AS country, CASE n_nationkey % 3 WHEN 0 THEN '' WHEN 1 THEN '117' ELSE '200' END AS threshold
+       FROM nation),
+s0 AS (SELECT b.country, b.baseline, coalesce(f.stagefailure, 0) AS stagefailure, 0 AS g2vsviewcountfailure,
+       coalesce(TRY_CAST(nullif(trim(th.threshold), '') AS DOUBLE), 0.0) AS thresholdpercentage
+       FROM b LEFT JOIN f ON b.country = f.country LEFT JOIN th ON b.country = th.country),
+s1 AS (SELECT *, stagefailure + g2vsviewcountfailure AS totalfailure FROM s0),
+s2 AS (SELECT *, CASE WHEN baseline = 0 OR totalfailure = 0 THEN 0.0
+       ELSE round_even(totalfailure / baseline * 100.0, 2) END AS errorpercentage FROM s1),
+summ AS (SELECT *, CASE WHEN errorpercentage = 0 THEN 'Success' WHEN errorpercentage > thresholdpercentage
+       THEN 'Failure' ELSE 'Partial' END AS status FROM s2)"""
+
+THRESHOLD_GATE_SQL = f"""WITH {_SUMMARY_CTE},
+flags AS (SELECT country, CASE WHEN status = 'Failure' THEN 'Y' ELSE 'N' END AS ex FROM summ)
+SELECT DISTINCT upper(c) AS Country, ObjectField, ErrorCode FROM (
+  SELECT unnest(['l_quantity', 'l_discount', 'l_returnflag', 'l_shipdate']) AS ObjectField,
+         unnest(['E001', 'E002', 'E003', 'E005']) AS ErrorCode) r,
+  (SELECT n_name AS c FROM nation WHERE n_name IN {_ASIA}) cc
+WHERE upper(c) IN (SELECT upper(country) FROM flags WHERE ex = 'N')"""
+
+
+@query("threshold_gate", THRESHOLD_GATE_SQL)
+def threshold_gate(spark, sf_dir):
+    """Per-country threshold flags from the run's summary (E12), then the rule gate (D3)."""
+    from ..operators import thresholds as TH
+    t = Tables(spark, sf_dir)
+    summary, rules = _flagship_summary(t)
+    flags = TH.access_threshold(summary, ["country"]).withColumnRenamed("country", "Country")
+    gated = R.gate_by_threshold(rules, flags, override=False)
+    return gated.select("Country", "ObjectField", "ErrorCode").distinct()
+
+
+THRESHOLD_STATUS_SQL = f"""WITH {_SUMMARY_CTE}
+SELECT country, baseline, stagefailure, g2vsviewcountfailure, totalfailure, thresholdpercentage,
+       errorpercentage, status FROM summ"""
+
+
+@query("threshold_status", THRESHOLD_STATUS_SQL)
+def threshold_status_q(spark, sf_dir):
+    """Failure totals, half-even error percentage and Success/Partial/Failure per country."""
+    t = Tables(spark, sf_dir)
+    summary, _ = _flagship_summary(t)
+    return summary.select("country", "baseline", "stagefailure", "g2vsviewcountfailure", "totalfailure",
+                          "thresholdpercentage", "errorpercentage", "status")
+
+
+# --------------------------------------------------------------------------- E9 / I6
+
+COMPONENT_FANOUT_SQL = f"""SELECT DISTINCT c_mktsegment AS component FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE n_name IN {_ASIA}"""
+
+
+@query("component_fanout", COMPONENT_FANOUT_SQL)
+def component_fanout(spark, sf_dir):
+    """Region run: one quality run per distinct component of the executions."""
+    t = Tables(spark, sf_dir)
+    execs = (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+             .where(F.col("n_name").isin(C.run_countries(t)))
+             .select(F.col("c_mktsegment").alias("component"), F.col("n_name").alias("country")))
+    return R.distinct_components(execs, by_country=False)
+
+
+# --------------------------------------------------------------------------- I2
+
+ACCESS_CHECK_LOG_SQL = f"""WITH v AS ({RULES_TABLE_VIOLATIONS_SQL}),
+prior AS (SELECT * FROM v UNION ALL
+          SELECT orchestratorid, stage, region, country, source, sourcecomponent, objectname, errorseverity, type,
+                 errordescription, erroridentifier, DATE '2024-01-14', recommendation FROM v WHERE erroridentifier = 'l_quantity')
+SELECT * FROM prior WHERE NOT coalesce(createddttm = DATE '{RUN_DATE}' AND source = '{SOURCE}'
+  AND region = '{RUN_REGION}' AND stage = 'dag05' AND orchestratorid = '{ORCHESTRATOR}' AND country IN {_ASIA}, false)
+UNION ALL SELECT * FROM v"""
+
+
+@query("access_check_log", ACCESS_CHECK_LOG_SQL)
+def access_check_log(spark, sf_dir):
+    """A rerun of the table-level check: the log's run slice is replaced, other dates stay."""
+    t = Tables(spark, sf_dir)
+    ctx = _ctx()
+    rules = _rules(t, ctx)
+    objects = {"lineitem_history": C.lineitem_history(t)}
+    first, _ = R.evaluate_rules(rules, objects, ctx)
+    prior = first.unionByName(first.where(F.col("erroridentifier") == "l_quantity")
+                              .withColumn("createddttm", F.lit("2024-01-14").cast("date")))
+    res = R.access_check(rules, objects, ctx, prior, C.run_countries(t))
+    if res.problems:
+        raise RuntimeError(f"rule problems: {res.problems}")
+    return res.log.select(*LOG_OUT)
