@@ -241,7 +241,7 @@ def split_records(records: DataFrame, violations: DataFrame, key_cols: list[str]
 def send_log_rows(violations: DataFrame, orchestrator_id: str, stage: str, region: str, country: str,
                   source: str, component: str, objectname: str, run_date: str, now=None) -> DataFrame:
     """Validation-log rows of a record-file check (I4)."""
-    ts = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    ts = F.localtimestamp() if now is None else F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
     return violations.select(
         F.lit(orchestrator_id).alias("orchestratorid"), F.lit(stage).alias("stage"),
         F.lit(region).alias("region"), F.lit(country).alias("country"), F.lit(source).alias("source"),

@@ -47,7 +47,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("errordescription", T.StringType()),
     T.StructField("erroridentifier", T.StringType()),
     T.StructField("createddttm", T.DateType()),
-    T.StructField("recordtimestamp", T.TimestampType()),
+    T.StructField("recordtimestamp", T.TimestampNTZType()),
     T.StructField("recommendation", T.StringType()),
 ])
 
@@ -63,13 +63,13 @@ class RunContext:
     run_date: str                      # YYYY-MM-DD
     component: str = ""
     vendor: str = ""
-    now: _dt.datetime | None = None    # fixed record timestamp (tests); None -> current_timestamp()
+    now: _dt.datetime | None = None    # fixed zone-less record timestamp (tests); None -> now
     extra: dict = field(default_factory=dict)
 
     def record_ts(self) -> Column:
         if self.now is None:
-            return F.current_timestamp()
-        return F.lit(self.now).cast("timestamp")
+            return F.localtimestamp()
+        return F.lit(self.now.isoformat(sep=" ")).cast("timestamp_ntz")
 
     def date_col(self) -> Column:
         return F.lit(self.run_date).cast("date")

@@ -278,7 +278,7 @@ def _prior_log(t: Tables):
     def mk(df, d):
         return df.select(F.lit(ORCHESTRATOR).alias("orchestratorid"), *cols, F.lit("").alias("erroridentifier"),
                          F.lit(d).cast("date").alias("createddttm"),
-                         F.lit(FIXED_NOW).cast("timestamp").alias("recordtimestamp"), F.lit("").alias("recommendation"))
+                         F.lit(FIXED_NOW.isoformat(sep=" ")).cast("timestamp_ntz").alias("recordtimestamp"), F.lit("").alias("recommendation"))
     return mk(ing.where(F.col("event_type") == "click"), RUN_DATE).unionByName(
         mk(ing.where(F.col("event_type") == "view"), "2024-01-14"))
 
