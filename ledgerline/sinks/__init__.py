@@ -1,0 +1 @@
+"""Writers for logs, history slices, exports and record files."""

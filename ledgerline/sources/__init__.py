@@ -1,0 +1 @@
+"""Readers for landed files, record files, delimited fixtures, dated views and layouts."""

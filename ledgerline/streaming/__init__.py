@@ -1,0 +1 @@
+"""Structured Streaming sources of the pipeline."""
