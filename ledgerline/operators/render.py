@@ -127,7 +127,7 @@ def assemble_file(files: DataFrame, body: DataFrame, file_key: str, layout: dict
 
 def file_order(file_key: str) -> list[Column]:
     """Sort key of rendered lines inside a file."""
-    return [F.col(file_key), F.col("section"), F.col("view_rank").desc_nulls_first(), F.col("block"),
+    return [F.col(file_key), F.col("section"), F.col("view_rank").asc_nulls_first(), F.col("block"),
             F.col("order_key").asc_nulls_first()]
 
 
