@@ -5,17 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Reference / configuration tables above this many rows are joined with a shuffle
+# Reference / configuration tables above these bounds are joined with a shuffle
 # (AQE may still pick a broadcast at run time from real statistics).
 DEFAULT_BROADCAST_ROWS = 200_000
+DEFAULT_BROADCAST_BYTES = 8 * 1024 * 1024
 
 
-def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` provably has at most ``max_rows`` rows, else ``df``.
+def estimated_size(df: DataFrame) -> int | None:
+    """Optimizer size estimate in bytes, or None when the plan has no statistics.
 
-    The bound is checked with a ``limit(max_rows + 1).count()`` job, which stops reading
-    as soon as the bound is exceeded, so checking a big table stays cheap.
+    For file scans, filters, projections and aggregates the estimate derives from the
+    files' sizes and never shrinks for filters, so it bounds the data from above; local
+    relations are exact.  Plans over in-memory RDDs report "unknown" (Long.MaxValue).
     """
+    try:
+        v = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+    return None if v >= (1 << 62) else v
+
+
+def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when ``df`` is provably small, else ``df`` (shuffle join, AQE decides).
+
+    The bound comes from the optimizer's size estimate when one exists (no job); otherwise
+    from a ``limit(max_rows + 1).count()`` job, which stops reading as soon as the bound is
+    exceeded, so checking a big table stays cheap.
+    """
+    est = estimated_size(df)
+    if est is not None:
+        return F.broadcast(df) if est <= max_bytes else df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -146,9 +146,11 @@ def _nonempty(df: DataFrame | None) -> bool:
 def check_records(records: DataFrame, compiled: CompiledRules, refs: References) -> DataFrame:
     """One row per (line, violated rule): the line's columns plus the rule's log fields.
 
-    Output adds ``field_index``, ``operator``, ``value``, ``errorseverity``, ``type``,
-    ``errordescription`` (``description;name:value|...`` over the rule's field map),
-    ``erroridentifier`` and ``recommendation``.
+    Single pass: lines meet the broadcast rules of their record type, reference lookups
+    are left joins keyed by (record type, value) or by the line's wage type, and one
+    filter keeps the violations.  Output adds ``field_index``, ``operator``, ``value``,
+    ``errorseverity``, ``type``, ``errordescription`` (``description;name:value|...`` over
+    the rule's field map), ``erroridentifier`` and ``recommendation``.
     """
     rules = F.broadcast(compiled.rules)  # compiled configuration: bounded by MAX_RECORD_RULES
     cand = (
@@ -165,55 +167,52 @@ def check_records(records: DataFrame, compiled: CompiledRules, refs: References)
     else:
         ccy = F.lit(None).cast("string")
 
-    simple_ops = [K.OP_IN, K.OP_NOTIN, K.OP_DATEFORMAT, K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT,
-                  K.OP_COUNTRYCHECK, K.OP_CURRENCYCHECK]
-    simple = cand.where(op.isin(simple_ops)).where(
-        F.when(op == K.OP_IN, F.array_contains("r_params", v))
-        .when(op == K.OP_NOTIN, ~F.array_contains("r_params", v))
-        .when(op == K.OP_DATEFORMAT,
-              ~prefix_match(v, F.col("r_pattern"))
-              | F.try_to_timestamp(v, F.col("r_date_format")).isNull())
-        .when(op.isin(K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT), (v != "") & ~prefix_match(v, F.col("r_pattern")))
-        .when(op == K.OP_COUNTRYCHECK, ~v.eqNullSafe(country))
-        .when(op == K.OP_CURRENCYCHECK, ~v.eqNullSafe(ccy))
-        .otherwise(F.lit(False))
-    )
-    parts = [simple]
-
     # H7: value must be one of the record type's wage types; skipped when the reference is empty
+    wt_viol = F.lit(False)
     if _nonempty(refs.wagetypes):
-        ref = small_side(refs.wagetypes.select(F.col("Infotype").alias("__rt"),
-                                               F.col("Wagetype").alias("__rv")).distinct())
-        m = cand.where(op == K.OP_WAGETYPECHECK).join(
-            ref, (F.col("record_type") == F.col("__rt")) & (v == F.col("__rv")), "left")
-        parts.append(m.where(F.col("__rv").isNull() | (v == "")).drop("__rt", "__rv"))
+        ref = small_side(refs.wagetypes.select(F.col("Infotype").alias("__wt_t"), F.col("Wagetype").alias("__wt_v"))
+                         .distinct().withColumn("__wt_ok", F.lit(True)))
+        cand = cand.join(ref, (op == K.OP_WAGETYPECHECK) & (F.col("record_type") == F.col("__wt_t"))
+                         & (v == F.col("__wt_v")), "left")
+        wt_viol = (op == K.OP_WAGETYPECHECK) & (F.col("__wt_ok").isNull() | (v == ""))
 
     # H6: (country, record type, value) must exist in the infotype reference
+    it_viol = F.lit(False)
     if _nonempty(refs.infotypes):
-        ref = small_side(refs.infotypes.select(F.col("Country").alias("__rc"), F.col("Infotype").alias("__rt"),
-                                               F.col("Wagetype").alias("__rv")).distinct())
-        m = cand.where(op == K.OP_INFOTYPECOMBINATIONFORMAT).join(
-            ref, (country == F.col("__rc")) & (F.col("record_type") == F.col("__rt")) & (v == F.col("__rv")), "left")
-        parts.append(m.where(F.col("__rv").isNull() | (v == "")).drop("__rc", "__rt", "__rv"))
+        ref = small_side(refs.infotypes.where(F.col("Country") == country)
+                         .select(F.col("Infotype").alias("__it_t"), F.col("Wagetype").alias("__it_v"))
+                         .distinct().withColumn("__it_ok", F.lit(True)))
+        cand = cand.join(ref, (op == K.OP_INFOTYPECOMBINATIONFORMAT) & (F.col("record_type") == F.col("__it_t"))
+                         & (v == F.col("__it_v")), "left")
+        it_viol = (op == K.OP_INFOTYPECOMBINATIONFORMAT) & (F.col("__it_ok").isNull() | (v == ""))
 
     # H10 + D8: currency of the line's wage type, falling back to the country currency
-    wcur = cand.where(op == K.OP_WAGETYPECURRENCYCHECK).withColumn(
-        "__wt", F.get(F.col("fields"), F.col("r_wt_index")))
+    wage_type = F.get(F.col("fields"), F.col("r_wt_index"))
+    wcur = F.lit(None).cast("string")
     if refs.wagetype_currency is not None:
         wref = small_side(
             refs.wagetype_currency.where((F.col("Country") == country) & (F.col("DataSource") == F.lit(refs.datasource)))
             .groupBy("WageType").agg(F.min("CurrencyKey").alias("__wc")))
-        wcur = wcur.join(wref, F.col("__wt") == F.col("WageType"), "left").drop("WageType")
-    else:
-        wcur = wcur.withColumn("__wc", F.lit(None).cast("string"))
-    parts.append(wcur.where(~v.eqNullSafe(F.coalesce(F.col("__wc"), ccy))).drop("__wt", "__wc"))
+        cand = cand.join(wref, (op == K.OP_WAGETYPECURRENCYCHECK) & (wage_type == F.col("WageType")), "left")
+        wcur = F.col("__wc")
 
-    viol = parts[0]
-    for p in parts[1:]:
-        viol = viol.unionByName(p)
+    violated = (
+        F.when(op == K.OP_IN, F.array_contains("r_params", v))
+        .when(op == K.OP_NOTIN, ~F.array_contains("r_params", v))
+        .when(op == K.OP_DATEFORMAT,
+              ~prefix_match(v, F.col("r_pattern"))
+              | F.try_to_timestamp(v, F.col("r_date_format")).isNull())
+        .when(op.isin(K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT), (v != "") & ~prefix_match(v, F.col("r_pattern")))
+        .when(op == K.OP_COUNTRYCHECK, ~v.eqNullSafe(country))
+        .when(op == K.OP_CURRENCYCHECK, ~v.eqNullSafe(ccy))
+        .when(op == K.OP_WAGETYPECHECK, wt_viol)
+        .when(op == K.OP_INFOTYPECOMBINATIONFORMAT, it_viol)
+        .when(op == K.OP_WAGETYPECURRENCYCHECK, ~v.eqNullSafe(F.coalesce(wcur, ccy)))
+        .otherwise(F.lit(False))
+    )
     desc_parts = F.transform(
         "r_fields", lambda e: F.concat(e["name"], F.lit(":"), F.coalesce(F.get(F.col("fields"), e["idx"]), F.lit(""))))
-    return viol.select(
+    return cand.where(violated).select(
         *[c for c in records.columns if c != "fields"],
         F.col("r_index").alias("field_index"), F.col("r_op").alias("operator"), "value",
         "errorseverity", "type",

@@ -8,6 +8,7 @@ taken from the ``nation`` table.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,20 +70,27 @@ FIELDS_MAP = [("F1", "l_orderkey,l_linenumber"),
 VENDOR_REGION = [("vend1", "ASIA"), ("vend2", "EUROPE"), ("vend3", "ASIA")]
 
 
+def local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """A configuration frame as a local relation (exact size statistics, so joins can prove it small)."""
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    pdf = pd.DataFrame(rows, columns=[f.name for f in st.fields])
+    return spark.createDataFrame(pdf, schema=st)
+
+
 def error_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ERROR_MAP, "code string, Description string, Type string")
+    return local_frame(spark, ERROR_MAP, "code string, Description string, Type string")
 
 
 def severity_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SEVERITY_MAP, "SeverityID string, SeverityDescription string")
+    return local_frame(spark, SEVERITY_MAP, "SeverityID string, SeverityDescription string")
 
 
-def fields_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FIELDS_MAP, "FieldsCode string, LogFields string")
+def fields_map(spark: SparkSession, extra: list[tuple] | None = None) -> DataFrame:
+    return local_frame(spark, FIELDS_MAP + (extra or []), "FieldsCode string, LogFields string")
 
 
 def vendor_region(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(VENDOR_REGION, "Vendor string, Region string")
+    return local_frame(spark, VENDOR_REGION, "Vendor string, Region string")
 
 
 def table_rules_config(t: Tables, templates=TABLE_RULES, countries: str | None = None) -> DataFrame:
@@ -91,7 +99,7 @@ def table_rules_config(t: Tables, templates=TABLE_RULES, countries: str | None =
         (countries, st, ot, on, fld, "", "", cond, err, rec, sev, fc, ck, ing, ven, comp, SOURCE, act)
         for (st, ot, on, fld, cond, err, rec, sev, fc, ck, ing, ven, comp, act) in templates
     ]
-    return t.spark.createDataFrame(rows, CONFIG_SCHEMA)
+    return local_frame(t.spark, rows, CONFIG_SCHEMA)
 
 
 RULE_DEFAULTS = dict(Stage="dag06", ObjectType="file", ObjectName="", ObjectField="", Operator="",
@@ -108,7 +116,7 @@ def rules_config(t: Tables, specs: list[dict], countries: str | None = None) ->
     for spec in specs:
         d = dict(RULE_DEFAULTS, Country=countries, **spec)
         rows.append(tuple(d[n] for n in names))
-    return t.spark.createDataFrame(rows, CONFIG_SCHEMA)
+    return local_frame(t.spark, rows, CONFIG_SCHEMA)
 
 
 def lineitem_history(t: Tables, run_date: str = RUN_DATE) -> DataFrame:

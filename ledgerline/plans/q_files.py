@@ -153,18 +153,16 @@ LOG_FILE_COLS = ["orchestratorid", "stage", "stagedescription", "region", "count
                  "errordescription", "recommendation"]
 
 
-def _log_with_ingestion(t: Tables):
-    ctx = QRL._ctx()
-    rules = QRL._rules(t, ctx)
-    from . import config as C
-    from ..operators import rules as R
-    log, _ = R.evaluate_rules(rules, {"lineitem_history": C.lineitem_history(t)}, ctx)
+def _log_with_ingestion(t: Tables, log=None):
+    if log is None:
+        log, _, _ = QRL._flagship_log(t)
     ing = QRL._prior_log(t).where(F.col("createddttm") == F.lit(RUN_DATE).cast("date"))
     return log.unionByName(ing)
 
 
 def _stage_map(spark):
-    return spark.createDataFrame(STAGE_MAP, "Stage string, StageDescription string")
+    from .config import local_frame
+    return local_frame(spark, STAGE_MAP, "Stage string, StageDescription string")
 
 
 _LOG_ING_SQL = f"""tv AS ({QRL.RULES_TABLE_VIOLATIONS_SQL}),
@@ -217,12 +215,12 @@ UNION ALL SELECT country, 2, CAST(NULL AS BIGINT), concat_ws(',', {', '.join(_sq
 def error_log_lines_q(spark, sf_dir):
     """Error-log file per country: info lines, column line, quoted comma rows."""
     t = Tables(spark, sf_dir)
-    summary, _ = QRL._flagship_summary(t)
-    labels = K.ERROR_LOG_INFO_LABELS
+    log, rules, hist = QRL._flagship_log(t)
+    summary, _ = QRL._flagship_summary(t, log, rules, hist)
     vals = [F.lit(FIXED_NOW.isoformat(sep=" ")), F.lit(RUN_DATE), F.lit(RUN_REGION), F.col("country"), F.lit(SOURCE),
             F.lit("core"), F.col("stagefailure"), F.col("g2vsviewcountfailure"), F.col("baseline"),
             F.col("totalfailure"), F.col("thresholdpercentage"), F.col("errorpercentage"), F.col("status")]
-    rows = TH.log_with_stage(_log_with_ingestion(t), _stage_map(spark), orchestratorid=ORCHESTRATOR,
+    rows = TH.log_with_stage(_log_with_ingestion(t, log), _stage_map(spark), orchestratorid=ORCHESTRATOR,
                              createddttm=F.lit(RUN_DATE).cast("date"), region=RUN_REGION, source=SOURCE,
                              sourcecomponent="core")
     rows = rows.join(summary.select("country"), "country", "left_semi")

@@ -93,7 +93,8 @@ def _routing_text(t: Tables):
 
 
 def _routing(t: Tables):
-    req = t.spark.createDataFrame(REQUESTS, "datasource string, region string")
+    from .config import local_frame
+    req = local_frame(t.spark, REQUESTS, "datasource string, region string")
     routing = ST.parse_routing(_routing_text(t), "mapping", region_agnostic=["pmi_uki", "pmi"])
     return ST.route_staging(routing, req)
 

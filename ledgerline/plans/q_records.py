@@ -90,7 +90,7 @@ def _refs(t: Tables) -> RC.References:
 def _compiled(t: Tables):
     sp = t.spark
     ctx = R.RunContext(ORCHESTRATOR, "dag06", "ASIA", SOURCE, RUN_DATE, component="core", now=FIXED_NOW)
-    fm = sp.createDataFrame(C.FIELDS_MAP + FILE_FIELDS, "FieldsCode string, LogFields string")
+    fm = C.fields_map(sp, FILE_FIELDS)
     rules = R.resolve_rules(C.rules_config(t, RECORD_SPECS), C.error_map(sp), C.severity_map(sp), fm,
                             C.vendor_region(sp), ctx, [RUN_COUNTRY])
     scoped = RC.file_scope(rules, VENDOR, REGION_LC, RUN_COUNTRY, SOURCE_PATH, SOURCE_OBJECT)

@@ -307,7 +307,7 @@ def ingestion_errors_moved(spark, sf_dir):
     """Stage dag02 of an ingestion source replaces the log's Ingestion slice (A9 + I3)."""
     t = Tables(spark, sf_dir)
     ctx = _ctx(stage="dag02", component="core")
-    processes = spark.createDataFrame(PROCESSES, "Process string")
+    processes = C.local_frame(spark, PROCESSES, "Process string")
     log = _prior_log(t)
     if ctx.stage == "dag02" and R.is_ingestion_source(processes, ctx.source):
         ing = _ingestion_rows(t).where(F.col("event_type") == "error").drop("event_type")
@@ -324,12 +324,19 @@ def _thresholds(t: Tables):
                            .otherwise(F.lit("200")).alias("threshold"))
 
 
-def _flagship_summary(t: Tables):
-    from ..operators import thresholds as TH
+def _flagship_log(t: Tables):
     ctx = _ctx()
     rules = _rules(t, ctx)
     hist = C.lineitem_history(t)
     log, _ = R.evaluate_rules(rules, {"lineitem_history": hist}, ctx)
+    return log, rules, hist
+
+
+def _flagship_summary(t: Tables, log=None, rules=None, hist=None):
+    """Per-country summary of the flagship run; reuses an already built log when given."""
+    from ..operators import thresholds as TH
+    if log is None:
+        log, rules, hist = _flagship_log(t)
     base = TH.baseline_count(hist.where(F.col("n_name").isin(C.run_countries(t)))
                              .withColumnRenamed("n_name", "country"), ["country"])
     fails = TH.failure_counts(log, ["country"])
