@@ -73,6 +73,8 @@ class CompiledRules:
     baseline_queries: list[str]      # distinct BASELINEQUERY texts
     wagetype_queries: list[str]      # distinct reference queries of WAGETYPECHECK rules
     infotype_queries: list[str]      # distinct reference queries of INFOTYPECOMBINATIONFORMAT rules
+    patterns: list[str]              # distinct format patterns (compiled as literal regexes)
+    date_formats: list[str]          # distinct calendar formats of date checks
 
 
 def compile_rules(spark: SparkSession, rules: DataFrame | list[dict]) -> CompiledRules:
@@ -114,15 +116,32 @@ def compile_rules(spark: SparkSession, rules: DataFrame | list[dict]) -> Compile
             r.get("ErrorSeverity"), r.get("Type"), r.get("ErrorDescription") or "", r.get("Recommendation"),
         ))
     df = spark.createDataFrame(out, COMPILED_SCHEMA)
-    return CompiledRules(df, unknown, base, wtq, itq)
+    patterns = sorted({o[4] for o in out if o[4] is not None})
+    date_formats = sorted({o[5] for o in out if o[5] is not None})
+    return CompiledRules(df, unknown, base, wtq, itq, patterns, date_formats)
+
+
+def _by_literal(key: Column, values: list[str], build) -> Column:
+    """``CASE key WHEN v1 THEN build(v1) ...``: one branch per configured value, so every regex /
+    date format is a literal compiled once per task instead of once per row."""
+    expr = None
+    for val in values:
+        expr = F.when(key == F.lit(val), build(val)) if expr is None else expr.when(key == F.lit(val), build(val))
+    return expr if expr is not None else F.lit(None).cast("boolean")
 
 
 # --------------------------------------------------------------------------- A5 parse
 
 def parse_records(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Add ``fields`` (all parts, trailing empties kept) and ``record_type`` (field 0)."""
+    """Add ``fields`` (all parts, trailing empties kept) and ``record_type`` (field 0).
+
+    The record type is taken with ``substring_index`` (text before the first separator):
+    the same value as field 0, but cheap enough that the null check the optimizer infers
+    from the rule join does not re-split every line.
+    """
     fields = F.split(F.col(line_col), r'\|"', -1)
-    return lines.withColumn("fields", fields).withColumn("record_type", F.get(F.col("fields"), 0))
+    rtype = F.substring_index(F.col(line_col), K.RECORD_FIELD_SEPARATOR, 1)
+    return lines.withColumn("fields", fields).withColumn("record_type", rtype)
 
 
 # --------------------------------------------------------------------------- H1-H10
@@ -196,13 +215,14 @@ def check_records(records: DataFrame, compiled: CompiledRules, refs: References)
         cand = cand.join(wref, (op == K.OP_WAGETYPECURRENCYCHECK) & (wage_type == F.col("WageType")), "left")
         wcur = F.col("__wc")
 
+    matches = _by_literal(F.col("r_pattern"), compiled.patterns, lambda p: prefix_match(v, p))
+    calendar_ok = _by_literal(F.col("r_date_format"), compiled.date_formats,
+                              lambda f: F.try_to_timestamp(v, F.lit(f)).isNotNull())
     violated = (
         F.when(op == K.OP_IN, F.array_contains("r_params", v))
         .when(op == K.OP_NOTIN, ~F.array_contains("r_params", v))
-        .when(op == K.OP_DATEFORMAT,
-              ~prefix_match(v, F.col("r_pattern"))
-              | F.try_to_timestamp(v, F.col("r_date_format")).isNull())
-        .when(op.isin(K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT), (v != "") & ~prefix_match(v, F.col("r_pattern")))
+        .when(op == K.OP_DATEFORMAT, ~matches | ~calendar_ok)
+        .when(op.isin(K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT), (v != "") & ~matches)
         .when(op == K.OP_COUNTRYCHECK, ~v.eqNullSafe(country))
         .when(op == K.OP_CURRENCYCHECK, ~v.eqNullSafe(ccy))
         .when(op == K.OP_WAGETYPECHECK, wt_viol)
