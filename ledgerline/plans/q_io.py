@@ -261,14 +261,15 @@ def landing_stream(spark, sf_dir):
 
 @query("history_written", QH.HISTORY_REPLACE_SQL)
 def history_written(spark, sf_dir):
-    """History on disk partitioned by createddttm; a rerun writes the replaced version (B2 sink)."""
+    """History on disk partitioned by createddttm; a rerun rewrites only the run date's partition (B2 sink)."""
     t = Tables(spark, sf_dir)
-    root = scratch_path(spark, "history")
-    v1 = SK.write_version(QH._prior_history(t), root, ["createddttm"])
-    current = spark.read.parquet(v1)
+    path = scratch_path(spark, "history")
+    QH._prior_history(t).write.partitionBy("createddttm").parquet(path)
+    touched = [RUN_DATE]
+    current = SK.read_partitions(spark, path, "createddttm", touched)
     nxt = H.snapshot_to_history(QH._raw(t), current, RUN_DATE, "country_raw", QH._countries(t), alias=QH._alias(t))
-    v2 = SK.write_version(nxt, root, ["createddttm"])
-    return spark.read.parquet(v2).select("c_custkey", "c_name", "c_mktsegment", "country_raw", "createddttm")
+    SK.swap_partitions(spark, path, nxt, "createddttm", touched)
+    return spark.read.parquet(path).select("c_custkey", "c_name", "c_mktsegment", "country_raw", "createddttm")
 
 
 ORDERS_SCHEMA = json.dumps({"type": "struct", "fields": [

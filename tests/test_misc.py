@@ -61,3 +61,35 @@ def test_landing_replay_is_harmless(spark, tmp_path):
     LD.stream_landing(spark, str(src / "a"), schema, sink, ck, ingest_ts="2024-01-15 00:00:00")   # same checkpoint
     LD.stream_landing(spark, str(src / "a"), schema, sink, str(tmp_path / "ck2"))                # replayed batch id 0
     assert LD.read_landed(spark, sink).count() == 5
+
+
+def test_replace_partitions_touches_only_the_slice(spark, tmp_path):
+    import datetime as dt
+    from ledgerline.sinks import tables as SK
+    path = str(tmp_path / "hist")
+    d1, d2 = dt.date(2024, 1, 14), dt.date(2024, 1, 15)
+    spark.createDataFrame([(1, "A", d1), (2, "A", d2), (3, "B", d2)], "id int, c string, createddttm date") \
+        .write.partitionBy("createddttm").parquet(path)
+    inc = spark.createDataFrame([(9, "A", d2)], "id int, c string, createddttm date")
+    pred = (F.col("createddttm") == F.lit("2024-01-15").cast("date")) & (F.col("c") == "A")
+    SK.replace_partitions(spark, path, inc, pred, "createddttm", ["2024-01-15"])
+    assert rows(spark.read.parquet(path), "id") == [(1,), (3,), (9,)]
+    # empty slice: the partition disappears instead of staying stale
+    pred_all = F.col("createddttm") == F.lit("2024-01-15").cast("date")
+    SK.replace_partitions(spark, path, inc.limit(0), pred_all, "createddttm", ["2024-01-15"])
+    assert rows(spark.read.parquet(path), "id") == [(1,)]
+    with pytest.raises(ValueError):
+        SK.replace_partitions(spark, path, inc, pred_all, "createddttm", ["2024-01-13"])
+    assert rows(spark.read.parquet(path), "id") == [(1,)]
+
+
+def test_ensure_and_export(spark, tmp_path):
+    from ledgerline.sinks import tables as SK
+    from ledgerline.sources import files as SRC
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert SK.ensure_file(df.limit(0), str(tmp_path / "e"), True) is True
+    assert spark.read.text(str(tmp_path / "e")).count() == 0
+    assert SK.ensure_file(df, str(tmp_path / "e2"), True) is False
+    SK.export_table(df, str(tmp_path / "x"), header=True)
+    back = SRC.load_delimited(spark, str(tmp_path / "x"), df.schema.json())
+    assert rows(back) == [(1, "a")]
