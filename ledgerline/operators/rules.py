@@ -396,3 +396,24 @@ def distinct_components(executions: DataFrame, by_country: bool) -> DataFrame:
     if by_country:
         return executions
     return executions.select("component").distinct()
+
+
+def run_access_check(spark: SparkSession, rules: DataFrame, objects, ctx: RunContext, log_path: str,
+                     countries: list[str], flags: DataFrame | None = None, override: bool = False,
+                     alias: DataFrame | None = None) -> list[RuleProblem]:
+    """I2 against a validation log stored as parquet partitioned by ``createddttm``.
+
+    Only the run date's partition is read and rewritten (slice replaced, new violations
+    appended).  Rules that could not run are raised after the log is written, so one bad
+    rule never hides the results of the others.
+    """
+    from ..sinks.tables import replace_partitions
+    gated = gate_by_threshold(rules, flags, override, ctx.component)
+    viol, problems = evaluate_rules(gated, objects, ctx, alias)
+    if viol is None:
+        viol = empty_log(spark)
+    comps = [ctx.component] if ctx.component else None
+    replace_partitions(spark, log_path, viol, log_slice(ctx, countries, comps), "createddttm", [ctx.run_date])
+    if problems:
+        raise RuntimeError(f"{len(problems)} rule(s) failed: " + "; ".join(f"{p.objectname}: {p.error}" for p in problems))
+    return problems

@@ -86,3 +86,17 @@ def test_gate(spark):
     assert rows(R.gate_by_threshold(rules, flags, False, component="A")) == [("C1", "A")]
     empty = flags.limit(0)
     assert rows(R.gate_by_threshold(rules, empty, False)) == rows(rules)
+
+
+def test_run_access_check_writes_partition(spark, tmp_path):
+    import pytest
+    path = str(tmp_path / "log")
+    obj = {"t_history": _obj(spark)}
+    R.run_access_check(spark, [_rule(AdditionalCondition="q = 5")], obj, CTX, path, ["C1"])
+    assert spark.read.parquet(path).count() == 1
+    R.run_access_check(spark, [_rule(AdditionalCondition="q = 5")], obj, CTX, path, ["C1"])   # rerun: same
+    assert spark.read.parquet(path).count() == 1
+    with pytest.raises(RuntimeError):
+        R.run_access_check(spark, [_rule(AdditionalCondition="q = 5"), _rule(AdditionalCondition="nope = 1")],
+                           obj, CTX, path, ["C1"])
+    assert spark.read.parquet(path).count() == 1   # good rule written before raising
