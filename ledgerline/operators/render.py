@@ -203,3 +203,52 @@ def error_log_lines(info: DataFrame, values: list[Column], rows: DataFrame, file
     body = rows.select(file_key, F.lit(2).alias("section"), F.lit(None).cast("long").alias("seq"),
                        F.concat_ws(",", *[_cell(F.col(c)) for c in K.ERROR_LOG_FILE_COLUMNS]).alias("line"))
     return info_l.unionByName(head).unionByName(body)
+
+
+# --------------------------------------------------------------------------- J8
+
+def generate_files(files: DataFrame, file_key: str, views: list[DataFrame], layouts: list[dict],
+                   order_col: str | None, functions: dict[str, str] | None, compiled=None, refs=None,
+                   baseline: DataFrame | None = None, header_function=None) -> tuple[DataFrame, DataFrame]:
+    """Render, check, route and format many output files at once (J8 with I4 and C14).
+
+    ``files``: one row per file with ``file_key`` and the flags ``check_enabled``, ``override``,
+    ``skip`` (booleans) and ``threshold`` (text).  ``baseline``: ``(file_key, baseline)``; when
+    omitted the view rows per file are the baseline.  Lines that fail any rule are removed from
+    their file by value (warnings included); a file's failures are its ``Error`` violations plus
+    the count mismatch between its body and its views.  Returns ``(lines, status)``: failed files
+    keep their checked body unformatted; the others get the last layout's header, the checked
+    body and the first footer with ``TotalLineCount`` counting surviving records.
+    """
+    from . import records as RC
+    from . import thresholds as TH
+
+    body = render_body(files, views, layouts, file_key, order_col, functions)
+    chk = files.select(file_key, "check_enabled")
+    if compiled is not None:
+        viol = RC.check_records(RC.parse_records(body), compiled, refs or RC.References(""))
+        viol = viol.join(chk.where(F.col("check_enabled")), file_key, "left_semi")
+        failed_lines = viol.select(file_key, "line").distinct()
+        clean = body.join(failed_lines, [file_key, "line"], "left_anti")
+        stage_fail = TH.failure_counts(viol, [file_key])
+    else:
+        clean = body
+        stage_fail = files.select(file_key, F.lit(0).cast("long").alias("stagefailure"))
+    vcounts = TH.view_counts([v.select(file_key) for v in views], [file_key])
+    if baseline is None:
+        baseline = vcounts.withColumnRenamed("view_count", "baseline")
+    mismatch = TH.count_mismatch(TH.record_counts(body, [file_key]), vcounts, [file_key])
+    status = TH.summary_rows(files.select(file_key).join(baseline, file_key, "left"), stage_fail, mismatch,
+                             files.select(file_key, "threshold"), [file_key])
+    routes = files.join(status.select(file_key, "status"), file_key, "left").select(
+        file_key, route(F.col("status"), F.col("override"), F.col("skip"), F.col("check_enabled")).alias("route"))
+    status = status.join(routes, file_key)
+
+    formatted_files = routes.where(F.col("route") != "failed").select(file_key)
+    last = layouts[-1]
+    formatted = assemble_file(formatted_files, clean.join(formatted_files, file_key, "left_semi"), file_key, last,
+                              header_function)
+    unformatted = clean.join(routes.where(F.col("route") == "failed"), file_key, "left_semi").select(
+        file_key, "section", F.col("view_rank").cast("int"), F.col("block").cast("int"), "order_key", "line")
+    lines = formatted.unionByName(unformatted).join(routes, file_key)
+    return lines, status

@@ -256,3 +256,88 @@ def count_reconcile(spark, sf_dir):
           .select(F.col("n_name").alias("country"), "l_linestatus"))
     vc = TH.view_counts([vw.where(F.col("l_linestatus") == "F"), vw.where(F.col("l_linestatus") == "O")], ["country"])
     return TH.count_mismatch(fc, vc, ["country"])
+
+
+# ----------------------------------------------------------------------------- J8
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+GEN_RULES = [
+    dict(AdditionalCondition="0015", ObjectField="2", Operator="AMOUNTFORMAT", ObjectFieldValue=r"\d+(\.\d{1,2})?$",
+         AdditionalFields="{1: 'Id', 2: 'Amount'}", ErrorSeverity="High", Type="Error", ErrorDescription="Bad amount",
+         Recommendation="fix"),
+    dict(AdditionalCondition="0020", ObjectField="2", Operator="NOTIN", ObjectFieldValue=repr(PRIORITIES),
+         AdditionalFields="{1: 'Id', 2: 'Priority'}", ErrorSeverity="High", Type="Error", ErrorDescription="Bad priority",
+         Recommendation="fix"),
+    dict(AdditionalCondition="0020", ObjectField="1", Operator="IN", ObjectFieldValue="('7', '77', '777', '7777')",
+         AdditionalFields="{1: 'Id'}", ErrorSeverity="Low", Type="Warning", ErrorDescription="Held id",
+         Recommendation="check"),
+]
+
+
+def _generate(t: Tables):
+    from ..operators import records as RC
+    base = _base(t)
+    views = [base.where(F.col("Status") == "O"), base.where(F.col("Status") != "O")]
+    k = F.col("n_nationkey")
+    files = t.nation.select(
+        "n_name", (k % 5 != 0).alias("check_enabled"), RD.flag(F.when(k % 2 == 0, F.lit("TRUE"))).alias("override"),
+        (k % 3 == 0).alias("skip"),
+        F.when(k % 3 == 0, F.lit("")).when(k % 3 == 1, F.lit("1")).otherwise(F.lit("5")).alias("threshold"))
+    compiled = RC.compile_rules(t.spark, GEN_RULES)
+    return RD.generate_files(files, "n_name", views, [LAYOUT_OPEN, LAYOUT_OTHER], "o_orderkey",
+                             {"GetPeriodStartDate": month_start(RUN_DATE)}, compiled, RC.References("NATION_7"))
+
+
+_GEN_SQL = f"""WITH {_BASE_SQL},
+flags AS (SELECT n_name, n_nationkey % 5 <> 0 AS chk, n_nationkey % 2 = 0 AS ovr, n_nationkey % 3 = 0 AS skp,
+    CASE n_nationkey % 3 WHEN 0 THEN '' WHEN 1 THEN '1' ELSE '5' END AS threshold FROM nation),
+p AS (SELECT *, string_split(line, '|"') AS f FROM body),
+viol AS (
+  SELECT n_name, line, 'Error' AS type FROM p WHERE f[1] = '0015' AND len(f) > 2 AND f[3] <> ''
+    AND NOT regexp_matches(f[3], '^(?:\\d+(\\.\\d{{1,2}})?$)')
+  UNION ALL SELECT n_name, line, 'Error' FROM p WHERE f[1] = '0020' AND len(f) > 2
+    AND NOT list_contains({PRIORITIES!r}, f[3])
+  UNION ALL SELECT n_name, line, 'Warning' FROM p WHERE f[1] = '0020' AND len(f) > 1
+    AND list_contains(['7', '77', '777', '7777'], f[2])),
+vchk AS (SELECT v.* FROM viol v JOIN flags USING (n_name) WHERE chk),
+clean AS (SELECT b.* FROM body b WHERE NOT EXISTS (SELECT 1 FROM vchk v WHERE v.n_name = b.n_name AND v.line = b.line)),
+vc AS (SELECT n_name, count(*) AS view_count FROM base GROUP BY n_name),
+fc AS (SELECT n_name, count(*) AS file_count FROM body WHERE trim(line) <> '' GROUP BY n_name),
+sf AS (SELECT n_name, count_if(type = 'Error') AS stagefailure FROM vchk GROUP BY n_name),
+s0 AS (SELECT fl.n_name, coalesce(vc.view_count, 0) AS baseline, coalesce(sf.stagefailure, 0) AS stagefailure,
+    abs(coalesce(fc.file_count, 0) - coalesce(vc.view_count, 0)) AS g2vsviewcountfailure,
+    coalesce(TRY_CAST(nullif(trim(fl.threshold), '') AS DOUBLE), 0.0) AS thresholdpercentage, fl.chk, fl.ovr, fl.skp
+    FROM flags fl LEFT JOIN vc USING (n_name) LEFT JOIN fc USING (n_name) LEFT JOIN sf USING (n_name)),
+s1 AS (SELECT *, stagefailure + g2vsviewcountfailure AS totalfailure FROM s0),
+s2 AS (SELECT *, CASE WHEN baseline = 0 OR totalfailure = 0 THEN 0.0
+       ELSE round_even(totalfailure / baseline * 100.0, 2) END AS errorpercentage FROM s1),
+s3 AS (SELECT *, CASE WHEN errorpercentage = 0 THEN 'Success' WHEN errorpercentage > thresholdpercentage
+       THEN 'Failure' ELSE 'Partial' END AS status FROM s2),
+st AS (SELECT *, CASE WHEN chk AND status = 'Failure' AND NOT ovr THEN 'failed' WHEN skp THEN 'skipped'
+       ELSE 'success' END AS route FROM s3)"""
+
+GENERATE_FILES_STATUS_SQL = f"""{_GEN_SQL}
+SELECT n_name, baseline, stagefailure, g2vsviewcountfailure, totalfailure, thresholdpercentage, errorpercentage,
+       status, route FROM st"""
+
+GENERATE_FILES_SQL = f"""{_GEN_SQL}
+SELECT st.n_name, 0 AS section, CAST(NULL AS INTEGER) AS view_rank, h.b AS block, CAST(NULL AS BIGINT) AS order_key,
+       h.l AS line, route FROM st, (VALUES (0, 'HDR|PAY'), (1, 'V1')) h(b, l) WHERE route <> 'failed'
+UNION ALL SELECT c.n_name, 1, c.view_rank, c.block, c.order_key, c.line, st.route FROM clean c JOIN st USING (n_name)
+UNION ALL SELECT st.n_name, 2, NULL, 0, NULL, 'TRL|' || CAST(coalesce(cc.n, 0) + 2 AS VARCHAR), route
+FROM st LEFT JOIN (SELECT n_name, count(*) AS n FROM clean GROUP BY n_name) cc USING (n_name) WHERE route <> 'failed'"""
+
+
+@query("generate_files", GENERATE_FILES_SQL)
+def generate_files_q(spark, sf_dir):
+    """Files rendered, checked (lines removed by value), routed and formatted in one plan."""
+    lines, _ = _generate(Tables(spark, sf_dir))
+    return lines
+
+
+@query("generate_files_status", GENERATE_FILES_STATUS_SQL)
+def generate_files_status(spark, sf_dir):
+    """Per-file failures, count mismatch, half-even percentage, status and route of a file run."""
+    _, status = _generate(Tables(spark, sf_dir))
+    return status.select("n_name", "baseline", "stagefailure", "g2vsviewcountfailure", "totalfailure",
+                         "thresholdpercentage", "errorpercentage", "status", "route")
