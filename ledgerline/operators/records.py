@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import constants as K
-from ..functions.text import bind_name, parse_fields_literal, parse_list_literal, prefix_match
+from ..functions.text import bind_name, bind_query, parse_fields_literal, parse_list_literal, prefix_match
 from .joins import bounded_collect, small_side
 
 MAX_RECORD_RULES = 50_000
@@ -273,3 +273,18 @@ def send_log_rows(violations: DataFrame, orchestrator_id: str, stage: str, regio
 def bind_reference_query(text: str, country: str, region: str, component: str) -> str:
     """Reference queries bind country/region/component lower-cased."""
     return bind_name(text, country=country, region=region, component=component)
+
+
+def baseline_from_rules(spark: SparkSession, compiled: CompiledRules, run_date: str, country: str, region: str,
+                        vendor: str) -> DataFrame:
+    """E5: the file's baseline count from its BASELINEQUERY rule, as a one-row ``baseline`` frame.
+
+    The query text is bound (date, date suffix, lower-cased country / region / vendor) and run as
+    Spark SQL; it may be a UNION ALL of counts, which are summed.  Exactly one distinct baseline
+    query must be in scope.
+    """
+    qs = compiled.baseline_queries
+    if len(qs) != 1:
+        raise ValueError(f"expected one baseline query for the file, found {len(qs)}")
+    df = spark.sql(bind_query(qs[0], run_date, country, region, vendor))
+    return df.agg(F.coalesce(F.sum(F.col(f"`{df.columns[0]}`")), F.lit(0)).cast("long").alias("baseline"))

@@ -47,7 +47,10 @@ RECORD_SPECS = (
     + [_spec(rt, 7, "WAGETYPECURRENCYCHECK", "", "E001", "G6") for rt in ("A", "R")]
     + [_spec("R", 1, "IN", repr(FORBIDDEN_KEYS), "E002", "G7", "S2")]
     + [_spec("A", 3, "LENGTHCHECK", "10", "E002", "G2"),
-       dict(ObjectName=_OBJ, Operator="BASELINEQUERY", ObjectFieldValue="SELECT COUNT(*) FROM lines",
+       dict(ObjectName=_OBJ, Operator="BASELINEQUERY",
+            ObjectFieldValue="SELECT COUNT(*) AS n FROM ll_lines_<COUNTRY_PLACEHOLDER>_datasource_suffix "
+                             "UNION ALL SELECT COUNT(*) FROM ll_lines_<COUNTRY_PLACEHOLDER>_datasource_suffix "
+                             "WHERE line LIKE 'R%'",
             ErrorCode="E001")]
 )
 
@@ -240,3 +243,43 @@ def record_send_log(spark, sf_dir):
     log = RC.send_log_rows(_violations(t), ORCHESTRATOR, "dag06", REGION_LC, RUN_COUNTRY, SOURCE, "core",
                            f"{SOURCE_PATH}{SOURCE_OBJECT}.csv", RUN_DATE, FIXED_NOW)
     return log.drop("recordtimestamp")
+
+
+SEND_SUMMARY_SQL = (f"{VIOLATIONS_CTE},\nagg AS (SELECT (SELECT count(*) FROM lines) + "
+                    "(SELECT count(*) FROM lines WHERE line LIKE 'R%') AS baseline, "
+                    "(SELECT count_if(type = 'Error') FROM viol) AS stagefailure, "
+                    "abs((SELECT count(*) FROM lines WHERE trim(line) <> '') - (SELECT count(*) FROM lineitem)) "
+                    "AS g2vsviewcountfailure, 150.0 AS thresholdpercentage),\n"
+                    "t AS (SELECT *, stagefailure + g2vsviewcountfailure AS totalfailure FROM agg),\n"
+                    "pc AS (SELECT *, CASE WHEN baseline = 0 OR totalfailure = 0 THEN 0.0 "
+                    "ELSE round_even(totalfailure / baseline * 100.0, 2) END AS errorpercentage FROM t)\n"
+                    f"SELECT DATE '{RUN_DATE}' AS executiondate, '{ORCHESTRATOR}' AS orchestratorid, 'asia' AS region, "
+                    f"'{RUN_COUNTRY}' AS country, '{SOURCE}' AS source, 'core' AS sourcecomponent, "
+                    "CAST(stagefailure AS BIGINT) AS stagefailure, CAST(g2vsviewcountfailure AS BIGINT) AS g2vsviewcountfailure, "
+                    "CAST(totalfailure AS BIGINT) AS totalfailure, thresholdpercentage, errorpercentage, "
+                    "CASE WHEN errorpercentage = 0 THEN 'Success' WHEN errorpercentage > thresholdpercentage "
+                    "THEN 'Failure' ELSE 'Partial' END AS status FROM pc")
+
+
+@query("record_send_summary", SEND_SUMMARY_SQL)
+def record_send_summary(spark, sf_dir):
+    """Summary row of a record-file check: baseline from its BASELINEQUERY rule (E5), Error count,
+    file vs view count, half-even percentage and status (I4, E4-E8)."""
+    from ..operators import thresholds as TH
+    from .config import local_frame
+    t = Tables(spark, sf_dir)
+    lines = _lines(t)
+    lines.createOrReplaceTempView("ll_lines_nation_7_" + RUN_DATE.replace("-", "_"))
+    compiled = _compiled(t)
+    viol = RC.check_records(RC.parse_records(lines), compiled, _refs(t))
+    key = F.lit(RUN_COUNTRY).alias("country")
+    base = RC.baseline_from_rules(spark, compiled, RUN_DATE, RUN_COUNTRY, REGION_LC, VENDOR).select(key, "baseline")
+    fails = TH.failure_counts(viol.withColumn("country", key), ["country"])
+    mism = TH.count_mismatch(TH.record_counts(lines.withColumn("country", key), ["country"]),
+                             TH.view_counts([t.lineitem.withColumn("country", key)], ["country"]), ["country"])
+    thr = local_frame(spark, [(RUN_COUNTRY, "150")], "country string, threshold string")
+    s = TH.summary_rows(base, fails, mism, thr, ["country"])
+    return s.select(F.lit(RUN_DATE).cast("date").alias("executiondate"), F.lit(ORCHESTRATOR).alias("orchestratorid"),
+                    F.lit(REGION_LC).alias("region"), "country", F.lit(SOURCE).alias("source"),
+                    F.lit("core").alias("sourcecomponent"), "stagefailure", "g2vsviewcountfailure", "totalfailure",
+                    "thresholdpercentage", "errorpercentage", "status")
