@@ -220,10 +220,13 @@ def generate_files(files: DataFrame, file_key: str, views: list[DataFrame], layo
     keep their checked body unformatted; the others get the last layout's header, the checked
     body and the first footer with ``TotalLineCount`` counting surviving records.
     """
+    from ..session import cut_lineage
     from . import records as RC
     from . import thresholds as TH
 
-    body = render_body(files, views, layouts, file_key, order_col, functions)
+    # The rendered body is written once (as the original flow writes its temp file) and then
+    # checked, counted and formatted from there.
+    body = cut_lineage(render_body(files, views, layouts, file_key, order_col, functions))
     chk = files.select(file_key, "check_enabled")
     if compiled is not None:
         viol = RC.check_records(RC.parse_records(body), compiled, refs or RC.References(""))
@@ -243,12 +246,24 @@ def generate_files(files: DataFrame, file_key: str, views: list[DataFrame], layo
     routes = files.join(status.select(file_key, "status"), file_key, "left").select(
         file_key, route(F.col("status"), F.col("override"), F.col("skip"), F.col("check_enabled")).alias("route"))
     status = status.join(routes, file_key)
+    # One route per file: when the file list is provably small, so is every per-file frame, and
+    # joining them to the lines must not shuffle the lines by file (a hot file would land in one task).
+    small = _files_small(files)
+    per_file = (lambda df: F.broadcast(df)) if small else (lambda df: df)
 
     formatted_files = routes.where(F.col("route") != "failed").select(file_key)
     last = layouts[-1]
-    formatted = assemble_file(formatted_files, clean.join(formatted_files, file_key, "left_semi"), file_key, last,
-                              header_function)
-    unformatted = clean.join(routes.where(F.col("route") == "failed"), file_key, "left_semi").select(
+    formatted = assemble_file(formatted_files, clean.join(per_file(formatted_files), file_key, "left_semi"), file_key,
+                              last, header_function)
+    unformatted = clean.join(per_file(routes.where(F.col("route") == "failed")), file_key, "left_semi").select(
         file_key, "section", F.col("view_rank").cast("int"), F.col("block").cast("int"), "order_key", "line")
-    lines = formatted.unionByName(unformatted).join(routes, file_key)
+    lines = formatted.unionByName(unformatted).join(per_file(routes), file_key)
     return lines, status
+
+
+def _files_small(files: DataFrame) -> bool:
+    from .joins import DEFAULT_BROADCAST_ROWS, estimated_size
+    est = estimated_size(files)
+    if est is not None and est <= 8 * 1024 * 1024:
+        return True
+    return files.limit(DEFAULT_BROADCAST_ROWS + 1).count() <= DEFAULT_BROADCAST_ROWS

@@ -214,8 +214,10 @@ UNION ALL SELECT country, 2, CAST(NULL AS BIGINT), concat_ws(',', {', '.join(_sq
 @query("error_log_lines", ERROR_LOG_LINES_SQL)
 def error_log_lines_q(spark, sf_dir):
     """Error-log file per country: info lines, column line, quoted comma rows."""
+    from ..session import cut_lineage
     t = Tables(spark, sf_dir)
     log, rules, hist = QRL._flagship_log(t)
+    log = cut_lineage(log)  # the run's log is stored once, then summarised and listed
     summary, _ = QRL._flagship_summary(t, log, rules, hist)
     vals = [F.lit(FIXED_NOW.isoformat(sep=" ")), F.lit(RUN_DATE), F.lit(RUN_REGION), F.col("country"), F.lit(SOURCE),
             F.lit("core"), F.col("stagefailure"), F.col("g2vsviewcountfailure"), F.col("baseline"),

@@ -32,6 +32,27 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8) -> Spark
     return spark
 
 
+# Settings for a large cluster (hundreds of executors, ~100 TB inputs).  Applied by the job
+# launcher, not by library code; listed here so they travel with the code that relies on them.
+CLUSTER_SETTINGS = {
+    # AQE sizes shuffles at run time: start wide, coalesce to ~256 MB partitions, split skew.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # Scan splits that fit executor memory comfortably.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Static broadcast only for small sides; operators add explicit broadcasts behind proven bounds.
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # Rewrite only the partitions a job touches when a sink uses partition overwrite.
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -47,6 +68,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def cut_lineage(df):
+    """Reliable checkpoint of ``df`` in the shared checkpoint folder (survives executor loss).
+
+    Used where one intermediate feeds several consumers (a rendered body that is checked,
+    counted and formatted; a run log that is summarised and listed), so it is computed once
+    instead of once per consumer.  Never a local checkpoint.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
