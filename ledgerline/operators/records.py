@@ -75,6 +75,7 @@ class CompiledRules:
     infotype_queries: list[str]      # distinct reference queries of INFOTYPECOMBINATIONFORMAT rules
     patterns: list[str]              # distinct format patterns (compiled as literal regexes)
     date_formats: list[str]          # distinct calendar formats of date checks
+    rows: list = None                # compiled rule tuples (COMPILED_SCHEMA order), bounded
 
 
 def compile_rules(spark: SparkSession, rules: DataFrame | list[dict]) -> CompiledRules:
@@ -118,7 +119,7 @@ def compile_rules(spark: SparkSession, rules: DataFrame | list[dict]) -> Compile
     df = spark.createDataFrame(out, COMPILED_SCHEMA)
     patterns = sorted({o[4] for o in out if o[4] is not None})
     date_formats = sorted({o[5] for o in out if o[5] is not None})
-    return CompiledRules(df, unknown, base, wtq, itq, patterns, date_formats)
+    return CompiledRules(df, unknown, base, wtq, itq, patterns, date_formats, out)
 
 
 def _by_literal(key: Column, values: list[str], build) -> Column:
@@ -288,3 +289,146 @@ def baseline_from_rules(spark: SparkSession, compiled: CompiledRules, run_date:
         raise ValueError(f"expected one baseline query for the file, found {len(qs)}")
     df = spark.sql(bind_query(qs[0], run_date, country, region, vendor))
     return df.agg(F.coalesce(F.sum(F.col(f"`{df.columns[0]}`")), F.lit(0)).cast("long").alias("baseline"))
+
+
+# --------------------------------------------------------------------------- one-pass line check
+
+BY_TYPE_SCHEMA = T.StructType([
+    T.StructField("__bt_type", T.StringType()),
+    T.StructField("__bt_wt_index", T.IntegerType()),
+    T.StructField("__bt_rules", T.ArrayType(T.StructType(COMPILED_SCHEMA.fields))),
+])
+
+VIOLATION_TYPE = T.StructType([
+    T.StructField("field_index", T.IntegerType()), T.StructField("operator", T.StringType()),
+    T.StructField("value", T.StringType()), T.StructField("errorseverity", T.StringType()),
+    T.StructField("type", T.StringType()), T.StructField("errordescription", T.StringType()),
+    T.StructField("erroridentifier", T.StringType()), T.StructField("recommendation", T.StringType()),
+])
+
+
+def _provably_small(df: DataFrame) -> bool:
+    from .joins import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, estimated_size
+    est = estimated_size(df)
+    if est is not None:
+        return est <= DEFAULT_BROADCAST_BYTES
+    return df.limit(DEFAULT_BROADCAST_ROWS + 1).count() <= DEFAULT_BROADCAST_ROWS
+
+
+def check_lines(records: DataFrame, compiled: CompiledRules, refs: References) -> DataFrame | None:
+    """Every line with a ``violations`` array (one struct per violated rule), in one narrow pass.
+
+    The rules of each record type ride along as an array (broadcast join on the record type);
+    reference sets ride along as per-type arrays, and the country / wage-type currencies as
+    broadcast lookups.  Log rows are ``explode(violations)`` and the clean file is
+    ``size(violations) = 0`` of the same pass, so removing failed lines needs no shuffle.
+    Returns None when a reference set is not provably small enough to ride along; callers then
+    use ``check_records`` + ``split_records`` (joins, any size).
+    """
+    spark = records.sparkSession
+    wt_on, it_on = _nonempty(refs.wagetypes), _nonempty(refs.infotypes)
+    if (wt_on and not _provably_small(refs.wagetypes)) or (it_on and not _provably_small(refs.infotypes)):
+        return None
+    groups: dict[str, list] = {}
+    wt_index: dict[str, int] = {}
+    for o in compiled.rows or []:
+        groups.setdefault(o[0], []).append(o)
+        if o[8] is not None:
+            wt_index[o[0]] = o[8]
+    by_type = spark.createDataFrame([(t, wt_index.get(t), rs) for t, rs in groups.items()], BY_TYPE_SCHEMA)
+    df = records.join(F.broadcast(by_type), F.col("record_type") == F.col("__bt_type"), "left")
+    country = F.lit(refs.country)
+
+    # country currency: at most one row (one country), broadcast-joined on the run country
+    if refs.currencykey is not None:
+        ck = (refs.currencykey.where(F.col("CountryKey") == country).groupBy("CountryKey")
+              .agg(F.min("CurrencyKey").alias("__ccy")).withColumnRenamed("CountryKey", "__ck_country"))
+        df = df.withColumn("__run_country", country).join(
+            F.broadcast(ck), F.col("__run_country") == F.col("__ck_country"), "left")
+    else:
+        df = df.withColumn("__ccy", F.lit(None).cast("string"))
+    # wage-type currency of the line: the value at the type's wage-type position, looked up
+    if refs.wagetype_currency is not None:
+        wref = small_side(
+            refs.wagetype_currency.where((F.col("Country") == country) & (F.col("DataSource") == F.lit(refs.datasource)))
+            .groupBy("WageType").agg(F.min("CurrencyKey").alias("__wc")))
+        df = df.withColumn("__wt", F.get(F.col("fields"), F.col("__bt_wt_index"))).join(
+            wref, F.col("__wt") == F.col("WageType"), "left")
+    else:
+        df = df.withColumn("__wc", F.lit(None).cast("string"))
+    empty = F.array().cast("array<string>")
+    if wt_on:
+        wt = (refs.wagetypes.select(F.col("Infotype").alias("__wt_t"), "Wagetype").distinct()
+              .groupBy("__wt_t").agg(F.collect_list("Wagetype").alias("__wt_set")))
+        df = df.join(F.broadcast(wt), F.col("record_type") == F.col("__wt_t"), "left")
+    if it_on:
+        it = (refs.infotypes.where(F.col("Country") == country).select(F.col("Infotype").alias("__it_t"), "Wagetype")
+              .distinct().groupBy("__it_t").agg(F.collect_list("Wagetype").alias("__it_set")))
+        df = df.join(F.broadcast(it), F.col("record_type") == F.col("__it_t"), "left")
+    wt_set = F.coalesce(F.col("__wt_set"), empty) if wt_on else None
+    it_set = F.coalesce(F.col("__it_set"), empty) if it_on else None
+    fields = F.col("fields")
+
+    def judge(r):
+        v = F.get(fields, r["r_index"])
+        op = r["r_op"]
+        matches = _by_literal(r["r_pattern"], compiled.patterns, lambda p: prefix_match(v, p))
+        cal_ok = _by_literal(r["r_date_format"], compiled.date_formats,
+                             lambda f: F.try_to_timestamp(v, F.lit(f)).isNotNull())
+        bad = (
+            F.when(op == K.OP_IN, F.array_contains(r["r_params"], v))
+            .when(op == K.OP_NOTIN, ~F.array_contains(r["r_params"], v))
+            .when(op == K.OP_DATEFORMAT, ~matches | ~cal_ok)
+            .when(op.isin(K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT), (v != "") & ~matches)
+            .when(op == K.OP_COUNTRYCHECK, ~v.eqNullSafe(country))
+            .when(op == K.OP_CURRENCYCHECK, ~v.eqNullSafe(F.col("__ccy")))
+            .when(op == K.OP_WAGETYPECHECK, ((v == "") | ~F.array_contains(wt_set, v)) if wt_on else F.lit(False))
+            .when(op == K.OP_INFOTYPECOMBINATIONFORMAT,
+                  ((v == "") | ~F.array_contains(it_set, v)) if it_on else F.lit(False))
+            .when(op == K.OP_WAGETYPECURRENCYCHECK, ~v.eqNullSafe(F.coalesce(F.col("__wc"), F.col("__ccy"))))
+            .otherwise(F.lit(False))
+        )
+        in_range = (r["r_index"] >= 1) & (r["r_index"] < F.size(fields))
+        desc = F.concat(r["r_description"], F.lit(";"), F.array_join(F.transform(
+            r["r_fields"], lambda e: F.concat(e["name"], F.lit(":"), F.coalesce(F.get(fields, e["idx"]), F.lit("")))), "|"))
+        return F.struct(
+            (in_range & F.coalesce(bad, F.lit(False))).alias("bad"),
+            r["r_index"].alias("field_index"), op.alias("operator"), v.alias("value"),
+            r["errorseverity"].alias("errorseverity"), r["type"].alias("type"), desc.alias("errordescription"),
+            r["r_identifier"].alias("erroridentifier"), r["recommendation"].alias("recommendation"))
+
+    rules = F.coalesce(F.col("__bt_rules"), F.array().cast(BY_TYPE_SCHEMA["__bt_rules"].dataType))
+    judged = F.transform(rules, judge)
+    viols = F.transform(F.filter(judged, lambda x: x["bad"]), lambda x: x.dropFields("bad"))
+    return df.select(*records.columns, viols.alias("violations"))
+
+
+def violations_of(checked: DataFrame) -> DataFrame:
+    """Log rows of a checked frame: one row per (line, violated rule)."""
+    keep = [c for c in checked.columns if c not in ("violations", "fields")]
+    return checked.select(*keep, F.explode("violations").alias("__v")).select(*keep, "__v.*")
+
+
+def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clean, failed) of a checked frame; any violation, warnings included, removes the line."""
+    keep = [c for c in checked.columns if c not in ("violations", "fields", "record_type")]
+    return (checked.where(F.size("violations") == 0).select(*keep),
+            checked.where(F.size("violations") > 0).select(*keep))
+
+
+def check_and_split(lines: DataFrame, compiled: CompiledRules, refs: References, key_cols: list[str],
+                    line_col: str = "line") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(violations, clean, failed)`` of record lines.
+
+    One narrow pass (``check_lines``) when the reference sets are provably small; otherwise the
+    join-based ``check_records`` and a keyed anti/semi split (by line value when ``key_cols``
+    is ``[line_col]``).
+    """
+    recs = parse_records(lines, line_col)
+    checked = check_lines(recs, compiled, refs)
+    if checked is None:
+        viol = check_records(recs, compiled, refs)
+        clean, failed = split_records(lines, viol, key_cols)
+        return viol, clean, failed
+    clean, failed = split_checked(checked)
+    return violations_of(checked), clean, failed

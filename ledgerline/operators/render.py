@@ -229,10 +229,11 @@ def generate_files(files: DataFrame, file_key: str, views: list[DataFrame], layo
     body = cut_lineage(render_body(files, views, layouts, file_key, order_col, functions))
     chk = files.select(file_key, "check_enabled")
     if compiled is not None:
-        viol = RC.check_records(RC.parse_records(body), compiled, refs or RC.References(""))
-        viol = viol.join(chk.where(F.col("check_enabled")), file_key, "left_semi")
-        failed_lines = viol.select(file_key, "line").distinct()
-        clean = body.join(failed_lines, [file_key, "line"], "left_anti")
+        # files whose check is off are passed through untouched
+        on = body.join(F.broadcast(chk) if _files_small(files) else chk, file_key)
+        checked_on = on.where(F.col("check_enabled")).drop("check_enabled")
+        viol, clean_on, _ = RC.check_and_split(checked_on, compiled, refs or RC.References(""), [file_key, "line"])
+        clean = clean_on.unionByName(on.where(~F.col("check_enabled")).drop("check_enabled"))
         stage_fail = TH.failure_counts(viol, [file_key])
     else:
         clean = body

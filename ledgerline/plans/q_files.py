@@ -231,7 +231,7 @@ def error_log_lines_q(spark, sf_dir):
 
 COUNT_RECONCILE_SQL = f"""{QR.VIOLATIONS_CTE},
 clean AS (SELECT string_split(line, '|"')[7] AS country FROM lines WHERE trim(line) <> '' AND NOT EXISTS
-    (SELECT 1 FROM viol v WHERE v.l_orderkey = lines.l_orderkey AND v.l_linenumber = lines.l_linenumber)),
+    (SELECT 1 FROM viol v WHERE v.line = lines.line)),
 fc AS (SELECT country, count(*) AS file_count FROM clean GROUP BY country),
 vw AS (SELECT n_name AS country, l_linestatus FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
     JOIN nation ON s_nationkey = n_nationkey),
@@ -249,8 +249,7 @@ def count_reconcile(spark, sf_dir):
     """|records in the cleaned file - Σ rows of the views it came from| per country."""
     from ..operators import records as RC
     t = Tables(spark, sf_dir)
-    lines = QR._lines(t)
-    clean, _ = RC.split_records(lines, QR._violations(t), ["l_orderkey", "l_linenumber"])
+    _, clean, _ = QR._checked(t)
     clean = clean.withColumn("country", F.get(F.split("line", r'\|"', -1), 6))
     fc = TH.record_counts(clean, ["country"])
     vw = (t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))

@@ -100,9 +100,13 @@ def _compiled(t: Tables):
     return RC.compile_rules(sp, scoped)
 
 
+def _checked(t: Tables):
+    # failing lines are removed by value: identical lines go together
+    return RC.check_and_split(_lines(t), _compiled(t), _refs(t), ["line"])
+
+
 def _violations(t: Tables):
-    recs = RC.parse_records(_lines(t))
-    return RC.check_records(recs, _compiled(t), _refs(t))
+    return _checked(t)[0]
 
 
 VIOL_COLS = ["l_orderkey", "l_linenumber", "line", "record_type", "field_index", "operator", "value",
@@ -205,28 +209,22 @@ for _name, _op in _OP_QUERIES.items():
 
 
 RECORD_CLEAN_SQL = (f"{VIOLATIONS_CTE}\nSELECT l_orderkey, l_linenumber, line FROM lines "
-                    "WHERE NOT EXISTS (SELECT 1 FROM viol v WHERE v.l_orderkey = lines.l_orderkey "
-                    "AND v.l_linenumber = lines.l_linenumber)")
+                    "WHERE NOT EXISTS (SELECT 1 FROM viol v WHERE v.line = lines.line)")
 RECORD_FAILED_SQL = (f"{VIOLATIONS_CTE}\nSELECT l_orderkey, l_linenumber, line FROM lines "
-                     "WHERE EXISTS (SELECT 1 FROM viol v WHERE v.l_orderkey = lines.l_orderkey "
-                     "AND v.l_linenumber = lines.l_linenumber)")
+                     "WHERE EXISTS (SELECT 1 FROM viol v WHERE v.line = lines.line)")
 
 
 @query("record_clean", RECORD_CLEAN_SQL)
 def record_clean(spark, sf_dir):
     """Lines with no violation of any rule type (warnings remove a line too)."""
-    t = Tables(spark, sf_dir)
-    lines = _lines(t)
-    clean, _ = RC.split_records(lines, _violations(t), ["l_orderkey", "l_linenumber"])
+    _, clean, _ = _checked(Tables(spark, sf_dir))
     return clean.select("l_orderkey", "l_linenumber", "line")
 
 
 @query("record_failed", RECORD_FAILED_SQL)
 def record_failed(spark, sf_dir):
     """Lines removed from the file because they broke at least one rule."""
-    t = Tables(spark, sf_dir)
-    lines = _lines(t)
-    _, failed = RC.split_records(lines, _violations(t), ["l_orderkey", "l_linenumber"])
+    _, _, failed = _checked(Tables(spark, sf_dir))
     return failed.select("l_orderkey", "l_linenumber", "line")
 
 
@@ -271,7 +269,7 @@ def record_send_summary(spark, sf_dir):
     lines = _lines(t)
     lines.createOrReplaceTempView("ll_lines_nation_7_" + RUN_DATE.replace("-", "_"))
     compiled = _compiled(t)
-    viol = RC.check_records(RC.parse_records(lines), compiled, _refs(t))
+    viol, _, _ = RC.check_and_split(lines, compiled, _refs(t), ["line"])
     key = F.lit(RUN_COUNTRY).alias("country")
     base = RC.baseline_from_rules(spark, compiled, RUN_DATE, RUN_COUNTRY, REGION_LC, VENDOR).select(key, "baseline")
     fails = TH.failure_counts(viol.withColumn("country", key), ["country"])

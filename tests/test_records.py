@@ -106,3 +106,18 @@ def test_file_scope(spark):
     assert rows(got) == [("vend/ASIA/PAYFILE_US_2024",), ("vend/ASIA/PAYFILE_US_2024",)]
     got2 = RC.file_scope(rules, "vend", "ASIA", "US", "vend/asia/", "pay_us_x", replace_last=False)
     assert rows(got2) == [("vend/ASIA/pay_us_x",)]
+
+
+def test_one_pass_equals_join_path(spark):
+    lines, comp, viol = _check(spark)
+    recs = RC.parse_records(lines)
+    checked = RC.check_lines(recs, comp, _refs(spark))
+    assert checked is not None
+    cols = ["id", "operator", "errordescription", "erroridentifier", "field_index", "value"]
+    assert rows(RC.violations_of(checked), *cols) == rows(viol, *cols)
+    clean1, failed1 = RC.split_checked(checked)
+    clean2, failed2 = RC.split_records(lines, viol, ["line"])
+    assert rows(clean1, "id") == rows(clean2, "id") and rows(failed1, "id") == rows(failed2, "id")
+    plan = RC.violations_of(checked)._jdf.queryExecution().executedPlan().toString()
+    # lines are never shuffled: every join is a broadcast join (exchanges only build the small sides)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BatchEvalPython" not in plan
