@@ -14,6 +14,7 @@ built-in expression: no Python runs per line.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -293,12 +294,6 @@ def baseline_from_rules(spark: SparkSession, compiled: CompiledRules, run_date:
 
 # --------------------------------------------------------------------------- one-pass line check
 
-BY_TYPE_SCHEMA = T.StructType([
-    T.StructField("__bt_type", T.StringType()),
-    T.StructField("__bt_wt_index", T.IntegerType()),
-    T.StructField("__bt_rules", T.ArrayType(T.StructType(COMPILED_SCHEMA.fields))),
-])
-
 VIOLATION_TYPE = T.StructType([
     T.StructField("field_index", T.IntegerType()), T.StructField("operator", T.StringType()),
     T.StructField("value", T.StringType()), T.StructField("errorseverity", T.StringType()),
@@ -315,17 +310,21 @@ def _provably_small(df: DataFrame) -> bool:
     return df.limit(DEFAULT_BROADCAST_ROWS + 1).count() <= DEFAULT_BROADCAST_ROWS
 
 
-def check_lines(records: DataFrame, compiled: CompiledRules, refs: References) -> DataFrame | None:
+def _line_checks(records: DataFrame, compiled: CompiledRules, refs: References):
+    """Shared by ``check_lines`` and ``flag_lines``: the frame with reference lookups attached and,
+    per record type, the compiled (bad, hit) expressions of its rules; None when a reference set
+    is not provably small."""
     """Every line with a ``violations`` array (one struct per violated rule), in one narrow pass.
 
-    The rules of each record type ride along as an array (broadcast join on the record type);
-    reference sets ride along as per-type arrays, and the country / wage-type currencies as
-    broadcast lookups.  Log rows are ``explode(violations)`` and the clean file is
-    ``size(violations) = 0`` of the same pass, so removing failed lines needs no shuffle.
-    Returns None when a reference set is not provably small enough to ride along; callers then
-    use ``check_records`` + ``split_records`` (joins, any size).
+    Rules are configuration, so each compiles on the driver into a literal expression
+    (index, pattern, list and date format are constants); the rules of a record type form one
+    ``CASE record_type WHEN t THEN array(when(bad_i, struct_i), ...)`` branch, so a line
+    evaluates only its own type's rules, inside whole-stage codegen.  Reference sets ride along
+    as per-type arrays and the currencies as broadcast lookups.  Log rows are
+    ``explode(violations)`` and the clean file is ``size(violations) = 0`` of the same pass, so
+    removing failed lines needs no shuffle.  Returns None when a reference set is not provably
+    small enough to ride along; callers then use ``check_records`` + ``split_records``.
     """
-    spark = records.sparkSession
     wt_on, it_on = _nonempty(refs.wagetypes), _nonempty(refs.infotypes)
     if (wt_on and not _provably_small(refs.wagetypes)) or (it_on and not _provably_small(refs.infotypes)):
         return None
@@ -335,9 +334,9 @@ def check_lines(records: DataFrame, compiled: CompiledRules, refs: References) -
         groups.setdefault(o[0], []).append(o)
         if o[8] is not None:
             wt_index[o[0]] = o[8]
-    by_type = spark.createDataFrame([(t, wt_index.get(t), rs) for t, rs in groups.items()], BY_TYPE_SCHEMA)
-    df = records.join(F.broadcast(by_type), F.col("record_type") == F.col("__bt_type"), "left")
+    df = records
     country = F.lit(refs.country)
+    fields, rtype = F.col("fields"), F.col("record_type")
 
     # country currency: at most one row (one country), broadcast-joined on the run country
     if refs.currencykey is not None:
@@ -347,62 +346,114 @@ def check_lines(records: DataFrame, compiled: CompiledRules, refs: References) -
             F.broadcast(ck), F.col("__run_country") == F.col("__ck_country"), "left")
     else:
         df = df.withColumn("__ccy", F.lit(None).cast("string"))
-    # wage-type currency of the line: the value at the type's wage-type position, looked up
-    if refs.wagetype_currency is not None:
+    # wage-type currency of the line: the value at its type's wage-type position, looked up
+    if refs.wagetype_currency is not None and wt_index:
+        wt_val = None
+        for t_, i_ in wt_index.items():
+            wt_val = F.when(rtype == F.lit(t_), F.get(fields, F.lit(i_))) if wt_val is None else \
+                wt_val.when(rtype == F.lit(t_), F.get(fields, F.lit(i_)))
         wref = small_side(
             refs.wagetype_currency.where((F.col("Country") == country) & (F.col("DataSource") == F.lit(refs.datasource)))
             .groupBy("WageType").agg(F.min("CurrencyKey").alias("__wc")))
-        df = df.withColumn("__wt", F.get(F.col("fields"), F.col("__bt_wt_index"))).join(
-            wref, F.col("__wt") == F.col("WageType"), "left")
+        df = df.withColumn("__wt", wt_val).join(wref, F.col("__wt") == F.col("WageType"), "left")
     else:
         df = df.withColumn("__wc", F.lit(None).cast("string"))
     empty = F.array().cast("array<string>")
     if wt_on:
         wt = (refs.wagetypes.select(F.col("Infotype").alias("__wt_t"), "Wagetype").distinct()
               .groupBy("__wt_t").agg(F.collect_list("Wagetype").alias("__wt_set")))
-        df = df.join(F.broadcast(wt), F.col("record_type") == F.col("__wt_t"), "left")
+        df = df.join(F.broadcast(wt), rtype == F.col("__wt_t"), "left")
     if it_on:
         it = (refs.infotypes.where(F.col("Country") == country).select(F.col("Infotype").alias("__it_t"), "Wagetype")
               .distinct().groupBy("__it_t").agg(F.collect_list("Wagetype").alias("__it_set")))
-        df = df.join(F.broadcast(it), F.col("record_type") == F.col("__it_t"), "left")
-    wt_set = F.coalesce(F.col("__wt_set"), empty) if wt_on else None
-    it_set = F.coalesce(F.col("__it_set"), empty) if it_on else None
-    fields = F.col("fields")
-
-    def judge(r):
-        v = F.get(fields, r["r_index"])
-        op = r["r_op"]
-        matches = _by_literal(r["r_pattern"], compiled.patterns, lambda p: prefix_match(v, p))
-        cal_ok = _by_literal(r["r_date_format"], compiled.date_formats,
-                             lambda f: F.try_to_timestamp(v, F.lit(f)).isNotNull())
-        bad = (
-            F.when(op == K.OP_IN, F.array_contains(r["r_params"], v))
-            .when(op == K.OP_NOTIN, ~F.array_contains(r["r_params"], v))
-            .when(op == K.OP_DATEFORMAT, ~matches | ~cal_ok)
-            .when(op.isin(K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT), (v != "") & ~matches)
-            .when(op == K.OP_COUNTRYCHECK, ~v.eqNullSafe(country))
-            .when(op == K.OP_CURRENCYCHECK, ~v.eqNullSafe(F.col("__ccy")))
-            .when(op == K.OP_WAGETYPECHECK, ((v == "") | ~F.array_contains(wt_set, v)) if wt_on else F.lit(False))
-            .when(op == K.OP_INFOTYPECOMBINATIONFORMAT,
-                  ((v == "") | ~F.array_contains(it_set, v)) if it_on else F.lit(False))
-            .when(op == K.OP_WAGETYPECURRENCYCHECK, ~v.eqNullSafe(F.coalesce(F.col("__wc"), F.col("__ccy"))))
-            .otherwise(F.lit(False))
-        )
-        in_range = (r["r_index"] >= 1) & (r["r_index"] < F.size(fields))
-        desc = F.concat(r["r_description"], F.lit(";"), F.array_join(F.transform(
-            r["r_fields"], lambda e: F.concat(e["name"], F.lit(":"), F.coalesce(F.get(fields, e["idx"]), F.lit("")))), "|"))
-        return F.struct(
-            (in_range & F.coalesce(bad, F.lit(False))).alias("bad"),
-            r["r_index"].alias("field_index"), op.alias("operator"), v.alias("value"),
-            r["errorseverity"].alias("errorseverity"), r["type"].alias("type"), desc.alias("errordescription"),
-            r["r_identifier"].alias("erroridentifier"), r["recommendation"].alias("recommendation"))
-
-    rules = F.coalesce(F.col("__bt_rules"), F.array().cast(BY_TYPE_SCHEMA["__bt_rules"].dataType))
-    judged = F.transform(rules, judge)
-    viols = F.transform(F.filter(judged, lambda x: x["bad"]), lambda x: x.dropFields("bad"))
+        df = df.join(F.broadcast(it), rtype == F.col("__it_t"), "left")
+    wt_set = F.coalesce(F.col("__wt_set"), empty)
+    it_set = F.coalesce(F.col("__it_set"), empty)
+    ccy, wc = F.col("__ccy"), F.col("__wc")
+
+    def bad(o) -> Column:
+        _, idx, op, params, pattern, date_fmt = o[:6]
+        v = F.get(fields, F.lit(idx))
+        if op == K.OP_IN:
+            c = F.array_contains(F.array(*[F.lit(x) for x in params]).cast("array<string>"), v)
+        elif op == K.OP_NOTIN:
+            c = ~F.array_contains(F.array(*[F.lit(x) for x in params]).cast("array<string>"), v)
+        elif op == K.OP_DATEFORMAT:
+            c = ~prefix_match(v, pattern) | F.try_to_timestamp(v, F.lit(date_fmt)).isNull()
+        elif op in (K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT):
+            c = (v != "") & ~prefix_match(v, pattern)
+        elif op == K.OP_COUNTRYCHECK:
+            c = ~v.eqNullSafe(country)
+        elif op == K.OP_CURRENCYCHECK:
+            c = ~v.eqNullSafe(ccy)
+        elif op == K.OP_WAGETYPECHECK:
+            c = ((v == "") | ~F.array_contains(wt_set, v)) if wt_on else F.lit(False)
+        elif op == K.OP_INFOTYPECOMBINATIONFORMAT:
+            c = ((v == "") | ~F.array_contains(it_set, v)) if it_on else F.lit(False)
+        elif op == K.OP_WAGETYPECURRENCYCHECK:
+            c = ~v.eqNullSafe(F.coalesce(wc, ccy))
+        else:
+            c = F.lit(False)
+        return (F.size(fields) > F.lit(idx)) & F.coalesce(c, F.lit(False)) if idx >= 1 else F.lit(False)
+
+    def hit(o) -> Column:
+        _, idx, op, _, _, _, flds, ident, _, sev, typ, desc, rec = o
+        parts = [F.concat(F.lit(f"{n}:"), F.coalesce(F.get(fields, F.lit(i)), F.lit(""))) for i, n in flds]
+        text = F.concat(F.lit(f"{desc};"), F.concat_ws("|", *parts)) if parts else F.lit(f"{desc};")
+        return F.struct(F.lit(idx).cast("int").alias("field_index"), F.lit(op).alias("operator"),
+                        F.get(fields, F.lit(idx)).alias("value"), F.lit(sev).cast("string").alias("errorseverity"),
+                        F.lit(typ).cast("string").alias("type"), text.alias("errordescription"),
+                        F.lit(ident).cast("string").alias("erroridentifier"),
+                        F.lit(rec).cast("string").alias("recommendation"))
+
+    compiled_groups = {t_: [(bad(o), hit(o)) for o in rs] for t_, rs in groups.items()}
+    return df, compiled_groups
+
+
+def check_lines(records: DataFrame, compiled: CompiledRules, refs: References) -> DataFrame | None:
+    """Every line with a ``violations`` array (one struct per violated rule), in one narrow pass.
+
+    Rules are configuration, so each compiles on the driver into a literal expression
+    (index, pattern, list and date format are constants); the rules of a record type form one
+    ``CASE record_type WHEN t THEN array(when(bad_i, struct_i), ...)`` branch, so a line
+    evaluates only its own type's rules.  Log rows are ``explode(violations)`` and the clean file
+    is ``size(violations) = 0`` of the same pass.  Returns None when a reference set is not
+    provably small enough to ride along (use ``check_records`` + ``split_records``).
+    """
+    prepared = _line_checks(records, compiled, refs)
+    if prepared is None:
+        return None
+    df, compiled_groups = prepared
+    rtype = F.col("record_type")
+    none = F.array().cast(T.ArrayType(VIOLATION_TYPE))
+    viols = None
+    for t_, pairs in compiled_groups.items():
+        arr = F.array_compact(F.array(*[F.when(b, h) for b, h in pairs]))
+        viols = F.when(rtype == F.lit(t_), arr) if viols is None else viols.when(rtype == F.lit(t_), arr)
+    viols = F.coalesce(viols, none) if viols is not None else none
     return df.select(*records.columns, viols.alias("violations"))
 
 
+def flag_lines(records: DataFrame, compiled: CompiledRules, refs: References) -> DataFrame | None:
+    """Every line with a boolean ``failed``: ``CASE record_type WHEN t THEN bad_1 OR bad_2 ...``.
+
+    A small codegen-friendly expression per line, no join with the rules and no shuffle; the
+    clean / failed split of a record file is a filter on it.  None when a reference set is not
+    provably small.
+    """
+    prepared = _line_checks(records, compiled, refs)
+    if prepared is None:
+        return None
+    df, compiled_groups = prepared
+    rtype = F.col("record_type")
+    flag = None
+    for t_, pairs in compiled_groups.items():
+        any_bad = reduce(lambda a, b: a | b, [b for b, _ in pairs])
+        flag = F.when(rtype == F.lit(t_), any_bad) if flag is None else flag.when(rtype == F.lit(t_), any_bad)
+    flag = F.coalesce(flag, F.lit(False)) if flag is not None else F.lit(False)
+    return df.select(*records.columns, flag.alias("failed"))
+
+
 def violations_of(checked: DataFrame) -> DataFrame:
     """Log rows of a checked frame: one row per (line, violated rule)."""
     keep = [c for c in checked.columns if c not in ("violations", "fields")]
@@ -420,15 +471,15 @@ def check_and_split(lines: DataFrame, compiled: CompiledRules, refs: References,
                     line_col: str = "line") -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(violations, clean, failed)`` of record lines.
 
-    One narrow pass (``check_lines``) when the reference sets are provably small; otherwise the
-    join-based ``check_records`` and a keyed anti/semi split (by line value when ``key_cols``
-    is ``[line_col]``).
+    Log rows come from ``check_records`` (rules broadcast-joined by record type).  The split is a
+    filter on ``flag_lines`` when the reference sets are provably small, so no line is shuffled;
+    otherwise a keyed anti/semi join (by line value when ``key_cols`` is ``[line_col]``).
     """
     recs = parse_records(lines, line_col)
-    checked = check_lines(recs, compiled, refs)
-    if checked is None:
-        viol = check_records(recs, compiled, refs)
+    viol = check_records(recs, compiled, refs)
+    flagged = flag_lines(recs, compiled, refs)
+    if flagged is None:
         clean, failed = split_records(lines, viol, key_cols)
         return viol, clean, failed
-    clean, failed = split_checked(checked)
-    return violations_of(checked), clean, failed
+    keep = list(lines.columns)
+    return viol, flagged.where(~F.col("failed")).select(*keep), flagged.where(F.col("failed")).select(*keep)

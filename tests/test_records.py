@@ -121,3 +121,12 @@ def test_one_pass_equals_join_path(spark):
     plan = RC.violations_of(checked)._jdf.queryExecution().executedPlan().toString()
     # lines are never shuffled: every join is a broadcast join (exchanges only build the small sides)
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BatchEvalPython" not in plan
+
+
+def test_flag_lines_matches_split(spark):
+    lines, comp, viol = _check(spark)
+    flagged = RC.flag_lines(RC.parse_records(lines), comp, _refs(spark))
+    _, failed = RC.split_records(lines, viol, ["line"])
+    assert rows(flagged.where("failed"), "id") == rows(failed, "id")
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
