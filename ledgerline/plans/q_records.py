@@ -261,23 +261,15 @@ SEND_SUMMARY_SQL = (f"{VIOLATIONS_CTE},\nagg AS (SELECT (SELECT count(*) FROM li
 
 @query("record_send_summary", SEND_SUMMARY_SQL)
 def record_send_summary(spark, sf_dir):
-    """Summary row of a record-file check: baseline from its BASELINEQUERY rule (E5), Error count,
-    file vs view count, half-even percentage and status (I4, E4-E8)."""
-    from ..operators import thresholds as TH
-    from .config import local_frame
+    """Summary row of a record-file check through the composed I4 operator: baseline from the
+    file's BASELINEQUERY rule (E5), Error count, file vs view count, half-even percentage, status."""
+    from ..operators.send import send_check
+    from .q_files import _stage_map
     t = Tables(spark, sf_dir)
     lines = _lines(t)
     lines.createOrReplaceTempView("ll_lines_nation_7_" + RUN_DATE.replace("-", "_"))
-    compiled = _compiled(t)
-    viol, _, _ = RC.check_and_split(lines, compiled, _refs(t), ["line"])
-    key = F.lit(RUN_COUNTRY).alias("country")
-    base = RC.baseline_from_rules(spark, compiled, RUN_DATE, RUN_COUNTRY, REGION_LC, VENDOR).select(key, "baseline")
-    fails = TH.failure_counts(viol.withColumn("country", key), ["country"])
-    mism = TH.count_mismatch(TH.record_counts(lines.withColumn("country", key), ["country"]),
-                             TH.view_counts([t.lineitem.withColumn("country", key)], ["country"]), ["country"])
-    thr = local_frame(spark, [(RUN_COUNTRY, "150")], "country string, threshold string")
-    s = TH.summary_rows(base, fails, mism, thr, ["country"])
-    return s.select(F.lit(RUN_DATE).cast("date").alias("executiondate"), F.lit(ORCHESTRATOR).alias("orchestratorid"),
-                    F.lit(REGION_LC).alias("region"), "country", F.lit(SOURCE).alias("source"),
-                    F.lit("core").alias("sourcecomponent"), "stagefailure", "g2vsviewcountfailure", "totalfailure",
-                    "thresholdpercentage", "errorpercentage", "status")
+    res = send_check(spark, lines, _compiled(t), _refs(t), [t.lineitem], None, _stage_map(spark),
+                     orchestrator_id=ORCHESTRATOR, stage="dag06", region=REGION_LC, country=RUN_COUNTRY,
+                     source=SOURCE, component="core", vendor=VENDOR, objectname=f"{SOURCE_PATH}{SOURCE_OBJECT}.csv",
+                     run_date=RUN_DATE, threshold="150", now=FIXED_NOW)
+    return res.summary.drop("logtimestamp")

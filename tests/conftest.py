@@ -15,6 +15,10 @@ def spark():
     yield s
 
 
+def _key(t):
+    return tuple((v is None, str(type(v)), v if v is not None else 0) for v in t)
+
+
 def rows(df, *cols):
     cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=_key)

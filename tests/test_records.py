@@ -130,3 +130,23 @@ def test_flag_lines_matches_split(spark):
     assert rows(flagged.where("failed"), "id") == rows(failed, "id")
     plan = flagged._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_send_check_composition(spark):
+    import datetime as dt
+    from ledgerline.operators.send import send_check
+    lines, comp, _ = _check(spark)
+    lines.select("line").createOrReplaceTempView("ll_send_lines")
+    comp.baseline_queries[:] = ["SELECT COUNT(*) FROM ll_send_lines"]
+    stage_map = spark.createDataFrame([("dag06", "File checks")], "Stage string, StageDescription string")
+    res = send_check(spark, lines.select("line"), comp, _refs(spark), [lines], None, stage_map,
+                     orchestrator_id="o", stage="dag06", region="r", country="US", source="s", component="c",
+                     vendor="v", objectname="f.csv", run_date="2024-01-15", threshold="50",
+                     now=dt.datetime(2024, 1, 15, 12))
+    summ = res.summary.first()
+    assert summ.stagefailure == res.log_rows.where("type = 'Error'").count()
+    assert summ.g2vsviewcountfailure == 0
+    assert res.clean.count() + res.failed.count() == lines.count()
+    file_lines = [r.line for r in res.log_file.orderBy("section", "seq").collect()]
+    assert file_lines[0] == "Timestamp : 2024-01-15 12:00:00" and file_lines[12].startswith("Status : ")
+    assert [r["Operator"] for r in res.unknown_rules] == ["LENGTHCHECK"]
