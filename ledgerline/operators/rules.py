@@ -244,14 +244,34 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
             problems.append(RuleProblem(name, r, str(e).splitlines()[0]))
             is_table[i] = None  # mark failed
 
-    conds, structs = [], []
+    # Rules that differ only in their country (same bound predicate, same everything else) on a
+    # history table scoped by a country key are evaluated once: key IN (countries), labelled with
+    # the key itself.  Rows therefore meet one expression per rule, not one per (rule, country).
+    items: list[tuple[dict, list[str] | None]] = []
+    merged: dict[tuple, list[dict]] = {}
     for i, r in enumerate(rules):
         if is_table[i] is None:
             continue
+        fld = r.get("CountryKeyField") or ""
+        if is_table[i] and name.endswith(K.HISTORY_SUFFIX) and fld and r.get("ErrorCode") != K.COUNTRY_ERROR_CODE:
+            bound = bind_predicate(r.get("AdditionalCondition") or "TRUE", ctx.run_date, r["Country"], ctx.region)
+            gkey = (bound,) + tuple((k, str(v)) for k, v in sorted(r.items()) if k != "Country")
+            if gkey not in merged:
+                merged[gkey] = []
+                items.append((r, merged[gkey]))   # the list fills in as later countries arrive
+            merged[gkey].append(r)
+        else:
+            items.append((r, None))
+
+    conds, structs = [], []
+    for r, group in items:
+        countries = sorted({x["Country"] for x in group}) if group is not None else None
+        i = rules.index(r)
         try:
             pred = F.expr("(" + bind_predicate(r.get("AdditionalCondition") or "TRUE", ctx.run_date,
                                                 r["Country"], ctx.region) + ")")
             cond = pred
+            country_col = F.lit(r["Country"])
             if is_table[i]:
                 if name.endswith(K.HISTORY_SUFFIX):
                     cond = cond & (F.col("createddttm") == ctx.date_col())
@@ -260,7 +280,10 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
                 fld = r.get("CountryKeyField") or ""
                 if fld:
                     key = F.col(keymap[fld])
-                    if r.get("ErrorCode") == K.COUNTRY_ERROR_CODE:
+                    if countries is not None and len(countries) > 1:
+                        cond = cond & key.isin(countries)
+                        country_col = key.cast("string")
+                    elif r.get("ErrorCode") == K.COUNTRY_ERROR_CODE:
                         cond = cond & (F.coalesce(key, F.lit("")) != F.lit(r["Country"]))
                     else:
                         cond = cond & (key == F.lit(r["Country"]))
@@ -268,7 +291,7 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
             fields = [x.strip() for x in fields_txt.split(",")] if fields_txt else base_cols
             desc = log_fields(r.get("ErrorDescription") or "", fields)
             st = F.struct(
-                F.lit(r["Country"]).alias("country"),
+                country_col.alias("country"),
                 F.lit(r.get("Component")).cast("string").alias("sourcecomponent"),
                 F.lit(name).alias("objectname"),
                 F.lit(r.get("ErrorSeverity")).cast("string").alias("errorseverity"),
@@ -281,7 +304,8 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
             conds.append(cond)
             structs.append(F.when(cond, st))
         except Exception as e:
-            problems.append(RuleProblem(name, r, str(e).splitlines()[0]))
+            for x in (group or [r]):
+                problems.append(RuleProblem(name, x, str(e).splitlines()[0]))
     if not structs:
         return None
     hits = (

@@ -100,3 +100,16 @@ def test_run_access_check_writes_partition(spark, tmp_path):
         R.run_access_check(spark, [_rule(AdditionalCondition="q = 5"), _rule(AdditionalCondition="nope = 1")],
                            obj, CTX, path, ["C1"])
     assert spark.read.parquet(path).count() == 1   # good rule written before raising
+
+
+def test_rules_differing_only_by_country_are_merged(spark):
+    rs = [_rule(Country=c, AdditionalCondition="q = 5") for c in ("C1", "C2", "C9")]
+    log, probs = R.evaluate_rules(rs, {"t_history": _obj(spark)}, CTX)
+    assert not probs
+    assert rows(log, "country", "errordescription") == [("C1", "d;id:1"), ("C2", "d;id:2")]
+    plan = log._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CASE WHEN") <= 2      # one expression for the three countries
+    # a country placeholder in the predicate keeps rules apart (the bound text differs)
+    rs2 = [_rule(Country=c, AdditionalCondition="country = '<COUNTRY_PLACEHOLDER>' AND q = 5") for c in ("C1", "C2")]
+    log2, _ = R.evaluate_rules(rs2, {"t_history": _obj(spark)}, CTX)
+    assert rows(log2, "country", "errordescription") == [("C1", "d;id:1"), ("C2", "d;id:2")]
