@@ -79,7 +79,7 @@ class RunContext:
 
 def resolve_rules(config: DataFrame, error_map: DataFrame, severity_map: DataFrame,
                   fields_map: DataFrame, vendor_region: DataFrame, ctx: RunContext,
-                  countries: list[str] | None = None) -> DataFrame:
+                  countries: list[str] | None = None, components: list[str] | None = None) -> DataFrame:
     """Active rules of (source, region, stage[, component]) with their error metadata.
 
     Inner joins on error code, severity, log-field code and vendor->region.  At the
@@ -94,6 +94,8 @@ def resolve_rules(config: DataFrame, error_map: DataFrame, severity_map: DataFra
     )
     if ctx.component:
         base = base.where(F.col("Component") == F.lit(ctx.component))
+    if components is not None:  # component fan-out (I6) as one run over all components
+        base = base.where(F.col("Component").isin(list(components)))
     vendors = vendor_region.where(F.col("Region") == F.lit(ctx.region)).select("Vendor")
     err = error_map.select(F.col("code").alias("ErrorCode"), F.col("Description").alias("ErrorDescription"),
                            "Type")
@@ -363,7 +365,7 @@ def log_slice(ctx: RunContext, countries: list[str] | None, components: list[str
 
 def access_check(rules: DataFrame, objects, ctx: RunContext, log: DataFrame, countries: list[str],
                  flags: DataFrame | None = None, override: bool = False,
-                 alias: DataFrame | None = None) -> AccessResult:
+                 alias: DataFrame | None = None, components: list[str] | None = None) -> AccessResult:
     """Table-level quality run: gate -> evaluate (one scan per object) -> replace the log slice.
 
     Unlike the original job, the slice is replaced even when no rule survives, so a rerun
@@ -374,7 +376,7 @@ def access_check(rules: DataFrame, objects, ctx: RunContext, log: DataFrame, cou
     viol, problems = evaluate_rules(gated, objects, ctx, alias)
     if viol is None:
         viol = empty_log(log.sparkSession)
-    comps = [ctx.component] if ctx.component else None
+    comps = components if components is not None else ([ctx.component] if ctx.component else None)
     new_log = replace_slice(log, viol.select(*log.columns), log_slice(ctx, countries, comps))
     return AccessResult(new_log, viol, problems)
 
@@ -424,7 +426,7 @@ def distinct_components(executions: DataFrame, by_country: bool) -> DataFrame:
 
 def run_access_check(spark: SparkSession, rules: DataFrame, objects, ctx: RunContext, log_path: str,
                      countries: list[str], flags: DataFrame | None = None, override: bool = False,
-                     alias: DataFrame | None = None) -> list[RuleProblem]:
+                     alias: DataFrame | None = None, components: list[str] | None = None) -> list[RuleProblem]:
     """I2 against a validation log stored as parquet partitioned by ``createddttm``.
 
     Only the run date's partition is read and rewritten (slice replaced, new violations
@@ -436,7 +438,7 @@ def run_access_check(spark: SparkSession, rules: DataFrame, objects, ctx: RunCon
     viol, problems = evaluate_rules(gated, objects, ctx, alias)
     if viol is None:
         viol = empty_log(spark)
-    comps = [ctx.component] if ctx.component else None
+    comps = components if components is not None else ([ctx.component] if ctx.component else None)
     replace_partitions(spark, log_path, viol, log_slice(ctx, countries, comps), "createddttm", [ctx.run_date])
     if problems:
         raise RuntimeError(f"{len(problems)} rule(s) failed: " + "; ".join(f"{p.objectname}: {p.error}" for p in problems))

@@ -432,3 +432,44 @@ def access_check_log(spark, sf_dir):
     if res.problems:
         raise RuntimeError(f"rule problems: {res.problems}")
     return res.log.select(*LOG_OUT)
+
+
+# --------------------------------------------------------------------------- I6 as one run
+
+def _customer_history(t: Tables):
+    return (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .withColumn("createddttm", F.lit(RUN_DATE).cast("date")))
+
+
+COMPONENTS_RUN_SQL = f"""WITH seg AS (SELECT DISTINCT c_mktsegment AS comp FROM customer JOIN nation ON c_nationkey = n_nationkey
+    WHERE n_name IN {_ASIA} AND c_mktsegment <> 'MACHINERY')
+SELECT '{ORCHESTRATOR}' AS orchestratorid, 'dag05' AS stage, '{RUN_REGION}' AS region, n_name AS country,
+  '{SOURCE}' AS source, c_mktsegment AS sourcecomponent, 'customer_history' AS objectname, 'High' AS errorseverity,
+  'Error' AS type, 'Quantity above limit;c_custkey:' || {_lf('c_custkey')} || '|c_mktsegment:' || {_lf('c_mktsegment')}
+  AS errordescription, 'c_acctbal' AS erroridentifier, DATE '{RUN_DATE}' AS createddttm, 'Check balance' AS recommendation
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE (c_acctbal < 1000 AND c_mktsegment = c_mktsegment) AND n_name IN {_ASIA} AND c_mktsegment IN (SELECT comp FROM seg)"""
+
+
+@query("component_fanout_run", COMPONENTS_RUN_SQL)
+def component_fanout_run(spark, sf_dir):
+    """Region run over every distinct component of the executions as one rule evaluation."""
+    from ..operators.joins import bounded_collect
+    t = Tables(spark, sf_dir)
+    countries = C.run_countries(t)
+    execs = (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+             .where(F.col("n_name").isin(countries)).select(F.col("c_mktsegment").alias("component")))
+    comps = sorted(r.component for r in bounded_collect(R.distinct_components(execs, by_country=False),
+                                                        10_000, "components"))
+    fm = C.fields_map(spark, [("F9", "c_custkey,c_mktsegment")])
+    specs = [dict(Stage="dag05", ObjectType="table", ObjectName="customer_history", ObjectField="c_acctbal",
+                  AdditionalCondition="c_acctbal < 1000 AND c_mktsegment = '" + c + "'", ErrorCode="E001",
+                  Recommendation="Check balance", SeverityID="S1", FieldsCode="F9", CountryKeyField="n_name",
+                  Component=c) for c in comps]
+    ctx = _ctx()
+    rules = R.resolve_rules(C.rules_config(t, specs), C.error_map(spark), C.severity_map(spark), fm,
+                            C.vendor_region(spark), ctx, countries, components=[c for c in comps if c != "MACHINERY"])
+    log, problems = R.evaluate_rules(rules, {"customer_history": _customer_history(t)}, ctx)
+    if problems:
+        raise RuntimeError(f"rule problems: {problems}")
+    return log.select(*LOG_OUT)
