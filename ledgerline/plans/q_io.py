@@ -193,7 +193,23 @@ EXPECTED_LINEITEM = T.StructType([
 ])
 
 
-@query("schema_diff")
+def _expected_values_sql() -> str:
+    rows = ", ".join(f"('{f.name}', '{f.dataType.simpleString()}')" for f in EXPECTED_LINEITEM.fields)
+    return f"(VALUES {rows}) AS e(c, t)"
+
+
+SCHEMA_DIFF_SQL = f"""WITH actual AS (SELECT column_name AS c, CASE column_type WHEN 'BIGINT' THEN 'bigint'
+    WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+    WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' WHEN 'FLOAT' THEN 'float'
+    WHEN 'BOOLEAN' THEN 'boolean' ELSE lower(column_type) END AS t FROM (DESCRIBE lineitem)),
+expected AS (SELECT * FROM {_expected_values_sql()})
+SELECT e.c AS "column", e.t AS expected, CAST(NULL AS VARCHAR) AS actual, 'missing' AS problem
+  FROM expected e WHERE e.c NOT IN (SELECT c FROM actual)
+UNION ALL SELECT e.c, e.t, a.t, 'type' FROM expected e JOIN actual a ON e.c = a.c WHERE e.t <> a.t
+UNION ALL SELECT a.c, CAST(NULL AS VARCHAR), a.t, 'unexpected' FROM actual a WHERE a.c NOT IN (SELECT c FROM expected)"""
+
+
+@query("schema_diff", SCHEMA_DIFF_SQL)
 def schema_diff(spark, sf_dir):
     """Differences between the lineitem table's schema and its expected schema document (I8)."""
     t = Tables(spark, sf_dir)
