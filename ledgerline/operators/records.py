@@ -338,14 +338,11 @@ def _line_checks(records: DataFrame, compiled: CompiledRules, refs: References):
     country = F.lit(refs.country)
     fields, rtype = F.col("fields"), F.col("record_type")
 
-    # country currency: at most one row (one country), broadcast-joined on the run country
+    # country currency (D8 plain lookup): a scalar subquery, evaluated once per query
     if refs.currencykey is not None:
-        ck = (refs.currencykey.where(F.col("CountryKey") == country).groupBy("CountryKey")
-              .agg(F.min("CurrencyKey").alias("__ccy")).withColumnRenamed("CountryKey", "__ck_country"))
-        df = df.withColumn("__run_country", country).join(
-            F.broadcast(ck), F.col("__run_country") == F.col("__ck_country"), "left")
+        ccy_value = refs.currencykey.where(F.col("CountryKey") == country).agg(F.min("CurrencyKey")).scalar()
     else:
-        df = df.withColumn("__ccy", F.lit(None).cast("string"))
+        ccy_value = F.lit(None).cast("string")
     # wage-type currency of the line: the value at its type's wage-type position, looked up
     if refs.wagetype_currency is not None and wt_index:
         wt_val = None
@@ -369,7 +366,7 @@ def _line_checks(records: DataFrame, compiled: CompiledRules, refs: References):
         df = df.join(F.broadcast(it), rtype == F.col("__it_t"), "left")
     wt_set = F.coalesce(F.col("__wt_set"), empty)
     it_set = F.coalesce(F.col("__it_set"), empty)
-    ccy, wc = F.col("__ccy"), F.col("__wc")
+    ccy, wc = ccy_value, F.col("__wc")
 
     def bad(o) -> Column:
         _, idx, op, params, pattern, date_fmt = o[:6]

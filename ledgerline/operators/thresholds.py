@@ -93,9 +93,29 @@ def access_threshold(summary: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def log_with_stage(log: DataFrame, stage_map: DataFrame, **equals) -> DataFrame:
-    """Log rows of one run with their stage description (inner join: unmapped stages drop out)."""
+    """Log rows of one run with their stage description (inner-join semantics: unmapped stages drop out).
+
+    The stage map is configuration: up to ``MAX_STAGE_MAP`` rows it becomes a literal map lookup
+    (no join); a larger map is joined (broadcast when provably small).
+    """
     df = log
     for c, v in equals.items():
         df = df.where(F.col(c) == (v if not isinstance(v, str) else F.lit(v)))
+    rows = stage_map.select("Stage", "StageDescription").limit(MAX_STAGE_MAP + 1).collect()
+    stages = [r.Stage for r in rows if r.Stage is not None]
+    if len(rows) <= MAX_STAGE_MAP and len(stages) == len(set(stages)):  # a repeated stage fans out: join
+        pairs = {}
+        for r in rows:
+            if r.Stage is not None and r.Stage not in pairs:
+                pairs[r.Stage] = r.StageDescription
+        if not pairs:
+            return df.where(F.lit(False)).withColumn("stagedescription", F.lit(None).cast("string"))
+        m = F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), F.lit(v).cast("string"))])
+        # keep rows whose stage is a key (a mapped NULL description still counts as a match)
+        return (df.where(F.map_contains_key(m, F.col("stage")))
+                .withColumn("stagedescription", F.element_at(m, F.col("stage"))))
     sm = stage_map.select(F.col("Stage").alias("__stage"), F.col("StageDescription").alias("stagedescription"))
     return df.join(small_side(sm), F.col("stage") == F.col("__stage")).drop("__stage")
+
+
+MAX_STAGE_MAP = 10_000

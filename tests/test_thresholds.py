@@ -44,3 +44,9 @@ def test_log_with_stage_drops_unmapped(spark):
     sm = spark.createDataFrame([("dag05", "Access")], "Stage string, StageDescription string")
     got = TH.log_with_stage(log, sm, region="r")
     assert rows(got, "stage", "stagedescription") == [("dag05", "Access")]
+
+
+def test_log_with_stage_duplicate_map_fans_out(spark):
+    log = spark.createDataFrame([("dag05", "r")], "stage string, region string")
+    sm = spark.createDataFrame([("dag05", "A"), ("dag05", "B")], "Stage string, StageDescription string")
+    assert rows(TH.log_with_stage(log, sm), "stagedescription") == [("A",), ("B",)]
