@@ -33,3 +33,12 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_hygiene(spark, name):
+    """No cross / nested-loop joins and no row-at-a-time Python UDFs in any registered query."""
+    df = QUERIES[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython"):
+        assert bad not in plan, f"{name}: {bad}"
