@@ -13,7 +13,7 @@ built-in expression: no Python runs per line.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -158,6 +158,12 @@ class References:
     infotypes: DataFrame | None = None        # (Country, Infotype, Wagetype)
     currencykey: DataFrame | None = None      # (CountryKey, CurrencyKey)
     wagetype_currency: DataFrame | None = None  # (Country, WageType, DataSource, CurrencyKey)
+    _facts: dict = field(default_factory=dict, repr=False)   # memoised emptiness / size checks
+
+    def fact(self, name: str, test) -> bool:
+        if name not in self._facts:
+            self._facts[name] = bool(test())
+        return self._facts[name]
 
 
 def _nonempty(df: DataFrame | None) -> bool:
@@ -190,7 +196,7 @@ def check_records(records: DataFrame, compiled: CompiledRules, refs: References)
 
     # H7: value must be one of the record type's wage types; skipped when the reference is empty
     wt_viol = F.lit(False)
-    if _nonempty(refs.wagetypes):
+    if refs.fact("wt_nonempty", lambda: _nonempty(refs.wagetypes)):
         ref = small_side(refs.wagetypes.select(F.col("Infotype").alias("__wt_t"), F.col("Wagetype").alias("__wt_v"))
                          .distinct().withColumn("__wt_ok", F.lit(True)))
         cand = cand.join(ref, (op == K.OP_WAGETYPECHECK) & (F.col("record_type") == F.col("__wt_t"))
@@ -199,7 +205,7 @@ def check_records(records: DataFrame, compiled: CompiledRules, refs: References)
 
     # H6: (country, record type, value) must exist in the infotype reference
     it_viol = F.lit(False)
-    if _nonempty(refs.infotypes):
+    if refs.fact("it_nonempty", lambda: _nonempty(refs.infotypes)):
         ref = small_side(refs.infotypes.where(F.col("Country") == country)
                          .select(F.col("Infotype").alias("__it_t"), F.col("Wagetype").alias("__it_v"))
                          .distinct().withColumn("__it_ok", F.lit(True)))
@@ -325,8 +331,10 @@ def _line_checks(records: DataFrame, compiled: CompiledRules, refs: References):
     removing failed lines needs no shuffle.  Returns None when a reference set is not provably
     small enough to ride along; callers then use ``check_records`` + ``split_records``.
     """
-    wt_on, it_on = _nonempty(refs.wagetypes), _nonempty(refs.infotypes)
-    if (wt_on and not _provably_small(refs.wagetypes)) or (it_on and not _provably_small(refs.infotypes)):
+    wt_on = refs.fact("wt_nonempty", lambda: _nonempty(refs.wagetypes))
+    it_on = refs.fact("it_nonempty", lambda: _nonempty(refs.infotypes))
+    if (wt_on and not refs.fact("wt_small", lambda: _provably_small(refs.wagetypes))) or \
+            (it_on and not refs.fact("it_small", lambda: _provably_small(refs.infotypes))):
         return None
     groups: dict[str, list] = {}
     wt_index: dict[str, int] = {}
