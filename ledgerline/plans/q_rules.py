@@ -473,3 +473,21 @@ def component_fanout_run(spark, sf_dir):
     if problems:
         raise RuntimeError(f"rule problems: {problems}")
     return log.select(*LOG_OUT)
+
+
+@query("access_check_written", ACCESS_CHECK_LOG_SQL)
+def access_check_written(spark, sf_dir):
+    """The table-level run against a validation log stored as parquet partitioned by createddttm:
+    a rerun rewrites only the run date's partition (I2 with the B2 sink)."""
+    from ..session import scratch_path
+    t = Tables(spark, sf_dir)
+    ctx = _ctx()
+    rules = _rules(t, ctx)
+    objects = {"lineitem_history": C.lineitem_history(t)}
+    path = scratch_path(spark, "validation-log")
+    first, _ = R.evaluate_rules(rules, objects, ctx)
+    prior = first.unionByName(first.where(F.col("erroridentifier") == "l_quantity")
+                              .withColumn("createddttm", F.lit("2024-01-14").cast("date")))
+    prior.write.partitionBy("createddttm").parquet(path)
+    R.run_access_check(spark, rules, objects, ctx, path, C.run_countries(t))
+    return spark.read.parquet(path).select(*LOG_OUT)
