@@ -283,6 +283,20 @@ def bind_reference_query(text: str, country: str, region: str, component: str) -
     return bind_name(text, country=country, region=region, component=component)
 
 
+def reference_frame(spark: SparkSession, queries: list[str], columns: list[str], country: str, region: str,
+                    component: str) -> DataFrame | None:
+    """D7 reference data from the rules' own queries: the distinct query texts, placeholders bound
+    (lower-cased), combined with UNION ALL by position, renamed to ``columns`` and deduplicated.
+    None when no rule carries a query (the check is then skipped, as with an empty reference)."""
+    if not queries:
+        return None
+    frames = [spark.sql(bind_reference_query(q, country, region, component)) for q in queries]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.union(f)
+    return out.toDF(*columns).distinct()
+
+
 def baseline_from_rules(spark: SparkSession, compiled: CompiledRules, run_date: str, country: str, region: str,
                         vendor: str) -> DataFrame:
     """E5: the file's baseline count from its BASELINEQUERY rule, as a one-row ``baseline`` frame.

@@ -38,9 +38,9 @@ RECORD_SPECS = (
     + [_spec(rt, 3, "AMOUNTFORMAT", AMOUNT_RX, "E001", "G2", "S2") for rt in ("A", "N", "R")]
     + [_spec("A", 4, "HoursFormat", HOURS_RX, "E002", "G3", "S2"),
        _spec("N", 4, "HOURSFORMAT", HOURS_RX, "E002", "G3", "S2")]
-    + [_spec(rt, 5, "WAGETYPECHECK", "SELECT Wagetype, Infotype FROM wagetypes_<COUNTRY_PLACEHOLDER>", "E003", "G4")
+    + [_spec(rt, 5, "WAGETYPECHECK", "SELECT Wagetype, Infotype FROM ll_wagetypes_<COUNTRY_PLACEHOLDER>", "E003", "G4")
        for rt in ("A", "N", "R")]
-    + [_spec("A", 5, "INFOTYPECOMBINATIONFORMAT", "SELECT Country, Infotype, Wagetype FROM infotypes", "E003", "G4")]
+    + [_spec("A", 5, "INFOTYPECOMBINATIONFORMAT", "SELECT Country, Infotype, Wagetype FROM ll_infotypes", "E003", "G4")]
     + [_spec(rt, 6, "COUNTRYCHECK", "", "E004", "G5") for rt in ("A", "R")]
     + [_spec("N", 6, "NOTIN", repr(ALLOWED_NATIONS), "E004", "G8", "S2")]
     + [_spec(rt, 7, "CURRENCYCHECK", "", "E001", "G6") for rt in ("N",)]
@@ -100,9 +100,22 @@ def _compiled(t: Tables):
     return RC.compile_rules(sp, scoped)
 
 
+def _refs_from_rules(t: Tables, compiled) -> RC.References:
+    """References built the way the rules describe them: the WAGETYPECHECK / INFOTYPECOMBINATIONFORMAT
+    rules carry the queries that produce their reference sets (over tables registered as views)."""
+    base = _refs(t)
+    base.wagetypes.createOrReplaceTempView("ll_wagetypes_" + RUN_COUNTRY.lower())
+    base.infotypes.createOrReplaceTempView("ll_infotypes")
+    wt = RC.reference_frame(t.spark, compiled.wagetype_queries, ["Wagetype", "Infotype"], RUN_COUNTRY, REGION_LC, "core")
+    it = RC.reference_frame(t.spark, compiled.infotype_queries, ["Country", "Infotype", "Wagetype"], RUN_COUNTRY,
+                            REGION_LC, "core")
+    return RC.References(RUN_COUNTRY, SOURCE, wt, it, base.currencykey, base.wagetype_currency)
+
+
 def _checked(t: Tables):
     # failing lines are removed by value: identical lines go together
-    return RC.check_and_split(_lines(t), _compiled(t), _refs(t), ["line"])
+    compiled = _compiled(t)
+    return RC.check_and_split(_lines(t), compiled, _refs_from_rules(t, compiled), ["line"])
 
 
 def _violations(t: Tables):

@@ -150,3 +150,13 @@ def test_send_check_composition(spark):
     file_lines = [r.line for r in res.log_file.orderBy("section", "seq").collect()]
     assert file_lines[0] == "Timestamp : 2024-01-15 12:00:00" and file_lines[12].startswith("Status : ")
     assert [r["Operator"] for r in res.unknown_rules] == ["LENGTHCHECK"]
+
+
+def test_reference_frame_from_rule_queries(spark):
+    spark.createDataFrame([("W1", "0015"), ("W1", "0015"), ("W2", "0020")], "a string, b string") \
+        .createOrReplaceTempView("ll_test_wt_us")
+    spark.createDataFrame([("W3", "0015")], "a string, b string").createOrReplaceTempView("ll_test_wt_extra")
+    qs = ["SELECT a, b FROM ll_test_wt_<COUNTRY_PLACEHOLDER>", "SELECT a, b FROM ll_test_wt_extra"]
+    ref = RC.reference_frame(spark, qs, ["Wagetype", "Infotype"], "US", "ASIA", "core")
+    assert rows(ref) == [("W1", "0015"), ("W2", "0020"), ("W3", "0015")]
+    assert RC.reference_frame(spark, [], ["Wagetype", "Infotype"], "US", "ASIA", "core") is None
