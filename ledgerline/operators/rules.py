@@ -18,7 +18,6 @@ from typing import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..functions import constants as K
 from ..functions.dates import date_suffix

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as _dt
 import json
 
-import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -325,5 +324,3 @@ def dated_view_read(spark, sf_dir):
                      "ll_orders_open", RUN_DATE)
     return SRC.read_dated_view(spark, "ll_orders_open", RUN_DATE, order_by="o_orderkey")
 
-
-_ = pd  # pandas is used by mapInPandas batches

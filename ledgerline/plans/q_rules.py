@@ -243,7 +243,6 @@ def rules_latest_ingestion(spark, sf_dir):
     t = Tables(spark, sf_dir)
     ctx = _ctx()
     rules = _rules(t, ctx, INGEST_RULES, countries=EVENT_TYPES)
-    rules = rules  # countries here are event types
     obj = t.events.withColumn("rawingestiondttm", F.date_trunc("day", "ts"))
     log, problems = R.evaluate_rules(rules, {"events_raw": obj}, ctx)
     if problems:
