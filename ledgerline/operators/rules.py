@@ -264,7 +264,7 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
         else:
             items.append((r, None))
 
-    conds, structs = [], []
+    conds, structs, owners = [], [], []
     for r, group in items:
         countries = sorted({x["Country"] for x in group}) if group is not None else None
         i = rules.index(r)
@@ -301,14 +301,29 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
                 F.lit(r.get("ObjectField")).cast("string").alias("erroridentifier"),
                 F.lit(r.get("Recommendation")).cast("string").alias("recommendation"),
             )
-            df.select(cond, st)  # analyse now
             conds.append(cond)
             structs.append(F.when(cond, st))
+            owners.append(group or [r])
         except Exception as e:
             for x in (group or [r]):
                 problems.append(RuleProblem(name, x, str(e).splitlines()[0]))
     if not structs:
         return None
+    # Analyse all rules of the object at once; only when that fails, find the bad ones one by one.
+    try:
+        df.select(*structs)
+    except Exception:
+        ok_conds, ok_structs = [], []
+        for c, st_, who in zip(conds, structs, owners):
+            try:
+                df.select(st_)
+                ok_conds.append(c)
+                ok_structs.append(st_)
+            except Exception as e:
+                problems.extend(RuleProblem(name, x, str(e).splitlines()[0]) for x in who)
+        conds, structs = ok_conds, ok_structs
+        if not structs:
+            return None
     hits = (
         df.where(any_of(conds))
         .select(F.explode(F.array_compact(F.array(*structs))).alias("v"))
