@@ -490,3 +490,35 @@ def access_check_written(spark, sf_dir):
     prior.write.partitionBy("createddttm").parquet(path)
     R.run_access_check(spark, rules, objects, ctx, path, C.run_countries(t))
     return spark.read.parquet(path).select(*LOG_OUT)
+
+
+# --------------------------------------------------------------------------- L1 (country-key function)
+
+FUNCTION_RULES = [
+    ("dag05", "table", "orders_fn_history", "o_totalprice", "o_totalprice > 350000", "E001",
+     "Check price", "S1", "F5", "ll_valid_country_key(country_raw)", "", "vend1", "core", True),
+]
+
+
+@query("rules_country_function", f"""WITH o AS (SELECT *, CASE o_orderkey % 4 WHEN 0 THEN lower(n_name)
+    WHEN 1 THEN ' ' || n_name || ' ' ELSE n_name END AS country_raw
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+{_log_select("upper(trim(country_raw))", "core", "orders_fn_history", "High", "Error",
+             _desc("Quantity above limit", _F5), "o_totalprice", "Check price")}
+FROM o WHERE (o_totalprice > 350000) AND upper(trim(country_raw)) IN {_ASIA}""")
+def rules_country_function(spark, sf_dir):
+    """A rule's country field calls a user-supplied SQL function (the absent key function, L1)."""
+    from ..functions.udfs import register_sql_function
+    t = Tables(spark, sf_dir)
+    register_sql_function(spark, "ll_valid_country_key", "raw STRING", "STRING", "upper(trim(raw))")
+    k = F.col("o_orderkey") % 4
+    obj = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+           .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+           .withColumn("country_raw", F.when(k == 0, F.lower("n_name"))
+                       .when(k == 1, F.concat(F.lit(" "), F.col("n_name"), F.lit(" "))).otherwise(F.col("n_name")))
+           .withColumn("createddttm", F.lit(RUN_DATE).cast("date")))
+    ctx = _ctx()
+    log, problems = R.evaluate_rules(_rules(t, ctx, FUNCTION_RULES), {"orders_fn_history": obj}, ctx)
+    if problems:
+        raise RuntimeError(f"rule problems: {problems}")
+    return log.select(*LOG_OUT)
