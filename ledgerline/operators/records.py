@@ -381,11 +381,11 @@ def _line_checks(records: DataFrame, compiled: CompiledRules, refs: References):
     if wt_on:
         wt = (refs.wagetypes.select(F.col("Infotype").alias("__wt_t"), "Wagetype").distinct()
               .groupBy("__wt_t").agg(F.collect_list("Wagetype").alias("__wt_set")))
-        df = df.join(F.broadcast(wt), rtype == F.col("__wt_t"), "left")
+        df = df.join(F.broadcast(wt), rtype == F.col("__wt_t"), "left")  # size proven by _provably_small
     if it_on:
         it = (refs.infotypes.where(F.col("Country") == country).select(F.col("Infotype").alias("__it_t"), "Wagetype")
               .distinct().groupBy("__it_t").agg(F.collect_list("Wagetype").alias("__it_set")))
-        df = df.join(F.broadcast(it), rtype == F.col("__it_t"), "left")
+        df = df.join(F.broadcast(it), rtype == F.col("__it_t"), "left")  # size proven by _provably_small
     wt_set = F.coalesce(F.col("__wt_set"), empty)
     it_set = F.coalesce(F.col("__it_set"), empty)
     ccy, wc = ccy_value, F.col("__wc")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import small_side
+
 
 def parse_routing(df: DataFrame, text_col: str, region_agnostic: list[str] | None = None) -> DataFrame:
     """``key:t1,t2|key:t3`` text (all whitespace ignored) -> ``(datasource, region, table)`` rows.
@@ -31,7 +33,7 @@ def route_staging(routing: DataFrame, requests: DataFrame) -> DataFrame:
     """Logical tables of each ``(datasource, region)`` request; NULL routing region matches any."""
     r = routing.withColumnRenamed("datasource", "__ds").withColumnRenamed("region", "__rg")
     cond = (F.col("datasource") == F.col("__ds")) & (F.col("__rg").isNull() | (F.col("region") == F.col("__rg")))
-    return requests.join(F.broadcast(r), cond).select("datasource", "region", "table")
+    return requests.join(small_side(r), cond).select("datasource", "region", "table")
 
 
 def stage_output(tables: DataFrame, run_date: str, now: Column, ttl_days: int) -> DataFrame:
