@@ -107,11 +107,18 @@ def log_fields(description, fields: list[str]) -> Column:
 
 
 def parse_list_literal(text: str) -> list[str]:
-    """A Python list/tuple literal from configuration, as strings."""
+    """The string elements of a Python list/tuple literal from configuration.
+
+    Record fields are text, so a non-string element (``[1, 2]``) can never equal a field value;
+    such elements are dropped, which keeps membership results identical to comparing the typed
+    literal.  A bare string literal is a one-element list.
+    """
     v = ast.literal_eval(text) if text and text.strip() else []
-    if isinstance(v, (str, int, float)):
-        v = [v]
-    return [str(x) for x in v]
+    if isinstance(v, str):
+        return [v]
+    if not isinstance(v, (list, tuple, set, frozenset)):
+        return []
+    return [x for x in v if isinstance(x, str)]
 
 
 def parse_fields_literal(text: str) -> list[tuple[int, str]]:

@@ -88,7 +88,10 @@ def compile_rules(spark: SparkSession, rules: DataFrame | list[dict]) -> Compile
     wt_index: dict[str, int] = {}
     for r in rows:
         if (r.get("Operator") or "").upper() == K.OP_WAGETYPECHECK and r["AdditionalCondition"] not in wt_index:
-            wt_index[r["AdditionalCondition"]] = int(r["ObjectField"])
+            try:
+                wt_index[r["AdditionalCondition"]] = int(r["ObjectField"])
+            except (TypeError, ValueError):
+                pass
     for r in rows:
         op_raw = r.get("Operator") or ""
         op = op_raw.upper()
@@ -101,6 +104,9 @@ def compile_rules(spark: SparkSession, rules: DataFrame | list[dict]) -> Compile
         if op not in KNOWN_OPS:
             unknown.append(r)
             continue
+        field_txt = str(r.get("ObjectField") or "")
+        if not field_txt.isdigit() or str(int(field_txt)) != field_txt:
+            continue  # positions are matched as the text of the index ("2"); "02" or "" never applies
         if op_raw == K.OP_WAGETYPECHECK and r["ObjectFieldValue"] not in wtq:
             wtq.append(r["ObjectFieldValue"])
         if op_raw == K.OP_INFOTYPECOMBINATIONFORMAT and r["ObjectFieldValue"] not in itq:

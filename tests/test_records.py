@@ -160,3 +160,16 @@ def test_reference_frame_from_rule_queries(spark):
     ref = RC.reference_frame(spark, qs, ["Wagetype", "Infotype"], "US", "ASIA", "core")
     assert rows(ref) == [("W1", "0015"), ("W2", "0020"), ("W3", "0015")]
     assert RC.reference_frame(spark, [], ["Wagetype", "Infotype"], "US", "ASIA", "core") is None
+
+
+def test_literal_and_position_edge_cases(spark):
+    from ledgerline.functions.text import parse_list_literal
+    assert parse_list_literal("[1, '2', 3.0]") == ["2"] and parse_list_literal("'x'") == ["x"]
+    lines = spark.createDataFrame([(0, 'T|"1|"2')], "id int, line string")
+    comp = RC.compile_rules(spark, [
+        _rule("T", 1, "IN", "[1, 2]"),        # integers never equal a text field: no violation
+        _rule("T", 1, "NOTIN", "[1, 2]"),     # ... so NOTIN always fires
+        dict(_rule("T", 2, "IN", "['2']"), ObjectField="02"),   # non-canonical position never applies
+    ])
+    got = rows(RC.check_records(RC.parse_records(lines), comp, RC.References("US")), "operator")
+    assert got == [("NOTIN",)]
