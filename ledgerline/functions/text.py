@@ -100,9 +100,13 @@ def log_field_value(c: Column) -> Column:
 
 
 def log_fields(description, fields: list[str]) -> Column:
-    """``description;f1:v1|f2:v2`` over the given columns."""
+    """``description;f1:v1|f2:v2`` over the given columns.
+
+    Each entry is used verbatim as its label (a configured list ``"a, b"`` labels the second
+    field `` b``, as the original does) and, trimmed, as the column it reads.
+    """
     desc = F.lit(description) if isinstance(description, str) else description
-    parts = [F.concat(F.lit(f + ":"), log_field_value(F.col(f"`{f}`"))) for f in fields]
+    parts = [F.concat(F.lit(f + ":"), log_field_value(F.col(f"`{f.strip()}`"))) for f in fields]
     return F.concat(desc, F.lit(";"), F.concat_ws("|", *parts))
 
 

@@ -289,7 +289,7 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
                     else:
                         cond = cond & (key == F.lit(r["Country"]))
             fields_txt = (r.get("AdditionalFields") or "").strip()
-            fields = [x.strip() for x in fields_txt.split(",")] if fields_txt else base_cols
+            fields = fields_txt.split(",") if fields_txt else base_cols
             desc = log_fields(r.get("ErrorDescription") or "", fields)
             st = F.struct(
                 country_col.alias("country"),

@@ -35,7 +35,8 @@ def _lf(col):
 
 
 def _desc(desc, cols):
-    parts = " || '|' || ".join(f"'{c}:' || {_lf(c)}" for c in cols)
+    # labels are the configured entries verbatim; values read the trimmed column
+    parts = " || '|' || ".join(f"'{c}:' || {_lf(c.strip())}" for c in cols)
     return f"'{desc};' || {parts}"
 
 
@@ -47,7 +48,7 @@ def _log_select(country, comp, obj, sev, typ, desc_sql, ident, rec, stage="dag05
 
 
 _F1 = ["l_orderkey", "l_linenumber"]
-_F2 = ["l_orderkey", "l_linenumber", "l_returnflag", "o_orderstatus"]
+_F2 = ["l_orderkey", " l_linenumber", "l_returnflag", "o_orderstatus"]   # as configured: "l_orderkey, l_linenumber,..."
 _F3 = ["l_orderkey", "l_linenumber", "l_shipdate"]
 
 RULES_TABLE_VIOLATIONS_SQL = "\nUNION ALL\n".join([
