@@ -173,3 +173,25 @@ def test_literal_and_position_edge_cases(spark):
     ])
     got = rows(RC.check_records(RC.parse_records(lines), comp, RC.References("US")), "operator")
     assert got == [("NOTIN",)]
+
+
+def test_run_send_check_writes_and_reruns(spark, tmp_path):
+    import datetime as dt
+    from ledgerline.operators.send import run_send_check
+    lines, comp, _ = _check(spark)
+    lines.select("line").createOrReplaceTempView("ll_send_lines2")
+    comp.baseline_queries[:] = ["SELECT COUNT(*) FROM ll_send_lines2"]
+    stage_map = spark.createDataFrame([("dag06", "File checks")], "Stage string, StageDescription string")
+    paths = {k: str(tmp_path / k) for k in ("log", "summary", "clean", "logfile")}
+    params = dict(orchestrator_id="o", stage="dag06", region="r", country="US", source="s", component="c",
+                  vendor="v", objectname="f.csv", run_date="2024-01-15", threshold="50",
+                  now=dt.datetime(2024, 1, 15, 12))
+    for _ in range(2):   # a rerun replaces, never duplicates
+        status, proceed = run_send_check(spark, lines.select("line"), comp, _refs(spark), [lines], stage_map,
+                                         log_path=paths["log"], summary_path=paths["summary"],
+                                         clean_path=paths["clean"], log_file_path=paths["logfile"], **params)
+    assert spark.read.parquet(paths["summary"]).count() == 1
+    n_log = spark.read.parquet(paths["log"]).count()
+    assert n_log == RC.check_records(RC.parse_records(lines.select("line")), comp, _refs(spark)).count()
+    assert spark.read.text(paths["logfile"]).first().value.startswith("Timestamp : ")
+    assert status in ("Success", "Partial", "Failure") and proceed == (status != "Failure")
