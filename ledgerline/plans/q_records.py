@@ -286,3 +286,25 @@ def record_send_summary(spark, sf_dir):
                      source=SOURCE, component="core", vendor=VENDOR, objectname=f"{SOURCE_PATH}{SOURCE_OBJECT}.csv",
                      run_date=RUN_DATE, threshold="150", now=FIXED_NOW)
     return res.summary.drop("logtimestamp")
+
+
+@query("record_send_written", SEND_SUMMARY_SQL)
+def record_send_written(spark, sf_dir):
+    """The record-file check with its writes (log slice, summary, clean file, error-log file) into the
+    shared scratch folder; the written summary is read back (I4 end to end)."""
+    from ..operators.send import run_send_check
+    from ..session import scratch_path
+    from .q_files import _stage_map
+    t = Tables(spark, sf_dir)
+    lines = _lines(t)
+    lines.createOrReplaceTempView("ll_lines_nation_7_" + RUN_DATE.replace("-", "_"))
+    base = scratch_path(spark, "send")
+    compiled = _compiled(t)
+    run_send_check(spark, lines, compiled, _refs_from_rules(t, compiled), [t.lineitem], _stage_map(spark),
+                   log_path=f"{base}/log", summary_path=f"{base}/summary", clean_path=f"{base}/clean",
+                   log_file_path=f"{base}/logfile", orchestrator_id=ORCHESTRATOR, stage="dag06", region=REGION_LC,
+                   country=RUN_COUNTRY, source=SOURCE, component="core", vendor=VENDOR,
+                   objectname=f"{SOURCE_PATH}{SOURCE_OBJECT}.csv", run_date=RUN_DATE, threshold="150", now=FIXED_NOW)
+    return spark.read.parquet(f"{base}/summary").select(
+        "executiondate", "orchestratorid", "region", "country", "source", "sourcecomponent", "stagefailure",
+        "g2vsviewcountfailure", "totalfailure", "thresholdpercentage", "errorpercentage", "status")
