@@ -61,3 +61,10 @@ def test_partitioned_lines_keep_order(spark, tmp_path):
     SK.merge_files(spark, f"{path}/fid=f1", merged)
     got = [r.value for r in spark.read.text(merged).collect()]
     assert got == [f"l{i:03d}" for i in range(200)]
+
+
+def test_single_date_export(spark, tmp_path):
+    import datetime as dt
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 14)), (2, dt.date(2024, 1, 15))], "k int, createddttm date")
+    SK.export_table(df, str(tmp_path / "x"), header=False, date_col="createddttm", run_date="2024-01-15")
+    assert [r.value for r in spark.read.text(str(tmp_path / "x")).collect()] == ["2,2024-01-15"]

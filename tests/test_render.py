@@ -78,3 +78,21 @@ def test_file_names(spark):
     got = rows(seq.select("k", "TimestampFile", RD.file_name(F.col("OutputFileName"), F.col("OutputFileExtension"),
                                                              F.col("TimestampFile"), F.lit("calc")).alias("n")))
     assert got == [("A", "20240115235959", "calc"), ("B", "20240116000000", "name_20240116000000.csv")]
+
+
+def test_header_function_and_date_helpers(spark):
+    import datetime as dt
+    from ledgerline.functions.dates import date_suffix, effective_date, month_of, month_start
+    files = spark.createDataFrame([("f1", "US")], "fid string, country string")
+    layout = {"Headers": {"IsFixed": False, "HeaderFunction": "hdr"}, "Body": []}
+    head = RD.header_lines(files, "fid", layout["Headers"],
+                           lambda f: F.concat(F.lit("HDR|"), F.col("country"), F.lit("|"), F.lit(month_of("2024-03-05"))))
+    assert [r.line for r in head.collect()] == ["HDR|US|03"]
+    import pytest
+    with pytest.raises(KeyError):
+        RD.header_lines(files, "fid", layout["Headers"])
+    assert effective_date("2024-01-15", False) == "2024-01-15"
+    assert effective_date("2024-01-15", True, dt.date(2026, 2, 3)) == "2026-02-03"
+    assert date_suffix("2024-01-15") == "2024_01_15" and month_start("2024-01-15") == "2024-01-01"
+    names = spark.createDataFrame([("a.SAP",), ("b.csv",), ("c_1.txt",)], "n string")
+    assert [r.c for r in names.select(RD.csv_name(F.col("n")).alias("c")).collect()] == ["a.csv", "b.csv", "c_1.csv"]
