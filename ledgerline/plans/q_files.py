@@ -305,7 +305,7 @@ clean AS (SELECT b.* FROM body b WHERE NOT EXISTS (SELECT 1 FROM vchk v WHERE v.
 vc AS (SELECT n_name, count(*) AS view_count FROM base GROUP BY n_name),
 fc AS (SELECT n_name, count(*) AS file_count FROM body WHERE trim(line) <> '' GROUP BY n_name),
 sf AS (SELECT n_name, count_if(type = 'Error') AS stagefailure FROM vchk GROUP BY n_name),
-s0 AS (SELECT fl.n_name, coalesce(vc.view_count, 0) AS baseline, coalesce(sf.stagefailure, 0) AS stagefailure,
+s0 AS (SELECT fl.n_name, coalesce(vc.view_count, 0) AS baseline, CAST(coalesce(sf.stagefailure, 0) AS BIGINT) AS stagefailure,
     abs(coalesce(fc.file_count, 0) - coalesce(vc.view_count, 0)) AS g2vsviewcountfailure,
     coalesce(TRY_CAST(nullif(trim(fl.threshold), '') AS DOUBLE), 0.0) AS thresholdpercentage, fl.chk, fl.ovr, fl.skp
     FROM flags fl LEFT JOIN vc USING (n_name) LEFT JOIN fc USING (n_name) LEFT JOIN sf USING (n_name)),

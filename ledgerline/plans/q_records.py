@@ -260,7 +260,7 @@ SEND_SUMMARY_SQL = (f"{VIOLATIONS_CTE},\nagg AS (SELECT (SELECT count(*) FROM li
                     "(SELECT count(*) FROM lines WHERE line LIKE 'R%') AS baseline, "
                     "(SELECT count_if(type = 'Error') FROM viol) AS stagefailure, "
                     "abs((SELECT count(*) FROM lines WHERE trim(line) <> '') - (SELECT count(*) FROM lineitem)) "
-                    "AS g2vsviewcountfailure, 150.0 AS thresholdpercentage),\n"
+                    "AS g2vsviewcountfailure, CAST(150.0 AS DOUBLE) AS thresholdpercentage),\n"
                     "t AS (SELECT *, stagefailure + g2vsviewcountfailure AS totalfailure FROM agg),\n"
                     "pc AS (SELECT *, CASE WHEN baseline = 0 OR totalfailure = 0 THEN 0.0 "
                     "ELSE round_even(totalfailure / baseline * 100.0, 2) END AS errorpercentage FROM t)\n"

@@ -348,7 +348,8 @@ b AS (SELECT n_name AS country, count(*) AS baseline FROM {_OBJ} WHERE n_name IN
 f AS (SELECT country, count_if(type = 'Error') AS stagefailure FROM v GROUP BY country),
 th AS (SELECT n_name AS country, CASE n_nationkey % 3 WHEN 0 THEN '' WHEN 1 THEN '117' ELSE '200' END AS threshold
        FROM nation),
-s0 AS (SELECT b.country, b.baseline, coalesce(f.stagefailure, 0) AS stagefailure, 0 AS g2vsviewcountfailure,
+s0 AS (SELECT b.country, b.baseline, CAST(coalesce(f.stagefailure, 0) AS BIGINT) AS stagefailure,
+       CAST(0 AS BIGINT) AS g2vsviewcountfailure,
        coalesce(TRY_CAST(nullif(trim(th.threshold), '') AS DOUBLE), 0.0) AS thresholdpercentage
        FROM b LEFT JOIN f ON b.country = f.country LEFT JOIN th ON b.country = th.country),
 s1 AS (SELECT *, stagefailure + g2vsviewcountfailure AS totalfailure FROM s0),
