@@ -96,3 +96,15 @@ def test_header_function_and_date_helpers(spark):
     assert date_suffix("2024-01-15") == "2024_01_15" and month_start("2024-01-15") == "2024-01-01"
     names = spark.createDataFrame([("a.SAP",), ("b.csv",), ("c_1.txt",)], "n string")
     assert [r.c for r in names.select(RD.csv_name(F.col("n")).alias("c")).collect()] == ["a.csv", "b.csv", "c_1.csv"]
+
+
+def test_generate_files_without_checks_and_empty_view(spark):
+    files = spark.createDataFrame([("f1", False, False, True, "5"), ("f2", False, True, False, "")],
+                                  "fid string, check_enabled boolean, override boolean, skip boolean, threshold string")
+    view = spark.createDataFrame([("f1", 1, "a", "b")], "fid string, k int, A string, B string")
+    lines, status = RD.generate_files(files, "fid", [view], [LAYOUT], "k", {"GetPeriodStartDate": "2024-01-01"})
+    routes = dict((r.fid, r.route) for r in status.collect())
+    assert routes == {"f1": "skipped", "f2": "success"}       # no check: never failed
+    got = rows(lines, "fid", "section", "line")
+    assert ("f1", 2, "T|4") in got and ("f2", 2, "T|3") in got   # f2 has no view rows: static line only
+    assert ("f2", 1, "P|2024-01-01") in got

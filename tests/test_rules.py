@@ -113,3 +113,10 @@ def test_rules_differing_only_by_country_are_merged(spark):
     rs2 = [_rule(Country=c, AdditionalCondition="country = '<COUNTRY_PLACEHOLDER>' AND q = 5") for c in ("C1", "C2")]
     log2, _ = R.evaluate_rules(rs2, {"t_history": _obj(spark)}, CTX)
     assert rows(log2, "country", "errordescription") == [("C1", "d;id:1"), ("C2", "d;id:2")]
+
+
+def test_missing_object_is_a_problem_not_a_crash(spark):
+    log, probs = R.evaluate_rules([_rule(ObjectName="nowhere_history"), _rule(AdditionalCondition="q = 5")],
+                                  {"t_history": _obj(spark)}, CTX)
+    assert len(probs) == 1 and probs[0].objectname == "nowhere_history"
+    assert rows(log, "errordescription") == [("d;id:1",)]   # the good rule still ran (C1, run date)
