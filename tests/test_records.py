@@ -195,3 +195,13 @@ def test_run_send_check_writes_and_reruns(spark, tmp_path):
     assert n_log == RC.check_records(RC.parse_records(lines.select("line")), comp, _refs(spark)).count()
     assert spark.read.text(paths["logfile"]).first().value.startswith("Timestamp : ")
     assert status in ("Success", "Partial", "Failure") and proceed == (status != "Failure")
+
+
+def test_record_type_missing_from_reference_is_a_violation(spark):
+    lines = spark.createDataFrame([(0, '0015|"1|"2|"3|"M100')], "id int, line string")
+    comp = RC.compile_rules(spark, [_rule("0015", 4, "WAGETYPECHECK", "q")])
+    wt = spark.createDataFrame([("M100", "0020")], "Wagetype string, Infotype string")   # no 0015 entries at all
+    refs = RC.References("US", wagetypes=wt)
+    assert rows(RC.check_records(RC.parse_records(lines), comp, refs), "operator") == [("WAGETYPECHECK",)]
+    flagged = RC.flag_lines(RC.parse_records(lines), comp, RC.References("US", wagetypes=wt))
+    assert [r.failed for r in flagged.collect()] == [True]

@@ -108,3 +108,12 @@ def test_generate_files_without_checks_and_empty_view(spark):
     got = rows(lines, "fid", "section", "line")
     assert ("f1", 2, "T|4") in got and ("f2", 2, "T|3") in got   # f2 has no view rows: static line only
     assert ("f2", 1, "P|2024-01-01") in got
+
+
+def test_layout_without_footer(spark):
+    files = spark.createDataFrame([("f1",)], "fid string")
+    no_footer = {"Headers": {"IsFixed": True, "Values": ["H"]},
+                 "Body": [{"Repeat": True, "Layout": "R|{A}", "Variables": [{"ViewFieldName": "A"}]}]}
+    body = RD.render_body(files, [_view(spark).where("fid = 'f1'")], [no_footer], "fid", "k")
+    out = RD.assemble_file(files, body, "fid", no_footer)
+    assert sorted(r.section for r in out.collect()) == [0, 1, 1]
