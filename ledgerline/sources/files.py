@@ -66,6 +66,26 @@ def publish_view(df: DataFrame, name: str, run_date: str) -> str:
     return full
 
 
+def publish_views(spark: SparkSession, configs: DataFrame, run_date: str, name_col: str = "ViewName",
+                  sql_col: str = "ViewSql", max_views: int = 10_000) -> list[str]:
+    """Publish one dated output view per configuration row.
+
+    A view name has at least three dotted parts (``project.dataset.view``); the last part, suffixed
+    with the run date, names the temp view, defined by the row's SQL (run as one Spark plan each).
+    View configurations are bounded configuration, collected with a row limit.
+    """
+    rows = configs.select(name_col, sql_col).limit(max_views + 1).collect()
+    if len(rows) > max_views:
+        raise ValueError(f"more than {max_views} view configurations")
+    published = []
+    for r in rows:
+        parts = (r[name_col] or "").split(".")
+        if len(parts) < 3 or not all(parts):
+            raise ValueError(f"view name needs at least three dotted parts: {r[name_col]!r}")
+        published.append(publish_view(spark.sql(r[sql_col]), parts[-1], run_date))
+    return published
+
+
 def read_dated_view(spark: SparkSession, name: str, run_date: str, order_by: str | None = None) -> DataFrame:
     """``<name>_YYYY_MM_DD``, optionally ordered by a comma list of columns (an empty view is no error)."""
     df = spark.table(dated_view_name(name, run_date))

@@ -68,3 +68,16 @@ def test_single_date_export(spark, tmp_path):
     df = spark.createDataFrame([(1, dt.date(2024, 1, 14)), (2, dt.date(2024, 1, 15))], "k int, createddttm date")
     SK.export_table(df, str(tmp_path / "x"), header=False, date_col="createddttm", run_date="2024-01-15")
     assert [r.value for r in spark.read.text(str(tmp_path / "x")).collect()] == ["2,2024-01-15"]
+
+
+def test_publish_views(spark):
+    import pytest
+    spark.createDataFrame([(1, "O"), (2, "F")], "k int, s string").createOrReplaceTempView("ll_pub_src")
+    cfg = spark.createDataFrame([("p.d.ll_open", "SELECT k FROM ll_pub_src WHERE s = 'O'"),
+                                 ("p.d.ll_all", "SELECT k FROM ll_pub_src")], "ViewName string, ViewSql string")
+    names = SRC.publish_views(spark, cfg, "2024-01-15")
+    assert names == ["ll_open_2024_01_15", "ll_all_2024_01_15"]
+    assert rows(SRC.read_dated_view(spark, "ll_all", "2024-01-15", order_by="k")) == [(1,), (2,)]
+    bad = spark.createDataFrame([("ll_x", "SELECT 1")], "ViewName string, ViewSql string")
+    with pytest.raises(ValueError):
+        SRC.publish_views(spark, bad, "2024-01-15")
