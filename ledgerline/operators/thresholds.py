@@ -31,6 +31,13 @@ def view_counts(views: list[DataFrame], keys: list[str]) -> DataFrame:
     return allv.groupBy(*keys).agg(F.sum("n").alias("view_count"))
 
 
+def view_counts_by_name(spark, names: str | list[str], run_date: str, keys: list[str]) -> DataFrame:
+    """E2 by view name: a comma list of output views, each read as ``<name>_YYYY_MM_DD``."""
+    from ..sources.files import read_dated_view
+    names = [n.strip() for n in names.split(",")] if isinstance(names, str) else list(names)
+    return view_counts([read_dated_view(spark, n, run_date) for n in names if n], keys)
+
+
 def count_mismatch(file_counts: DataFrame, view_counts_df: DataFrame, keys: list[str]) -> DataFrame:
     """``|file records - Σ view rows|`` per key; a key missing on one side counts as 0."""
     j = file_counts.join(view_counts_df, keys, "full_outer")

@@ -50,3 +50,10 @@ def test_log_with_stage_duplicate_map_fans_out(spark):
     log = spark.createDataFrame([("dag05", "r")], "stage string, region string")
     sm = spark.createDataFrame([("dag05", "A"), ("dag05", "B")], "Stage string, StageDescription string")
     assert rows(TH.log_with_stage(log, sm), "stagedescription") == [("A",), ("B",)]
+
+
+def test_view_counts_by_name(spark):
+    spark.createDataFrame([("A",), ("A",), ("B",)], "k string").createOrReplaceTempView("ll_v1_2024_01_15")
+    spark.createDataFrame([("A",)], "k string").createOrReplaceTempView("ll_v2_2024_01_15")
+    got = TH.view_counts_by_name(spark, "ll_v1, ll_v2", "2024-01-15", ["k"])
+    assert rows(got) == [("A", 3), ("B", 1)]
