@@ -194,11 +194,13 @@ def check_records(records: DataFrame, compiled: CompiledRules, refs: References)
     v, op = F.col("value"), F.col("r_op")
     country = F.lit(refs.country)
 
-    # country currency (D8 plain lookup): a scalar subquery over the reference table
+    # country currency (D8 plain lookup): one scalar subquery, attached once as a column
     if refs.currencykey is not None:
-        ccy = refs.currencykey.where(F.col("CountryKey") == country).agg(F.min("CurrencyKey")).scalar()
+        cand = cand.withColumn(
+            "__ccy", refs.currencykey.where(F.col("CountryKey") == country).agg(F.min("CurrencyKey")).scalar())
     else:
-        ccy = F.lit(None).cast("string")
+        cand = cand.withColumn("__ccy", F.lit(None).cast("string"))
+    ccy = F.col("__ccy")
 
     # H7: value must be one of the record type's wage types; skipped when the reference is empty
     wt_viol = F.lit(False)
@@ -366,11 +368,12 @@ def _line_checks(records: DataFrame, compiled: CompiledRules, refs: References):
     country = F.lit(refs.country)
     fields, rtype = F.col("fields"), F.col("record_type")
 
-    # country currency (D8 plain lookup): a scalar subquery, evaluated once per query
+    # country currency (D8 plain lookup): one scalar subquery, attached once as a column
     if refs.currencykey is not None:
         ccy_value = refs.currencykey.where(F.col("CountryKey") == country).agg(F.min("CurrencyKey")).scalar()
     else:
         ccy_value = F.lit(None).cast("string")
+    df = df.withColumn("__ccy", ccy_value)
     # wage-type currency of the line: the value at its type's wage-type position, looked up
     if refs.wagetype_currency is not None and wt_index:
         wt_val = None
@@ -394,7 +397,7 @@ def _line_checks(records: DataFrame, compiled: CompiledRules, refs: References):
         df = df.join(F.broadcast(it), rtype == F.col("__it_t"), "left")  # size proven by _provably_small
     wt_set = F.coalesce(F.col("__wt_set"), empty)
     it_set = F.coalesce(F.col("__it_set"), empty)
-    ccy, wc = ccy_value, F.col("__wc")
+    ccy, wc = F.col("__ccy"), F.col("__wc")
 
     def bad(o) -> Column:
         _, idx, op, params, pattern, date_fmt = o[:6]
