@@ -25,17 +25,23 @@ CONFIG_SCHEMA = T.StructType([T.StructField(n, S) for n in [
     + [T.StructField("IsActive", T.BooleanType())])
 
 
+def _nation_rows(t: Tables) -> list:
+    """(n_name, r_name) of every nation, collected once per query (bounded configuration)."""
+    cache = t.__dict__.setdefault("_config_cache", {})
+    if "nations" not in cache:
+        df = (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+              .select("n_name", "r_name").orderBy("n_name"))
+        cache["nations"] = bounded_collect(df, 10_000, "nation names")
+    return cache["nations"]
+
+
 def all_nations(t: Tables) -> str:
-    rows = bounded_collect(t.nation.select("n_name").orderBy("n_name"), 10_000, "nation names")
-    return ",".join(r.n_name for r in rows)
+    return ",".join(r.n_name for r in _nation_rows(t))
 
 
 def run_countries(t: Tables, region: str = RUN_REGION) -> list[str]:
     """Countries of the run region: nations of ``region`` (bounded list)."""
-    df = (t.nation.join(t.region.where(F.col("r_name") == region),
-                        F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
-          .select("n_name").orderBy("n_name"))
-    return [r.n_name for r in bounded_collect(df, 10_000, "run countries")]
+    return [r.n_name for r in _nation_rows(t) if r.r_name == region]
 
 
 # Table-rule templates: (stage, type, object, field, condition, error, recommendation,
