@@ -238,11 +238,17 @@ def sql_template(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- L2
 
-def reverse_words(batches):
-    """User transform script over a file's lines: reverse the word order of each line."""
-    for pdf in batches:
-        pdf["line"] = pdf["line"].map(lambda s: " ".join(reversed(s.split(" "))) if s is not None else None)
-        yield pdf
+def reverse_words():
+    """User transform script over a file's lines: reverse the word order of each line.
+
+    Returns the batch function; it is defined locally so that it ships to the Python workers by
+    value and does not need this package importable there.
+    """
+    def run(batches):
+        for pdf in batches:
+            pdf["line"] = pdf["line"].map(lambda s: " ".join(reversed(s.split(" "))) if s is not None else None)
+            yield pdf
+    return run
 
 
 def transform_lines(df, fn, schema: str):
@@ -257,7 +263,7 @@ def transform_lines_q(spark, sf_dir):
     """Every line of every document through a user transform in Arrow batches (L2)."""
     t = Tables(spark, sf_dir)
     lines = t.documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    return transform_lines(lines, reverse_words, "doc_id long, line_no int, line string")
+    return transform_lines(lines, reverse_words(), "doc_id long, line_no int, line string")
 
 
 # ----------------------------------------------------------------------------- K1

@@ -81,3 +81,9 @@ def test_publish_views(spark):
     bad = spark.createDataFrame([("ll_x", "SELECT 1")], "ViewName string, ViewSql string")
     with pytest.raises(ValueError):
         SRC.publish_views(spark, bad, "2024-01-15")
+
+
+def test_worker_functions_ship_by_value():
+    """Functions run on Python workers must not need this package importable there."""
+    from ledgerline.plans.q_io import reverse_words
+    assert "<locals>" in reverse_words().__qualname__
