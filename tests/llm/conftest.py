@@ -1,0 +1,12 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from ledgerline.session import get_session
+    return get_session("local[*]", shuffle_partitions=8)
