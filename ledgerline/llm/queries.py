@@ -9,10 +9,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.plans.tables import Tables
+from ledgerline.session import scratch_path
 
+from . import decontaminate as dc
+from . import secrets as sc
+from .embedding_dedup import near_vectors
+from .extract import extract_text
+from .hilbert import quantise_hash, quantise_log, shard_by_curve
 from .jaccard_join import jaccard_groups
+from .langid import predict_languages, train_languages
+from .pieces import decode_pieces, encode_pieces, read_model
+from .quality import score_quality, train_quality
+from .token_files import read_token_files, read_tokenizer, write_token_files
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,13 +40,122 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-# ---------------------------------------------------------------------------------------------- 7
+def fold(id_col: str = "doc_id"):
+    """Remainder of an id's fold: rows of 1 are held out of learning.  A null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3
 
-_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+def held_out():
+    return (fold() == 1).alias("held_out")
+
+
+def sha(c):
+    return F.sha2(c.cast("binary"), 256)
+
+
+# ---------------------------------------------------------------------------------------------- 1
+
+@query("op1_factorisation_quality")
+def op1(spark, sf_dir):
+    """Quality score of every document; learned from labels outside the held-out fold."""
+    t = Tables(spark, sf_dir)
+    model = train_quality(t.documents, t.labels, fold() != 1)
+    scored = score_quality(t.documents, model).select("doc_id", held_out(), F.col("quality_score").alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+# ---------------------------------------------------------------------------------------------- 2
+
+@query("op2_hilbert_shards")
+def op2(spark, sf_dir):
+    """All documents in eight runs of the Hilbert curve through language, source and size, counts at most one apart."""
+    docs = Tables(spark, sf_dir).documents
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", "lang", "source", (F.octet_length(text) + 1).cast("long").alias("size"),
+                       F.crc32(text.cast("binary")).alias("text_crc32"))
+    dims = [quantise_hash(F.col("lang"), 8), quantise_hash(F.col("source"), 8), quantise_log(F.col("size"), 8)]
+    placed = shard_by_curve(rows, dims, [F.col("doc_id"), F.col("text_crc32"), F.col("size")], 8, 8,
+                            [F.col("doc_id"), F.col("size"), F.col("text_crc32")])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "curve", "position")
+
+
+# ---------------------------------------------------------------------------------------------- 3
+
+@query("op3_linked_secrets")
+def op3(spark, sf_dir):
+    """Secrets in every document: the base kinds, and weak parts whose complements stand near."""
+    found = sc.find_secrets(Tables(spark, sf_dir).documents)
+    base = F.filter("secrets", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), sha(sc.joined(base)).alias("base_sha256"),
+                        sc.joined(F.col("secrets")).alias("spans"))
+
+
+# ---------------------------------------------------------------------------------------------- 4
+
+VECTORS_SQL = """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+r AS (SELECT a AS vec_id, a AS node FROM n UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.node = l.a),
+c AS (SELECT vec_id, min(node) AS c FROM r GROUP BY vec_id)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.c, v.vec_id) AS component_id, v.vec_id = coalesce(c.c, v.vec_id) AS kept
+FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN c ON c.vec_id = v.vec_id"""
+
+
+@query("op4_sign_hash_dedup", VECTORS_SQL)
+def op4(spark, sf_dir):
+    """Every vector with its number of links at cosine 0.9 and its component."""
+    return near_vectors(Tables(spark, sf_dir).embeddings, 0.9)
+
+
+# ---------------------------------------------------------------------------------------------- 5
+
+@query("op5_consensus_extract")
+def op5(spark, sf_dir):
+    """The main text of every page by its host's winning container path."""
+    return extract_text(Tables(spark, sf_dir).pages).select("page_id", "url", "text",
+                                                            F.char_length("text").cast("long").alias("n_chars"))
+
+
+# ---------------------------------------------------------------------------------------------- 6
+
+_PLAIN = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+DECONTAMINATION_SQL = rf"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_PLAIN}') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_PLAIN}') AS ws FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(13, len(ws)) AS m,
+        unnest(list_transform(range(1, len(ws) - least(13, len(ws)) + 2),
+                              lambda i: array_to_string(ws[i:i + least(13, len(ws)) - 1], ' '))) AS gram FROM b WHERE len(ws) > 0),
+k AS (SELECT DISTINCT m FROM g),
+p AS (SELECT doc_id, m, unnest(range(1, len(ws) - m + 2)) AS at, ws FROM d, k WHERE len(ws) >= m),
+x AS (SELECT doc_id, m, at, array_to_string(ws[at:at + m - 1], ' ') AS gram FROM p),
+h AS (SELECT x.doc_id, x.m, x.at, g.item_id FROM x JOIN g ON x.m = g.m AND x.gram = g.gram),
+w AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + m)) AS pos FROM h) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(w.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(w.n_hit, 0) > 0 AND 20 * coalesce(w.n_hit, 0) >= len(d.ws) AS contaminated
+FROM d LEFT JOIN w USING (doc_id) LEFT JOIN i USING (doc_id)"""
+
+
+@query("op6_broadcast_decontam", DECONTAMINATION_SQL)
+def op6(spark, sf_dir):
+    """Every document with its hit words and the benchmark items whose windows occur in it."""
+    t = Tables(spark, sf_dir)
+    marked = dc.mark_contamination(t.documents, t.benchmark, out="c")
+    return marked.select("doc_id", "c.n_words", dc.n_hit("c").alias("n_hit"), F.size("c.items").cast("long").alias("n_items"),
+                         sha(F.array_join("c.items", ",")).alias("items_sha256"), dc.is_contaminated("c").alias("contaminated"))
+
+
+# ---------------------------------------------------------------------------------------------- 7
 
 JACCARD_SQL = rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(ws) >= 4
-        THEN list_distinct(list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' ')))
+        THEN list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')))
         WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w),
 e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b USING (x)
@@ -50,3 +172,36 @@ FROM s LEFT JOIN c USING (doc_id)"""
 def op7(spark, sf_dir):
     """Every document with its shingle count and its component of Jaccard links (4 words, 0.85)."""
     return jaccard_groups(Tables(spark, sf_dir).documents, shingle=4, threshold=85)
+
+
+# ---------------------------------------------------------------------------------------------- 8
+
+@query("op8_chunk_table_pieces")
+def op8(spark, sf_dir):
+    """Every document's SentencePiece ids and the text decoded from them, as digests."""
+    model = read_model()
+    coded = decode_pieces(encode_pieces(Tables(spark, sf_dir).documents.select("doc_id", "text"), model), model)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        sha(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+                        sha(F.col("decoded")).alias("decoded_sha256"))
+
+
+# ---------------------------------------------------------------------------------------------- 9
+
+@query("op9_hierarchical_langid")
+def op9(spark, sf_dir):
+    """Predicted language of every document; learned from the documents outside the held-out fold."""
+    docs = Tables(spark, sf_dir).documents
+    model = train_languages(docs, (fold() != 1) & F.col("doc_id").isNotNull())
+    return predict_languages(docs, model).select("doc_id", held_out(), F.col("language.lang").alias("lang_pred"),
+                                                 F.col("language.score").alias("score"))
+
+
+# ---------------------------------------------------------------------------------------------- 10
+
+@query("op10_range_coded_ids")
+def op10(spark, sf_dir):
+    """Every document's place, length and checksum, as read back from range-coded token files."""
+    path = scratch_path(spark, "token-files")
+    write_token_files(Tables(spark, sf_dir).documents, path, read_tokenizer())
+    return read_token_files(spark, path).drop("ids")
