@@ -130,10 +130,10 @@ g AS (SELECT DISTINCT item_id, least(13, len(ws)) AS m,
         unnest(list_transform(range(1, len(ws) - least(13, len(ws)) + 2),
                               lambda i: array_to_string(ws[i:i + least(13, len(ws)) - 1], ' '))) AS gram FROM b WHERE len(ws) > 0),
 k AS (SELECT DISTINCT m FROM g),
-p AS (SELECT doc_id, m, unnest(range(1, len(ws) - m + 2)) AS at, ws FROM d, k WHERE len(ws) >= m),
-x AS (SELECT doc_id, m, at, array_to_string(ws[at:at + m - 1], ' ') AS gram FROM p),
-h AS (SELECT x.doc_id, x.m, x.at, g.item_id FROM x JOIN g ON x.m = g.m AND x.gram = g.gram),
-w AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + m)) AS pos FROM h) GROUP BY doc_id),
+p AS (SELECT doc_id, m, unnest(range(1, len(ws) - m + 2)) AS p0, ws FROM d, k WHERE len(ws) >= m),
+x AS (SELECT doc_id, m, p0, array_to_string(ws[p0:p0 + m - 1], ' ') AS gram FROM p),
+h AS (SELECT x.doc_id, x.m, x.p0, g.item_id FROM x JOIN g ON x.m = g.m AND x.gram = g.gram),
+w AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(p0, p0 + m)) AS pos FROM h) GROUP BY doc_id),
 i AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(w.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
