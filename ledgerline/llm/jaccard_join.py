@@ -10,10 +10,11 @@ most ``(100-t)(a+b)/(100+t)`` elements.
    in one global order (most elements first, so empty and light words are hardly ever keys); the first shared word is then
    among the keys of both.  A set emits for its own band and, if a partner may lie there, for the next one.
 3. Join on the keys.  Per key the smallest and the largest set fingerprint come from a map-side combined aggregate; a key of
-   two sets is settled by that pair.  For keys of more sets every member is paired with the smallest; the pairs are verified
-   exactly and linked into components.  Keys that still hold several components are compared in blocks of bounded size inside
-   tasks, by bit sketch, only across components; survivors are verified too.  No pair that could link two components goes
-   unverified, and no bucket's pairs are emitted whole.
+   two sets is settled by that pair.  For keys of more sets every member is paired with the smallest.  Pairs that the bit
+   sketch can't rule out are verified, each set's nearest first, then those whose ends still lie in different components.
+   Keys that still hold several components are compared in blocks of bounded size inside tasks, across components only: first
+   the nearest pairs that would join components (a forest, fewer than the rows), then every pair left.  No pair that could
+   link two components goes unverified, and no bucket's pairs are emitted whole.
 4. Verification is on the whole texts' shingle sets.
 
 Exact copies (equal sets) collapse into one class before any pair is made.
@@ -31,7 +32,7 @@ from .common import components, store
 
 _MULT = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
                                 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9FB21C651E98DF25)]
-SKETCH_BITS = 2048
+SKETCH_BITS = 1024
 BLOCK = 512
 
 
@@ -134,7 +135,8 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-_SIGNED = "doc_id long, n long, fp long, fp2 long, key long"
+_SIGNED = "doc_id long, n long, fp long, fp2 long, key long, sketch binary"
+_NAMES = ["doc_id", "n", "fp", "fp2", "key", "sketch"]
 
 
 def _signatures(shingle: int, t: int):
@@ -146,9 +148,10 @@ def _signatures(shingle: int, t: int):
                 sets, so = shingle_sets(Words(data, off, NON_SPACE), shingle)
                 fp, fp2 = fingerprints(sets, so)
                 n = np.diff(so)
+                sketches = pa.array([bit_sketch(sets[so[i]:so[i + 1]]).tobytes() for i in range(rows)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, rows), pa.array(n), _signed(fp), _signed(fp2), pa.nulls(rows, pa.int64())],
-                    names=["doc_id", "n", "fp", "fp2", "key"])
+                    [ids.slice(lo, rows), pa.array(n), _signed(fp), _signed(fp2), pa.nulls(rows, pa.int64()), sketches],
+                    names=_NAMES)
                 fresh = np.zeros(rows, bool)
                 for i, x in enumerate(fp.tolist()):
                     if n[i] and x not in seen:
@@ -158,23 +161,20 @@ def _signatures(shingle: int, t: int):
                     continue
                 of, keys = sketch_keys(sets[np.repeat(fresh, n)], np.append(0, np.cumsum(n[fresh])), t)
                 none = pa.nulls(len(keys), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, _signed(fp[fresh][of]), none, _signed(keys)],
-                                                 names=["doc_id", "n", "fp", "fp2", "key"])
+                yield pa.RecordBatch.from_arrays([none, none, _signed(fp[fresh][of]), none, _signed(keys),
+                                                  pa.nulls(len(keys), pa.binary())], names=_NAMES)
     return run
 
 
 def _texts_to_sets(shingle: int):
-    """(cls, text) -> (cls, n, items, sketch)."""
+    """(cls, text) -> (cls, items): the sorted hashes of its set."""
     def run(batches):
         for batch in batches:
             for lo, rows, data, off in sub_batches(batch.column(1)):
                 sets, so = shingle_sets(Words(data, off, NON_SPACE), shingle)
-                parts = [sets[so[i]:so[i + 1]] for i in range(rows)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, rows), pa.array(np.diff(so)),
-                     pa.array([p.tobytes() for p in parts], pa.binary()),
-                     pa.array([bit_sketch(p).tobytes() for p in parts], pa.binary())],
-                    names=["cls", "n", "items", "sketch"])
+                    [batch.column(0).slice(lo, rows),
+                     pa.array([sets[so[i]:so[i + 1]].tobytes() for i in range(rows)], pa.binary())], names=["cls", "items"])
     return run
 
 
@@ -197,41 +197,77 @@ def _verify(t: int):
     return run
 
 
-def _blocks(t: int):
-    """Rows sorted by (key, bi, bj), each group at most two blocks: pairs across components that the bit sketch can't rule out."""
+def _far(x: pa.Array, y: pa.Array) -> np.ndarray:
+    """Hamming distances of two columns of bit sketches."""
+    x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(len(c), -1) for c in (x, y))
+    return np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64)
+
+
+def _close_pairs(t: int):
+    """(a, b, na, nb, sketch of a, sketch of b) -> (a, b, far) of the pairs that sizes and bit sketches can't rule out."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            na, nb = (batch.column(i).to_numpy() for i in (2, 3))
+            far = _far(batch.column(4), batch.column(5))
+            keep = (far <= _difference(na, nb, t)) & (100 * np.minimum(na, nb) >= t * np.maximum(na, nb))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(far)], names=["a", "b", "far"]).filter(pa.array(keep))
+    return run
+
+
+def _blocks(t: int, forest: bool):
+    """Rows sorted by (key, bi, bj), each group at most two blocks: pairs across components that sizes and bit sketches can't
+    rule out; with ``forest`` only the nearest ones that join components, fewer than the rows."""
     def pairs_of(rows):
         bi, bj = rows["bi"][0], rows["bj"][0]
         sk = np.frombuffer(b"".join(rows["sketch"]), np.uint64).reshape(len(rows["cls"]), -1)
         cls, comp, n, own = (np.array(rows[c]) for c in ("cls", "comp", "n", "own"))
-        left = np.flatnonzero(own == bi)
         right = np.flatnonzero(own == bj)
-        for i in left:
+        found = []
+        for i in np.flatnonzero(own == bi):
             j = right[right > i] if bi == bj else right
             j = j[(comp[j] != comp[i]) & (100 * np.minimum(n[i], n[j]) >= t * np.maximum(n[i], n[j]))]
             if len(j):
-                far = np.bitwise_count(sk[j] ^ sk[i]).sum(axis=1)
-                j = j[far <= _difference(n[i], n[j], t)]
-            if len(j):
-                yield np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])
-
-    def flush(rows):
-        out = list(pairs_of(rows)) if len(rows["cls"]) > 1 else []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b"])
+                far = np.bitwise_count(sk[j] ^ sk[i]).sum(axis=1).astype(np.int64)
+                ok = far <= _difference(n[i], n[j], t)
+                found.append(np.stack([far[ok], np.full(int(ok.sum()), i), j[ok]]))
+        if not found:
+            return None
+        found = np.concatenate(found, axis=1)
+        if forest:
+            root = {}
+
+            def top(x):
+                while root.setdefault(x, x) != x:
+                    root[x] = x = root[root[x]]
+                return x
+            keep = []
+            for e in np.lexsort((found[2], found[1], found[0])):
+                x, y = top(comp[found[1, e]]), top(comp[found[2, e]])
+                if x != y:
+                    root[x] = y
+                    keep.append(e)
+            found = found[:, keep]
+        x, y = cls[found[1]], cls[found[2]]
+        return [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))]
 
     def run(batches):
-        group, rows = None, None
+        group, rows = None, {"cls": []}
+
+        def flush():
+            out = pairs_of(rows) if len(rows["cls"]) > 1 else None
+            if out:
+                yield pa.RecordBatch.from_arrays(out, names=["a", "b"])
         for batch in batches:
             d = batch.to_pydict()
             for i, g in enumerate(zip(d["key"], d["bi"], d["bj"])):
                 if g != group:
-                    if rows:
-                        yield from flush(rows)
+                    yield from flush()
                     group, rows = g, {c: [] for c in d}
                 for c in d:
                     rows[c].append(d[c][i])
-        if rows:
-            yield from flush(rows)
+        yield from flush()
     return run
 
 
@@ -248,54 +284,77 @@ def jaccard_groups(docs: DataFrame, shingle: int = 5, threshold: int = 80, id_co
     t = int(threshold)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = store(base.mapInArrow(_signatures(shingle, t), _SIGNED), "jj-signed")
-    sigs = signed.where("key is null").drop("key")
+    sigs = signed.where("key is null").select("doc_id", "n", "fp", "fp2")
     keyed = signed.where("key is not null").select("key", "fp")
 
     # a class: the texts of one set; its id is the smallest doc_id
-    classes = store(sigs.where("n > 0").groupBy("fp", "fp2").agg(F.min("doc_id").alias("cls"))
+    classes = store(signed.where("key is null and n > 0").groupBy("fp", "fp2")
+                    .agg(F.min("doc_id").alias("cls"), F.max("n").alias("n"), F.first("sketch").alias("sketch"))
                     .where("cls is not null"), "jj-classes")
     ends = keyed.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"), F.count("*").alias("c"))
     ends = store(ends.where("lo <> hi"), "jj-keys")
-    open_keys = ends.where("c > 2").select("key", "lo")
-    members = store(keyed.join(open_keys, "key"), "jj-members")
+    members = store(keyed.join(ends.where("c > 2").select("key", "lo"), "key"), "jj-members")
     star = (ends.select(F.col("lo").alias("x"), F.col("hi").alias("y"))
             .unionByName(members.where("fp <> lo").select(F.col("lo").alias("x"), F.col("fp").alias("y"))).distinct())
-    of = classes.select("fp", "cls")
-    pairs = (star.join(of.select(F.col("fp").alias("x"), F.col("cls").alias("p")), "x")
-             .join(of.select(F.col("fp").alias("y"), F.col("cls").alias("q")), "y")
-             .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).where("a <> b").distinct())
-    pairs = store(pairs, "jj-pairs")
 
-    # sets of the classes that any key brings together
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    texts = (base.join(wanted, base.doc_id == wanted.cls, "left_semi").where("text is not null")
-             .select(F.col("doc_id").alias("cls"), "text"))
-    sets = store(texts.mapInArrow(_texts_to_sets(shingle), "cls long, n long, items binary, sketch binary"), "jj-sets")
+    def ends_of(p: DataFrame, *cols: str, frame: DataFrame = classes) -> DataFrame:
+        for side in ("a", "b"):
+            p = p.join(frame.select(F.col("cls").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in cols)), side)
+        return p.select("a", "b", *(f"{c}_{side}" for c in cols for side in ("a", "b")))
 
-    def verified(p: DataFrame) -> DataFrame:
-        both = (p.join(sets.select(F.col("cls").alias("a"), F.col("items").alias("ia")), "a")
-                .join(sets.select(F.col("cls").alias("b"), F.col("items").alias("ib")), "b").select("a", "b", "ia", "ib"))
-        return both.mapInArrow(_verify(t), "a long, b long")
+    of = classes.select("fp", "cls", "n")
+    pairs = (star.join(of.select(F.col("fp").alias("x"), F.col("cls").alias("p"), F.col("n").alias("np")), "x")
+             .join(of.select(F.col("fp").alias("y"), F.col("cls").alias("q"), F.col("n").alias("nq")), "y")
+             .where(100 * F.least("np", "nq") >= t * F.greatest("np", "nq"))
+             .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).where("a <> b").distinct())
+    close = store(ends_of(pairs, "n", "sketch").mapInArrow(_close_pairs(t), "a long, b long, far long"), "jj-close")
 
-    links = store(verified(pairs), "jj-links")
-    comps = store(components(links), "jj-comps")
+    def verified(p: DataFrame) -> DataFrame:
+        """Exact test on the shingle sets of the whole texts of the classes in ``p`` (a stored frame)."""
+        wanted = p.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+        texts = (base.join(wanted, base.doc_id == wanted.cls, "left_semi").where("text is not null")
+                 .select(F.col("doc_id").alias("cls"), "text"))
+        sets = store(texts.mapInArrow(_texts_to_sets(shingle), "cls long, items binary"), "jj-sets")
+        return ends_of(p, "items", frame=sets).mapInArrow(_verify(t), "a long, b long")
+
+    def grouped(found: DataFrame) -> DataFrame:
+        return store(components(found), "jj-comps")
+
+    def apart(p: DataFrame, comps: DataFrame) -> DataFrame:
+        """Pairs whose ends are in different components so far."""
+        for side in ("a", "b"):
+            p = p.join(comps.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
+        return p.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+    # each class with its nearest star first; then what still lies apart
+    first = store(close.groupBy("b").agg(F.min(F.struct("far", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"), "jj-first")
+    links = store(verified(first), "jj-links")
+    comps = grouped(links)
+    second = store(apart(close, comps).join(first, ["a", "b"], "left_anti").distinct(), "jj-second")
+    more = store(verified(second), "jj-links")
+    links, comps = (links.unionByName(more), None) if not more.isEmpty() else (links, comps)
+    comps = comps or grouped(links)
+    tried = first.unionByName(second)
 
     # keys that still hold several components: compare across them, in blocks
-    near = (members.join(of, "fp").join(comps, F.col("cls") == F.col("node"), "left")
-            .select("key", "cls", F.coalesce("component", "cls").alias("comp")))
-    near = store(near, "jj-near")
-    apart = (near.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"))
-             .where("lo <> hi").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("nb")))
-    held = (near.join(apart, "key").join(sets.select("cls", "n", "sketch"), "cls")
-            .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-            .select("key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "cls", "comp",
-                    "n", "sketch"))
-    held = held.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-    rest = held.mapInArrow(_blocks(t), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = store(verified(store(rest, "jj-rest")), "jj-more")
-    if not more.isEmpty():
-        comps = store(components(links.unionByName(more)), "jj-comps")
+    near = members.join(of.select("fp", "cls"), "fp").select("key", "cls")
+    for forest in (True, False):
+        now = store(near.join(comps, F.col("cls") == F.col("node"), "left")
+                    .select("key", "cls", F.coalesce("component", "cls").alias("comp")), "jj-near")
+        mixed = (now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"))
+                 .where("lo <> hi").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("nb")))
+        held = (now.join(mixed, "key").join(classes.select("cls", "n", "sketch"), "cls")
+                .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+                .select("key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "cls",
+                        "comp", "n", "sketch"))
+        held = held.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+        rest = store(held.mapInArrow(_blocks(t, forest), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"),
+                     "jj-rest")
+        more = store(verified(rest), "jj-links")
+        if not more.isEmpty():
+            links, tried = links.unionByName(more), tried.unionByName(rest)
+            comps = grouped(links)
 
     final = (classes.join(comps, F.col("cls") == F.col("node"), "left")
              .select("fp", "fp2", F.coalesce("component", "cls").alias("component")))
