@@ -27,7 +27,7 @@ BLOCK = 1024
 
 def plan(classes: int, threshold: float, recall: float = 0.999) -> tuple[int, int]:
     """(bits, tables) for so many classes."""
-    bits = max(8, min(24, round(math.log2(max(classes, 2))) - 4))
+    bits = max(6, min(24, round(math.log2(max(classes, 2))) - 6))
     meet = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
 
@@ -36,36 +36,36 @@ def _planes(dim: int, count: int) -> np.ndarray:
     return np.random.default_rng(dim).normal(size=(count, dim))
 
 
-def _sign(bits: int, tables: int):
-    """(cls, copies, vector bytes) -> one row a table: t, sig, and all signatures."""
+def _sign(bits: int, tables: int, vec: str):
+    """(cls, copies, vector) -> cls, copies, dim, signatures (as a list and packed), vector bytes; one row a class."""
+    packed = "<u2" if bits <= 16 else "<u4"
+
     def run(batches):
         weights = 1 << np.arange(bits, dtype=np.int64)
         for batch in batches:
-            cls, copies = batch.column(0), batch.column(1)
             raw = batch.column(2).to_pylist()
             dims = np.array([len(v) for v in raw])
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
                 x = np.array([raw[i] for i in at], np.float64)
                 signs = (x @ _planes(int(d), bits * tables).T > 0).reshape(len(at), tables, bits)
-                sigs = (signs * weights).sum(axis=2).astype("<i4")
-                packed = pa.array([s.tobytes() for s in sigs], pa.binary())
-                vec = pa.array([v.astype("<f8").tobytes() for v in x], pa.binary())
-                for t in range(tables):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), t, np.int32)), pa.array(sigs[:, t].astype(np.int32)),
-                         pa.array(np.full(len(at), d, np.int32)), cls.take(pa.array(at)), copies.take(pa.array(at)), packed, vec],
-                        names=["t", "sig", "dim", "cls", "copies", "sigs", "vec"])
+                sigs = (signs * weights).sum(axis=2)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(np.full(len(at), d, np.int32)),
+                     pa.array(sigs.astype(np.int32).tolist(), pa.list_(pa.int32())),
+                     pa.array([s.tobytes() for s in sigs.astype(packed)], pa.binary()),
+                     pa.array([v.tobytes() for v in x.astype(vec)], pa.binary())],
+                    names=["cls", "copies", "dim", "keys", "sigs", "vec"])
     return run
 
 
-def _compare(threshold: float):
+def _compare(threshold: float, bits: int, vec: str):
     """Rows sorted by (t, sig, dim, bi, bj) -> (cls, links, low) of classes that have links in a block pair."""
     def links(rows, key):
         t, _, _, bi, bj = key
-        x = np.frombuffer(b"".join(rows["vec"]), "<f8").reshape(len(rows["cls"]), -1)
+        x = np.frombuffer(b"".join(rows["vec"]), vec).reshape(len(rows["cls"]), -1).astype(np.float64)
         x = x / np.sqrt((x * x).sum(axis=1))[:, None]
-        sigs = np.frombuffer(b"".join(rows["sigs"]), "<i4").reshape(len(x), -1)
+        sigs = np.frombuffer(b"".join(rows["sigs"]), "<u2" if bits <= 16 else "<u4").reshape(len(x), -1)
         cls, copies, own = (np.array(rows[c]) for c in ("cls", "copies", "own"))
         left, right = np.flatnonzero(own == bi), np.flatnonzero(own == bj)
         i, j = np.nonzero(x[left] @ x[right].T >= threshold)
@@ -129,16 +129,19 @@ def near_vectors(rows: DataFrame, threshold: float = 0.9, recall: float = 0.999,
                     "ed-classes")
     usable = classes.where("cls is not null")
     bits, tables = plan(usable.count(), threshold, recall)
+    vec = "<f4" if rows.schema[vector_col].dataType.elementType.typeName() == "float" else "<f8"  # as exact as the input
     signed = store(usable.select("cls", "copies", "v").mapInArrow(
-        _sign(bits, tables), "t int, sig int, dim int, cls long, copies long, sigs binary, vec binary"), "ed-signed")
+        _sign(bits, tables, vec), "cls long, copies long, dim int, keys array<int>, sigs binary, vec binary"), "ed-signed")
     key = ["t", "sig", "dim"]
-    sizes = signed.groupBy(*key).agg(F.count("*").alias("c")).where("c > 1").withColumn("nb", F.ceil(F.col("c") / BLOCK))
-    held = (signed.join(sizes, key).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb").cast("int") - 1)))
-            .select(*key, F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "cls", "copies",
-                    "sigs", "vec"))
-    held = held.repartition(*key, "bi", "bj").sortWithinPartitions(*key, "bi", "bj")
-    found = store(held.mapInArrow(_compare(threshold), "cls long, links long, low long"), "ed-links")
+    light = store(signed.select("cls", "dim", F.posexplode("keys").alias("t", "sig")), "ed-keys")
+    sizes = light.groupBy(*key).agg(F.count("*").alias("c")).where("c > 1").withColumn("nb", F.ceil(F.col("c") / BLOCK))
+    placed = (light.join(sizes, key).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("nb")).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb").cast("int") - 1)))
+              .select(*key, F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "cls"))
+    held = (placed.join(signed.select("cls", "copies", "sigs", "vec"), "cls")
+            .repartition(*key, "bi", "bj").sortWithinPartitions(*key, "bi", "bj")
+            .select(*key, "bi", "bj", "own", "cls", "copies", "sigs", "vec"))
+    found = store(held.mapInArrow(_compare(threshold, bits, vec), "cls long, links long, low long"), "ed-links")
     degree = found.groupBy("cls").agg(F.sum("links").alias("links"))
     comps = components(found.select(F.col("cls").alias("a"), F.col("low").alias("b")))
     final = (classes.join(degree, "cls", "left").join(comps.withColumnRenamed("node", "cls"), "cls", "left")
