@@ -18,6 +18,31 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows an Arrow batch holds at most.  Texts are whole, so this bounds a worker's memory better than Spark's 10,000 does.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Python workers take at most ``BATCH_ROWS`` texts at a time (a session setting; smaller ones stay)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+def give_back() -> None:
+    """In a Python worker: return freed memory to the system, as an idle worker would keep it."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle width, for explicit range partitionings."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

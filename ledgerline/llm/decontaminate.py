@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import _BASE, ALNUM, Words, _powers, mix, sub_batches
-from .common import store
+from .common import bounded_batches, store
 
 _INV = pow(_BASE, -1, 1 << 64)
 RESULT = "struct<n_words:bigint,runs:array<struct<first:bigint,last:bigint,start:bigint,end:bigint>>,items:array<string>>"
@@ -122,6 +122,7 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, bl
     repeated rows on either side count once per row and once per item id; a null item_id is the item "null".  An empty
     benchmark marks nothing.  All other columns of ``docs`` stay as they are; an existing column ``out`` is replaced.
     """
+    bounded_batches(docs.sparkSession)
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), F.col("text"))
     grams = store(items.mapInArrow(_item_windows(size), "item string, m int, h long, gram binary").distinct(), "dc-grams")
     held = grams.agg(F.sum(F.length("gram") + 64)).first()[0] or 0

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import NON_SPACE, Words, mix, sub_batches
-from .common import components, store
+from .common import bounded_batches, components, give_back, store
 
 _MULT = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
                                 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9FB21C651E98DF25)]
@@ -163,6 +163,8 @@ def _signatures(shingle: int, t: int):
                 none = pa.nulls(len(keys), pa.int64())
                 yield pa.RecordBatch.from_arrays([none, none, _signed(fp[fresh][of]), none, _signed(keys),
                                                   pa.nulls(len(keys), pa.binary())], names=_NAMES)
+        seen.clear()
+        give_back()
     return run
 
 
@@ -282,6 +284,7 @@ def jaccard_groups(docs: DataFrame, shingle: int = 5, threshold: int = 80, id_co
     there is none) and links nothing itself.  Other columns are ignored.  An empty table gives an empty result.
     """
     t = int(threshold)
+    bounded_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = store(base.mapInArrow(_signatures(shingle, t), _SIGNED), "jj-signed")
     sigs = signed.where("key is null").select("doc_id", "n", "fp", "fp2")

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import sub_batches
+from .common import bounded_batches, give_back
 
 # ISO 639-1 codes by family.  A language that is not listed is a family of its own.
 FAMILIES = {
@@ -181,6 +182,7 @@ def train_languages(docs: DataFrame, usable: Column, per_language: int = 600, la
     The sample is the rows of the smallest id hashes, by a threshold from the languages' counts, so it is bounded at any size.
     Rows without a language, and texts without a letter, teach nothing.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}  # one row a language
     languages = sorted(counts)
@@ -204,6 +206,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
     Null texts and texts without a letter are ``und`` with score 0, as is every text when nothing could be learned.  Every
     row is kept, repeated ones too, and other columns stay (an existing column ``out`` is replaced).
     """
+    bounded_batches(docs.sparkSession)
     if not model.languages:
         return docs.withColumn(out, F.struct(F.lit(UNDETERMINED).alias("lang"), F.lit(0.0).alias("score")))
 
@@ -216,4 +219,5 @@ def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "te
                 scores.append(b)
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()),
                                               pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=["lang", "score"])
+        give_back()
     return docs.withColumn(out, F.arrow_udf(run, "struct<lang:string,score:double>").asNondeterministic()(F.col(text_col)))

@@ -17,7 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TABLE_WORDS = 400_000
+from .common import bounded_batches, give_back
+
+TABLE_WORDS = 150_000
 LONG_WORD = 256
 _MARK = "▁"
 _MARKED = re.compile(" +[^ ]*")
@@ -34,8 +36,8 @@ class ChunkTable:
         pieces = [self.sp.id_to_piece(i) for i in range(n)]
         #: marked words are independent: no piece has a marker after anything else, and white space is kept as it is
         self.apart = (not any(_MARK in p.lstrip(_MARK) for p in pieces) and self.sp.encode("a  b \t") ==
-                      self.sp.encode("a") + [self.sp.piece_to_id(_MARK)] * 0 + self._tail("  b \t"))
-        self.table: dict[str, np.ndarray] = {}
+                      self.sp.encode("a") + self._tail("  b \t"))
+        self.table: dict[str, bytes] = {}  # a marked word's ids, as int32
 
     def _tail(self, text: str) -> list[int]:
         """Ids of a text that begins with a space, as they are within a longer text."""
@@ -46,10 +48,14 @@ class ChunkTable:
         return self.sp.encode(word) if word else [self.sp.piece_to_id(_MARK)]
 
     def ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.raw(text), np.int32)
+
+    def raw(self, text: str) -> bytes:
+        """The ids' bytes."""
         if not text:
-            return np.zeros(0, np.int32)
+            return b""
         if not self.apart:
-            return np.array(self.sp.encode(text), np.int32)
+            return np.array(self.sp.encode(text), np.int32).tobytes()
         if _MARK in text:
             text = text.replace(_MARK, " ")
         words = text.split(" ")
@@ -57,14 +63,14 @@ class ChunkTable:
             words = [w[1:] for w in _MARKED.findall(" " + text)]
         table = self.table
         try:
-            return np.concatenate([table[w] for w in words])
+            return b"".join([table[w] for w in words])
         except KeyError:
             pass
         own = {}
         for w in words:
             if w not in table and w not in own:
-                own[w] = np.array(self._segment(w), np.int32)
-        out = np.concatenate([table[w] if w in table else own[w] for w in words])
+                own[w] = np.array(self._segment(w), np.int32).tobytes()
+        out = b"".join([table[w] if w in table else own[w] for w in words])
         if len(table) + len(own) > TABLE_WORDS:
             table.clear()
         table.update((w, x) for w, x in own.items() if len(w) <= LONG_WORD)
@@ -75,10 +81,13 @@ def _encoder(model: bytes):
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = ChunkTable(model)
         for column in parts:
-            ids = [table.ids(t) if t else np.zeros(0, np.int32) for t in column.to_pylist()]
-            off = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) for x in ids], out=off[1:])
-            yield pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+            flat, off = bytearray(), np.zeros(len(column) + 1, np.int32)
+            for i, text in enumerate(column):  # one text at a time in memory besides the batch
+                flat += table.raw(text.as_py() or "")
+                off[i + 1] = len(flat) // 4
+            yield pa.ListArray.from_arrays(pa.array(off), pa.Array.from_buffers(pa.int32(), int(off[-1]), [None, pa.py_buffer(flat)]))
+        table.table.clear()
+        give_back()
     return F.arrow_udf(encode, "array<int>").asNondeterministic()
 
 
@@ -94,7 +103,9 @@ def _decoder(model: bytes):
         marked = np.array([s.startswith(b" ") for s in surface])
         for column in parts:
             flat = column.flatten().to_numpy()
-            ends = np.cumsum([0, *(len(x) if x.is_valid else 0 for x in column)])
+            import pyarrow.compute as pc
+
+            ends = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy()))
             out = []
             for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
                 ids = flat[a:b]
@@ -107,6 +118,7 @@ def _decoder(model: bytes):
                         text = None
                 out.append(sp.decode(ids.tolist()) if text is None else text)
             yield pa.array(out, pa.string())
+        give_back()
     return F.arrow_udf(decode, "string").asNondeterministic()
 
 
@@ -125,9 +137,11 @@ def encode_pieces(docs: DataFrame, model: bytes, text_col: str = "text", out: st
 
     Null and empty texts have no ids.  Rows, repeated ones too, and other columns stay; a column ``out`` is replaced.
     """
+    bounded_batches(docs.sparkSession)
     return docs.withColumn(out, _encoder(model)(F.col(text_col)))
 
 
 def decode_pieces(docs: DataFrame, model: bytes, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the text of each id list in ``out``, as the library's ``decode`` gives it; null or no ids give ''."""
+    bounded_batches(docs.sparkSession)
     return docs.withColumn(out, _decoder(model)(F.col(ids_col)))

@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 KINDS = ("assign", "access", "hex", "id", "blob", "endpoint")
 REACH = 300
 RESULT = "array<struct<kind:string,start:bigint,end:bigint>>"
@@ -118,6 +120,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", out: str = "secrets")
     By start, then kind in the order of ``KINDS``.  Null and empty texts have no spans; every row is kept, repeated ones too;
     other columns stay as they are (an existing column ``out`` is replaced).
     """
+    bounded_batches(docs.sparkSession)
     scan = F.arrow_udf(_scan, RESULT).asNondeterministic()
     return docs.withColumn(out, scan(F.col(text_col)))
 

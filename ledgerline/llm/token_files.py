@@ -19,6 +19,8 @@ which mix the predictions into one three-way decision; "neither" is followed by
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -42,7 +44,7 @@ _HEAD = "<4sHHIIIIQ"
 _SAME = np.uint64(1 << 48)  # the top 16 bits of low and low + range agree below this
 _BOT = np.uint64(1 << 32)
 _16, _48 = np.uint64(16), np.uint64(48)
-TABLE_WORDS = 800_000
+TABLE_WORDS = 1_000_000
 
 
 class _Models:
@@ -287,46 +289,63 @@ def unpack_block(block: bytes) -> tuple[list, list[int], np.ndarray, int]:
     return doc_ids, lengths, ids, position
 
 
+_SPACES = bytes.maketrans(b"\t\n\r", b"   ")
+_LOWER = bytes.maketrans(b"\t\n\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"   abcdefghijklmnopqrstuvwxyz")
+_CAPITAL_WITH_MARK = re.compile(rb"[A-Z][\xcc\xcd]")
+
+
 class WordTable:
     """Ids of whole texts by a table of distinct words.
 
-    The tokenizer drops white space and splits at it, and its normaliser changes nothing across it, so a text's ids are those
-    of its runs between spaces, tabs and line ends, in order.  New words that are plain letters are encoded together, parted
-    by spaces: each gives one unit that ends in a word-end token.  Others are encoded one by one.
+    A tokenizer that composes characters, lower-cases, drops white space and splits at it gives a text the ids of its runs
+    between spaces, tabs and line ends, in order.  Plain new words (lower-case letters only, composed) are encoded together by
+    a copy of the tokenizer that has nothing left to do but split at spaces and merge; each gives one unit that ends in a
+    word-end token.  All others, and texts that may hold special tokens, go through the tokenizer itself, as does every text
+    of a tokenizer of another make.
     """
 
-    _space = str.maketrans("\t\n\r", "   ")
-
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(tokenizer)
         vocabulary = self.tok.get_vocab(True)
         self.size = max(vocabulary.values()) + 1
+        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.last = np.zeros(self.size, bool)  # tokens that end a unit
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.table: dict[str, bytes] = {"": b""}
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
-
-    def _add(self, words: list[str]) -> None:
+        make = json.loads(tokenizer)
+        norm = [x["type"] for x in (make["normalizer"] or {}).get("normalizers", ())]
+        split = [x["type"] for x in (make["pre_tokenizer"] or {}).get("pretokenizers", ())]
+        self.by_word = norm == ["NFC", "Replace", "Lowercase"] and split == ["Split", "ByteLevel"] and \
+            make["pre_tokenizer"]["pretokenizers"][0]["invert"] and make["post_processor"] is None
+        if self.by_word:
+            make["normalizer"] = None
+            make["pre_tokenizer"]["pretokenizers"][0] = {"type": "WhitespaceSplit"}
+            self.merge = Tokenizer.from_str(json.dumps(make))
+        self.special = tuple(x["content"].encode() for x in make["added_tokens"])
+        self.table: dict[bytes, bytes] = {b"": b""}
+
+    def _encode(self, text: str, tok=None) -> np.ndarray:
+        return np.array((tok or self.tok).encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _add(self, words: list[bytes]) -> None:
         table = self.table
         plain, ends, rest = {}, [], []
         for w in words:
-            core = w[:-1] if w[-1] in ",." else w
-            if core.isalpha() and core.lower().isalpha() and is_normalized("NFC", core):
+            core = w[:-1] if w[-1] in b",." else w
+            text = core.decode()
+            if text.isalpha() and (text.isascii() and text.islower()
+                                   or text == text.lower() and is_normalized("NFC", text)):
                 if core not in table:
-                    plain[core] = None
+                    plain[core] = text
                 if core is not w:
-                    ends.append((w, core, w[-1]))
+                    ends.append((w, core, w[-1:]))
             else:
                 rest.append(w)
         if ends:
-            rest += [c for c in (",", ".") if c not in table]
+            rest += [c for c in (b",", b".") if c not in table]
         if plain:
-            ids = self._encode(" ".join(plain))
+            ids = self._encode(" ".join(plain.values()), self.merge)
             cut = np.flatnonzero(self.last[ids]) + 1
             if len(cut) == len(plain) and cut[-1] == len(ids):
                 raw, n, at = ids.tobytes(), ids.itemsize, 0
@@ -336,22 +355,37 @@ class WordTable:
             else:
                 rest += plain
         for w in dict.fromkeys(rest):
-            table[w] = self._encode(w).tobytes()
+            table[w] = self._encode(w.decode()).tobytes()
         for w, core, end in ends:
             table[w] = table[core] + table[end]
 
     def ids(self, text: str) -> np.ndarray:
-        words = text.translate(self._space).split(" ")
+        raw = text.encode()
+        if not self.by_word or any(x in raw for x in self.special) or b"<|" in raw:
+            return self._encode(text)
+        # a capital before a combining mark may compose otherwise than its small letter
+        words = raw.translate(_SPACES if _CAPITAL_WITH_MARK.search(raw) else _LOWER).split(b" ")
         table = self.table
         try:
-            raw = b"".join([table[w] for w in words])
+            got = b"".join([table[w] for w in words])
         except KeyError:
             if len(table) > TABLE_WORDS:
                 table.clear()
-                table[""] = b""
+                table[b""] = b""
             self._add([w for w in dict.fromkeys(words) if w not in table])
-            raw = b"".join([table[w] for w in words])
-        return np.frombuffer(raw, self.dtype)
+            got = b"".join([table[w] for w in words])
+        return np.frombuffer(got, self.dtype)
+
+
+def _word_table(tokenizer: str) -> WordTable:
+    """This worker process's table; its later tasks find it filled."""
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("_ledgerline_tables", {})
+    if tokenizer not in held:
+        held.clear()
+        held[tokenizer] = WordTable(tokenizer)
+    return held[tokenizer]
 
 
 def _writer(tokenizer: str, end_id: int):
@@ -361,7 +395,7 @@ def _writer(tokenizer: str, end_id: int):
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        table = WordTable(tokenizer)
+        table = _word_table(tokenizer)
         vocabulary = max(table.size, end_id + 1)
         part = TaskContext.get().partitionId()
         docs, lengths, ids, held, position = [], [], [], 0, 0
