@@ -191,6 +191,9 @@ def evaluate_rules(rules: DataFrame | list[dict], objects: Callable[[str], DataF
     """
     rows = [r.asDict() for r in bounded_collect(rules, MAX_RULES, "rules")] \
         if isinstance(rules, DataFrame) else list(rules)
+    # country and region are bound in the whole rule, not in its condition only
+    rows = [r | {f: bind_predicate(r[f], ctx.run_date, r["Country"], ctx.region)
+                 for f in ("ErrorDescription", "Recommendation", "CountryKeyField") if r.get(f)} for r in rows]
     resolve = objects.__getitem__ if isinstance(objects, Mapping) else objects
     by_object: dict[str, list[dict]] = {}
     problems: list[RuleProblem] = []
@@ -257,6 +260,9 @@ def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunConte
         if is_table[i] and name.endswith(K.HISTORY_SUFFIX) and fld and r.get("ErrorCode") != K.COUNTRY_ERROR_CODE:
             bound = bind_predicate(r.get("AdditionalCondition") or "TRUE", ctx.run_date, r["Country"], ctx.region)
             gkey = (bound,) + tuple((k, str(v)) for k, v in sorted(r.items()) if k != "Country")
+            if any(x["Country"] == r["Country"] for x in merged.get(gkey, ())):
+                items.append((r, None))       # a rule fanned out twice reports twice
+                continue
             if gkey not in merged:
                 merged[gkey] = []
                 items.append((r, merged[gkey]))   # the list fills in as later countries arrive

@@ -75,11 +75,12 @@ def summary_rows(baseline: DataFrame, stage_failures: DataFrame, mismatch: DataF
                  thresholds: DataFrame, keys: list[str]) -> DataFrame:
     """Per key: stage failures, count mismatch, total, threshold, percentage and status.
 
-    ``thresholds`` carries ``keys`` + ``threshold`` text ('' -> 0).
+    ``thresholds`` carries ``keys`` + ``threshold`` text ('' -> 0).  A key without baseline rows keeps its failures
+    (baseline 0).
     """
-    j = baseline.join(stage_failures, keys, "left")
+    j = baseline.join(stage_failures, keys, "full")
     if mismatch is not None:
-        j = j.join(mismatch.select(*keys, "g2vsviewcountfailure"), keys, "left")
+        j = j.join(mismatch.select(*keys, "g2vsviewcountfailure"), keys, "full")
     else:
         j = j.withColumn("g2vsviewcountfailure", F.lit(0).cast("long"))
     j = j.join(small_side(thresholds), keys, "left")

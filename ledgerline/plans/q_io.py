@@ -135,7 +135,7 @@ def staging_expired(spark, sf_dir):
 
 # ----------------------------------------------------------------------------- G7, I9, I8
 
-_RC_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+_RC_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 def _edited_orders(t: Tables):
@@ -143,12 +143,15 @@ def _edited_orders(t: Tables):
     kept = o.where(F.col("o_orderkey") % 11 != 0)
     changed = kept.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 13 == 0, F.lit("9-CHANGED"))
                               .otherwise(F.col("o_orderpriority")))
+    changed = changed.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 19 == 0, F.col("o_totalprice") + 1)
+                                 .otherwise(F.col("o_totalprice")))
     dups = o.where(F.col("o_orderkey") % 17 == 0)
     return o, changed.unionByName(dups)
 
 
-_EDIT_SQL = """a AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders),
+_EDIT_SQL = """a AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders),
 b AS (SELECT o_orderkey, o_custkey, o_orderstatus,
+        CASE WHEN o_orderkey % 19 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate,
         CASE WHEN o_orderkey % 13 = 0 THEN '9-CHANGED' ELSE o_orderpriority END AS o_orderpriority
       FROM a WHERE o_orderkey % 11 <> 0
       UNION ALL SELECT * FROM a WHERE o_orderkey % 17 = 0)"""
@@ -164,8 +167,7 @@ def tables_reconciled(spark, sf_dir):
 
 
 @query("dependencies_missing", """WITH req AS (SELECT DISTINCT n_name AS country, CAST(o_orderdate AS DATE) AS day
-    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-    WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'),
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
 ld AS (SELECT DISTINCT n_name AS country, CAST(l_shipdate AS DATE) AS day
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)
 SELECT * FROM req WHERE NOT EXISTS (SELECT 1 FROM ld WHERE ld.country = req.country AND ld.day = req.day)""")
@@ -174,7 +176,6 @@ def dependencies_missing(spark, sf_dir):
     t = Tables(spark, sf_dir)
     req = (t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
            .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-           .where(F.col("o_orderdate") >= F.lit("1999-01-01 00:00:00").cast("timestamp_ntz"))
            .select(F.col("n_name").alias("country"), F.to_date("o_orderdate").alias("day")))
     ld = (t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
           .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))

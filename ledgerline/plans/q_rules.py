@@ -443,7 +443,7 @@ def _customer_history(t: Tables):
 
 
 COMPONENTS_RUN_SQL = f"""WITH seg AS (SELECT DISTINCT c_mktsegment AS comp FROM customer JOIN nation ON c_nationkey = n_nationkey
-    WHERE n_name IN {_ASIA} AND c_mktsegment <> 'MACHINERY')
+    WHERE n_name IN {_ASIA})
 SELECT '{ORCHESTRATOR}' AS orchestratorid, 'dag05' AS stage, '{RUN_REGION}' AS region, n_name AS country,
   '{SOURCE}' AS source, c_mktsegment AS sourcecomponent, 'customer_history' AS objectname, 'High' AS errorseverity,
   'Error' AS type, 'Quantity above limit;c_custkey:' || {_lf('c_custkey')} || '|c_mktsegment:' || {_lf('c_mktsegment')}
@@ -469,7 +469,7 @@ def component_fanout_run(spark, sf_dir):
                   Component=c) for c in comps]
     ctx = _ctx()
     rules = R.resolve_rules(C.rules_config(t, specs), C.error_map(spark), C.severity_map(spark), fm,
-                            C.vendor_region(spark), ctx, countries, components=[c for c in comps if c != "MACHINERY"])
+                            C.vendor_region(spark), ctx, countries, components=comps)
     log, problems = R.evaluate_rules(rules, {"customer_history": _customer_history(t)}, ctx)
     if problems:
         raise RuntimeError(f"rule problems: {problems}")

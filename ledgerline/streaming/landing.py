@@ -2,31 +2,29 @@
 
 Message-triggered ingestion becomes a file-source stream: every new file under the landing
 folder is read once (the stream's checkpoint remembers which), stamped with
-``rawingestiondttm`` and the micro-batch id, and appended to the landing table.  A batch id
-already present in the sink is skipped, so a replay after a failure is harmless.  The dated
+``rawingestiondttm``, and written to the landing table's partition of its own batch, named by the
+stream's checkpoint folder and the micro-batch number.  A replay after a failure overwrites that
+partition, and streams with other checkpoints add to the same sink.  The dated
 history snapshot then runs as a batch job over the landed data; ``replace_slice`` is never
 run inside ``foreachBatch`` (a second micro-batch of the same date would erase the first).
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _batch_writer(sink: str, ingest_ts: str | None):
+def _batch_writer(sink: str, checkpoint: str, ingest_ts: str | None):
+    stream = "s" + hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        try:
-            done = spark.read.parquet(sink).where(F.col("_batch_id") == batch_id).limit(1).count() > 0
-        except Exception:  # sink not created yet
-            done = False
-        if done:
-            return
         ts = F.lit(ingest_ts).cast("timestamp_ntz") if ingest_ts else F.localtimestamp()
-        (batch.withColumn("rawingestiondttm", ts).withColumn("_batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("append").parquet(sink))
+        (batch.withColumn("rawingestiondttm", ts)
+         .write.mode("overwrite").parquet(f"{sink.rstrip('/')}/_batch_id={stream}-{batch_id}"))
     return write
 
 
@@ -39,11 +37,12 @@ def stream_landing(spark: SparkSession, source_dir: str, schema: T.StructType, s
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    q = (r.load(source_dir).writeStream.foreachBatch(_batch_writer(sink, ingest_ts))
+    q = (r.load(source_dir).writeStream.foreachBatch(_batch_writer(sink, checkpoint, ingest_ts))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     q.stop()
 
 
 def read_landed(spark: SparkSession, sink: str) -> DataFrame:
-    return spark.read.parquet(sink)
+    # the batches' folders are listed by name: a leading underscore hides them from a plain read of the sink
+    return spark.read.option("basePath", sink).parquet(f"{sink.rstrip('/')}/_batch_id=*")

@@ -59,10 +59,20 @@ def test_landing_replay_is_harmless(spark, tmp_path):
     sink, ck = str(tmp_path / "sink"), str(tmp_path / "ck")
     LD.stream_landing(spark, str(src / "a"), schema, sink, ck, ingest_ts="2024-01-15 00:00:00")
     LD.stream_landing(spark, str(src / "a"), schema, sink, ck, ingest_ts="2024-01-15 00:00:00")   # same checkpoint
-    LD.stream_landing(spark, str(src / "a"), schema, sink, str(tmp_path / "ck2"))                # replayed batch id 0
+    LD._batch_writer(sink, ck, None)(spark.range(5).withColumnRenamed("id", "k"), 0)             # replayed batch
     assert LD.read_landed(spark, sink).count() == 5
 
 
+def test_landing_streams_share_a_sink(spark, tmp_path):
+    sink = str(tmp_path / "sink")
+    for i, n in enumerate((3, 4)):
+        spark.range(n).withColumnRenamed("id", "k").write.parquet(str(tmp_path / f"src{i}"))
+        schema = spark.read.parquet(str(tmp_path / f"src{i}")).schema
+        for _ in range(2):
+            LD.stream_landing(spark, str(tmp_path / f"src{i}"), schema, sink, str(tmp_path / f"ck{i}"))
+    assert LD.read_landed(spark, sink).count() == 7
+
+
 def test_replace_partitions_touches_only_the_slice(spark, tmp_path):
     import datetime as dt
     from ledgerline.sinks import tables as SK
