@@ -110,6 +110,8 @@ class LanguageModel:
 
     def __init__(self, languages: list[str], sample: list[tuple[str, bytes]]):
         self.languages = languages
+        if not languages:
+            return
         family = [_FAMILY_OF.get(x, x) for x in languages]
         self.families = sorted(set(family))
         self.of = [[i for i, f in enumerate(family) if f == g] for g in self.families]

@@ -1,0 +1,119 @@
+"""Nulls, empty and long texts, repeated rows, clashing columns and empty tables, for each operator."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import decontaminate as dc
+from ledgerline.llm import secrets as sc
+from ledgerline.llm.embedding_dedup import near_vectors
+from ledgerline.llm.extract import extract_text
+from ledgerline.llm.hilbert import hilbert_index, quantise_hash, shard_by_curve
+from ledgerline.llm.langid import predict_languages, train_languages
+from ledgerline.llm.pieces import decode_pieces, encode_pieces, read_model
+from ledgerline.llm.quality import score_quality, train_quality
+from ledgerline.llm.token_files import pack_block, read_token_files, read_tokenizer, unpack_block, write_token_files
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, ids string, key int"
+ROWS = [(1, "the cat and the dog", "en", "a", 19, "s", "i", 1), (1, "the cat and the dog", "en", "a", 19, "s", "i", 1),
+        (2, None, None, None, None, None, None, None), (3, "", "en", "a", 0, "s", "i", 1), (None, "12 34", None, None, None, None, None, None),
+        (4, "der hund und die katze " * 4000, "de", "b", None, "s", "i", 2), (5, "le chat et le chien", "fr", None, -5, "s", "i", 3)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_row_preserving_operators(spark, docs, none):
+    model = read_model()
+    langs = train_languages(docs, F.lit(True))
+    bench = spark.createDataFrame([(9, "The cat and THE dog"), (None, None), (7, "")], "item_id long, text string")
+    for op in (lambda d: score_quality(d, None), sc.find_secrets, lambda d: predict_languages(d, langs),
+               lambda d: dc.mark_contamination(d, bench), lambda d: encode_pieces(d, model)):
+        got = op(docs)
+        assert got.count() == len(ROWS) and set(docs.columns) <= set(got.columns)
+        assert op(none).collect() == []
+    lang = {(r.doc_id, r.language.lang) for r in predict_languages(docs, langs).collect()}
+    assert {(2, "und"), (3, "und"), (None, "und"), (4, "de")} <= lang
+    assert predict_languages(docs, train_languages(none, F.lit(True))).where("language.lang <> 'und'").count() == 0
+    kept = dc.decontaminate(docs, bench)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "3", "4", "5", "None"] and kept.columns == docs.columns
+    cut = {r.doc_id: r.text for r in dc.decontaminate(docs, bench, "spans").collect()}
+    assert cut[1] == "" and cut[5] == "le chat et le chien" and cut[2] is None
+    assert train_quality(docs, spark.createDataFrame([], "doc_id long, quality int"), F.lit(True)) is None
+
+
+def test_pieces_round_trip(docs):
+    model = read_model()
+    back = decode_pieces(encode_pieces(docs, model), model)
+    assert all(r.decoded == (r.text or "") for r in back.collect())
+
+
+def test_secret_links_need_their_parts(spark):
+    blob = "aB3" + "xYz9Qw" * 6
+    texts = [f"https://db.example.com/x client_id=svc-77 {blob}", f"{blob} alone", "client_id=svc-77 alone",
+             f"client_id=svc-77\n\n{blob}", "password: hunter22 client_id=svc-77"]
+    got = [[s.kind for s in r.secrets] for r in sc.find_secrets(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == [["endpoint", "id", "blob"], [], [], [], ["assign", "id"]]
+    clean = sc.redact_secrets(spark.createDataFrame([(1, "é password: hunter22!"), (2, None)], "doc_id long, text string"))
+    assert {r.doc_id: r.text for r in clean.collect()} == {1: "é [secret]!", 2: None}
+
+
+def test_shards(spark, docs, none):
+    dims = [quantise_hash(F.col("lang"), 4), quantise_hash(F.col("source"), 4)]
+    r = shard_by_curve(docs, dims, [F.col("doc_id")], 3, 4).collect()
+    assert sorted(x.position for x in r) == list(range(7)) and sorted(x.shard for x in r) == [0, 0, 0, 1, 1, 2, 2]
+    assert shard_by_curve(none, dims, [F.col("doc_id")], 3, 4).collect() == []
+
+
+@pytest.mark.parametrize("n,bits", [(2, 4), (3, 3)])
+def test_curve_visits_neighbours(spark, n, bits):
+    """Every grid point has an index of its own, and consecutive ones are one step apart."""
+    grid = spark.range((1 << bits) ** n).select(*(F.shiftright("id", bits * k).bitwiseAND(F.lit((1 << bits) - 1)).alias(f"x{k}")
+                                                  for k in range(n)))
+    rows = grid.select("*", hilbert_index([F.col(f"x{k}") for k in range(n)], bits).alias("h")).orderBy("h").collect()
+    assert [r.h for r in rows] == list(range((1 << bits) ** n))
+    assert all(sum(abs(a[k] - b[k]) for k in range(n)) == 1 for a, b in zip(rows, rows[1:]))
+
+
+def test_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [2.0, 0.1]), (4, None), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]),
+            (7, [None, 1.0]), (8, [1.0]), (9, []), (None, [0.0, 1.0]), (10, [0.0, 1.0])]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == sorted(
+        [(1, 3, 1), (2, 3, 1), (2, 3, 1), (3, 3, 1), (4, 0, 4), (5, 0, 5), (6, 0, 6), (7, 0, 7), (8, 0, 8), (9, 0, 9),
+         (None, 1, 10), (10, 1, 10)], key=str)
+    assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_pages(spark):
+    page = """<body><div class=menu>Menu</div><main><h1>A &amp; B</h1><p>First  one<br>two<p>Second <a href=x>link</a>
+      <aside>Side</aside><ul><li>x<li>y</ul><form>Go</form><script>"</p>"</script></main><div id="comments"><p>Nice!</p></div></body>"""
+    rows = [(1, "http://h/1", page), (2, None, None), (3, "http://h/2", ""), (4, "x", "plain"), (1, "http://h/1", page)]
+    got = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    want = "A & B\nFirst one two\nSecond link\nx\ny"
+    assert sorted((r.page_id, r.text) for r in got) == [(1, want), (1, want), (2, ""), (3, ""), (4, "plain")]
+
+
+def test_token_files(spark, docs, none, tmp_path):
+    for d, n in ((docs, len(ROWS)), (none, 0)):
+        path = str(tmp_path / f"t{n}")
+        write_token_files(d, path, read_tokenizer())
+        got = read_token_files(spark, path).orderBy("start").collect()
+        assert len(got) == n and [r.doc_id for r in got] == sorted((r[0] for r in ROWS[:n]), key=lambda x: (x is not None, x or 0))
+        assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+    import numpy as np
+    block = bytearray(pack_block([1, None], [3, 2], np.array([5, 6, 2, 7, 2], np.int32), 0, 100))
+    assert unpack_block(bytes(block))[2].tolist() == [5, 6, 2, 7, 2]
+    block[20] ^= 1
+    with pytest.raises(ValueError):
+        unpack_block(bytes(block))
+    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
