@@ -34,9 +34,10 @@ def test_count_mismatch_and_summary(spark):
     thr = spark.createDataFrame([("A", "30"), ("B", "")], "k string, threshold string")
     s = TH.summary_rows(base, TH.failure_counts(log, ["k"]), mm, thr, ["k"])
     got = rows(s, "k", "stagefailure", "g2vsviewcountfailure", "totalfailure", "errorpercentage", "status")
-    assert got == [("A", 1, 3, 4, 40.0, "Failure"), ("B", 1, 1, 2, 0.0, "Success")]
+    assert got == [("A", 1, 3, 4, 40.0, "Failure"), ("B", 1, 1, 2, 0.0, "Success"),
+                   ("C", 0, 1, 1, 0.0, "Success")]       # no baseline row: the failure stays
     flags = TH.access_threshold(s, ["k"])
-    assert rows(flags) == [("A", "Y"), ("B", "N")]
+    assert rows(flags) == [("A", "Y"), ("B", "N"), ("C", "N")]
 
 
 def test_log_with_stage_drops_unmapped(spark):
