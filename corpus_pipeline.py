@@ -65,7 +65,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language_id", identify_language), ("near_copies", drop_near_copies), ("decontamination", drop_contaminated),
           ("secrets", redact), ("tokens", tokenize)]
 
-#: SQL can't express language ID and tokenization; the tests run the pipeline against brute force.
+#: SQL can't express language ID and tokenization.
 ORACLE_SQL = None
 
 
