@@ -511,3 +511,14 @@ def check_and_split(lines: DataFrame, compiled: CompiledRules, refs: References,
         return viol, clean, failed
     keep = list(lines.columns)
     return viol, flagged.where(~F.col("failed")).select(*keep), flagged.where(F.col("failed")).select(*keep)
+
+
+def unknown_rule_report(lines: DataFrame, compiled: CompiledRules, line_col: str = "line") -> DataFrame:
+    """Each rule whose operator has no check, with the number of records of its type it leaves unchecked."""
+    rules = lines.sparkSession.createDataFrame(
+        [(r["AdditionalCondition"], r["Operator"], str(r["ObjectField"])) for r in compiled.unknown],
+        "record_type string, operator string, object_field string")
+    counts = (lines.groupBy(F.get(F.split(F.col(line_col), r'\|"', -1), 0).alias("record_type"))
+              .agg(F.count(F.lit(1)).alias("__n")))
+    return rules.join(counts, "record_type", "left").select(
+        "record_type", "operator", "object_field", F.coalesce("__n", F.lit(0)).cast("long").alias("n_unchecked"))

@@ -44,6 +44,15 @@ def render_row(layout: str, variables: list[str], columns: list[str]) -> Column:
     return expr
 
 
+def order_key(order_col: str | None) -> Column:
+    """The configured order columns (a comma list, any type) as one sortable value: a single column
+    as it is, several as a struct (compared field by field, NULLs first)."""
+    names = [c.strip() for c in (order_col or "").split(",") if c.strip()]
+    if not names:
+        return F.lit(None).cast("long")
+    return F.col(f"`{names[0]}`") if len(names) == 1 else F.struct(*[F.col(f"`{c}`") for c in names])
+
+
 def render_body(files: DataFrame, views: list[DataFrame], layouts: list[dict], file_key: str,
                 order_col: str | None, functions: dict[str, str] | None = None) -> DataFrame:
     """Body lines of every file, one frame.
@@ -56,6 +65,8 @@ def render_body(files: DataFrame, views: list[DataFrame], layouts: list[dict], f
     if len(views) != len(layouts):
         raise ValueError(f"{len(views)} views but {len(layouts)} layouts")
     functions = functions or {}
+    okey = order_key(order_col).alias("order_key")
+    otype = views[0].select(okey).schema["order_key"].dataType
     parts = []
     n = len(views)
     for pos, (view, layout) in enumerate(zip(views, layouts)):
@@ -71,20 +82,21 @@ def render_body(files: DataFrame, views: list[DataFrame], layouts: list[dict], f
                         text = text.replace("{" + fn + "}", functions[fn])
                 parts.append(files.select(
                     F.col(file_key), F.lit(rank).alias("view_rank"), F.lit(b).alias("block"),
-                    F.lit(None).cast("long").alias("order_key"), F.lit(text).alias("line")))
+                    F.lit(None).cast(otype).alias("order_key"), F.lit(text).alias("line")))
             else:
                 names = [v["ViewFieldName"] for v in block.get("Variables", [])]
-                okey = F.col(order_col).cast("long") if order_col else F.lit(None).cast("long")
                 parts.append(view.select(
                     F.col(file_key), F.lit(rank).alias("view_rank"), F.lit(b).alias("block"),
-                    okey.alias("order_key"), render_row(block["Layout"], names, view.columns).alias("line")))
+                    okey, render_row(block["Layout"], names, view.columns).alias("line")))
     body = reduce(lambda a, c: a.unionByName(c), parts)
     return body.withColumn("section", F.lit(SECTION_BODY))
 
 
 def header_lines(files: DataFrame, file_key: str, header: dict,
-                 header_function: Callable[[DataFrame], Column] | None = None) -> DataFrame:
-    """Fixed header values (one line each) or a user function of the file row."""
+                 header_function: Callable[[DataFrame], Column] | None = None, order_type="long") -> DataFrame:
+    """Fixed header values (one line each) or a user function of the file row.
+
+    ``order_type`` is the type of the body's order key (NULL here)."""
     if header.get("IsFixed"):
         vals = list(header.get("Values", []))
         arr = F.array(*[F.lit(v) for v in vals]) if vals else F.array().cast("array<string>")
@@ -94,7 +106,7 @@ def header_lines(files: DataFrame, file_key: str, header: dict,
             raise KeyError(f"no header function {header.get('HeaderFunction')!r}")
         h = files.select(F.col(file_key), F.lit(0).alias("block"), header_function(files).alias("line"))
     return h.select(file_key, F.lit(SECTION_HEADER).alias("section"), F.lit(None).cast("int").alias("view_rank"),
-                    F.col("block").cast("int").alias("block"), F.lit(None).cast("long").alias("order_key"), "line")
+                    F.col("block").cast("int").alias("block"), F.lit(None).cast(order_type).alias("order_key"), "line")
 
 
 def footer_lines(files: DataFrame, body: DataFrame, file_key: str, footer: str | None) -> DataFrame | None:
@@ -105,7 +117,7 @@ def footer_lines(files: DataFrame, body: DataFrame, file_key: str, footer: str |
     f = files.select(file_key).join(counts, file_key, "left")
     total = (F.coalesce(F.col("__n"), F.lit(0)) + 2).cast("string")
     return f.select(file_key, F.lit(SECTION_FOOTER).alias("section"), F.lit(None).cast("int").alias("view_rank"),
-                    F.lit(0).alias("block"), F.lit(None).cast("long").alias("order_key"),
+                    F.lit(0).alias("block"), F.lit(None).cast(body.schema["order_key"].dataType).alias("order_key"),
                     F.replace(F.lit(footer), F.lit(K.TOTAL_LINE_COUNT_TOKEN), total).alias("line"))
 
 
@@ -115,7 +127,7 @@ def assemble_file(files: DataFrame, body: DataFrame, file_key: str, layout: dict
 
     Header and footer come from the given layout (the *last* layout of the file).
     """
-    parts = [header_lines(files, file_key, layout["Headers"], header_function),
+    parts = [header_lines(files, file_key, layout["Headers"], header_function, body.schema["order_key"].dataType),
              body.select(file_key, "section", F.col("view_rank").cast("int"), F.col("block").cast("int"),
                          "order_key", "line")]
     footers = layout.get("Footers") or []

@@ -130,19 +130,20 @@ def resolve_rules(config: DataFrame, error_map: DataFrame, severity_map: DataFra
 # --------------------------------------------------------------------------- D3 / E12
 
 def gate_by_threshold(rules: DataFrame, flags: DataFrame | None, override: bool,
-                      component: str = "") -> DataFrame:
+                      component: str = "", by_component: bool = False) -> DataFrame:
     """Keep rules of countries (and components) whose threshold was not exceeded.
 
     Bypassed when ``override`` is set or there are no flag rows.  Flag rows are
     ``{Country, Component?, Is_Threshold_Exceeded}``; only ``N`` lets a key through.
     Countries are compared upper-cased (and the gated rules carry the upper-cased
-    country); the component takes part only when the run names one, null-safely.
+    country); the component takes part, null-safely, when the run names one or fans out over
+    several (``by_component``).
     """
     if override or flags is None or flags.limit(1).count() == 0:
         return rules
     ok = flags.where(F.col("Is_Threshold_Exceeded") == F.lit(K.THRESHOLD_NOT_EXCEEDED))
     rules_u = rules.withColumn("Country", F.upper("Country"))
-    if component and "Component" in flags.columns:
+    if (component or by_component) and "Component" in flags.columns:
         keys = ok.select(F.upper("Country").alias("__gc"), F.col("Component").alias("__gm")).distinct()
         cond = (F.col("Country") == F.col("__gc")) & F.col("Component").eqNullSafe(F.col("__gm"))
     else:
@@ -392,7 +393,7 @@ def access_check(rules: DataFrame, objects, ctx: RunContext, log: DataFrame, cou
     never leaves stale violations.  ``problems`` lists rules that could not run; callers
     raise after writing the log (a failing rule does not stop the others).
     """
-    gated = gate_by_threshold(rules, flags, override, ctx.component)
+    gated = gate_by_threshold(rules, flags, override, ctx.component, components is not None)
     viol, problems = evaluate_rules(gated, objects, ctx, alias)
     if viol is None:
         viol = empty_log(log.sparkSession)
@@ -454,7 +455,7 @@ def run_access_check(spark: SparkSession, rules: DataFrame, objects, ctx: RunCon
     rule never hides the results of the others.
     """
     from ..sinks.tables import replace_partitions
-    gated = gate_by_threshold(rules, flags, override, ctx.component)
+    gated = gate_by_threshold(rules, flags, override, ctx.component, components is not None)
     viol, problems = evaluate_rules(gated, objects, ctx, alias)
     if viol is None:
         viol = empty_log(spark)

@@ -90,11 +90,11 @@ def _refs(t: Tables) -> RC.References:
     return RC.References(RUN_COUNTRY, SOURCE, wagetypes, infotypes, ck, wtc)
 
 
-def _compiled(t: Tables):
+def _compiled(t: Tables, specs=RECORD_SPECS):
     sp = t.spark
     ctx = R.RunContext(ORCHESTRATOR, "dag06", "ASIA", SOURCE, RUN_DATE, component="core", now=FIXED_NOW)
     fm = C.fields_map(sp, FILE_FIELDS)
-    rules = R.resolve_rules(C.rules_config(t, RECORD_SPECS), C.error_map(sp), C.severity_map(sp), fm,
+    rules = R.resolve_rules(C.rules_config(t, specs), C.error_map(sp), C.severity_map(sp), fm,
                             C.vendor_region(sp), ctx, [RUN_COUNTRY])
     scoped = RC.file_scope(rules, VENDOR, REGION_LC, RUN_COUNTRY, SOURCE_PATH, SOURCE_OBJECT)
     return RC.compile_rules(sp, scoped)

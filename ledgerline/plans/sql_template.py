@@ -7,6 +7,7 @@ parameters (``spark.sql(text, args=...)``) or as identifiers through ``IDENTIFIE
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +67,11 @@ def param_sql(spark: SparkSession, template: str, config: dict | None = None, ar
     text = apply_replacements(text, replacements, environment)
     text = bind_placeholders(text, country_key, feature_flag)
     return spark.sql(text, args=args or {})
+
+
+def run_step(spark: SparkSession, step: str | Callable[..., DataFrame], source: DataFrame | None = None,
+             params: dict | None = None, **sql) -> DataFrame:
+    """A user step of a run (L3): a callable over ``source`` (called with ``params``), or a SQL template for ``param_sql``."""
+    if callable(step):
+        return source.transform(step, **(params or {}))
+    return param_sql(spark, step, **sql)

@@ -8,6 +8,7 @@ convenience for tests, benches and scripts.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -56,11 +57,14 @@ CLUSTER_SETTINGS = {
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is used as is.  Only when it
-    is unset (local tests) do we pick a scratch folder under /tmp.
+    On a cluster the setting points at shared storage and is used as is; there, a missing
+    setting is an error, as executors don't share their local folders.  Only a single-machine
+    session (``local[...]``, as in tests) without it gets a scratch folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = os.path.join("/tmp", "ledgerline-ckpt-" + uuid.uuid4().hex[:8])
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

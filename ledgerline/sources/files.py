@@ -67,18 +67,15 @@ def publish_view(df: DataFrame, name: str, run_date: str) -> str:
 
 
 def publish_views(spark: SparkSession, configs: DataFrame, run_date: str, name_col: str = "ViewName",
-                  sql_col: str = "ViewSql", max_views: int = 10_000) -> list[str]:
+                  sql_col: str = "ViewSql") -> list[str]:
     """Publish one dated output view per configuration row.
 
     A view name has at least three dotted parts (``project.dataset.view``); the last part, suffixed
     with the run date, names the temp view, defined by the row's SQL (run as one Spark plan each).
-    View configurations are bounded configuration, collected with a row limit.
+    The configurations are streamed to the driver, which registers each name in the session catalog.
     """
-    rows = configs.select(name_col, sql_col).limit(max_views + 1).collect()
-    if len(rows) > max_views:
-        raise ValueError(f"more than {max_views} view configurations")
     published = []
-    for r in rows:
+    for r in configs.select(name_col, sql_col).toLocalIterator():
         parts = (r[name_col] or "").split(".")
         if len(parts) < 3 or not all(parts):
             raise ValueError(f"view name needs at least three dotted parts: {r[name_col]!r}")
@@ -95,10 +92,12 @@ def read_dated_view(spark: SparkSession, name: str, run_date: str, order_by: str
 
 
 def read_layout(spark: SparkSession, path: str) -> dict:
-    """One JSON layout document (configuration, small); missing or malformed raises."""
+    """One JSON layout document (configuration, small); missing, malformed or several files raise."""
     rows = spark.read.text(path, wholetext=True).limit(2).collect()
     if not rows:
         raise FileNotFoundError(path)
+    if len(rows) > 1:
+        raise ValueError(f"{path} matches several layout files")
     doc = json.loads(rows[0].value)
     if "Body" not in doc or "Headers" not in doc:
         raise ValueError(f"layout {path} needs Headers and Body")
