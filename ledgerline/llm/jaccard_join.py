@@ -42,7 +42,7 @@ def shingle_sets(words: Words, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.where(counts >= shingle, counts - shingle + 1, np.minimum(counts, 1))
     s = np.zeros(max(len(h) - shingle + 1, 0), np.uint64)
     for j in range(shingle):
-        s += h[j:len(h) - shingle + 1 + j] * _MULT[j]
+        s += h[j:len(s) + j] * _MULT[j]
     s = mix(s)
     out, ends = [], np.zeros(len(counts) + 1, np.int64)
     for i, (m, a) in enumerate(zip(sizes.tolist(), words.first.tolist())):
