@@ -204,4 +204,4 @@ def op10(spark, sf_dir):
     """Every document's place, length and checksum, as read back from range-coded token files."""
     path = scratch_path(spark, "token-files")
     write_token_files(Tables(spark, sf_dir).documents, path, read_tokenizer())
-    return read_token_files(spark, path).drop("ids")
+    return read_token_files(spark, path, with_ids=False)

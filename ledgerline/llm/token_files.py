@@ -23,7 +23,7 @@ import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from unicodedata import is_normalized
 
 import numpy as np
@@ -294,6 +294,11 @@ _LOWER = bytes.maketrans(b"\t\n\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"   abcdefghijklm
 _CAPITAL_WITH_MARK = re.compile(rb"[A-Z][\xcc\xcd]")
 
 
+def _plain(text: str) -> bool:
+    """Small letters only, composed."""
+    return text.isalpha() and text == text.lower() and is_normalized("NFC", text)
+
+
 class WordTable:
     """Ids of whole texts by a table of distinct words.
 
@@ -328,16 +333,14 @@ class WordTable:
     def _encode(self, text: str, tok=None) -> np.ndarray:
         return np.array((tok or self.tok).encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
-    def _add(self, words: list[bytes]) -> None:
+    def _add(self, words: Iterable[bytes]) -> None:
         table = self.table
         plain, ends, rest = {}, [], []
         for w in words:
             core = w[:-1] if w[-1] in b",." else w
-            text = core.decode()
-            if text.isalpha() and (text.isascii() and text.islower()
-                                   or text == text.lower() and is_normalized("NFC", text)):
+            if core.isalpha() and core.islower() or not core.isascii() and _plain(core.decode()):
                 if core not in table:
-                    plain[core] = text
+                    plain[core] = None
                 if core is not w:
                     ends.append((w, core, w[-1:]))
             else:
@@ -345,7 +348,7 @@ class WordTable:
         if ends:
             rest += [c for c in (b",", b".") if c not in table]
         if plain:
-            ids = self._encode(" ".join(plain.values()), self.merge)
+            ids = self._encode(b" ".join(plain).decode(), self.merge)
             cut = np.flatnonzero(self.last[ids]) + 1
             if len(cut) == len(plain) and cut[-1] == len(ids):
                 raw, n, at = ids.tobytes(), ids.itemsize, 0
@@ -354,8 +357,9 @@ class WordTable:
                     at = e
             else:
                 rest += plain
-        for w in dict.fromkeys(rest):
-            table[w] = self._encode(w.decode()).tobytes()
+        if rest:
+            for w, got in zip(rest, self.tok.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
+                table[w] = np.array(got.ids, self.dtype).tobytes()
         for w, core, end in ends:
             table[w] = table[core] + table[end]
 
@@ -366,15 +370,16 @@ class WordTable:
         # a capital before a combining mark may compose otherwise than its small letter
         words = raw.translate(_SPACES if _CAPITAL_WITH_MARK.search(raw) else _LOWER).split(b" ")
         table = self.table
-        try:
-            got = b"".join([table[w] for w in words])
-        except KeyError:
+        got = list(map(table.get, words))
+        if None in got:
             if len(table) > TABLE_WORDS:
                 table.clear()
                 table[b""] = b""
-            self._add([w for w in dict.fromkeys(words) if w not in table])
-            got = b"".join([table[w] for w in words])
-        return np.frombuffer(got, self.dtype)
+            new = [i for i, x in enumerate(got) if x is None]
+            self._add(dict.fromkeys(words[i] for i in new))
+            for i in new:
+                got[i] = table[words[i]]
+        return np.frombuffer(b"".join(got), self.dtype)
 
 
 def _word_table(tokenizer: str) -> WordTable:
@@ -444,9 +449,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     rows.mapInArrow(_writer(tokenizer, end_id), "part int, position long, n long, block binary").write.parquet(path)
 
 
-def read_token_files(spark, path: str) -> DataFrame:
+def read_token_files(spark, path: str, with_ids: bool = True) -> DataFrame:
     """One row per document: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, ids (array<int>).
 
+    Without ``with_ids`` the ids are decoded and verified all the same, but not handed on.
+
     Blocks are decoded where they are read; parts are put in order by their numbers of ids, one row a part.
     """
     blocks = spark.read.schema("part int, position long, n long, block binary").parquet(path)
@@ -466,10 +473,12 @@ def read_token_files(spark, path: str) -> DataFrame:
                 step = 2048
                 for k in range(0, len(docs), step):
                     e = ends[k:k + step + 1]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(docs[k:k + step], pa.int64()), pa.array(e[:-1] + position + before[part]),
-                         pa.array(lengths[k:k + step], pa.int64()), pa.array(crcs[k:k + step], pa.int64()),
-                         pa.ListArray.from_arrays(pa.array((e - e[0]).astype(np.int32)), pa.array(ids[e[0]:e[-1]]))],
-                        names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
-    return blocks.select("part", "block").mapInArrow(
-        decode, "doc_id long, start long, n_tokens long, ids_crc32 long, ids array<int>")
+                    columns = [pa.array(docs[k:k + step], pa.int64()), pa.array(e[:-1] + position + before[part]),
+                               pa.array(lengths[k:k + step], pa.int64()), pa.array(crcs[k:k + step], pa.int64())]
+                    if with_ids:
+                        columns.append(pa.ListArray.from_arrays(pa.array((e - e[0]).astype(np.int32)),
+                                                                pa.array(ids[e[0]:e[-1]])))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
+    names = [column.split()[0] for column in schema.split(", ")]
+    return blocks.select("part", "block").mapInArrow(decode, schema)
