@@ -28,10 +28,10 @@ RESULT = "array<struct<kind:string,start:bigint,end:bigint>>"
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_ID = re.compile(r"""(?:client|account|access|user|key)[_-]?id["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{4,}"""
-                 r"""|(?<![A-Za-z0-9+/_=-])(?=[A-Z0-9]*[0-9])(?=[A-Z0-9]*[A-Z])[A-Z0-9]{16,32}(?![A-Za-z0-9+/_=-])""", re.A)
-_BLOB = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])", re.A)
-_ENDPOINT = re.compile(r"""https?://[^\s"'<>]+|(?:endpoint|hostname|host|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::[0-9]{2,5})?""",
+_ID = re.compile(r"""(?i:client|account|access|user|key)[_-]?(?i:id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{4,}"""
+                 r"""|(?<![A-Za-z0-9+/_-])(?=[A-Z0-9]*[0-9])(?=[A-Z0-9]*[A-Z])[A-Z0-9]{16,32}(?![A-Za-z0-9+/_=-])""", re.A)
+_BLOB = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])", re.A)
+_ENDPOINT = re.compile(r"""(?i:https?)://[^\s"'<>]+|(?i:endpoint|hostname|host|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::[0-9]{2,5})?""",
                        re.A)
 #: A text without any of these has no base match, and weak candidates need an identifier and a secret.
 _ANY = (r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}|[A-Za-z0-9+/_-]{32}")
