@@ -27,18 +27,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group linked by Jaccard >= 0.8 of five-word shingles: the one of the smallest id.
+    """Keep one row of each group linked by Jaccard >= 0.8 of five-word shingles: the one of the smallest id.
 
-    Of several rows of that id, one stays; rows without an id stay unless a text of the same words stays.
+    Rows are decided by their texts, each for itself: rows of one id with different texts may all stay, a row without an id
+    goes only when a row linked to it stays.  Rows without words link with nothing; of those with the same id, one stays.
     """
-    groups = jaccard_groups(docs, shingle=5, threshold=80).where("doc_id is not null and doc_id <> component_id")
-    gone = groups.select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return kept.dropDuplicates(["doc_id"]) if _repeats(kept) else kept
-
-
-def _repeats(docs: DataFrame) -> bool:
-    return not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+    row = "__row"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())  # the same at every read of a stored frame
+    groups = jaccard_groups(numbered, shingle=5, threshold=80, id_col=row)
+    groups = groups.select(F.col("doc_id").alias(row), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("group"))
+    alone = F.col("group").isNull()
+    first = (numbered.select(row, "doc_id").join(groups, row)
+             .groupBy("group", F.when(alone, F.col("doc_id")), F.when(alone & F.col("doc_id").isNull(), F.col(row)))
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row))).alias("first")))
+    return numbered.join(first.select(F.col(f"first.{row}").alias(row)), row, "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

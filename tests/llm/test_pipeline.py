@@ -144,3 +144,16 @@ def test_stages_on_awkward_rows(spark):
     assert got[5] == "[secret]" and got[4] == long
     last = corpus_pipeline.STAGES[-1][1](spark, docs, path)
     assert {r.doc_id for r in last.collect()} == {1, 4, 5, None}
+
+
+def test_near_copies_are_decided_by_row(spark):
+    """Rows without an id, and different texts under one id, beside copies and repeated ids."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcde")
+    rows = [(1, a), (1, a), (None, b), (None, c), (None, f"{c} more"), (None, a), (2, f"{a} more"), (2, d), (3, d), (3, e),
+            (None, d), (4, ""), (4, None), (None, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_copies(spark, docs, None)
+    assert got.columns == DOCUMENT_COLUMNS
+    got = Counter((r.doc_id, r.text or "") for r in got.collect())
+    assert got in [Counter([(1, a), (None, b), (None, t), (2, d), (3, e), (4, ""), (None, ""), (None, "")]) for t in (c, f"{c} more")]
