@@ -2,11 +2,11 @@
 
 Pass 1 scores each page's containers and gives its best one a vote under a generalised path: the tags from the root, each with
 its classes, digits generalised.  Votes are summed per host in Spark.  Pass 2 re-extracts every page with the host's
-winning path (the first of the host's ``PATHS`` best that the page has), and with the page's own best container where it
-has none of them.
+winning path: the first of the host's ``PATHS`` best that holds ``NEARLY`` all of the page's score, and with the page's own
+container where none of them does or where that is a marked article.
 
-A container's score is the text of the blocks in it, less its link text.  The best container is the deepest one that holds at
-least ``MOST`` of the page's scored text.  Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+A container's score is the text of the blocks in it, less its link text.  A page's own container is the outermost ``article``
+or ``main`` that holds at least ``MOST`` of the page's score, or else the deepest container that holds all of it.  Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments, by tag, role or class words, are never part of a block.
 """
 
@@ -24,6 +24,7 @@ from .common import store
 
 PATHS = 5
 MOST = 0.7
+NEARLY = 0.95
 
 # HTML element names by role.
 _RAW = "script style textarea title iframe noscript noembed noframes xmp template svg math select canvas object audio video"
@@ -145,21 +146,52 @@ def page_blocks(page: str) -> list[tuple[str, int, int, tuple[str, ...]]]:
     return out
 
 
-def best_container(blocks) -> tuple[str, int] | None:
-    """(path, score) of the deepest container that holds most of the page's scored text."""
+def _scores(blocks) -> dict[str, int]:
+    """Score of each container; of the text alone on a page of links."""
     score: dict[str, int] = {}
-    for _, linked, size, holders in blocks:
-        worth = max(0, size - 2 * linked)
-        for h in dict.fromkeys(holders):
-            score[h] = score.get(h, 0) + worth
+    for links in (2, 0):
+        for _, linked, size, holders in blocks:
+            worth = max(0, size - links * linked)
+            for h in dict.fromkeys(holders):
+                score[h] = score.get(h, 0) + worth
+        if any(score.values()):
+            break
+    return score
+
+
+def _own(score: dict[str, int]) -> str:
+    """The outermost article or main with ``MOST`` of the page's score, or else the deepest container with all of it."""
+    whole = max(score.values())
+    marked = [h for h, s in score.items() if s >= MOST * whole and _tag(h) in ("article", "main")]
+    if marked:
+        return min(marked, key=lambda h: (h.count("/"), -score[h], h))
+    return max((h for h, s in score.items() if s == whole), key=lambda h: (h.count("/"), h))
+
+
+def _tag(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
+
+
+def best_container(blocks) -> tuple[str, int] | None:
+    """(path, score) of the page's own container, chosen without its host."""
+    score = _scores(blocks)
     if not score:
         return None
-    most = max(score.values())
-    fit = [h for h, s in score.items() if s >= MOST * most]
-    best = max(fit, key=lambda h: (h.count("/"), score[h], h))
+    best = _own(score)
     return best, score[best]
 
 
+def _chosen(blocks, host_paths) -> str | None:
+    """The page's marked article, or else the first of the host's paths with ``NEARLY`` all of the score, or else its own."""
+    score = _scores(blocks)
+    if not score:
+        return None
+    own = _own(score)
+    if _tag(own) in ("article", "main"):
+        return own
+    return next((p for p in host_paths or () if score.get(p, -1) >= NEARLY * score[own]), own)
+
+
 def host_of(url):
     """The host in lower case; '' for none or a null url."""
     return F.coalesce(F.lower(F.regexp_extract(F.col(url) if isinstance(url, str) else url, r"^[A-Za-z][\w+.-]*://([^/?#]*)", 1)), F.lit(""))
@@ -177,10 +209,7 @@ def _extract(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         out = []
         for page, host_paths in zip(column.to_pylist(), paths.to_pylist()):
             blocks = page_blocks(page) if page else []
-            have = {h for b in blocks for h in b[3]}
-            path = next((p for p in host_paths or () if p in have), None)
-            if path is None and blocks:
-                path = best_container(blocks)[0]
+            path = _chosen(blocks, host_paths)
             out.append("\n".join(b[0] for b in blocks if path in b[3]))
         yield pa.array(out, pa.string())
 

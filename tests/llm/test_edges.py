@@ -118,6 +118,36 @@ def test_pages(spark):
     assert sorted((r.page_id, r.text) for r in got) == [(1, want), (1, want), (2, ""), (3, ""), (4, "plain")]
 
 
+def texts_of(spark, *pages):
+    """Extracted texts of pages of one host."""
+    rows = [(k, "http://h/x", p) for k, p in enumerate(pages)]
+    got = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return [r.text for r in got.orderBy("page_id").collect()]
+
+
+def test_pages_of_two_templates(spark):
+    """The host's winning path is only a teaser on some pages."""
+    long = [f"{w} " * 60 for w in "abcdef"]
+    first = [f"<body><div class=text><p>{x}</p></div></body>" for x in long]
+    second = f"<body><div class=text><p>Teaser</p></div><div class=story><h1>Head</h1><p>{long[0]}</p></div></body>"
+    third = f"<body><div class=text><p>Teaser</p></div><article><h1>Head</h1><p>{long[0]}</p></article></body>"
+    got = texts_of(spark, *first, second, third)
+    assert got[:6] == [x.strip() for x in long]
+    assert got[6] == f"Teaser\nHead\n{long[0].strip()}" and got[7] == f"Head\n{long[0].strip()}"
+
+
+def test_pages_with_nested_sections(spark):
+    """Heading, introduction and ending around a large section stay, with an article and without."""
+    section = "word " * 150
+    inner = f"<h1>Head</h1><p>Intro words</p><section><p>{section}</p></section><p>The end</p>"
+    want = f"Head\nIntro words\n{section.strip()}\nThe end"
+    for page in (f"<body><article>{inner}</article></body>", f"<body><div><div class=post>{inner}</div></div></body>",
+                 f"<body><main><h1>Head</h1><article>{inner[13:]}</article></main></body>"):
+        assert texts_of(spark, page, page, page) == [want] * 3
+    links = "<body><div><p><a href=x>One link</a></p></div><div><div><p><a href=y>Two</a></p></div></div></body>"
+    assert texts_of(spark, links) == ["One link\nTwo"]
+
+
 def test_token_files(spark, docs, none, tmp_path):
     for d, n in ((docs, len(ROWS)), (none, 0)):
         path = str(tmp_path / f"t{n}")
