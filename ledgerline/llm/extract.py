@@ -6,8 +6,9 @@ winning path: the first of the host's ``PATHS`` best that holds ``NEARLY`` all o
 container where none of them does or where that is a marked article.
 
 A container's score is the text of the blocks in it, less its link text.  A page's own container is the outermost ``article``
-or ``main`` that holds at least ``MOST`` of the page's score, or else the deepest container that holds all of it.  Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments, by tag, role or class words, are never part of a block.
+or ``main`` that holds at least ``MOST`` of the page's score, or else the deepest container that holds all of it.  Menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments, by tag, role or class words, are no
+part of a block, unless an element is so only by its words and wraps the article (see ``page_blocks``).
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from .common import store
 PATHS = 5
 MOST = 0.7
 NEARLY = 0.95
+ROUNDS = 8
 
 # HTML element names by role.
 _RAW = "script style textarea title iframe noscript noembed noframes xmp template svg math select canvas object audio video"
@@ -44,14 +46,17 @@ _BOILER = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|
                      r"footer|masthead|site-header|page-header|header|comments?|commentlist|respond|replies|disqus|share|sharing|social|"
                      r"related|recommend\w*|widgets?|pagination|pager|tags|byline-links|skip|search\w*|contentinfo|complementary|"
                      r"copyright|legal)(?=$|[\s_-])", re.I)
+# Words of layout states ("has-sidebar", "comments-open"), which say nothing of the element itself.
+_STATE = re.compile(r"(?:has|no|with|without)[_-].*|.*[_-](?:open|closed|enabled|disabled)", re.I | re.S)
+_READERS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|respond|replies|disqus)(?=$|[\s_-])", re.I)
 _ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*')*+>"""
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(_RAW.split())})\b(?:{_ATTRS}|[^>]*>).*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
                     rf"|<(/?)([a-z][a-z0-9:-]*)({_ATTRS}|[^>]*>)", re.S | re.I)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 
 
-def _named(attrs: str) -> tuple[tuple[str, ...], bool, bool]:
-    """(generalised classes, boilerplate by class, id or role, hidden)."""
+def _named(attrs: str) -> tuple[tuple[str, ...], bool, bool, bool]:
+    """(generalised classes, boilerplate by class, id or role, readers' comments by those, hidden)."""
     classes, words, hidden = (), [], False
     for name, a, b, c in _ATTR.findall(attrs.rstrip("/>")):
         value = html.unescape(a or b or c)
@@ -62,22 +67,54 @@ def _named(attrs: str) -> tuple[tuple[str, ...], bool, bool]:
             words += value.split()
         elif name == "hidden" or value.lower() == "true":
             hidden = True
-    return classes, any(_BOILER.search(w) for w in words), hidden
+    words = [w for w in words if _BOILER.search(w) and not _STATE.fullmatch(w)]
+    return classes, bool(words), any(_READERS.search(w) for w in words), hidden
 
 
 def page_blocks(page: str) -> list[tuple[str, int, int, tuple[str, ...]]]:
-    """The page's blocks outside boilerplate, in page order: (text, link characters, characters, containers' paths)."""
+    """The page's blocks outside boilerplate, in page order: (text, link characters, characters, containers' paths).
+
+    An element named as boilerplate is taken for a wrapper, and kept, when the page's article is in it: more marked article text
+    than outside, or more text than all the rest (readers' comments apart).  The largest first, at most ``ROUNDS`` of them.
+    A page that would stay empty is read without the names.
+    """
+    kept: set[int] = set()
+    for _ in range(ROUNDS):
+        blocks, marked, named = _read(page, kept)
+        rest = sum(max(0, size - 2 * linked) for _, linked, size, _ in blocks)
+        wrappers = [(inner, size, at) for at, (size, inner, readers, within) in named.items()
+                    if inner > 0 and inner >= marked or
+                    size > rest and (not blocks or not readers and (within or not marked))]
+        if not wrappers:
+            break
+        kept.add(max(wrappers)[2])
+    else:
+        blocks = _read(page, kept)[0]
+    return blocks or (_read(page, None)[0] if named else blocks)
+
+
+def _read(page: str, kept: set[int] | None):
+    """(blocks, marked article text in them, elements dropped by name).
+
+    ``kept`` has the places of elements whose names don't count (None: of all).  The dropped ones, outermost only, come by
+    place: [text less link text, of it in marked articles, readers' comments, within a marked article].
+    """
+    named: dict[int, list] = {}
+    marked = 0
     out: list[tuple[str, int, int, tuple[str, ...]]] = []
     parts: list[str] = []
     linked = 0
-    # open elements: (tag, path so far, containers' paths, dropped, within a link, within an article)
-    stack: list[tuple] = [("", "", ("",), False, False, False)]
+    # open elements: (tag, path so far, containers' paths, dropped, within a link, within an article, place of the element
+    # dropped by name, within an article in that one)
+    stack: list[tuple] = [("", "", ("",), False, False, False, None, False)]
 
     def flush():
-        nonlocal linked
+        nonlocal linked, marked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
+                if stack[-1][5]:
+                    marked += max(0, len(text) - 2 * linked)
                 out.append((text, min(linked, len(text)), len(text), stack[-1][2]))
             parts.clear()
         linked = 0
@@ -93,6 +130,12 @@ def page_blocks(page: str) -> list[tuple[str, int, int, tuple[str, ...]]]:
             parts.append(raw)
             if stack[-1][4]:
                 linked += len(raw)
+        elif raw and stack[-1][6] is not None:
+            size = len(" ".join(raw.split()))
+            size = -size if stack[-1][4] else size
+            dropped = named[stack[-1][6]]
+            dropped[0] += size
+            dropped[1] += size if stack[-1][7] else 0
 
     at = 0
     for m in _TOKEN.finditer(page):
@@ -134,16 +177,23 @@ def page_blocks(page: str) -> list[tuple[str, int, int, tuple[str, ...]]]:
         if tag in _BLOCK:
             flush()
         top = stack[-1]
-        classes, boiler, hidden = _named(m[4])
+        classes, boiler, readers, hidden = _named(m[4])
         article = top[5] or tag in ("article", "main")
-        dropped = top[3] or hidden or (tag in _DROPPED and not (tag == "header" and top[5])) or \
-            (boiler and tag not in ("html", "body", "article", "main") and not (tag == "header" and top[5]))
+        hard = hidden or (tag in _DROPPED and not (tag == "header" and top[5]))
+        place, inner = top[6], top[7] or (top[6] is not None and tag in ("article", "main") and not boiler)
+        if hard:
+            place = None
+        elif boiler and not top[3] and kept is not None and m.start() not in kept and \
+                tag not in ("html", "body", "article", "main") and not (tag == "header" and top[5]):
+            place = m.start()
+            named[place] = [0, 0, readers, top[5]]
+        dropped = top[3] or hard or place is not None
         path = top[1] + "/" + ".".join((tag, *classes)) if tag in _BLOCK else top[1]
         holders = top[2] + (path,) if tag in _CONTAINER else top[2]
-        stack.append((tag, path, holders, dropped, top[4] or tag == "a", article))
+        stack.append((tag, path, holders, dropped, top[4] or tag == "a", article, place, inner))
     text(page[at:])
     flush()
-    return out
+    return out, marked, named
 
 
 def _scores(blocks) -> dict[str, int]:
@@ -230,7 +280,7 @@ def extract_text(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     """``pages`` with the main text of each in ``out``.
 
     Blocks in page order, joined by one line end; white space within a block is one space; character references are decoded.
-    Null and empty pages, and pages without text outside boilerplate, give ''.  A null url is the host ''.  Rows, repeated
+    Null and empty pages, and pages without text outside what is boilerplate by tag, give ''.  A null url is the host ''.  Rows, repeated
     ones too, and other columns stay; an existing column ``out`` is replaced.
     """
     winners = store(host_paths(pages, url_col, html_col), "ex-paths")

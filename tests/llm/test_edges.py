@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import decontaminate as dc
 from ledgerline.llm import secrets as sc
 from ledgerline.llm.embedding_dedup import near_vectors
-from ledgerline.llm.extract import extract_text
+from ledgerline.llm.extract import extract_text, page_blocks
 from ledgerline.llm.hilbert import hilbert_index, quantise_hash, shard_by_curve
 from ledgerline.llm.langid import predict_languages, train_languages
 from ledgerline.llm.pieces import decode_pieces, encode_pieces, read_model
@@ -148,6 +148,24 @@ def test_pages_with_nested_sections(spark):
     assert texts_of(spark, links) == ["One link\nTwo"]
 
 
+def test_pages_in_wrappers_named_like_boilerplate(spark):
+    """Wrappers whose class names a part of the layout keep their article; the parts themselves still go."""
+    text = "word " * 100
+    story, side = f"<h1>Head</h1><p>{text}</p>", "<div class=sidebar><p>Side text</p></div>"
+    notes = "<div id=comments class=comments-area><article class=comment><p>" + "Nice! " * 200 + "</p></article></div>"
+    want = f"Head\n{text.strip()}"
+    pages = [f"<body><div class='content {c}'><article>{story}</article>{side}{notes}</div></body>"
+             for c in ("has-sidebar", "no-sidebar", "comments-open", "sidebar-left", "page-header-wrap")]
+    pages += [f"<body><main><h1>Head</h1><div class=widget-area><article><p>{text}</p></article></div></main>{side}</body>",
+              f"<body><p>Top</p><div id=sidebar-page><div class=post>{story}</div>{side}</div></body>",
+              f"<body><div class=widget><div class=social>{story}</div></div>{side}</body>",
+              f"<body><article>{story}</article><div class=related><article class=card><p>Teaser</p></article></div>{notes}</body>",
+              "<body><nav>Menu</nav><div class=legal><a href=x>Terms</a></div></body>", "<body><nav>Menu</nav></body>"]
+    for k, page in enumerate(pages):
+        got = texts_of(spark, page) if k in (0, 3) else ["\n".join(b[0] for b in page_blocks(page))]
+        assert got == [{6: f"Top\n{want}", 9: "Terms", 10: ""}.get(k, want)], k
+
+
 def test_token_files(spark, docs, none, tmp_path):
     for d, n in ((docs, len(ROWS)), (none, 0)):
         path = str(tmp_path / f"t{n}")
