@@ -1,8 +1,8 @@
 """Secret scan with multipart credential linking (operator 3).
 
 Base kinds (always reported): ``assign``, ``access``, ``hex``.  Weak candidates (``id``, ``blob``, ``endpoint``) are reported
-only when complementary parts co-occur: candidates of a text are interval-joined, within one paragraph and ``REACH``
-characters, by role.  An identifier needs a secret, a blob needs an identifier, an endpoint needs both.  Base matches take
+only when complementary parts co-occur: candidates of a text are interval-joined by role over the whole of a paragraph (up to
+a blank line), or up to a given reach of characters in it.  An identifier needs a secret, a blob needs an identifier, an endpoint needs both.  Base matches take
 part in the join (``access`` as an identifier, ``assign`` and ``hex`` as secrets) but never depend on it.
 
 The scan runs on whole texts in Arrow batches; one RE2 pass per batch picks the texts that hold any candidate at all.
@@ -10,6 +10,7 @@ The scan runs on whole texts in Arrow batches; one RE2 pass per batch picks the
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches
 
 KINDS = ("assign", "access", "hex", "id", "blob", "endpoint")
-REACH = 300
+REACH = math.inf  # characters between linked parts: no bound but the paragraph
 RESULT = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -57,14 +58,15 @@ def _weak_spans(text: str) -> list[tuple[int, int, str]]:
 class _Intervals:
     """Spans of one role, for "is any within reach in the same paragraph"."""
 
-    def __init__(self, spans):
+    def __init__(self, spans, reach):
+        self.reach = reach
         self.spans = sorted(spans)
         self.starts = [s for s, _, _ in self.spans]
         self.longest = max((e - s for s, e, _ in self.spans), default=0)
 
     def near(self, span, paragraph) -> bool:
         s, e, _ = span
-        lo, hi = max(s - REACH, paragraph[0]), min(e + REACH, paragraph[1])
+        lo, hi = max(s - self.reach, paragraph[0]), min(e + self.reach, paragraph[1])
         k = bisect_left(self.starts, hi)
         while k and self.starts[k - 1] >= lo - self.longest:
             k -= 1
@@ -74,15 +76,15 @@ class _Intervals:
         return False
 
 
-def link_parts(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+def link_parts(text: str, base: list[tuple[int, int, str]], reach: float = REACH) -> list[tuple[int, int, str]]:
     """All spans to report, by start, then kind."""
     weak = _weak_spans(text)
     taken = sorted((s, e) for s, e, _ in base)
     weak = [w for w in weak if not any(s < w[1] and w[0] < e for s, e in taken)] if len(taken) * len(weak) < 10_000 else \
         [w for w, hit in zip(weak, _overlaps(weak, taken)) if not hit]
     if weak:
-        ids = _Intervals([x for x in base if x[2] == "access"] + [x for x in weak if x[2] == "id"])
-        keys = _Intervals([x for x in base if x[2] != "access"] + [x for x in weak if x[2] == "blob"])
+        ids = _Intervals([x for x in base if x[2] == "access"] + [x for x in weak if x[2] == "id"], reach)
+        keys = _Intervals([x for x in base if x[2] != "access"] + [x for x in weak if x[2] == "blob"], reach)
         breaks = [0, *(m.end() for m in re.finditer(r"\n[ \t\r]*\n", text)), len(text) + 1]
         for x in weak:
             k = bisect_left(breaks, x[0] + 1)
@@ -103,25 +105,28 @@ def _overlaps(weak, taken):
         yield k > 0 and ends[k - 1] > s
 
 
-def _scan(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    for column in parts:
-        some = pc.fill_null(pc.match_substring_regex(column, _ANY), False)
-        out = [[]] * len(column)
-        for i in pc.indices_nonzero(some).to_pylist():
-            text = column[i].as_py()
-            out[i] = [{"kind": k, "start": s, "end": e} for s, e, k in link_parts(text, base_spans(text))]
-        yield pa.array(out, kind)
+def _scan(reach: float):
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+        for column in parts:
+            some = pc.fill_null(pc.match_substring_regex(column, _ANY), False)
+            out = [[]] * len(column)
+            for i in pc.indices_nonzero(some).to_pylist():
+                text = column[i].as_py()
+                out[i] = [{"kind": k, "start": s, "end": e} for s, e, k in link_parts(text, base_spans(text), reach)]
+            yield pa.array(out, kind)
+    return run
 
 
-def find_secrets(docs: DataFrame, text_col: str = "text", out: str = "secrets") -> DataFrame:
+def find_secrets(docs: DataFrame, text_col: str = "text", out: str = "secrets", reach: float = REACH) -> DataFrame:
     """``docs`` with an array column ``out`` of spans (kind, start, end), in code points of the whole text, end exclusive.
 
-    By start, then kind in the order of ``KINDS``.  Null and empty texts have no spans; every row is kept, repeated ones too;
-    other columns stay as they are (an existing column ``out`` is replaced).
+    By start, then kind in the order of ``KINDS``.  Weak parts link within their paragraph, at most ``reach`` characters apart
+    (by default any number).  Null and empty texts have no spans; every row is kept, repeated ones too; other columns stay as
+    they are (an existing column ``out`` is replaced).
     """
     bounded_batches(docs.sparkSession)
-    scan = F.arrow_udf(_scan, RESULT).asNondeterministic()
+    scan = F.arrow_udf(_scan(reach), RESULT).asNondeterministic()
     return docs.withColumn(out, scan(F.col(text_col)))
 
 

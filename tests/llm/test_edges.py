@@ -82,6 +82,17 @@ def test_secret_links_of_usual_spellings(spark):
     assert not any(key in t for t in clean[:6]) and clean[6:] == texts[6:]
 
 
+def test_secret_links_over_the_whole_paragraph(spark):
+    blob = "aB3" + "xYz9Qw" * 6
+    far = "\n".join(f"LINE={k}" for k in range(200))
+    docs = spark.createDataFrame([(1, f"client_id=svc-77\n{far}\nKEY={blob}"), (2, f"client_id=svc-77\n{far}\n\nKEY={blob}")],
+                                 "doc_id long, text string")
+
+    def kinds(**how):
+        return [[s.kind for s in r.secrets] for r in sc.find_secrets(docs, **how).orderBy("doc_id").collect()]
+    assert kinds() == [["id", "blob"], []] and kinds(reach=300) == [[], []]
+
+
 def test_shards(spark, docs, none):
     dims = [quantise_hash(F.col("lang"), 4), quantise_hash(F.col("source"), 4)]
     r = shard_by_curve(docs, dims, [F.col("doc_id")], 3, 4).collect()
