@@ -8,7 +8,7 @@ most ``(100-t)(a+b)/(100+t)`` elements.
    symmetric difference (Hamming distance of the sketch, word-wise; ``bit_sketch`` is the same with one bit an element).
 2. Pigeonhole.  With at most D words differing, two sketches of k words share k-D.  Each set emits the D+1 first of its words
    in one global order (most elements first, so empty and light words are hardly ever keys); the first shared word is then
-   among the keys of both.  A set emits for its own band and, if a partner may lie there, for the next one.
+   among the keys of both.  A set emits for its own band and for every larger one in which a partner may lie.
 3. Join on the keys.  Per key the smallest and the largest set fingerprint come from a map-side combined aggregate; a key of
    two sets is settled by that pair.  For keys of more sets every member is paired with the smallest.  Pairs that the bit
    sketch can't rule out are verified, each set's nearest first, then those whose ends still lie in different components.
@@ -86,16 +86,15 @@ def fingerprints(sets: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def sketch_keys(sets: np.ndarray, off: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text index, key): the first D+1 parity words of each set, for its own band and, if need be, the next."""
+    """(text index, key): the first D+1 parity words of each set, for its own band and all in which a larger partner may lie."""
     n = np.diff(off)
     band = np.zeros(len(n), np.int64)
     band[n > 0] = np.floor(np.log2(n[n > 0])).astype(np.int64)
     rows, keys = [], []
-    for ahead in (0, 1):
-        use = (n > 0) if not ahead else (n > 0) & (100 * n // t >= (2 << band))
-        idx = np.flatnonzero(use)
+    for ahead in range(64):
+        idx = np.flatnonzero((n > 0) if not ahead else (n > 0) & (100 * n // t >= (1 << (band + ahead))))
         if not len(idx):
-            continue
+            break
         b = band[idx] + ahead
         k, need = _segments(b, t), _own_bound(n[idx], t) + 1
         text = np.repeat(np.arange(len(idx)), n[idx])
@@ -284,6 +283,8 @@ def jaccard_groups(docs: DataFrame, shingle: int = 5, threshold: int = 80, id_co
     there is none) and links nothing itself.  Other columns are ignored.  An empty table gives an empty result.
     """
     t = int(threshold)
+    if not 0 < t <= 100:
+        raise ValueError(f"threshold={threshold!r}: 1 to 100")
     bounded_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = store(base.mapInArrow(_signatures(shingle, t), _SIGNED), "jj-signed")

@@ -1,8 +1,10 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
+from ledgerline.llm import jaccard_join as jj
 from ledgerline.llm.jaccard_join import jaccard_groups
 
 
@@ -88,3 +90,14 @@ def test_nulls_repeats_clashes_and_empty(spark):
                   jaccard_groups(spark.createDataFrame(rows, schema)).collect()), key=str)
     assert got == sorted([(1, 2, 1), (1, 2, 1), (3, 2, 1), (None, 2, 1), (None, 0, None), (5, 0, 5), (6, 1, 6)], key=str)
     assert jaccard_groups(spark.createDataFrame([], schema)).collect() == []
+
+
+@pytest.mark.parametrize("t,a,b", [(40, 7, 17), (20, 7, 34), (30, 15, 50), (85, 15, 17)])
+def test_sets_bands_apart_share_a_key(t, a, b):
+    """Low thresholds link sets of sizes several bands apart."""
+    assert 100 * a >= t * b
+    for seed in range(50):
+        large = np.unique(np.random.default_rng(seed).integers(0, 1 << 63, b).astype(np.uint64))
+        small = np.sort(np.random.default_rng(seed).permutation(large)[:a])
+        rows, keys = jj.sketch_keys(np.concatenate([small, large]), np.array([0, a, a + b]), t)
+        assert np.intersect1d(keys[rows == 0], keys[rows == 1]).size, seed
