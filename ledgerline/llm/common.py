@@ -43,6 +43,15 @@ def give_back() -> None:
         trim(0)
 
 
+def spare(df: DataFrame, name: str, *more: DataFrame) -> str:
+    """A column name like ``name`` that neither ``df`` nor any of ``more`` has, in any case."""
+    taken = {c.lower() for d in (df, *more) for c in d.columns}
+    name = "__" + name
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle width, for explicit range partitionings."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -16,8 +16,12 @@ from ledgerline.session import scratch_path
 
 from . import decontaminate as dc
 from . import secrets as sc
+from .bpe import decode_bpe, encode_bpe
+from .bpe import read_tokenizer as read_bpe
 from .embedding_dedup import near_vectors
 from .extract import extract_text
+from .fim import fill_in_middle, restore_text
+from .hard_negatives import mine_hard_negatives
 from .hilbert import quantise_hash, quantise_log, shard_by_curve
 from .jaccard_join import jaccard_groups
 from .langid import predict_languages, train_languages
@@ -205,3 +209,64 @@ def op10(spark, sf_dir):
     path = scratch_path(spark, "token-files")
     write_token_files(Tables(spark, sf_dir).documents, path, read_tokenizer())
     return read_token_files(spark, path, with_ids=False)
+
+
+# ---------------------------------------------------------------------------------------------- 11
+
+FIM_SQL = r"""WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us,
+        CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+        CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM t),
+c AS (SELECT *, len(us) AS n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS a, greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+             WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(us[1:a], '') AS prefix, array_to_string(us[a + 1:b], '') AS middle,
+        array_to_string(us[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p"""
+
+
+@query("op11_repeated_capture_fim", FIM_SQL)
+def op11(spark, sf_dir):
+    """Every document rearranged for fill-in-middle, and restored, as digests."""
+    done = fill_in_middle(Tables(spark, sf_dir).documents.select("doc_id", "text"))
+    return done.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", sha(F.col("fim.output")).alias("output_sha256"),
+                       sha(restore_text(F.col("fim.output"), F.col("fim.form"))).alias("restored_sha256"))
+
+
+# ---------------------------------------------------------------------------------------------- 12
+
+NEGATIVES_SQL = """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+o AS (SELECT anchor_id, id, score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS r FROM p WHERE same),
+n AS (SELECT o.anchor_id, o.id AS positive_id, o.score AS positive_score, p.id AS negative_id, p.score AS negative_score,
+        row_number() OVER (PARTITION BY o.anchor_id, o.id ORDER BY p.score DESC, p.id) AS r
+      FROM o JOIN p ON p.anchor_id = o.anchor_id AND NOT p.same AND 50 * o.score <= 100 * p.score AND 100 * p.score <= 95 * o.score
+      WHERE o.r <= 5)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE r <= 3"""
+
+
+@query("op12_secondary_sort_negatives", NEGATIVES_SQL)
+def op12(spark, sf_dir):
+    """Hard negatives of every anchor (ids divisible by 50) and its first five positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(Tables(spark, sf_dir).embeddings, F.col("vec_id") % 50 == 0, label)
+
+
+# ---------------------------------------------------------------------------------------------- 13
+
+@query("op13_backtracking_bpe")
+def op13(spark, sf_dir):
+    """Every document's byte-level BPE ids and the text decoded from them, as digests."""
+    tokenizer = read_bpe()
+    coded = decode_bpe(encode_bpe(Tables(spark, sf_dir).documents.select("doc_id", "text"), tokenizer), tokenizer)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        sha(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+                        sha(F.col("decoded")).alias("decoded_sha256"))
