@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, give_back
 
-TABLE_WORDS = 300_000
+TABLE_WORDS = 600_000
 TABLE_PAIRS = 2_000_000
 LONG_WORD = 256
 # The words of a text, as the library's byte-level splitter finds them.
@@ -124,7 +124,7 @@ class BacktrackingEncoder:
         for t, r in rank.items():
             self.find.add_word(t.decode("latin-1"), r)
         self.find.make_automaton()
-        self.out = v.ids
+        self.out = [i.tobytes() for i in v.ids]
         self.words = regex.compile(WORDS)
         self.settled = regex.compile(SETTLED)
         self.split = Tokenizer.from_str(tokenizer).pre_tokenizer.pre_tokenize_str
@@ -158,7 +158,7 @@ class BacktrackingEncoder:
         return out
 
     def _word(self, word: str) -> bytes:
-        return self.out[self.ranks(word.encode().decode("latin-1"))].tobytes()
+        return b"".join([self.out[r] for r in self.ranks(word.encode().decode("latin-1"))])
 
     def _part(self, text: str) -> bytes:
         if self.settled.fullmatch(text):
