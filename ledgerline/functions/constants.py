@@ -12,6 +12,7 @@ DATE_TOKEN = "sDateToExec"
 DATE_SUFFIX_TOKEN = "datasource_suffix"
 COUNTRYKEY_PLACEHOLDER = "@placeholder_countrykey"
 FEATUREFLAG_PLACEHOLDER = "@placeholder_featureflag"
+CONFIG_VARIABLE = r"\{[A-Za-z0-9._]+\}"
 
 # --- fixed values: record-file layout ---
 RECORD_FIELD_SEPARATOR = '|"'

@@ -135,6 +135,11 @@ def parse_fields_literal(text: str) -> list[tuple[int, str]]:
     return [(int(k), str(n)) for k, n in v.items()]
 
 
+def sql_text(value: str) -> str:
+    """A value as a string literal of Spark SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def split_csv_param(text: str, upper: bool = False) -> list[str]:
     """Comma list parameter: split on ',', trim, optionally upper-case, drop empties."""
     vals = [x.strip() for x in (text or "").split(",")]

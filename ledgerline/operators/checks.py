@@ -24,20 +24,27 @@ def reconcile_tables(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def check_schema(spark: SparkSession, df: DataFrame, expected: T.StructType | str) -> DataFrame:
-    """Differences between a table's schema and the expected one, one row per column problem."""
+    """Differences between a table's schema and the expected one, one row per column problem.
+
+    ``n_values`` says how many rows the difference touches: values that the column holds (null for a missing one), and
+    ``n_lost`` of them that would not survive a cast to the expected type.
+    """
     exp = T.StructType.fromJson(json.loads(expected)) if isinstance(expected, str) else expected
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     want = {f.name: f.dataType.simpleString() for f in exp.fields}
-    rows = []
-    for name, typ in want.items():
-        if name not in actual:
-            rows.append((name, typ, None, "missing"))
-        elif actual[name] != typ:
-            rows.append((name, typ, actual[name], "type"))
-    for name, typ in actual.items():
-        if name not in want:
-            rows.append((name, None, typ, "unexpected"))
-    return spark.createDataFrame(rows, "column string, expected string, actual string, problem string")
+    rows = [(n, t, None, "missing") for n, t in want.items() if n not in actual]
+    rows += [(n, t, actual[n], "type") for n, t in want.items() if n in actual and actual[n] != t]
+    rows += [(n, None, t, "unexpected") for n, t in actual.items() if n not in want]
+    held = [(n, t) for n, t, a, _ in rows if a is not None]
+    found = spark.createDataFrame(rows, "column string, expected string, actual string, problem string")
+    if not held:
+        return found.withColumn("n_values", F.lit(None).cast("long")).withColumn("n_lost", F.lit(None).cast("long"))
+
+    def lost(n, t):
+        return F.count_if(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(t).isNull()) if t else F.lit(None).cast("long")
+    counts = df.agg(F.array(*[F.struct(F.lit(n).alias("column"), F.count(F.col(f"`{n}`")).alias("n_values"), lost(n, t).alias("n_lost"))
+                              for n, t in held]).alias("c"))
+    return found.join(counts.select(F.explode("c").alias("c")).select("c.*"), "column", "left")
 
 
 def check_dependencies(required: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .joins import small_side
 
 
 def active_sources(data_source: DataFrame, datasource: str, region: str) -> DataFrame:
@@ -34,7 +33,7 @@ def component_sources(sources: DataFrame, component_map: DataFrame, component: s
     if region_id is not None and "RegionId" in component_map.columns:
         valid = valid.where(F.col("RegionId") == F.lit(region_id))
     valid = valid.select("DataSourceId").distinct()
-    return sources.join(small_side(valid), "DataSourceId", "left_semi")
+    return sources.join(valid, "DataSourceId", "left_semi")
 
 
 def resolve_countries(spark: SparkSession, region: DataFrame, country: DataFrame, region_key: str,
@@ -56,7 +55,7 @@ def resolve_countries(spark: SparkSession, region: DataFrame, country: DataFrame
     rid = region.where(F.lower("RegionKey") == F.lit(region_key.lower())).select("RegionId")
     return (
         country.where(F.coalesce(F.col("Active"), F.lit(False)))
-        .join(small_side(rid), "RegionId", "left_semi")
+        .join(rid, "RegionId", "left_semi")
         .select("CountryKey")
         .distinct()
     )
@@ -73,7 +72,7 @@ def normalise_country(df: DataFrame, raw_col: str, alias: DataFrame | None,
         return df.withColumn(out_col, F.col(raw_col))
     a = alias.select(F.col("raw").alias("__alias_raw"), F.col("key").alias(out_col))
     return (
-        df.join(small_side(a), F.col(raw_col) == F.col("__alias_raw"), "left")
+        df.join(a, F.col(raw_col) == F.col("__alias_raw"), "left")
         .drop("__alias_raw")
     )
 

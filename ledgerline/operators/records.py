@@ -1,47 +1,27 @@
 """Record-file checks: one record per line, fields split on ``|"``, field 0 is the record type.
 
-Operators: C13 file_scope, D6 record_rule_join (compile_rules + candidates), H1-H11 checks,
-D7 membership (anti-join semantics), D8 currency lookup with fallback, H12/C11 split_records.
-
-Execution shape: rules are configuration, compiled once on the driver (literals parsed with
-``ast.literal_eval``) into a small frame that is broadcast and joined to the parsed lines on
-the record type, so each line meets only the rules of its type and no shuffle happens.
-Membership and currency checks join (record type, value) against reference frames, broadcast
-when their size is checked small, shuffled (AQE skew-join on) otherwise.  Every check is a
-built-in expression: no Python runs per line.
+Operators: C13 file_scope, D6 record_rule_join (compile_rules), H1-H11 checks, D7 membership, D8 currency lookup with
+fallback, H12/C11 check_and_split.
+
+Rules are configuration: each compiles on the driver into a literal expression (index, pattern, list and date format are
+constants).  The rules of a record type form one ``CASE record_type WHEN t THEN bad_1 OR bad_2 ...`` flag, so a line
+evaluates only its own type's rules, without a join with the rules; the log entries of a line are built only where the flag
+is set.  Membership and currencies are plain equi-joins with the reference (record type, value), at any size: the planner
+broadcasts a reference that is small and shuffles by the pair otherwise, splitting skewed pairs.
+Every check is a built-in expression: no Python runs per line.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions.text import bind_name, bind_query, parse_fields_literal, parse_list_literal, prefix_match
-from .joins import bounded_collect, small_side
-
-MAX_RECORD_RULES = 50_000
-
-COMPILED_SCHEMA = T.StructType([
-    T.StructField("r_type", T.StringType()),
-    T.StructField("r_index", T.IntegerType()),
-    T.StructField("r_op", T.StringType()),
-    T.StructField("r_params", T.ArrayType(T.StringType())),
-    T.StructField("r_pattern", T.StringType()),
-    T.StructField("r_date_format", T.StringType()),
-    T.StructField("r_fields", T.ArrayType(T.StructType([
-        T.StructField("idx", T.IntegerType()), T.StructField("name", T.StringType())]))),
-    T.StructField("r_identifier", T.StringType()),
-    T.StructField("r_wt_index", T.IntegerType()),
-    T.StructField("errorseverity", T.StringType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("r_description", T.StringType()),
-    T.StructField("recommendation", T.StringType()),
-])
 
 KNOWN_OPS = {K.OP_IN, K.OP_NOTIN, K.OP_DATEFORMAT, K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT,
              K.OP_INFOTYPECOMBINATIONFORMAT, K.OP_WAGETYPECHECK, K.OP_COUNTRYCHECK,
@@ -67,75 +47,120 @@ def file_scope(rules: DataFrame, vendor: str, region: str, country: str, source_
 
 # --------------------------------------------------------------------------- D6 (compile)
 
+@dataclass(frozen=True)
+class CompiledRule:
+    """One rule with its literals parsed."""
+
+    record_type: str
+    index: int
+    op: str
+    params: tuple[str, ...]
+    pattern: str | None
+    date_format: str | None
+    fields: tuple[tuple[int, str], ...]
+    identifier: str | None
+    wagetype_index: int | None       # field of the record's wage type (WAGETYPECURRENCYCHECK)
+    severity: str | None
+    type: str | None
+    description: str
+    recommendation: str | None
+
+
 @dataclass
 class CompiledRules:
-    rules: DataFrame                 # COMPILED_SCHEMA, small, broadcast
+    rows: list[CompiledRule]
     unknown: list[dict]              # H11: operators with no check (logged, never violate)
     baseline_queries: list[str]      # distinct BASELINEQUERY texts
     wagetype_queries: list[str]      # distinct reference queries of WAGETYPECHECK rules
     infotype_queries: list[str]      # distinct reference queries of INFOTYPECOMBINATIONFORMAT rules
-    patterns: list[str]              # distinct format patterns (compiled as literal regexes)
-    date_formats: list[str]          # distinct calendar formats of date checks
-    rows: list = None                # compiled rule tuples (COMPILED_SCHEMA order), bounded
+
+
+def _position(text) -> int | None:
+    """Positions are matched as the text of the index ("2"); "02" or "" never applies."""
+    text = str(text or "")
+    return int(text) if text.isdigit() and str(int(text)) == text else None
+
+
+def compile_rule(r: dict, wagetype_index: int | None = None) -> CompiledRule | None:
+    """A rule row with a known operator, parsed; None where its position can't apply."""
+    op, idx = (r.get("Operator") or "").upper(), _position(r.get("ObjectField"))
+    if idx is None:
+        return None
+    fields = tuple((i, n) for i, n in parse_fields_literal(r.get("AdditionalFields") or ""))
+    value = r["ObjectFieldValue"]
+    return CompiledRule(
+        r["AdditionalCondition"], idx, op, tuple(parse_list_literal(value)) if op in (K.OP_IN, K.OP_NOTIN) else (),
+        value if op in (K.OP_DATEFORMAT, K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT) else None,
+        K.DATE_REGEX_FORMATS.get(value, "yyyyMMdd") if op == K.OP_DATEFORMAT else None,
+        fields, dict(fields).get(idx), wagetype_index if op == K.OP_WAGETYPECURRENCYCHECK else None,
+        r.get("ErrorSeverity"), r.get("Type"), r.get("ErrorDescription") or "", r.get("Recommendation"))
 
 
 def compile_rules(spark: SparkSession, rules: DataFrame | list[dict]) -> CompiledRules:
-    """Turn resolved file rules into the broadcastable check frame (driver-side, bounded)."""
-    rows = [r.asDict() for r in bounded_collect(rules, MAX_RECORD_RULES, "record rules")] \
-        if isinstance(rules, DataFrame) else list(rules)
-    out, unknown, base, wtq, itq = [], [], [], [], []
-    # wage-type field position of each record type: the first WAGETYPECHECK rule of the type
-    wt_index: dict[str, int] = {}
+    """The resolved rules of one file, compiled (configuration: the file's rule rows go to the driver)."""
+    rows = [r.asDict() for r in rules.collect()] if isinstance(rules, DataFrame) else list(rules)
+    out, unknown, queries = [], [], {K.OP_BASELINEQUERY: [], K.OP_WAGETYPECHECK: [], K.OP_INFOTYPECOMBINATIONFORMAT: []}
+    wt_index: dict[str, int] = {}    # wage-type field of each record type: its first WAGETYPECHECK rule's
     for r in rows:
         if (r.get("Operator") or "").upper() == K.OP_WAGETYPECHECK and r["AdditionalCondition"] not in wt_index:
-            try:
-                wt_index[r["AdditionalCondition"]] = int(r["ObjectField"])
-            except (TypeError, ValueError):
-                pass
+            idx = _position(r.get("ObjectField"))
+            if idx is not None:
+                wt_index[r["AdditionalCondition"]] = idx
     for r in rows:
-        op_raw = r.get("Operator") or ""
-        op = op_raw.upper()
-        if op_raw == K.OP_BASELINEQUERY:
-            if r["ObjectFieldValue"] not in base:
-                base.append(r["ObjectFieldValue"])
-            continue
-        if op == K.OP_BASELINEQUERY:
+        op = r.get("Operator") or ""
+        if op in queries and r["ObjectFieldValue"] not in queries[op] and (
+                op == K.OP_BASELINEQUERY or _position(r.get("ObjectField")) is not None):
+            queries[op].append(r["ObjectFieldValue"])
+        if op.upper() == K.OP_BASELINEQUERY:
             continue
-        if op not in KNOWN_OPS:
+        if op.upper() not in KNOWN_OPS:
             unknown.append(r)
             continue
-        field_txt = str(r.get("ObjectField") or "")
-        if not field_txt.isdigit() or str(int(field_txt)) != field_txt:
-            continue  # positions are matched as the text of the index ("2"); "02" or "" never applies
-        if op_raw == K.OP_WAGETYPECHECK and r["ObjectFieldValue"] not in wtq:
-            wtq.append(r["ObjectFieldValue"])
-        if op_raw == K.OP_INFOTYPECOMBINATIONFORMAT and r["ObjectFieldValue"] not in itq:
-            itq.append(r["ObjectFieldValue"])
-        idx = int(r["ObjectField"])
-        fields = parse_fields_literal(r.get("AdditionalFields") or "")
-        fmap = dict(fields)
-        params = parse_list_literal(r["ObjectFieldValue"]) if op in (K.OP_IN, K.OP_NOTIN) else None
-        pattern = r["ObjectFieldValue"] if op in (K.OP_DATEFORMAT, K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT) else None
-        date_fmt = K.DATE_REGEX_FORMATS.get(r["ObjectFieldValue"], "yyyyMMdd") if op == K.OP_DATEFORMAT else None
-        out.append((
-            r["AdditionalCondition"], idx, op, params, pattern, date_fmt,
-            [(i, n) for i, n in fields], fmap.get(idx),
-            wt_index.get(r["AdditionalCondition"]) if op == K.OP_WAGETYPECURRENCYCHECK else None,
-            r.get("ErrorSeverity"), r.get("Type"), r.get("ErrorDescription") or "", r.get("Recommendation"),
-        ))
-    df = spark.createDataFrame(out, COMPILED_SCHEMA)
-    patterns = sorted({o[4] for o in out if o[4] is not None})
-    date_formats = sorted({o[5] for o in out if o[5] is not None})
-    return CompiledRules(df, unknown, base, wtq, itq, patterns, date_formats, out)
-
-
-def _by_literal(key: Column, values: list[str], build) -> Column:
-    """``CASE key WHEN v1 THEN build(v1) ...``: one branch per configured value, so every regex /
-    date format is a literal compiled once per task instead of once per row."""
-    expr = None
-    for val in values:
-        expr = F.when(key == F.lit(val), build(val)) if expr is None else expr.when(key == F.lit(val), build(val))
-    return expr if expr is not None else F.lit(None).cast("boolean")
+        rule = compile_rule(r, wt_index.get(r["AdditionalCondition"]))
+        if rule is not None:
+            out.append(rule)
+    return CompiledRules(out, unknown, *queries.values())
+
+
+#: Columns of a rule row that the checks of a record file use.
+FILE_RULE_COLUMNS = ["ObjectField", "Operator", "ObjectFieldValue", "AdditionalCondition", "AdditionalFields", "ErrorSeverity",
+                     "Type", "ErrorDescription", "Recommendation"]
+_WORD = 62  # rules per word of a bitmap
+
+
+def compile_file_rules(rules: DataFrame, file_key: str) -> tuple[CompiledRules, DataFrame]:
+    """Rules of many files at once: the distinct rules compiled, and which files each applies to.
+
+    ``rules`` has ``file_key`` beside the rule columns.  Returns the compiled rules and ``(file_key, rule_bits)``, a bitmap
+    over them per file.  Rules that several files share are compiled once, so the expressions grow with the distinct rules,
+    not with the files.  A rule that a file has twice counts twice.
+    """
+    from ..session import store
+    op = F.upper(F.coalesce("Operator", F.lit("")))
+    position = F.when(op == K.OP_WAGETYPECHECK, F.col("ObjectField").try_cast("int"))
+    of_type = F.min(position).over(Window.partitionBy(file_key, "AdditionalCondition"))
+    own = rules.where(op != K.OP_BASELINEQUERY).select(
+        file_key, *FILE_RULE_COLUMNS, F.when(op == K.OP_WAGETYPECURRENCYCHECK, of_type).alias("wt_index"))
+    row = F.to_json(F.struct(*FILE_RULE_COLUMNS, "wt_index"))
+    nth = F.row_number().over(Window.partitionBy(file_key, "rule").orderBy(F.lit(1)))
+    own = store(own.withColumn("rule", row).withColumn("nth", nth), "file-rules")
+    known, unknown, at = [], [], []
+    for r in own.select("rule", "nth", *FILE_RULE_COLUMNS, "wt_index").distinct().orderBy("rule", "nth").collect():
+        d = r.asDict()
+        if (d["Operator"] or "").upper() not in KNOWN_OPS:
+            unknown.append(d)
+        elif (rule := compile_rule(d, d["wt_index"])) is not None:
+            at.append((r["rule"], r["nth"], len(known)))
+            known.append(rule)
+    spark = rules.sparkSession
+    numbers = spark.createDataFrame(at, "rule string, nth int, number int") if at else \
+        spark.createDataFrame([], "rule string, nth int, number int")
+    words = -(-max(1, len(known)) // _WORD)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("number") % _WORD)
+    bits = own.join(numbers, ["rule", "nth"]).groupBy(file_key).agg(F.array(*[
+        F.bit_or(F.when(F.floor(F.col("number") / _WORD) == w, bit).otherwise(F.lit(0).cast("long"))) for w in range(words)])
+        .alias("rule_bits"))
+    return CompiledRules(known, unknown, [], [], []), bits
 
 
 # --------------------------------------------------------------------------- A5 parse
@@ -152,125 +177,199 @@ def parse_records(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return lines.withColumn("fields", fields).withColumn("record_type", rtype)
 
 
-# --------------------------------------------------------------------------- H1-H10
+# --------------------------------------------------------------------------- references
 
 @dataclass
 class References:
-    """Reference data of one run (all optional)."""
+    """Reference data of one run (all optional).
+
+    The checks compare with ``country``, or with the line's own ``country_col`` where lines of several countries are
+    checked together; the wage types then carry a ``Country`` column if they differ by country.
+    """
 
-    country: str
+    country: str | None = None
     datasource: str = ""
-    wagetypes: DataFrame | None = None        # (Wagetype, Infotype)
+    wagetypes: DataFrame | None = None        # (Wagetype, Infotype[, Country])
     infotypes: DataFrame | None = None        # (Country, Infotype, Wagetype)
     currencykey: DataFrame | None = None      # (CountryKey, CurrencyKey)
     wagetype_currency: DataFrame | None = None  # (Country, WageType, DataSource, CurrencyKey)
-    _facts: dict = field(default_factory=dict, repr=False)   # memoised emptiness / size checks
+    country_col: str | None = None
 
-    def fact(self, name: str, test) -> bool:
-        if name not in self._facts:
-            self._facts[name] = bool(test())
-        return self._facts[name]
 
+def _by_type(values: dict[str, Column]) -> Column | None:
+    """``CASE record_type WHEN t THEN values[t] ...``."""
+    expr = None
+    for t, v in values.items():
+        test = F.col("record_type") == F.lit(t)
+        expr = F.when(test, v) if expr is None else expr.when(test, v)
+    return expr
+
+
+def _attach_members(df: DataFrame, ref: DataFrame | None, rules: list[CompiledRule], refs: References, name: str) -> DataFrame:
+    """Add ``__<name>_on`` (the reference has entries) and, for the i-th position that a record type checks, ``__<name>_<i>``
+    (the value there is one of the type's)."""
+    on = f"__{name}_on"
+    places: dict[str, list[int]] = {}
+    for r in rules:
+        if r.index not in places.setdefault(r.record_type, []):
+            places[r.record_type].append(r.index)
+    if ref is None or not rules:
+        return df.withColumn(on, F.lit(False))
+    by_country = refs.country_col is not None and "Country" in ref.columns
+    if by_country:
+        some = ref.select(F.col("Country").alias("__c")).distinct().withColumn(on, F.lit(True))
+        df = df.join(some, F.col(refs.country_col) == F.col("__c"), "left").drop("__c").withColumn(on, F.coalesce(on, F.lit(False)))
+    else:
+        df = df.withColumn(on, ref.limit(1).agg(F.count(F.lit(1)) > 0).scalar())
+        if "Country" in ref.columns:
+            ref = ref.where(F.col("Country") == F.lit(refs.country))
+    for i in range(max(map(len, places.values()))):
+        value = _by_type({t: F.get("fields", F.lit(at[i])) for t, at in places.items() if i < len(at)})
+        keys = [F.col("Infotype").alias("__t"), F.col("Wagetype").alias("__v"), *([F.col("Country").alias("__c")] if by_country else [])]
+        member = ref.select(*keys).distinct().withColumn(f"__{name}_{i}", F.lit(True))
+        cond = (F.col("record_type") == F.col("__t")) & (F.col("__value") == F.col("__v"))
+        if by_country:
+            cond = cond & (F.col(refs.country_col) == F.col("__c"))
+        df = df.withColumn("__value", value).join(member, cond, "left").drop("__t", "__v", "__c", "__value")
+    return df
+
+
+def _attach_currencies(df: DataFrame, rules: list[CompiledRule], refs: References) -> DataFrame:
+    """Add ``__ccy`` (the country's currency, D8) and ``__wc`` (the currency of the line's wage type)."""
+    none = F.lit(None).cast("string")
+    used = any(r.op in (K.OP_CURRENCYCHECK, K.OP_WAGETYPECURRENCYCHECK) for r in rules)
+    if refs.currencykey is None or not used:
+        df = df.withColumn("__ccy", none)
+    elif refs.country_col is None:
+        own = refs.currencykey.where(F.col("CountryKey") == F.lit(refs.country))
+        df = df.withColumn("__ccy", own.agg(F.min("CurrencyKey")).scalar())
+    else:
+        keys = refs.currencykey.groupBy(F.col("CountryKey").alias("__c")).agg(F.min("CurrencyKey").alias("__ccy"))
+        df = df.join(keys, F.col(refs.country_col) == F.col("__c"), "left").drop("__c")
+    wage_type = _by_type({r.record_type: F.get("fields", F.lit(r.wagetype_index)) for r in rules if r.wagetype_index is not None})
+    if refs.wagetype_currency is None or wage_type is None:
+        return df.withColumn("__wc", none)
+    wc = refs.wagetype_currency.where(F.col("DataSource") == F.lit(refs.datasource))
+    cond = F.col("__value") == F.col("__v")
+    if refs.country_col is None:
+        wc = wc.where(F.col("Country") == F.lit(refs.country))
+        keys = [F.col("WageType").alias("__v")]
+    else:
+        keys = [F.col("WageType").alias("__v"), F.col("Country").alias("__c")]
+        cond = cond & (F.col(refs.country_col) == F.col("__c"))
+    wc = wc.groupBy(*keys).agg(F.min("CurrencyKey").alias("__wc"))
+    return df.withColumn("__value", wage_type).join(wc, cond, "left").drop("__v", "__c", "__value")
 
-def _nonempty(df: DataFrame | None) -> bool:
-    return df is not None and df.limit(1).count() > 0
 
+# --------------------------------------------------------------------------- H1-H10
 
-def check_records(records: DataFrame, compiled: CompiledRules, refs: References) -> DataFrame:
-    """One row per (line, violated rule): the line's columns plus the rule's log fields.
+VIOLATION_TYPE = T.StructType([
+    T.StructField("field_index", T.IntegerType()), T.StructField("operator", T.StringType()),
+    T.StructField("value", T.StringType()), T.StructField("errorseverity", T.StringType()),
+    T.StructField("type", T.StringType()), T.StructField("errordescription", T.StringType()),
+    T.StructField("erroridentifier", T.StringType()), T.StructField("recommendation", T.StringType()),
+])
 
-    Single pass: lines meet the broadcast rules of their record type, reference lookups
-    are left joins keyed by (record type, value) or by the line's wage type, and one
-    filter keeps the violations.  Output adds ``field_index``, ``operator``, ``value``,
-    ``errorseverity``, ``type``, ``errordescription`` (``description;name:value|...`` over
-    the rule's field map), ``erroridentifier`` and ``recommendation``.
-    """
-    rules = F.broadcast(compiled.rules)  # compiled configuration: bounded by MAX_RECORD_RULES
-    cand = (
-        records.join(rules, F.col("record_type") == F.col("r_type"))
-        .where((F.col("r_index") >= 1) & (F.col("r_index") < F.size("fields")))
-        .withColumn("value", F.get(F.col("fields"), F.col("r_index")))
-    )
-    v, op = F.col("value"), F.col("r_op")
-    country = F.lit(refs.country)
 
-    # country currency (D8 plain lookup): one scalar subquery, attached once as a column
-    if refs.currencykey is not None:
-        cand = cand.withColumn(
-            "__ccy", refs.currencykey.where(F.col("CountryKey") == country).agg(F.min("CurrencyKey")).scalar())
+def _violated(r: CompiledRule, country: Column, member: Column) -> Column:
+    v = F.get("fields", F.lit(r.index))
+    if r.index < 1:
+        return F.lit(False)
+    if r.op in (K.OP_IN, K.OP_NOTIN):
+        found = F.array_contains(F.array(*[F.lit(x) for x in r.params]).cast("array<string>"), v)
+        bad = found if r.op == K.OP_IN else ~found
+    elif r.op == K.OP_DATEFORMAT:
+        bad = ~prefix_match(v, r.pattern) | F.try_to_timestamp(v, F.lit(r.date_format)).isNull()
+    elif r.op in (K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT):
+        bad = (v != "") & ~prefix_match(v, r.pattern)
+    elif r.op == K.OP_COUNTRYCHECK:
+        bad = ~v.eqNullSafe(country)
+    elif r.op == K.OP_CURRENCYCHECK:
+        bad = ~v.eqNullSafe(F.col("__ccy"))
+    elif r.op == K.OP_WAGETYPECURRENCYCHECK:
+        bad = ~v.eqNullSafe(F.coalesce("__wc", "__ccy"))
     else:
-        cand = cand.withColumn("__ccy", F.lit(None).cast("string"))
-    ccy = F.col("__ccy")
-
-    # H7: value must be one of the record type's wage types; skipped when the reference is empty
-    wt_viol = F.lit(False)
-    if refs.fact("wt_nonempty", lambda: _nonempty(refs.wagetypes)):
-        ref = small_side(refs.wagetypes.select(F.col("Infotype").alias("__wt_t"), F.col("Wagetype").alias("__wt_v"))
-                         .distinct().withColumn("__wt_ok", F.lit(True)))
-        cand = cand.join(ref, (op == K.OP_WAGETYPECHECK) & (F.col("record_type") == F.col("__wt_t"))
-                         & (v == F.col("__wt_v")), "left")
-        wt_viol = (op == K.OP_WAGETYPECHECK) & (F.col("__wt_ok").isNull() | (v == ""))
-
-    # H6: (country, record type, value) must exist in the infotype reference
-    it_viol = F.lit(False)
-    if refs.fact("it_nonempty", lambda: _nonempty(refs.infotypes)):
-        ref = small_side(refs.infotypes.where(F.col("Country") == country)
-                         .select(F.col("Infotype").alias("__it_t"), F.col("Wagetype").alias("__it_v"))
-                         .distinct().withColumn("__it_ok", F.lit(True)))
-        cand = cand.join(ref, (op == K.OP_INFOTYPECOMBINATIONFORMAT) & (F.col("record_type") == F.col("__it_t"))
-                         & (v == F.col("__it_v")), "left")
-        it_viol = (op == K.OP_INFOTYPECOMBINATIONFORMAT) & (F.col("__it_ok").isNull() | (v == ""))
-
-    # H10 + D8: currency of the line's wage type, falling back to the country currency
-    wage_type = F.get(F.col("fields"), F.col("r_wt_index"))
-    wcur = F.lit(None).cast("string")
-    if refs.wagetype_currency is not None:
-        wref = small_side(
-            refs.wagetype_currency.where((F.col("Country") == country) & (F.col("DataSource") == F.lit(refs.datasource)))
-            .groupBy("WageType").agg(F.min("CurrencyKey").alias("__wc")))
-        cand = cand.join(wref, (op == K.OP_WAGETYPECURRENCYCHECK) & (wage_type == F.col("WageType")), "left")
-        wcur = F.col("__wc")
-
-    matches = _by_literal(F.col("r_pattern"), compiled.patterns, lambda p: prefix_match(v, p))
-    calendar_ok = _by_literal(F.col("r_date_format"), compiled.date_formats,
-                              lambda f: F.try_to_timestamp(v, F.lit(f)).isNotNull())
-    violated = (
-        F.when(op == K.OP_IN, F.array_contains("r_params", v))
-        .when(op == K.OP_NOTIN, ~F.array_contains("r_params", v))
-        .when(op == K.OP_DATEFORMAT, ~matches | ~calendar_ok)
-        .when(op.isin(K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT), (v != "") & ~matches)
-        .when(op == K.OP_COUNTRYCHECK, ~v.eqNullSafe(country))
-        .when(op == K.OP_CURRENCYCHECK, ~v.eqNullSafe(ccy))
-        .when(op == K.OP_WAGETYPECHECK, wt_viol)
-        .when(op == K.OP_INFOTYPECOMBINATIONFORMAT, it_viol)
-        .when(op == K.OP_WAGETYPECURRENCYCHECK, ~v.eqNullSafe(F.coalesce(wcur, ccy)))
-        .otherwise(F.lit(False))
-    )
-    desc_parts = F.transform(
-        "r_fields", lambda e: F.concat(e["name"], F.lit(":"), F.coalesce(F.get(F.col("fields"), e["idx"]), F.lit(""))))
-    return cand.where(violated).select(
-        *[c for c in records.columns if c != "fields"],
-        F.col("r_index").alias("field_index"), F.col("r_op").alias("operator"), "value",
-        "errorseverity", "type",
-        F.concat(F.col("r_description"), F.lit(";"), F.array_join(desc_parts, "|")).alias("errordescription"),
-        F.col("r_identifier").alias("erroridentifier"), "recommendation",
-    )
+        bad = F.when(member.isNull(), F.lit(False)).otherwise(~member | (v == ""))
+    return (F.size("fields") > F.lit(r.index)) & F.coalesce(bad, F.lit(False))
+
+
+def _entry(r: CompiledRule) -> Column:
+    parts = [F.concat(F.lit(f"{n}:"), F.coalesce(F.get("fields", F.lit(i)), F.lit(""))) for i, n in r.fields]
+    text = F.concat(F.lit(f"{r.description};"), F.concat_ws("|", *parts)) if parts else F.lit(f"{r.description};")
+    return F.struct(F.lit(r.index).cast("int").alias("field_index"), F.lit(r.op).alias("operator"),
+                    F.get("fields", F.lit(r.index)).alias("value"), F.lit(r.severity).cast("string").alias("errorseverity"),
+                    F.lit(r.type).cast("string").alias("type"), text.alias("errordescription"),
+                    F.lit(r.identifier).cast("string").alias("erroridentifier"),
+                    F.lit(r.recommendation).cast("string").alias("recommendation"))
+
+
+def check_lines(records: DataFrame, compiled: CompiledRules, refs: References, rule_bits: str | None = None) -> DataFrame:
+    """Parsed records with ``failed`` and ``violations`` (one struct per violated rule, empty for a clean line).
+
+    With ``rule_bits``, a bitmap column of ``compile_file_rules``, a line meets only its own file's rules; a null bitmap
+    means none.
+    """
+    rules = compiled.rows
+    checks = {K.OP_WAGETYPECHECK: ("wt", refs.wagetypes), K.OP_INFOTYPECOMBINATIONFORMAT: ("it", refs.infotypes)}
+    df = _attach_currencies(records, rules, refs)
+    places: dict[tuple[str, str], list[int]] = {}
+    for op, (name, ref) in checks.items():
+        own = [r for r in rules if r.op == op]
+        df = _attach_members(df, ref, own, refs, name)
+        for r in own:
+            at = places.setdefault((op, r.record_type), [])
+            if r.index not in at:
+                at.append(r.index)
+    country = F.col(refs.country_col) if refs.country_col else F.lit(refs.country)
+
+    def member(r: CompiledRule) -> Column:
+        """Whether the value is one of the reference's; null where there is no reference."""
+        if r.op not in checks or checks[r.op][1] is None:
+            return F.lit(None).cast("boolean")
+        name = checks[r.op][0]
+        found = F.coalesce(f"__{name}_{places[r.op, r.record_type].index(r.index)}", F.lit(False))
+        return F.when(F.col(f"__{name}_on"), found)
+
+    flags: dict[str, list[Column]] = {}
+    entries: dict[str, list[Column]] = {}
+    for i, r in enumerate(rules):
+        bad = _violated(r, country, member(r))
+        if rule_bits is not None:
+            word = F.get(rule_bits, F.lit(i // _WORD))
+            bad = F.coalesce(word.bitwiseAND(F.lit(1 << i % _WORD).cast("long")) != 0, F.lit(False)) & bad
+        flags.setdefault(r.record_type, []).append(bad)
+        entries.setdefault(r.record_type, []).append(F.when(bad, _entry(r)))
+    none = F.array().cast(T.ArrayType(VIOLATION_TYPE))
+    if not rules:
+        return df.select(*records.columns, F.lit(False).alias("failed"), none.alias("violations"))
+    failed = F.coalesce(_by_type({t: reduce(lambda a, b: a | b, bad) for t, bad in flags.items()}), F.lit(False))
+    found = F.coalesce(_by_type({t: F.array_compact(F.array(*e)) for t, e in entries.items()}), none)
+    return df.select(*records.columns, failed.alias("failed"), F.when(failed, found).otherwise(none).alias("violations"))
+
+
+def violations_of(checked: DataFrame) -> DataFrame:
+    """One row per (line, violated rule): the line's columns plus the rule's log fields."""
+    keep = [c for c in checked.columns if c not in ("violations", "failed", "fields")]
+    return checked.where("failed").select(*keep, F.explode("violations").alias("__v")).select(*keep, "__v.*")
+
+
+def check_records(records: DataFrame, compiled: CompiledRules, refs: References) -> DataFrame:
+    """The violations of parsed records: one row per (line, violated rule)."""
+    return violations_of(check_lines(records, compiled, refs))
 
 
 # --------------------------------------------------------------------------- H12 / C11
 
-def split_records(records: DataFrame, violations: DataFrame, key_cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(clean, failed): a line with any violation -- of any Type, warnings included -- is removed.
+def check_and_split(lines: DataFrame, compiled: CompiledRules, refs: References,
+                    line_col: str = "line") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(violations, clean, failed)`` of record lines.
 
-    ``key_cols`` identify a line: a stable id, or the line text itself (by value, so identical
-    lines go together, as the checks are a function of the line).  The failed key set is
-    deduplicated with partial aggregation before the anti/semi join; AQE turns the join into a
-    broadcast when that set is small and splits skewed partitions of hot duplicate lines.
+    A line with any violation, of any Type, warnings included, is removed.  The checks are a function of the line, so
+    identical lines go together; the split is a filter on the line's flag, and no line is looked up among the failed ones.
     """
-    failed_keys = violations.select(*key_cols).distinct()
-    clean = records.join(failed_keys, key_cols, "left_anti")
-    failed = records.join(failed_keys, key_cols, "left_semi")
-    return clean, failed
+    checked = check_lines(parse_records(lines, line_col), compiled, refs)
+    return (violations_of(checked), checked.where(~F.col("failed")).select(*lines.columns),
+            checked.where(F.col("failed")).select(*lines.columns))
 
 
 def send_log_rows(violations: DataFrame, orchestrator_id: str, stage: str, region: str, country: str,
@@ -320,199 +419,6 @@ def baseline_from_rules(spark: SparkSession, compiled: CompiledRules, run_date:
     return df.agg(F.coalesce(F.sum(F.col(f"`{df.columns[0]}`")), F.lit(0)).cast("long").alias("baseline"))
 
 
-# --------------------------------------------------------------------------- one-pass line check
-
-VIOLATION_TYPE = T.StructType([
-    T.StructField("field_index", T.IntegerType()), T.StructField("operator", T.StringType()),
-    T.StructField("value", T.StringType()), T.StructField("errorseverity", T.StringType()),
-    T.StructField("type", T.StringType()), T.StructField("errordescription", T.StringType()),
-    T.StructField("erroridentifier", T.StringType()), T.StructField("recommendation", T.StringType()),
-])
-
-
-def _provably_small(df: DataFrame) -> bool:
-    from .joins import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, estimated_size
-    est = estimated_size(df)
-    if est is not None:
-        return est <= DEFAULT_BROADCAST_BYTES
-    return df.limit(DEFAULT_BROADCAST_ROWS + 1).count() <= DEFAULT_BROADCAST_ROWS
-
-
-def _line_checks(records: DataFrame, compiled: CompiledRules, refs: References):
-    """Shared by ``check_lines`` and ``flag_lines``: the frame with reference lookups attached and,
-    per record type, the compiled (bad, hit) expressions of its rules; None when a reference set
-    is not provably small."""
-    """Every line with a ``violations`` array (one struct per violated rule), in one narrow pass.
-
-    Rules are configuration, so each compiles on the driver into a literal expression
-    (index, pattern, list and date format are constants); the rules of a record type form one
-    ``CASE record_type WHEN t THEN array(when(bad_i, struct_i), ...)`` branch, so a line
-    evaluates only its own type's rules, inside whole-stage codegen.  Reference sets ride along
-    as per-type arrays and the currencies as broadcast lookups.  Log rows are
-    ``explode(violations)`` and the clean file is ``size(violations) = 0`` of the same pass, so
-    removing failed lines needs no shuffle.  Returns None when a reference set is not provably
-    small enough to ride along; callers then use ``check_records`` + ``split_records``.
-    """
-    wt_on = refs.fact("wt_nonempty", lambda: _nonempty(refs.wagetypes))
-    it_on = refs.fact("it_nonempty", lambda: _nonempty(refs.infotypes))
-    if (wt_on and not refs.fact("wt_small", lambda: _provably_small(refs.wagetypes))) or \
-            (it_on and not refs.fact("it_small", lambda: _provably_small(refs.infotypes))):
-        return None
-    groups: dict[str, list] = {}
-    wt_index: dict[str, int] = {}
-    for o in compiled.rows or []:
-        groups.setdefault(o[0], []).append(o)
-        if o[8] is not None:
-            wt_index[o[0]] = o[8]
-    df = records
-    country = F.lit(refs.country)
-    fields, rtype = F.col("fields"), F.col("record_type")
-
-    # country currency (D8 plain lookup): one scalar subquery, attached once as a column
-    if refs.currencykey is not None:
-        ccy_value = refs.currencykey.where(F.col("CountryKey") == country).agg(F.min("CurrencyKey")).scalar()
-    else:
-        ccy_value = F.lit(None).cast("string")
-    df = df.withColumn("__ccy", ccy_value)
-    # wage-type currency of the line: the value at its type's wage-type position, looked up
-    if refs.wagetype_currency is not None and wt_index:
-        wt_val = None
-        for t_, i_ in wt_index.items():
-            wt_val = F.when(rtype == F.lit(t_), F.get(fields, F.lit(i_))) if wt_val is None else \
-                wt_val.when(rtype == F.lit(t_), F.get(fields, F.lit(i_)))
-        wref = small_side(
-            refs.wagetype_currency.where((F.col("Country") == country) & (F.col("DataSource") == F.lit(refs.datasource)))
-            .groupBy("WageType").agg(F.min("CurrencyKey").alias("__wc")))
-        df = df.withColumn("__wt", wt_val).join(wref, F.col("__wt") == F.col("WageType"), "left")
-    else:
-        df = df.withColumn("__wc", F.lit(None).cast("string"))
-    empty = F.array().cast("array<string>")
-    if wt_on:
-        wt = (refs.wagetypes.select(F.col("Infotype").alias("__wt_t"), "Wagetype").distinct()
-              .groupBy("__wt_t").agg(F.collect_list("Wagetype").alias("__wt_set")))
-        df = df.join(F.broadcast(wt), rtype == F.col("__wt_t"), "left")  # size proven by _provably_small
-    if it_on:
-        it = (refs.infotypes.where(F.col("Country") == country).select(F.col("Infotype").alias("__it_t"), "Wagetype")
-              .distinct().groupBy("__it_t").agg(F.collect_list("Wagetype").alias("__it_set")))
-        df = df.join(F.broadcast(it), rtype == F.col("__it_t"), "left")  # size proven by _provably_small
-    wt_set = F.coalesce(F.col("__wt_set"), empty)
-    it_set = F.coalesce(F.col("__it_set"), empty)
-    ccy, wc = F.col("__ccy"), F.col("__wc")
-
-    def bad(o) -> Column:
-        _, idx, op, params, pattern, date_fmt = o[:6]
-        v = F.get(fields, F.lit(idx))
-        if op == K.OP_IN:
-            c = F.array_contains(F.array(*[F.lit(x) for x in params]).cast("array<string>"), v)
-        elif op == K.OP_NOTIN:
-            c = ~F.array_contains(F.array(*[F.lit(x) for x in params]).cast("array<string>"), v)
-        elif op == K.OP_DATEFORMAT:
-            c = ~prefix_match(v, pattern) | F.try_to_timestamp(v, F.lit(date_fmt)).isNull()
-        elif op in (K.OP_AMOUNTFORMAT, K.OP_HOURSFORMAT):
-            c = (v != "") & ~prefix_match(v, pattern)
-        elif op == K.OP_COUNTRYCHECK:
-            c = ~v.eqNullSafe(country)
-        elif op == K.OP_CURRENCYCHECK:
-            c = ~v.eqNullSafe(ccy)
-        elif op == K.OP_WAGETYPECHECK:
-            c = ((v == "") | ~F.array_contains(wt_set, v)) if wt_on else F.lit(False)
-        elif op == K.OP_INFOTYPECOMBINATIONFORMAT:
-            c = ((v == "") | ~F.array_contains(it_set, v)) if it_on else F.lit(False)
-        elif op == K.OP_WAGETYPECURRENCYCHECK:
-            c = ~v.eqNullSafe(F.coalesce(wc, ccy))
-        else:
-            c = F.lit(False)
-        return (F.size(fields) > F.lit(idx)) & F.coalesce(c, F.lit(False)) if idx >= 1 else F.lit(False)
-
-    def hit(o) -> Column:
-        _, idx, op, _, _, _, flds, ident, _, sev, typ, desc, rec = o
-        parts = [F.concat(F.lit(f"{n}:"), F.coalesce(F.get(fields, F.lit(i)), F.lit(""))) for i, n in flds]
-        text = F.concat(F.lit(f"{desc};"), F.concat_ws("|", *parts)) if parts else F.lit(f"{desc};")
-        return F.struct(F.lit(idx).cast("int").alias("field_index"), F.lit(op).alias("operator"),
-                        F.get(fields, F.lit(idx)).alias("value"), F.lit(sev).cast("string").alias("errorseverity"),
-                        F.lit(typ).cast("string").alias("type"), text.alias("errordescription"),
-                        F.lit(ident).cast("string").alias("erroridentifier"),
-                        F.lit(rec).cast("string").alias("recommendation"))
-
-    compiled_groups = {t_: [(bad(o), hit(o)) for o in rs] for t_, rs in groups.items()}
-    return df, compiled_groups
-
-
-def check_lines(records: DataFrame, compiled: CompiledRules, refs: References) -> DataFrame | None:
-    """Every line with a ``violations`` array (one struct per violated rule), in one narrow pass.
-
-    Rules are configuration, so each compiles on the driver into a literal expression
-    (index, pattern, list and date format are constants); the rules of a record type form one
-    ``CASE record_type WHEN t THEN array(when(bad_i, struct_i), ...)`` branch, so a line
-    evaluates only its own type's rules.  Log rows are ``explode(violations)`` and the clean file
-    is ``size(violations) = 0`` of the same pass.  Returns None when a reference set is not
-    provably small enough to ride along (use ``check_records`` + ``split_records``).
-    """
-    prepared = _line_checks(records, compiled, refs)
-    if prepared is None:
-        return None
-    df, compiled_groups = prepared
-    rtype = F.col("record_type")
-    none = F.array().cast(T.ArrayType(VIOLATION_TYPE))
-    viols = None
-    for t_, pairs in compiled_groups.items():
-        arr = F.array_compact(F.array(*[F.when(b, h) for b, h in pairs]))
-        viols = F.when(rtype == F.lit(t_), arr) if viols is None else viols.when(rtype == F.lit(t_), arr)
-    viols = F.coalesce(viols, none) if viols is not None else none
-    return df.select(*records.columns, viols.alias("violations"))
-
-
-def flag_lines(records: DataFrame, compiled: CompiledRules, refs: References) -> DataFrame | None:
-    """Every line with a boolean ``failed``: ``CASE record_type WHEN t THEN bad_1 OR bad_2 ...``.
-
-    A small codegen-friendly expression per line, no join with the rules and no shuffle; the
-    clean / failed split of a record file is a filter on it.  None when a reference set is not
-    provably small.
-    """
-    prepared = _line_checks(records, compiled, refs)
-    if prepared is None:
-        return None
-    df, compiled_groups = prepared
-    rtype = F.col("record_type")
-    flag = None
-    for t_, pairs in compiled_groups.items():
-        any_bad = reduce(lambda a, b: a | b, [b for b, _ in pairs])
-        flag = F.when(rtype == F.lit(t_), any_bad) if flag is None else flag.when(rtype == F.lit(t_), any_bad)
-    flag = F.coalesce(flag, F.lit(False)) if flag is not None else F.lit(False)
-    return df.select(*records.columns, flag.alias("failed"))
-
-
-def violations_of(checked: DataFrame) -> DataFrame:
-    """Log rows of a checked frame: one row per (line, violated rule)."""
-    keep = [c for c in checked.columns if c not in ("violations", "fields")]
-    return checked.select(*keep, F.explode("violations").alias("__v")).select(*keep, "__v.*")
-
-
-def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(clean, failed) of a checked frame; any violation, warnings included, removes the line."""
-    keep = [c for c in checked.columns if c not in ("violations", "fields", "record_type")]
-    return (checked.where(F.size("violations") == 0).select(*keep),
-            checked.where(F.size("violations") > 0).select(*keep))
-
-
-def check_and_split(lines: DataFrame, compiled: CompiledRules, refs: References, key_cols: list[str],
-                    line_col: str = "line") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(violations, clean, failed)`` of record lines.
-
-    Log rows come from ``check_records`` (rules broadcast-joined by record type).  The split is a
-    filter on ``flag_lines`` when the reference sets are provably small, so no line is shuffled;
-    otherwise a keyed anti/semi join (by line value when ``key_cols`` is ``[line_col]``).
-    """
-    recs = parse_records(lines, line_col)
-    viol = check_records(recs, compiled, refs)
-    flagged = flag_lines(recs, compiled, refs)
-    if flagged is None:
-        clean, failed = split_records(lines, viol, key_cols)
-        return viol, clean, failed
-    keep = list(lines.columns)
-    return viol, flagged.where(~F.col("failed")).select(*keep), flagged.where(F.col("failed")).select(*keep)
-
-
 def unknown_rule_report(lines: DataFrame, compiled: CompiledRules, line_col: str = "line") -> DataFrame:
     """Each rule whose operator has no check, with the number of records of its type it leaves unchecked."""
     rules = lines.sparkSession.createDataFrame(

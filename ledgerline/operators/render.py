@@ -221,62 +221,37 @@ def error_log_lines(info: DataFrame, values: list[Column], rows: DataFrame, file
 
 def generate_files(files: DataFrame, file_key: str, views: list[DataFrame], layouts: list[dict],
                    order_col: str | None, functions: dict[str, str] | None, compiled=None, refs=None,
-                   baseline: DataFrame | None = None, header_function=None) -> tuple[DataFrame, DataFrame]:
-    """Render, check, route and format many output files at once (J8 with I4 and C14).
-
-    ``files``: one row per file with ``file_key`` and the flags ``check_enabled``, ``override``,
-    ``skip`` (booleans) and ``threshold`` (text).  ``baseline``: ``(file_key, baseline)``; when
-    omitted the view rows per file are the baseline.  Lines that fail any rule are removed from
-    their file by value (warnings included); a file's failures are its ``Error`` violations plus
-    the count mismatch between its body and its views.  Returns ``(lines, status)``: failed files
-    keep their checked body unformatted; the others get the last layout's header, the checked
-    body and the first footer with ``TotalLineCount`` counting surviving records.
+                   baseline: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(lines, status)`` of many files that share their views, layouts, order and rules (J8 with I4 and C14).
+
+    ``files``: one row per file with ``file_key`` and the flags ``check_enabled``, ``override``, ``skip`` (booleans) and
+    ``threshold`` (text); the rest of the configuration is the same for all.  See ``filesets.generate_file_set``.
     """
-    from ..session import cut_lineage
-    from . import records as RC
-    from . import thresholds as TH
-
-    # The rendered body is written once (as the original flow writes its temp file) and then
-    # checked, counted and formatted from there.
-    body = cut_lineage(render_body(files, views, layouts, file_key, order_col, functions))
-    chk = files.select(file_key, "check_enabled")
-    if compiled is not None:
-        # files whose check is off are passed through untouched
-        on = body.join(F.broadcast(chk) if _files_small(files) else chk, file_key)
-        checked_on = on.where(F.col("check_enabled")).drop("check_enabled")
-        viol, clean_on, _ = RC.check_and_split(checked_on, compiled, refs or RC.References(""), [file_key, "line"])
-        clean = clean_on.unionByName(on.where(~F.col("check_enabled")).drop("check_enabled"))
-        stage_fail = TH.failure_counts(viol, [file_key])
-    else:
-        clean = body
-        stage_fail = files.select(file_key, F.lit(0).cast("long").alias("stagefailure"))
-    vcounts = TH.view_counts([v.select(file_key) for v in views], [file_key])
-    if baseline is None:
-        baseline = vcounts.withColumnRenamed("view_count", "baseline")
-    mismatch = TH.count_mismatch(TH.record_counts(body, [file_key]), vcounts, [file_key])
-    status = TH.summary_rows(files.select(file_key).join(baseline, file_key, "left"), stage_fail, mismatch,
-                             files.select(file_key, "threshold"), [file_key])
-    routes = files.join(status.select(file_key, "status"), file_key, "left").select(
-        file_key, route(F.col("status"), F.col("override"), F.col("skip"), F.col("check_enabled")).alias("route"))
-    status = status.join(routes, file_key)
-    # One route per file: when the file list is provably small, so is every per-file frame, and
-    # joining them to the lines must not shuffle the lines by file (a hot file would land in one task).
-    small = _files_small(files)
-    per_file = (lambda df: F.broadcast(df)) if small else (lambda df: df)
-
-    formatted_files = routes.where(F.col("route") != "failed").select(file_key)
-    last = layouts[-1]
-    formatted = assemble_file(formatted_files, clean.join(per_file(formatted_files), file_key, "left_semi"), file_key,
-                              last, header_function)
-    unformatted = clean.join(per_file(routes.where(F.col("route") == "failed")), file_key, "left_semi").select(
-        file_key, "section", F.col("view_rank").cast("int"), F.col("block").cast("int"), "order_key", "line")
-    lines = formatted.unionByName(unformatted).join(per_file(routes), file_key)
-    return lines, status
-
-
-def _files_small(files: DataFrame) -> bool:
-    from .joins import DEFAULT_BROADCAST_ROWS, estimated_size
-    est = estimated_size(files)
-    if est is not None and est <= 8 * 1024 * 1024:
-        return True
-    return files.limit(DEFAULT_BROADCAST_ROWS + 1).count() <= DEFAULT_BROADCAST_ROWS
+    from . import filesets as FS
+    if len(views) != len(layouts):
+        raise ValueError(f"{len(views)} views but {len(layouts)} layouts")
+    spark = files.sparkSession
+    names = [str(i) for i in range(len(views))]
+    values = [x for k, v in (functions or {}).items() for x in (F.lit(k), F.lit(v))]
+    config = files.select("*", F.lit(",".join(names)).alias("OutputViewName"), F.lit(",".join(names)).alias("LayoutPath"),
+                          F.lit(order_col or "").alias("OrderByColumn"),
+                          (F.create_map(*values) if values else F.create_map()).cast("map<string,string>").alias("functions"))
+    docs = FS.parse_layouts(spark.createDataFrame([(n, json.dumps(doc)) for n, doc in zip(names, layouts)], "layout string, text string"))
+    result = FS.generate_file_set(config, dict(zip(names, views)), docs, file_key, compiled, None, refs, baseline)
+    return result.lines.withColumn("order_key", _plain_order(views[0], order_col)), result.status
+
+
+def _plain_order(view: DataFrame, order_col: str | None) -> Column:
+    """The order key of rendered files in the order columns' own types, as ``order_key`` gives it."""
+    cols = [c.strip() for c in (order_col or "").split(",") if c.strip()]
+    if not cols:
+        return F.lit(None).cast("long")
+
+    def value(i: int, c: str) -> Column:
+        kind = view.schema[c].dataType
+        part = F.get("order_key", F.lit(i))
+        field = "d" if kind.typeName() in ("float", "double") else "s" if kind.typeName() in ("string", "timestamp_ntz") else "n"
+        return part[field].cast(kind)
+    if len(cols) == 1:
+        return value(0, cols[0])
+    return F.when(F.col("order_key").isNotNull(), F.struct(*[value(i, c).alias(c) for i, c in enumerate(cols)]))

@@ -4,16 +4,17 @@ Operators: D1 resolve_rules (+ G1 baseline branch, D2 country explode), D3 gate_
 C4-C9 rule predicates / scopes / log projection, D9 + E1 latest ingestion, I1 evaluate_rules
 (one scan per object), I2 access_check, I3 move_ingestion_errors, E9 distinct_components.
 
-Rules are configuration: the resolved rule frame is small and is collected (with a hard
-bound) to compile Column expressions.  Data is never collected: every object is scanned
-once, all of its rules evaluated as one ``explode(array_compact(array(when(...))))`` projection.
+The rules of a run are a small stored frame of (rule, country) rows.  Only the distinct predicates of an object are
+compiled into its plan: a row yields the numbers of the predicates it satisfies, and these meet the rule frame in a join on
+(predicate, country), which also carries the latest load of each country.  So the plan grows with the predicates, not with
+the countries or the rules that share a predicate, and every object is scanned once.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from typing import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,9 @@ from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions.dates import date_suffix
-from ..functions.text import any_of, bind_name, bind_predicate, log_fields
+from ..functions.text import any_of, log_field_value
+from ..session import store
 from .history import replace_slice
-from .joins import bounded_collect, small_side
-
-MAX_RULES = 50_000
 
 RULE_COLUMNS = [
     "Country", "Stage", "ObjectType", "ObjectName", "ObjectField", "Operator", "ObjectFieldValue",
@@ -62,12 +61,14 @@ class RunContext:
     run_date: str                      # YYYY-MM-DD
     component: str = ""
     vendor: str = ""
-    now: _dt.datetime | None = None    # fixed zone-less record timestamp (tests); None -> now
+    now: _dt.datetime | None = None    # zone-less record timestamp; None -> the moment the context is made
     extra: dict = field(default_factory=dict)
 
+    def __post_init__(self):
+        if self.now is None:  # one moment for all outputs of the run
+            self.now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
     def record_ts(self) -> Column:
-        if self.now is None:
-            return F.localtimestamp()
         return F.lit(self.now.isoformat(sep=" ")).cast("timestamp_ntz")
 
     def date_col(self) -> Column:
@@ -101,17 +102,17 @@ def resolve_rules(config: DataFrame, error_map: DataFrame, severity_map: DataFra
     sev = severity_map.select("SeverityID", F.col("SeverityDescription").alias("ErrorSeverity"))
     flds = fields_map.select("FieldsCode", F.col("LogFields").alias("AdditionalFields"))
     main = (
-        base.join(small_side(err), "ErrorCode")
-        .join(small_side(sev), "SeverityID")
-        .join(small_side(flds), "FieldsCode")
-        .join(small_side(vendors), "Vendor")
+        base.join(err, "ErrorCode")
+        .join(sev, "SeverityID")
+        .join(flds, "FieldsCode")
+        .join(vendors, "Vendor")
         .select(*RULE_COLUMNS)
     )
     if ctx.stage == K.BASELINE_STAGE:
         blank = F.lit("")
         baseline = (
             base.where(F.col("Operator") == F.lit(K.OP_BASELINEQUERY))
-            .join(small_side(vendors), "Vendor")
+            .join(vendors, "Vendor")
             .select(
                 "Country", "Stage", "ObjectType", "ObjectName", "ObjectField", "Operator",
                 "ObjectFieldValue", "AdditionalCondition", "ErrorCode", "Recommendation",
@@ -139,17 +140,18 @@ def gate_by_threshold(rules: DataFrame, flags: DataFrame | None, override: bool,
     country); the component takes part, null-safely, when the run names one or fans out over
     several (``by_component``).
     """
-    if override or flags is None or flags.limit(1).count() == 0:
+    if override or flags is None:
         return rules
-    ok = flags.where(F.col("Is_Threshold_Exceeded") == F.lit(K.THRESHOLD_NOT_EXCEEDED))
-    rules_u = rules.withColumn("Country", F.upper("Country"))
-    if (component or by_component) and "Component" in flags.columns:
-        keys = ok.select(F.upper("Country").alias("__gc"), F.col("Component").alias("__gm")).distinct()
-        cond = (F.col("Country") == F.col("__gc")) & F.col("Component").eqNullSafe(F.col("__gm"))
-    else:
-        keys = ok.select(F.upper("Country").alias("__gc")).distinct()
-        cond = F.col("Country") == F.col("__gc")
-    return rules_u.join(small_side(keys), cond, "left_semi")
+    wanted = (component or by_component) and "Component" in flags.columns
+    flags = store(flags.select(F.upper("Country").alias("__gc"), (F.col("Component") if wanted else F.lit(None)).cast("string").alias("__gm"),
+                               (F.col("Is_Threshold_Exceeded") == F.lit(K.THRESHOLD_NOT_EXCEEDED)).alias("__ok")), "gate-flags")
+    none = flags.limit(1).agg(F.count(F.lit(1)) == 0).scalar()
+    keys = flags.where("__ok").distinct()
+    cond = F.upper("Country") == F.col("__gc")
+    if wanted:
+        cond = cond & F.col("Component").eqNullSafe(F.col("__gm"))
+    gated = rules.join(keys, cond, "left").withColumn("__none", none).where(F.col("__ok") | F.col("__none"))
+    return gated.withColumn("Country", F.when(F.col("__none"), F.col("Country")).otherwise(F.upper("Country"))).select(*rules.columns)
 
 
 # --------------------------------------------------------------------------- I1
@@ -161,61 +163,106 @@ class RuleProblem:
     error: str
 
 
-def _object_key_columns(df: DataFrame, rules: list[dict], alias: DataFrame | None) -> tuple[DataFrame, dict]:
-    """Canonical country key column per distinct ``CountryKeyField`` of the object's rules."""
-    keymap: dict[str, str] = {}
-    fields = sorted({r["CountryKeyField"] for r in rules if r.get("CountryKeyField")})
-    for i, f in enumerate(fields):
-        name = f"__ck{i}"
-        if alias is None:
-            df = df.withColumn(name, F.expr(f))
-        else:
-            a = alias.select(F.col("raw").alias(f"__ar{i}"), F.col("key").alias(name))
-            df = df.join(small_side(a), F.expr(f) == F.col(f"__ar{i}"), "left").drop(f"__ar{i}")
-        keymap[f] = name
-    return df, keymap
+@dataclass
+class ViewFamily:
+    """The dated output views of all countries as one frame: the view of a country is its rows with that ``country_col``."""
+
+    frame: DataFrame
+    country_col: str
+
+
+#: What a rule compiles to, beside its country: rules that agree in these share one predicate of the object's plan.
+_PREDICATE = ["object", "kind", "mode", "condition", "ingestion", "key_field", "fields"]
+_KEY = "__rule_country"  # stands for the rule's country in a predicate that only meets rows of that country
+
+
+def _bound(c: Column, ctx: RunContext) -> Column:
+    """Date token and region bound; the country stays."""
+    c = F.replace(F.coalesce(c, F.lit("")), F.lit(K.DATE_TOKEN), F.lit(ctx.run_date))
+    return F.replace(c, F.lit(K.REGION_PLACEHOLDER), F.lit(ctx.region or ""))
+
+
+def _rule_frame(rules: DataFrame, families: Mapping[str, ViewFamily], ctx: RunContext) -> DataFrame:
+    """(rule, country) rows with what each compiles to (``_PREDICATE``) and its texts, bound.
+
+    ``mode``: ``eq`` (rows of the rule's country), ``ne`` (rows of any other), ``all``; ``kind``: ``history``, ``raw``, ``view``.
+    """
+    def lower(text):
+        return F.lit((text or "").lower())
+    country = F.coalesce("Country", F.lit(""))
+    name = F.replace(F.replace(F.col("ObjectName"), F.lit(K.REGION_PLACEHOLDER), lower(ctx.region)),
+                     F.lit(K.VENDOR_PLACEHOLDER), F.lower(F.coalesce("Vendor", F.lit(""))))
+    is_view = F.lower(F.coalesce("ObjectType", F.lit(""))) == "view"
+    family = is_view & name.isin(*families) if families else F.lit(False)
+    own = F.replace(F.replace(name, F.lit(K.COUNTRY_PLACEHOLDER), F.lower(country)), F.lit(K.COMPONENT_PLACEHOLDER), F.lit(""))
+    suffix = F.when(is_view, F.lit("_" + date_suffix(ctx.run_date))).otherwise(F.lit(""))
+    is_table = F.lower(F.coalesce("ObjectType", F.lit(""))) == "table"
+    kind = (F.when(family, "family").when(~is_table, "view").when(own.endswith(K.HISTORY_SUFFIX), "history").otherwise("raw"))
+    key_field = F.when(is_table, F.replace(_bound(F.col("CountryKeyField"), ctx), F.lit(K.COUNTRY_PLACEHOLDER), country)).otherwise("")
+    mode = (F.when(family, "eq").when(~is_table | (key_field == ""), "all")
+            .when(F.col("ErrorCode") == F.lit(K.COUNTRY_ERROR_CODE), "ne").otherwise("eq"))
+
+    def with_country(text: Column, inside: Column) -> Column:
+        """A quoted country is the row's own where only rows of that country are met; elsewhere its text is bound."""
+        quoted = F.replace(text, F.lit(f"'{K.COUNTRY_PLACEHOLDER}'"), F.lit(_KEY))
+        keep = inside & ~F.contains(quoted, F.lit(K.COUNTRY_PLACEHOLDER))
+        return F.when(keep, quoted).otherwise(F.replace(text, F.lit(K.COUNTRY_PLACEHOLDER), country))
+
+    def text(c: str) -> Column:
+        return F.replace(_bound(F.col(c), ctx), F.lit(K.COUNTRY_PLACEHOLDER), country)
+    condition = _bound(F.col("AdditionalCondition"), ctx)
+    ingestion = F.when(kind == "raw", F.trim(_bound(F.col("FileIngestionCondition"), ctx))).otherwise("")
+    return rules.where(F.upper(F.coalesce("Operator", F.lit(""))) != F.lit(K.OP_BASELINEQUERY)).select(
+        F.col("Country").alias("country"), F.when(family, name).otherwise(F.concat(own, suffix)).alias("object"),
+        F.concat(own, suffix).alias("objectname"), kind.alias("kind"), mode.alias("mode"),
+        with_country(F.when(condition == "", F.lit("TRUE")).otherwise(condition), mode == "eq").alias("condition"),
+        with_country(ingestion, F.lit(True)).alias("ingestion"), key_field.alias("key_field"),
+        F.trim(F.coalesce("AdditionalFields", F.lit(""))).alias("fields"),
+        F.col("Component").cast("string").alias("sourcecomponent"), F.col("ErrorSeverity").cast("string").alias("errorseverity"),
+        F.col("Type").cast("string").alias("type"), text("ErrorDescription").alias("description"),
+        F.col("ObjectField").cast("string").alias("erroridentifier"),
+        F.when(F.col("Recommendation").isNotNull(), text("Recommendation")).alias("recommendation"))
 
 
 def evaluate_rules(rules: DataFrame | list[dict], objects: Callable[[str], DataFrame] | Mapping[str, DataFrame],
-                   ctx: RunContext, alias: DataFrame | None = None) -> tuple[DataFrame | None, list[RuleProblem]]:
+                   ctx: RunContext, alias: DataFrame | None = None,
+                   families: Mapping[str, ViewFamily] | None = None) -> tuple[DataFrame | None, list[RuleProblem]]:
     """Violation log rows of table / view rules, one scan per object.
 
-    Per rule: bind placeholders; views get the ``_YYYY_MM_DD`` suffix; the predicate is
-    the configured condition (parenthesised).  Tables add a row scope: names ending in
-    ``history`` -> ``createddttm = run date``; others -> latest load of the rule's
-    country (``rawingestiondttm = max`` under the ingestion condition, computed for all
-    rules of the object in one aggregate).  With a country field: ``E004`` rules keep
-    rows whose country key is not the rule's country, other rules rows whose key is.
+    Per rule: bind placeholders; views get the ``_YYYY_MM_DD`` suffix; the predicate is the configured condition
+    (parenthesised).  Tables add a row scope: names ending in ``history`` -> ``createddttm = run date``; others -> latest load
+    of the rule's country (``rawingestiondttm = max`` under the ingestion condition, one aggregate per country key for all
+    rules of the object).  With a country field: ``E004`` rules keep rows whose country key is not the rule's country, other
+    rules rows whose key is.  ``families`` gives the views of all countries by their configured name, country placeholder
+    included: they are evaluated together, in one scan.
 
-    A rule that does not analyse against its object is reported and skipped; the other
-    rules still run.  Returns ``(log_rows or None, problems)``.
+    A predicate that does not analyse against its object is reported and skipped; the other rules still run.  Returns
+    ``(log_rows or None, problems)``.
     """
-    rows = [r.asDict() for r in bounded_collect(rules, MAX_RULES, "rules")] \
-        if isinstance(rules, DataFrame) else list(rules)
-    # country and region are bound in the whole rule, not in its condition only
-    rows = [r | {f: bind_predicate(r[f], ctx.run_date, r["Country"], ctx.region)
-                 for f in ("ErrorDescription", "Recommendation", "CountryKeyField") if r.get(f)} for r in rows]
+    families = dict(families or {})
+    if not isinstance(rules, DataFrame):
+        spark = SparkSession.active()
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in RULE_COLUMNS])
+        rules = spark.createDataFrame([tuple(r.get(c) for c in RULE_COLUMNS) for r in rules], schema)
+    frame = store(_rule_frame(rules, families, ctx), "rules")
     resolve = objects.__getitem__ if isinstance(objects, Mapping) else objects
+    # the distinct predicates are what compiles into the plans: configuration, without the countries
     by_object: dict[str, list[dict]] = {}
+    for r in frame.groupBy(*_PREDICATE).agg(F.min("objectname").alias("objectname")).orderBy(*_PREDICATE).collect():
+        by_object.setdefault(r["object"], []).append(r.asDict())
     problems: list[RuleProblem] = []
-    for r in rows:
-        if (r.get("Operator") or "").upper() == K.OP_BASELINEQUERY:
-            continue
-        name = bind_name(r["ObjectName"], r["Country"], ctx.region, r.get("Vendor") or "")
-        if (r.get("ObjectType") or "").lower() == "view":
-            name = name + "_" + date_suffix(ctx.run_date)
-        by_object.setdefault(name, []).append(r)
-
     frames = []
-    for name, rrules in by_object.items():
+    for name, predicates in by_object.items():
+        family = families.get(name) if predicates[0]["kind"] == "family" else None
         try:
-            src = resolve(name)
+            src = family.frame if family else resolve(name)
         except Exception as e:  # missing object: every rule of it fails
-            problems += [RuleProblem(name, r, f"object not found: {e}") for r in rrules]
+            problems += [RuleProblem(p["objectname"], p, f"object not found: {e}") for p in predicates]
             continue
-        frame = _evaluate_object(src, name, rrules, ctx, alias, problems)
-        if frame is not None:
-            frames.append(frame)
+        own = frame.where(F.col("object") == F.lit(name))
+        log = _evaluate_object(src, predicates, own, ctx, alias, family, problems)
+        if log is not None:
+            frames.append(log)
     if not frames:
         return None, problems
     out = frames[0]
@@ -224,119 +271,100 @@ def evaluate_rules(rules: DataFrame | list[dict], objects: Callable[[str], DataF
     return out, problems
 
 
-def _evaluate_object(src: DataFrame, name: str, rules: list[dict], ctx: RunContext,
-                     alias: DataFrame | None, problems: list[RuleProblem]) -> DataFrame | None:
-    base_cols = list(src.columns)
-    df, keymap = _object_key_columns(src, rules, alias)
-    is_table = [(r.get("ObjectType") or "").lower() == "table" for r in rules]
+def _case(values: dict[int, Column]) -> Column:
+    """``CASE number WHEN n THEN values[n] ...``."""
+    expr = None
+    for n, v in values.items():
+        expr = F.when(F.col("__n") == n, v) if expr is None else expr.when(F.col("__n") == n, v)
+    return expr
 
-    # Latest load of the rule's country under its ingestion condition, as a scalar
-    # subquery; Catalyst merges the subqueries of all rules of the object into one aggregate.
-    latest: dict[int, Column] = {}
-    for i, r in enumerate(rules):
-        if not is_table[i] or name.endswith(K.HISTORY_SUFFIX):
-            continue
-        try:
-            ing = (r.get("FileIngestionCondition") or "").strip()
-            ing_c = F.expr("(" + bind_predicate(ing, ctx.run_date, r["Country"], ctx.region) + ")") if ing else F.lit(True)
-            fld = r.get("CountryKeyField") or ""
-            if not fld:
-                raise ValueError("table rule without a country field cannot select the latest load")
-            scope = ing_c & (F.col(keymap[fld]) == F.lit(r["Country"]))
-            agg = df.agg(F.max(F.when(scope, F.col("rawingestiondttm"))).alias("m"))
-            latest[i] = agg.scalar()
-        except Exception as e:
-            problems.append(RuleProblem(name, r, str(e).splitlines()[0]))
-            is_table[i] = None  # mark failed
-
-    # Rules that differ only in their country (same bound predicate, same everything else) on a
-    # history table scoped by a country key are evaluated once: key IN (countries), labelled with
-    # the key itself.  Rows therefore meet one expression per rule, not one per (rule, country).
-    items: list[tuple[dict, list[str] | None]] = []
-    merged: dict[tuple, list[dict]] = {}
-    for i, r in enumerate(rules):
-        if is_table[i] is None:
-            continue
-        fld = r.get("CountryKeyField") or ""
-        if is_table[i] and name.endswith(K.HISTORY_SUFFIX) and fld and r.get("ErrorCode") != K.COUNTRY_ERROR_CODE:
-            bound = bind_predicate(r.get("AdditionalCondition") or "TRUE", ctx.run_date, r["Country"], ctx.region)
-            gkey = (bound,) + tuple((k, str(v)) for k, v in sorted(r.items()) if k != "Country")
-            if any(x["Country"] == r["Country"] for x in merged.get(gkey, ())):
-                items.append((r, None))       # a rule fanned out twice reports twice
-                continue
-            if gkey not in merged:
-                merged[gkey] = []
-                items.append((r, merged[gkey]))   # the list fills in as later countries arrive
-            merged[gkey].append(r)
-        else:
-            items.append((r, None))
 
-    conds, structs, owners = [], [], []
-    for r, group in items:
-        countries = sorted({x["Country"] for x in group}) if group is not None else None
-        i = rules.index(r)
+def _evaluate_object(src: DataFrame, predicates: list[dict], rules: DataFrame, ctx: RunContext, alias: DataFrame | None,
+                     family: ViewFamily | None, problems: list[RuleProblem]) -> DataFrame | None:
+    df, keys = src, {}
+    for i, f in enumerate(sorted({p["key_field"] for p in predicates if p["key_field"]})):
+        keys[f] = f"__ck{i}"
+        if alias is None:
+            df = df.withColumn(keys[f], F.expr(f).cast("string"))
+        else:
+            a = alias.select(F.col("raw").alias(f"__ar{i}"), F.col("key").cast("string").alias(keys[f]))
+            df = df.join(a, F.expr(f) == F.col(f"__ar{i}"), "left").drop(f"__ar{i}")
+    if family is not None:
+        keys[""] = "__ck"
+        df = df.withColumn("__ck", F.col(family.country_col).cast("string"))
+
+    def parse(text: str, key: str | None) -> Column:
+        return F.expr("(" + (text.replace(_KEY, f"`{key}`") if key else text) + ")")
+
+    good, loads = {}, {}
+    for n, p in enumerate(predicates):
+        key = keys.get(p["key_field"])
         try:
-            pred = F.expr("(" + bind_predicate(r.get("AdditionalCondition") or "TRUE", ctx.run_date,
-                                                r["Country"], ctx.region) + ")")
-            cond = pred
-            country_col = F.lit(r["Country"])
-            if is_table[i]:
-                if name.endswith(K.HISTORY_SUFFIX):
-                    cond = cond & (F.col("createddttm") == ctx.date_col())
-                else:
-                    cond = cond & (F.col("rawingestiondttm") == latest[i])
-                fld = r.get("CountryKeyField") or ""
-                if fld:
-                    key = F.col(keymap[fld])
-                    if countries is not None and len(countries) > 1:
-                        cond = cond & key.isin(countries)
-                        country_col = key.cast("string")
-                    elif r.get("ErrorCode") == K.COUNTRY_ERROR_CODE:
-                        cond = cond & (F.coalesce(key, F.lit("")) != F.lit(r["Country"]))
-                    else:
-                        cond = cond & (key == F.lit(r["Country"]))
-            fields_txt = (r.get("AdditionalFields") or "").strip()
-            fields = fields_txt.split(",") if fields_txt else base_cols
-            desc = log_fields(r.get("ErrorDescription") or "", fields)
-            st = F.struct(
-                country_col.alias("country"),
-                F.lit(r.get("Component")).cast("string").alias("sourcecomponent"),
-                F.lit(name).alias("objectname"),
-                F.lit(r.get("ErrorSeverity")).cast("string").alias("errorseverity"),
-                F.lit(r.get("Type")).cast("string").alias("type"),
-                desc.alias("errordescription"),
-                F.lit(r.get("ObjectField")).cast("string").alias("erroridentifier"),
-                F.lit(r.get("Recommendation")).cast("string").alias("recommendation"),
-            )
-            conds.append(cond)
-            structs.append(F.when(cond, st))
-            owners.append(group or [r])
+            cond = F.coalesce(parse(p["condition"], key), F.lit(False))
+            if p["kind"] == "history":
+                cond = cond & (F.col("createddttm") == ctx.date_col())
+            elif p["kind"] == "raw":
+                if key is None:
+                    raise ValueError("table rule without a country field cannot select the latest load")
+                scope = parse(p["ingestion"], key) if p["ingestion"] else F.lit(True)
+                loads[n] = (key, F.max(F.when(scope, F.col("rawingestiondttm"))))
+                df.agg(loads[n][1])
+            names = [x for x in p["fields"].split(",")] if p["fields"] else src.columns
+            text = F.concat_ws("|", *[F.concat(F.lit(x + ":"), log_field_value(F.col(f"`{x.strip()}`"))) for x in names])
+            good[n] = (cond, text)
         except Exception as e:
-            for x in (group or [r]):
-                problems.append(RuleProblem(name, x, str(e).splitlines()[0]))
-    if not structs:
-        return None
-    # Analyse all rules of the object at once; only when that fails, find the bad ones one by one.
-    try:
-        df.select(*structs)
+            problems.append(RuleProblem(p["objectname"], p, str(e).splitlines()[0]))
+            loads.pop(n, None)
+    try:  # analyse all of them at once; only when that fails, find the bad ones one by one
+        df.select(*[c for pair in good.values() for c in pair])
     except Exception:
-        ok_conds, ok_structs = [], []
-        for c, st_, who in zip(conds, structs, owners):
+        for n in list(good):
             try:
-                df.select(st_)
-                ok_conds.append(c)
-                ok_structs.append(st_)
+                df.select(*good[n])
             except Exception as e:
-                problems.extend(RuleProblem(name, x, str(e).splitlines()[0]) for x in who)
-        conds, structs = ok_conds, ok_structs
-        if not structs:
-            return None
-    hits = (
-        df.where(any_of(conds))
-        .select(F.explode(F.array_compact(F.array(*structs))).alias("v"))
-        .select("v.*")
-    )
-    return _with_run_columns(hits, ctx)
+                problems.append(RuleProblem(predicates[n]["objectname"], predicates[n], str(e).splitlines()[0]))
+                del good[n]
+                loads.pop(n, None)
+    if not good:
+        return None
+    numbers = SparkSession.active().createDataFrame(
+        [(n, *(predicates[n][c] for c in _PREDICATE)) for n in good], "__n int, " + ", ".join(f"{c} string" for c in _PREDICATE))
+    texts = ["country", "sourcecomponent", "objectname", "errorseverity", "type", "description", "erroridentifier", "recommendation"]
+    meet = rules.join(numbers, _PREDICATE).select(
+        F.col("__n").alias("__rn"), F.when(F.col("mode") == "eq", F.col("country")).otherwise(F.lit("")).alias("__rk"),
+        (F.col("mode") == "ne").alias("__other"), *[F.col(c).alias(f"__r_{c}") for c in texts])
+    latest = None
+    for key in sorted({k for k, _ in loads.values()}):
+        own = {n: v for n, (k, v) in loads.items() if k == key}
+        per_key = df.groupBy(F.col(key).alias("__lc")).agg(*[v.alias(f"__m{n}") for n, v in own.items()])
+        long = per_key.select("__lc", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"__m{n}").alias("m")) for n in own]))
+                              .alias("x")).select("__lc", F.col("x.n").alias("__ln"), F.col("x.m").alias("__latest"))
+        latest = long if latest is None else latest.unionByName(long)
+    if latest is not None:
+        meet = meet.join(latest, (F.col("__rn") == F.col("__ln")) & (F.col("__r_country") == F.col("__lc")), "left").drop("__ln", "__lc")
+
+    scoped = {keys[predicates[n]["key_field"]] if predicates[n]["mode"] == "eq" else None for n in good}
+    if len(scoped) == 1 and None not in scoped:  # only rows of the run's countries can match: the others needn't be looked at
+        countries = rules.select(F.col("country").alias("__wanted")).distinct()
+        df = df.join(countries, F.col(next(iter(scoped))) == F.col("__wanted"), "left_semi")
+    hits = df.where(any_of([c for c, _ in good.values()])).withColumn(
+        "__n", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, (c, _) in good.items()]))))
+    own_key = _case({n: F.col(keys[predicates[n]["key_field"]]) if predicates[n]["mode"] != "all" else F.lit("") for n in good})
+    text = _case({n: t for n, (_, t) in good.items()})
+    eq = F.lit(True)
+    if any(predicates[n]["mode"] != "eq" for n in good):
+        eq = ~F.col("__other") | (F.coalesce("__k", F.lit("")) != F.col("__r_country"))
+    hits = hits.withColumn("__k", own_key)
+    join_key = _case({n: F.col("__k") if predicates[n]["mode"] == "eq" else F.lit("") for n in good})
+    cond = (F.col("__n") == F.col("__rn")) & (join_key == F.col("__rk")) & eq
+    if latest is not None:
+        raw = [n for n in good if n in loads]
+        fresh = F.col("rawingestiondttm") == F.col("__latest")
+        cond = cond & (fresh if len(raw) == len(good) else ~F.col("__n").isin(raw) | fresh)
+    found = hits.withColumn("__text", text).join(meet, cond).select(
+        *[F.col(f"__r_{c}").alias(c) for c in texts if c != "description"],
+        F.concat(F.col("__r_description"), F.lit(";"), F.col("__text")).alias("errordescription"))
+    return _with_run_columns(found, ctx)
 
 
 def _with_run_columns(df: DataFrame, ctx: RunContext) -> DataFrame:
@@ -448,19 +476,22 @@ def distinct_components(executions: DataFrame, by_country: bool) -> DataFrame:
 def run_access_check(spark: SparkSession, rules: DataFrame, objects, ctx: RunContext, log_path: str,
                      countries: list[str], flags: DataFrame | None = None, override: bool = False,
                      alias: DataFrame | None = None, components: list[str] | None = None) -> list[RuleProblem]:
-    """I2 against a validation log stored as parquet partitioned by ``createddttm``.
+    """I2 against a validation log stored as Parquet partitioned by its delete key (``sinks.slices.LOG_SLICE``).
 
-    Only the run date's partition is read and rewritten (slice replaced, new violations
-    appended).  Rules that could not run are raised after the log is written, so one bad
-    rule never hides the results of the others.
+    Only the run's own slices are replaced.  Rules that could not run are raised after the log is written, so one bad rule
+    never hides the results of the others.
     """
-    from ..sinks.tables import replace_partitions
+    from ..sinks.slices import LOG_SLICE, replace_slices
     gated = gate_by_threshold(rules, flags, override, ctx.component, components is not None)
     viol, problems = evaluate_rules(gated, objects, ctx, alias)
     if viol is None:
         viol = empty_log(spark)
     comps = components if components is not None else ([ctx.component] if ctx.component else None)
-    replace_partitions(spark, log_path, viol, log_slice(ctx, countries, comps), "createddttm", [ctx.run_date])
+    own = dict(createddttm=[ctx.run_date], source=[ctx.source], region=[ctx.region], stage=[ctx.stage],
+               orchestratorid=[ctx.orchestrator_id])
+    own |= {"sourcecomponent": comps} if comps else {}
+    own |= {"country": sorted({*countries, *(c.upper() for c in countries)})} if countries else {}  # gated rules are upper-cased
+    replace_slices(spark, log_path, viol, LOG_SLICE, own)
     if problems:
         raise RuntimeError(f"{len(problems)} rule(s) failed: " + "; ".join(f"{p.objectname}: {p.error}" for p in problems))
     return problems

@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.numeric import error_percentage, threshold_status, threshold_value
-from .joins import small_side
 
 
 def record_counts(lines: DataFrame, keys: list[str], line_col: str = "line") -> DataFrame:
@@ -83,7 +82,7 @@ def summary_rows(baseline: DataFrame, stage_failures: DataFrame, mismatch: DataF
         j = j.join(mismatch.select(*keys, "g2vsviewcountfailure"), keys, "full")
     else:
         j = j.withColumn("g2vsviewcountfailure", F.lit(0).cast("long"))
-    j = j.join(small_side(thresholds), keys, "left")
+    j = j.join(thresholds, keys, "left")
     j = j.select(
         *keys,
         F.coalesce("baseline", F.lit(0)).cast("long").alias("baseline"),
@@ -100,30 +99,38 @@ def access_threshold(summary: DataFrame, keys: list[str]) -> DataFrame:
                           .otherwise(F.lit("N")).alias("Is_Threshold_Exceeded"))
 
 
-def log_with_stage(log: DataFrame, stage_map: DataFrame, **equals) -> DataFrame:
-    """Log rows of one run with their stage description (inner-join semantics: unmapped stages drop out).
+def access_flags(log: DataFrame, baseline: DataFrame, thresholds: DataFrame, country: str = "country",
+                 component: str = "sourcecomponent") -> DataFrame:
+    """Threshold flags from a run's log, by country and component and by country alone.
 
-    The stage map is configuration: up to ``MAX_STAGE_MAP`` rows it becomes a literal map lookup
-    (no join); a larger map is joined (broadcast when provably small).
+    The log is read once: grouping sets count both levels, told apart by ``level`` (``component`` or ``country``; a country
+    row has no component).  ``baseline`` holds the checked rows per (country, component); its keys decide which flags exist.
+    ``thresholds`` has (country, threshold text).  Columns: ``Country, Component, level, baseline, stagefailure,
+    errorpercentage, status, Is_Threshold_Exceeded``.
     """
+    def both(df: DataFrame, value: Column, name: str) -> DataFrame:
+        grouped = df.groupingSets([[country, component], [country]], country, component).agg(
+            value.alias(name), F.grouping(component).alias("__all"))
+        return grouped.select(F.col(country).alias("__c"), F.col(component).alias("__m"), "__all", name)
+    failures = both(log, F.count_if(F.col("type") == F.lit(K.ERROR_TYPE)).cast("long"), "stagefailure")
+    rows = both(baseline, F.sum("baseline").cast("long"), "baseline")
+    f = failures.select(*[F.col(c).alias(c + "_f") for c in ("__c", "__m", "__all")], "stagefailure")
+    same = (F.col("__all") == F.col("__all_f")) & F.col("__c").eqNullSafe(F.col("__c_f")) & F.col("__m").eqNullSafe(F.col("__m_f"))
+    limits = thresholds.select(F.col(country).alias("__t"), "threshold")
+    j = (rows.join(f, same, "left").join(limits, F.col("__c") == F.col("__t"), "left")
+         .select("__c", "__m", "__all", "baseline", F.coalesce("stagefailure", F.lit(0)).cast("long").alias("stagefailure"),
+                 threshold_value(F.col("threshold")).alias("thresholdpercentage")))
+    j = with_status(j, failures="stagefailure")
+    return j.select(F.col("__c").alias("Country"), F.col("__m").alias("Component"),
+                    F.when(F.col("__all") == 1, "country").otherwise("component").alias("level"), "baseline", "stagefailure",
+                    "errorpercentage", "status",
+                    F.when(F.col("status") == F.lit(K.STATUS_FAILURE), "Y").otherwise("N").alias("Is_Threshold_Exceeded"))
+
+
+def log_with_stage(log: DataFrame, stage_map: DataFrame, **equals) -> DataFrame:
+    """Log rows of one run with their stage description (inner join: unmapped stages drop out, a repeated one fans out)."""
     df = log
     for c, v in equals.items():
         df = df.where(F.col(c) == (v if not isinstance(v, str) else F.lit(v)))
-    rows = stage_map.select("Stage", "StageDescription").limit(MAX_STAGE_MAP + 1).collect()
-    stages = [r.Stage for r in rows if r.Stage is not None]
-    if len(rows) <= MAX_STAGE_MAP and len(stages) == len(set(stages)):  # a repeated stage fans out: join
-        pairs = {}
-        for r in rows:
-            if r.Stage is not None and r.Stage not in pairs:
-                pairs[r.Stage] = r.StageDescription
-        if not pairs:
-            return df.where(F.lit(False)).withColumn("stagedescription", F.lit(None).cast("string"))
-        m = F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), F.lit(v).cast("string"))])
-        # keep rows whose stage is a key (a mapped NULL description still counts as a match)
-        return (df.where(F.map_contains_key(m, F.col("stage")))
-                .withColumn("stagedescription", F.element_at(m, F.col("stage"))))
     sm = stage_map.select(F.col("Stage").alias("__stage"), F.col("StageDescription").alias("stagedescription"))
-    return df.join(small_side(sm), F.col("stage") == F.col("__stage")).drop("__stage")
-
-
-MAX_STAGE_MAP = 10_000
+    return df.join(sm, F.col("stage") == F.col("__stage")).drop("__stage")

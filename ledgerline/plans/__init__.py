@@ -5,4 +5,4 @@ from .registry import ORACLES, QUERIES  # noqa: F401
 
 def load_all() -> None:
     """Import every query module so that it registers its queries."""
-    from . import q_files, q_history, q_io, q_records, q_rules, q_steps  # noqa: F401
+    from . import q_files, q_filesets, q_history, q_io, q_records, q_rules, q_steps  # noqa: F401

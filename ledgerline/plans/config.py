@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import bounded_collect
 from .tables import RUN_DATE, RUN_REGION, SOURCE, Tables
 
 S = T.StringType()
@@ -26,12 +25,12 @@ CONFIG_SCHEMA = T.StructType([T.StructField(n, S) for n in [
 
 
 def _nation_rows(t: Tables) -> list:
-    """(n_name, r_name) of every nation, collected once per query (bounded configuration)."""
+    """(n_name, r_name) of every nation, collected once per query (the run's country configuration)."""
     cache = t.__dict__.setdefault("_config_cache", {})
     if "nations" not in cache:
         df = (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
               .select("n_name", "r_name").orderBy("n_name"))
-        cache["nations"] = bounded_collect(df, 10_000, "nation names")
+        cache["nations"] = df.collect()
     return cache["nations"]
 
 
@@ -40,7 +39,7 @@ def all_nations(t: Tables) -> str:
 
 
 def run_countries(t: Tables, region: str = RUN_REGION) -> list[str]:
-    """Countries of the run region: nations of ``region`` (bounded list)."""
+    """Countries of the run region: nations of ``region``."""
     return [r.n_name for r in _nation_rows(t) if r.r_name == region]
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import history as H
-from ..operators.joins import bounded_collect
 from .registry import query
 from .tables import PRIOR_DATE, RUN_DATE, RUN_REGION, Tables
 
@@ -50,7 +49,7 @@ def _region_refs(t: Tables):
 def _countries(t: Tables, region_key: str = RUN_REGION, requested: str = ""):
     region, country = _region_refs(t)
     df = H.resolve_countries(t.spark, region, country, region_key, requested)
-    return [r.CountryKey for r in bounded_collect(df, 10_000, "countries")]
+    return [r.CountryKey for r in df.collect()]
 
 
 _SQL_RAW = """raw AS (SELECT c_custkey, c_name, c_mktsegment,
@@ -111,17 +110,20 @@ REQUESTED = " nation_1,NATION_7 , nation_99"
 
 COUNTRY_SCOPE_REQUESTED_SQL = f"""WITH req AS (SELECT DISTINCT trim(k) AS CountryKey
     FROM (SELECT unnest(string_split(upper('{REQUESTED}'), ',')) AS k) WHERE trim(k) <> '')
-SELECT CountryKey, n_nationkey, n_regionkey FROM req LEFT JOIN nation ON n_name = CountryKey"""
+SELECT CountryKey, n_nationkey, n_regionkey, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS n_customers
+FROM req LEFT JOIN nation ON n_name = CountryKey"""
 
 
 @query("country_scope_requested", COUNTRY_SCOPE_REQUESTED_SQL)
 def country_scope_requested(spark, sf_dir):
-    """A requested list replaces the region's countries, without active/region checks."""
+    """A requested list replaces the region's countries, without active/region checks; their customers."""
     t = Tables(spark, sf_dir)
     region, country = _region_refs(t)
     req = H.resolve_countries(spark, region, country, "Asia", REQUESTED)
-    return req.join(t.nation, F.col("n_name") == F.col("CountryKey"), "left") \
-        .select("CountryKey", "n_nationkey", "n_regionkey")
+    customers = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    return (req.join(t.nation, F.col("n_name") == F.col("CountryKey"), "left")
+            .join(customers, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .select("CountryKey", "n_nationkey", "n_regionkey", F.coalesce("n", F.lit(0)).cast("long").alias("n_customers")))
 
 
 def _data_sources(t: Tables):
@@ -129,7 +131,7 @@ def _data_sources(t: Tables):
         t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.col("n_nationkey").cast("long").alias("DataSourceId"),
-            F.when(F.col("n_nationkey") % 3 == 1, F.lit("equity")).otherwise(F.lit("payroll")).alias("DataSourceName"),
+            F.when(F.col("n_nationkey") % 3 == 1, F.lit("rates")).otherwise(F.lit("payroll")).alias("DataSourceName"),
             F.concat(F.lit("raw."), F.lower("n_name")).alias("DataSourceRawValue"),
             F.concat(F.lit("raw."), F.lower("n_name"), F.lit("_history")).alias("DataSourceRawHistValue"),
             F.lit("country_raw").alias("CountryKeyField"),
@@ -146,7 +148,7 @@ def _component_map(t: Tables):
 
 
 ACTIVE_SOURCES_COMPONENT_SQL = """WITH ds AS (SELECT CAST(n_nationkey AS BIGINT) AS DataSourceId,
-    CASE WHEN n_nationkey % 3 = 1 THEN 'equity' ELSE 'payroll' END AS DataSourceName,
+    CASE WHEN n_nationkey % 3 = 1 THEN 'rates' ELSE 'payroll' END AS DataSourceName,
     'raw.' || lower(n_name) AS DataSourceRawValue, 'raw.' || lower(n_name) || '_history' AS DataSourceRawHistValue,
     'country_raw' AS CountryKeyField, n_nationkey % 5 <> 4 AS Active,
     CASE WHEN n_nationkey % 2 = 0 THEN r_name ELSE lower(r_name) END AS Region

@@ -25,15 +25,15 @@ from .tables import FIXED_NOW, RUN_DATE, Tables
 # ----------------------------------------------------------------------------- A1 / A2
 
 MAPPINGS = [
-    dict(region="uki", datasource="equity", pattern="src1_", patternfilter="", extension=".csv", topic="t_src1"),
-    dict(region="uki", datasource="equity", pattern="src2_en", patternfilter="src2_*_*.csv", extension=".csv",
+    dict(region="north", datasource="rates", pattern="src1_", patternfilter="", extension=".csv", topic="t_src1"),
+    dict(region="north", datasource="rates", pattern="src2_en", patternfilter="src2_*_*.csv", extension=".csv",
          topic="t_src2"),
-    dict(region="uki", datasource="equity", pattern=["_fr_", "_de_", "src3_"], patternfilter="src3*",
+    dict(region="north", datasource="rates", pattern=["_fr_", "_de_", "src3_"], patternfilter="src3*",
          extension=".csv", topic="t_src3"),
-    dict(region="uki", datasource="equity", pattern=["src4_", "src5_"], patternfilter="", extension=".txt",
+    dict(region="north", datasource="rates", pattern=["src4_", "src5_"], patternfilter="", extension=".txt",
          topic="t_src45"),
-    dict(region="UKI", datasource="equity", pattern="src6_", patternfilter="", extension=".csv", topic="t_case"),
-    dict(region="uki", datasource="payroll", pattern="src7_", patternfilter="", extension=".csv", topic="t_other"),
+    dict(region="NORTH", datasource="rates", pattern="src6_", patternfilter="", extension=".csv", topic="t_case"),
+    dict(region="north", datasource="payroll", pattern="src7_", patternfilter="", extension=".csv", topic="t_other"),
 ]
 
 
@@ -63,7 +63,7 @@ UNION ALL SELECT 3, 't_src45', name FROM f
 def manifest(spark, sf_dir):
     """Landed files of one (region, datasource) matched to topics by prefix / glob / pattern list (A1)."""
     t = Tables(spark, sf_dir)
-    return MF.discover_files(_listing(t), MAPPINGS, "uki", "equity")
+    return MF.discover_files(_listing(t), MAPPINGS, "north", "rates")
 
 
 @query("manifest_summary", f"""{_MATCH_SQL}
@@ -72,12 +72,12 @@ FROM m GROUP BY mapping_id, topic""")
 def manifest_summary(spark, sf_dir):
     """One manifest row per mapping with files: count and first / last name (A2)."""
     t = Tables(spark, sf_dir)
-    return MF.manifest_summary(MF.discover_files(_listing(t), MAPPINGS, "uki", "equity"))
+    return MF.manifest_summary(MF.discover_files(_listing(t), MAPPINGS, "north", "rates"))
 
 
 # ----------------------------------------------------------------------------- D11 / B9
 
-REQUESTS = [("payroll", "asia"), ("payroll", "europe"), ("pmi", "asia"), ("equity", "na"), ("payroll", "nowhere")]
+REQUESTS = [("payroll", "asia"), ("payroll", "europe"), ("ledger", "asia"), ("rates", "west"), ("payroll", "nowhere")]
 
 
 def _routing_text(t: Tables):
@@ -85,23 +85,23 @@ def _routing_text(t: Tables):
                   .groupBy("r_name").agg(F.concat_ws(" , ", F.sort_array(F.collect_list(F.lower("n_name")))).alias("tl")))
     entries = per_region.select(F.concat(F.lit("payroll_"), F.lower(F.regexp_replace("r_name", " ", "")),
                                          F.lit(" : "), F.col("tl")).alias("e"))
-    pmi = per_region.where(F.col("r_name") == "EUROPE").select(F.concat(F.lit("pmi_uki:"), F.col("tl")).alias("e"))
-    empty = per_region.where(F.col("r_name") == "AMERICA").select(F.lit("equity_na:").alias("e"))
-    allv = entries.unionByName(pmi).unionByName(empty)
+    ledger = per_region.where(F.col("r_name") == "EUROPE").select(F.concat(F.lit("ledger_north:"), F.col("tl")).alias("e"))
+    empty = per_region.where(F.col("r_name") == "AMERICA").select(F.lit("rates_west:").alias("e"))
+    allv = entries.unionByName(ledger).unionByName(empty)
     return allv.agg(F.concat_ws("\n|\t", F.sort_array(F.collect_list("e"))).alias("mapping"))
 
 
 def _routing(t: Tables):
     from .config import local_frame
     req = local_frame(t.spark, REQUESTS, "datasource string, region string")
-    routing = ST.parse_routing(_routing_text(t), "mapping", region_agnostic=["pmi_uki", "pmi"])
+    routing = ST.parse_routing(_routing_text(t), "mapping", region_agnostic=["ledger_north", "ledger"])
     return ST.route_staging(routing, req)
 
 
 _ROUTING_SQL = """m AS (SELECT 'payroll' AS ds, lower(replace(r_name, ' ', '')) AS rg, lower(n_name) AS tbl
       FROM nation JOIN region ON n_regionkey = r_regionkey
-    UNION ALL SELECT 'pmi', NULL, lower(n_name) FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'),
-req AS (SELECT * FROM (VALUES ('payroll', 'asia'), ('payroll', 'europe'), ('pmi', 'asia'), ('equity', 'na'),
+    UNION ALL SELECT 'ledger', NULL, lower(n_name) FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'),
+req AS (SELECT * FROM (VALUES ('payroll', 'asia'), ('payroll', 'europe'), ('ledger', 'asia'), ('rates', 'west'),
     ('payroll', 'nowhere')) r(datasource, region)),
 routed AS (SELECT req.datasource, req.region, m.tbl AS "table" FROM req JOIN m
     ON req.datasource = m.ds AND (m.rg IS NULL OR m.rg = req.region))"""
@@ -198,20 +198,25 @@ def _expected_values_sql() -> str:
     return f"(VALUES {rows}) AS e(c, t)"
 
 
+_TRY = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+_HELD = [(c, t) for c, t in [("l_linenumber", "bigint"), ("l_shipdate", "date"), ("l_tax", None)]]
+
 SCHEMA_DIFF_SQL = f"""WITH actual AS (SELECT column_name AS c, CASE column_type WHEN 'BIGINT' THEN 'bigint'
     WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
     WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date' WHEN 'FLOAT' THEN 'float'
     WHEN 'BOOLEAN' THEN 'boolean' ELSE lower(column_type) END AS t FROM (DESCRIBE lineitem)),
-expected AS (SELECT * FROM {_expected_values_sql()})
-SELECT e.c AS "column", e.t AS expected, CAST(NULL AS VARCHAR) AS actual, 'missing' AS problem
+expected AS (SELECT * FROM {_expected_values_sql()}),
+diff AS (SELECT e.c AS "column", e.t AS expected, CAST(NULL AS VARCHAR) AS actual, 'missing' AS problem
   FROM expected e WHERE e.c NOT IN (SELECT c FROM actual)
 UNION ALL SELECT e.c, e.t, a.t, 'type' FROM expected e JOIN actual a ON e.c = a.c WHERE e.t <> a.t
-UNION ALL SELECT a.c, CAST(NULL AS VARCHAR), a.t, 'unexpected' FROM actual a WHERE a.c NOT IN (SELECT c FROM expected)"""
+UNION ALL SELECT a.c, CAST(NULL AS VARCHAR), a.t, 'unexpected' FROM actual a WHERE a.c NOT IN (SELECT c FROM expected)),
+held AS ({" UNION ALL ".join(f"SELECT '{c}' AS c, count({c}) AS n_values, " + (f"count_if({c} IS NOT NULL AND TRY_CAST({c} AS {_TRY[t]}) IS NULL)" if t else "CAST(NULL AS BIGINT)") + " AS n_lost FROM lineitem" for c, t in _HELD)})
+SELECT diff.*, CAST(n_values AS BIGINT) AS n_values, CAST(n_lost AS BIGINT) AS n_lost FROM diff LEFT JOIN held ON c = "column\""""
 
 
 @query("schema_diff", SCHEMA_DIFF_SQL)
 def schema_diff(spark, sf_dir):
-    """Differences between the lineitem table's schema and its expected schema document (I8)."""
+    """Differences between lineitem's schema and its expected schema document, with the values they touch (I8)."""
     t = Tables(spark, sf_dir)
     return CK.check_schema(spark, t.lineitem, EXPECTED_LINEITEM.json())
 

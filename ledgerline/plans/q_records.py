@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..operators import records as RC
 from ..operators import rules as R
 from . import config as C
@@ -115,7 +116,7 @@ def _refs_from_rules(t: Tables, compiled) -> RC.References:
 def _checked(t: Tables):
     # failing lines are removed by value: identical lines go together
     compiled = _compiled(t)
-    return RC.check_and_split(_lines(t), compiled, _refs_from_rules(t, compiled), ["line"])
+    return RC.check_and_split(_lines(t), compiled, _refs_from_rules(t, compiled))
 
 
 def _violations(t: Tables):
@@ -272,6 +273,18 @@ SEND_SUMMARY_SQL = (f"{VIOLATIONS_CTE},\nagg AS (SELECT (SELECT count(*) FROM li
                     "THEN 'Failure' ELSE 'Partial' END AS status FROM pc")
 
 
+def _stored_lines(t: Tables):
+    """The record file as it lies in storage; the baseline query reads it by its dated name."""
+    from ..session import store
+    lines = store(_lines(t), "payfile")
+    lines.createOrReplaceTempView("ll_lines_nation_7_" + RUN_DATE.replace("-", "_"))
+    return lines
+
+
+_SEND = dict(orchestrator_id=ORCHESTRATOR, stage="dag06", region=REGION_LC, country=RUN_COUNTRY, source=SOURCE, component="core",
+             vendor=VENDOR, objectname=f"{SOURCE_PATH}{SOURCE_OBJECT}.csv", run_date=RUN_DATE, threshold="150", now=FIXED_NOW)
+
+
 @query("record_send_summary", SEND_SUMMARY_SQL)
 def record_send_summary(spark, sf_dir):
     """Summary row of a record-file check through the composed I4 operator: baseline from the
@@ -279,32 +292,74 @@ def record_send_summary(spark, sf_dir):
     from ..operators.send import send_check
     from .q_files import _stage_map
     t = Tables(spark, sf_dir)
-    lines = _lines(t)
-    lines.createOrReplaceTempView("ll_lines_nation_7_" + RUN_DATE.replace("-", "_"))
-    res = send_check(spark, lines, _compiled(t), _refs(t), [t.lineitem], None, _stage_map(spark),
-                     orchestrator_id=ORCHESTRATOR, stage="dag06", region=REGION_LC, country=RUN_COUNTRY,
-                     source=SOURCE, component="core", vendor=VENDOR, objectname=f"{SOURCE_PATH}{SOURCE_OBJECT}.csv",
-                     run_date=RUN_DATE, threshold="150", now=FIXED_NOW)
+    res = send_check(spark, _stored_lines(t), _compiled(t), _refs(t), [t.lineitem], None, _stage_map(spark), **_SEND)
     return res.summary.drop("logtimestamp")
 
 
-@query("record_send_written", SEND_SUMMARY_SQL)
-def record_send_written(spark, sf_dir):
-    """The record-file check with its writes (log slice, summary, clean file, error-log file) into the
-    shared scratch folder; the written summary is read back (I4 end to end)."""
+def _send_written(t: Tables, runs: int) -> str:
+    """The file check with its writes, ``runs`` times over the same tables; returns their folder."""
     from ..operators.send import run_send_check
     from ..session import scratch_path
     from .q_files import _stage_map
-    t = Tables(spark, sf_dir)
-    lines = _lines(t)
-    lines.createOrReplaceTempView("ll_lines_nation_7_" + RUN_DATE.replace("-", "_"))
-    base = scratch_path(spark, "send")
-    compiled = _compiled(t)
-    run_send_check(spark, lines, compiled, _refs_from_rules(t, compiled), [t.lineitem], _stage_map(spark),
-                   log_path=f"{base}/log", summary_path=f"{base}/summary", clean_path=f"{base}/clean",
-                   log_file_path=f"{base}/logfile", orchestrator_id=ORCHESTRATOR, stage="dag06", region=REGION_LC,
-                   country=RUN_COUNTRY, source=SOURCE, component="core", vendor=VENDOR,
-                   objectname=f"{SOURCE_PATH}{SOURCE_OBJECT}.csv", run_date=RUN_DATE, threshold="150", now=FIXED_NOW)
+    base = scratch_path(t.spark, "send")
+    lines, compiled = _stored_lines(t), _compiled(t)
+    refs = _refs_from_rules(t, compiled)
+    for _ in range(runs):
+        run_send_check(t.spark, lines, compiled, refs, [t.lineitem], _stage_map(t.spark), log_path=f"{base}/log",
+                       summary_path=f"{base}/summary", clean_path=f"{base}/clean", failed_path=f"{base}/failed",
+                       log_file_path=f"{base}/logfile", order=[F.col("l_orderkey"), F.col("l_linenumber")], **_SEND)
+    return base
+
+
+@query("record_send_written", SEND_SUMMARY_SQL)
+def record_send_written(spark, sf_dir):
+    """The record-file check with its writes (log slice, summary, clean file, removed lines, error-log file) into the shared
+    scratch folder; the written summary is read back (I4 end to end)."""
+    base = _send_written(Tables(spark, sf_dir), 1)
     return spark.read.parquet(f"{base}/summary").select(
         "executiondate", "orchestratorid", "region", "country", "source", "sourcecomponent", "stagefailure",
         "g2vsviewcountfailure", "totalfailure", "thresholdpercentage", "errorpercentage", "status")
+
+
+def _sql_entry(c):
+    s = f"coalesce(CAST({c} AS VARCHAR), '')"
+    return f"CASE WHEN contains({s}, ',') OR {s} = ' ' THEN '\"' || {s} || '\"' ELSE {s} END"
+
+
+_SEND_INFO = ["'2024-01-15 12:00:00'", f"'{RUN_DATE}'", "'asia'", f"'{RUN_COUNTRY}'", f"'{SOURCE}'", "'core'",
+              "CAST(stagefailure AS VARCHAR)", "CAST(g2vsviewcountfailure AS VARCHAR)", "CAST(baseline AS VARCHAR)",
+              "CAST(totalfailure AS VARCHAR)", "CAST(thresholdpercentage AS VARCHAR)", "CAST(errorpercentage AS VARCHAR)", "status"]
+
+SEND_RERUN_SQL = f"""{SEND_SUMMARY_SQL.split("SELECT DATE")[0].rstrip()},
+sm AS (SELECT *, CASE WHEN errorpercentage = 0 THEN 'Success' WHEN errorpercentage > thresholdpercentage THEN 'Failure'
+    ELSE 'Partial' END AS status FROM pc),
+lg AS (SELECT '{ORCHESTRATOR}' AS orchestratorid, 'dag06' AS stage, 'File checks' AS stagedescription, 'asia' AS region,
+    '{RUN_COUNTRY}' AS country, '{SOURCE}' AS source, 'core' AS sourcecomponent, '{SOURCE_PATH}{SOURCE_OBJECT}.csv' AS objectname,
+    errorseverity, type, erroridentifier, DATE '{RUN_DATE}' AS createddttm, TIMESTAMP '2024-01-15 12:00:00' AS recordtimestamp,
+    errordescription, recommendation FROM viol)
+SELECT 'summary' AS output, 1 AS n, concat_ws('|', {', '.join(_SEND_INFO)}) AS line FROM sm
+UNION ALL SELECT 'log', count(*), errordescription || '|' || coalesce(erroridentifier, '') FROM lg GROUP BY errordescription, erroridentifier
+UNION ALL SELECT 'clean', count(*), line FROM lines WHERE NOT EXISTS (SELECT 1 FROM viol v WHERE v.line = lines.line) GROUP BY line
+UNION ALL SELECT 'failed', count(*), line FROM lines WHERE EXISTS (SELECT 1 FROM viol v WHERE v.line = lines.line) GROUP BY line
+UNION ALL SELECT 'logfile', count(*), line FROM (
+  SELECT unnest([{', '.join(f"'{lbl} : ' || {v}" for lbl, v in zip(K.ERROR_LOG_INFO_LABELS, _SEND_INFO))}]) AS line FROM sm
+  UNION ALL SELECT '{','.join(K.ERROR_LOG_FILE_COLUMNS)}' WHERE EXISTS (SELECT 1 FROM lg)
+  UNION ALL SELECT concat_ws(',', {', '.join(_sql_entry(c) for c in K.ERROR_LOG_FILE_COLUMNS)}) FROM lg) GROUP BY line"""
+
+
+@query("record_send_rerun", SEND_RERUN_SQL)
+def record_send_rerun(spark, sf_dir):
+    """The file check run twice: every output of the second run, read back from storage, equals the first's."""
+    base = _send_written(Tables(spark, sf_dir), 2)
+    s = spark.read.parquet(f"{base}/summary").join(
+        spark.read.text(f"{base}/logfile").where(F.col("value").startswith("Total Base Record : "))
+        .select(F.substring_index("value", " : ", -1).alias("baseline")))
+    info = [F.col(c) for c in ("logtimestamp", "executiondate", "region", "country", "source", "sourcecomponent", "stagefailure",
+                               "g2vsviewcountfailure", "baseline", "totalfailure", "thresholdpercentage", "errorpercentage", "status")]
+    out = s.select(F.lit("summary").alias("output"), F.concat_ws("|", *[c.cast("string") for c in info]).alias("line"))
+    log = spark.read.parquet(f"{base}/log").select(
+        F.lit("log").alias("output"), F.concat("errordescription", F.lit("|"), F.coalesce("erroridentifier", F.lit(""))).alias("line"))
+    out = out.unionByName(log)
+    for name in ("clean", "failed", "logfile"):
+        out = out.unionByName(spark.read.text(f"{base}/{name}").select(F.lit(name).alias("output"), F.col("value").alias("line")))
+    return out.groupBy("output", "line").agg(F.count(F.lit(1)).alias("n"))

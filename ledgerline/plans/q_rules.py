@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import sql_text
 from ..operators import rules as R
 from . import config as C
 from .registry import query
@@ -253,7 +254,7 @@ def rules_latest_ingestion(spark, sf_dir):
 
 # --------------------------------------------------------------------------- I3
 
-PROCESSES = [("Payroll",), ("equity",), (None,)]
+PROCESSES = [("Payroll",), ("rates",), (None,)]
 
 
 def _ingestion_rows(t: Tables):
@@ -455,16 +456,14 @@ WHERE (c_acctbal < 1000 AND c_mktsegment = c_mktsegment) AND n_name IN {_ASIA} A
 @query("component_fanout_run", COMPONENTS_RUN_SQL)
 def component_fanout_run(spark, sf_dir):
     """Region run over every distinct component of the executions as one rule evaluation."""
-    from ..operators.joins import bounded_collect
     t = Tables(spark, sf_dir)
     countries = C.run_countries(t)
     execs = (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
              .where(F.col("n_name").isin(countries)).select(F.col("c_mktsegment").alias("component")))
-    comps = sorted(r.component for r in bounded_collect(R.distinct_components(execs, by_country=False),
-                                                        10_000, "components"))
+    comps = sorted(r.component for r in R.distinct_components(execs, by_country=False).collect())
     fm = C.fields_map(spark, [("F9", "c_custkey,c_mktsegment")])
     specs = [dict(Stage="dag05", ObjectType="table", ObjectName="customer_history", ObjectField="c_acctbal",
-                  AdditionalCondition="c_acctbal < 1000 AND c_mktsegment = '" + c + "'", ErrorCode="E001",
+                  AdditionalCondition="c_acctbal < 1000 AND c_mktsegment = " + sql_text(c), ErrorCode="E001",
                   Recommendation="Check balance", SeverityID="S1", FieldsCode="F9", CountryKeyField="n_name",
                   Component=c) for c in comps]
     ctx = _ctx()
@@ -478,9 +477,10 @@ def component_fanout_run(spark, sf_dir):
 
 @query("access_check_written", ACCESS_CHECK_LOG_SQL)
 def access_check_written(spark, sf_dir):
-    """The table-level run against a validation log stored as parquet partitioned by createddttm:
-    a rerun rewrites only the run date's partition (I2 with the B2 sink)."""
+    """The table-level run against a validation log stored as Parquet, partitioned by its delete key: a rerun replaces
+    only its own slices (I2 with the B2 sink)."""
     from ..session import scratch_path
+    from ..sinks.slices import LOG_SLICE, read_slices
     t = Tables(spark, sf_dir)
     ctx = _ctx()
     rules = _rules(t, ctx)
@@ -489,9 +489,9 @@ def access_check_written(spark, sf_dir):
     first, _ = R.evaluate_rules(rules, objects, ctx)
     prior = first.unionByName(first.where(F.col("erroridentifier") == "l_quantity")
                               .withColumn("createddttm", F.lit("2024-01-14").cast("date")))
-    prior.write.partitionBy("createddttm").parquet(path)
+    prior.write.partitionBy(*LOG_SLICE).parquet(path)
     R.run_access_check(spark, rules, objects, ctx, path, C.run_countries(t))
-    return spark.read.parquet(path).select(*LOG_OUT)
+    return read_slices(spark, path, R.LOG_SCHEMA).select(*LOG_OUT)
 
 
 # --------------------------------------------------------------------------- L1 (country-key function)

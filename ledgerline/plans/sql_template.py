@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import constants as K
 
-_VAR = re.compile(r"\{[A-Za-z0-9._]+\}")
+_VAR = re.compile(K.CONFIG_VARIABLE)
 
 
 def lookup(config: dict, dotted: str):

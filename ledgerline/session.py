@@ -83,6 +83,17 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def store(df, name: str):
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
+
+    Several consumers then share one computation, a lost executor costs a re-read, and the planner knows the
+    written size, so it broadcasts or shuffles by what is really there.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -29,11 +29,11 @@ def test_discover_files_dedupes_and_filters(spark):
 
 
 def test_routing(spark):
-    df = spark.createDataFrame([("a_x : t1 ,t2 |\n b_y:| pmi_uki:t3",)], "m string")
-    r = ST.parse_routing(df, "m", region_agnostic=["pmi_uki"])
-    assert rows(r) == [("a", "x", "t1"), ("a", "x", "t2"), ("pmi", None, "t3")]
-    req = spark.createDataFrame([("a", "x"), ("pmi", "zz"), ("b", "y")], "datasource string, region string")
-    assert rows(ST.route_staging(r, req)) == [("a", "x", "t1"), ("a", "x", "t2"), ("pmi", "zz", "t3")]
+    df = spark.createDataFrame([("a_x : t1 ,t2 |\n b_y:| ledger_north:t3",)], "m string")
+    r = ST.parse_routing(df, "m", region_agnostic=["ledger_north"])
+    assert rows(r) == [("a", "x", "t1"), ("a", "x", "t2"), ("ledger", None, "t3")]
+    req = spark.createDataFrame([("a", "x"), ("ledger", "zz"), ("b", "y")], "datasource string, region string")
+    assert rows(ST.route_staging(r, req)) == [("a", "x", "t1"), ("a", "x", "t2"), ("ledger", "zz", "t3")]
 
 
 def test_reconcile_and_dependencies(spark):

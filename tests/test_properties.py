@@ -46,7 +46,7 @@ def test_clean_and_failed_partition_the_input(spark, lines):
              AdditionalFields="{1: 'a'}", ErrorSeverity="H", Type="Error", ErrorDescription="d", Recommendation="r"),
         dict(AdditionalCondition="B", ObjectField="2", Operator="DATEFORMAT", ObjectFieldValue=r"^\d{4}\d{2}\d{2}$",
              AdditionalFields="{2: 'b'}", ErrorSeverity="H", Type="Warning", ErrorDescription="d", Recommendation="r")])
-    viol, clean, failed = RC.check_and_split(df, comp, RC.References("US"), ["line"])
+    viol, clean, failed = RC.check_and_split(df, comp, RC.References("US"))
     c, f = rows(clean, "id"), rows(failed, "id")
     assert sorted(c + f) == rows(df, "id") and not set(c) & set(f)
     failed_text = {r.line for r in viol.collect()}

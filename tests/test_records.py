@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from ledgerline.operators import records as RC
 from ledgerline.sources import files as SRC
 from conftest import rows
@@ -73,8 +75,9 @@ def test_violations(spark):
 
 def test_identical_lines_fail_together_and_split_is_complete(spark):
     lines, _, viol = _check(spark)
-    clean, failed = RC.split_records(lines, viol, ["line"])
+    _, clean, failed = RC.check_and_split(lines, RC.compile_rules(spark, RULES), _refs(spark))
     c, f = rows(clean, "id"), rows(failed, "id")
+    assert {r[0] for r in f} == {r.id for r in viol.collect()}
     assert (2,) in f and (3,) in f            # identical lines go together
     assert sorted(c + f) == rows(lines, "id")
     assert (5,) in c
@@ -88,8 +91,7 @@ def test_empty_wagetype_reference_skips_check(spark):
 def test_warning_only_line_is_removed(spark):
     lines = spark.createDataFrame([(0, '0020|"1|"2|"x.1')], "id int, line string")
     comp = RC.compile_rules(spark, [_rule("0020", 3, "HOURSFORMAT", r"\d", typ="Warning")])
-    viol = RC.check_records(RC.parse_records(lines), comp, RC.References("US"))
-    clean, failed = RC.split_records(lines, viol, ["id"])
+    _, clean, failed = RC.check_and_split(lines, comp, RC.References("US"))
     assert clean.count() == 0 and failed.count() == 1
 
 
@@ -108,28 +110,67 @@ def test_file_scope(spark):
     assert rows(got2) == [("vend/ASIA/pay_us_x",)]
 
 
-def test_one_pass_equals_join_path(spark):
+def test_checked_lines_carry_their_violations(spark):
     lines, comp, viol = _check(spark)
-    recs = RC.parse_records(lines)
-    checked = RC.check_lines(recs, comp, _refs(spark))
-    assert checked is not None
+    checked = RC.check_lines(RC.parse_records(lines), comp, _refs(spark))
     cols = ["id", "operator", "errordescription", "erroridentifier", "field_index", "value"]
     assert rows(RC.violations_of(checked), *cols) == rows(viol, *cols)
-    clean1, failed1 = RC.split_checked(checked)
-    clean2, failed2 = RC.split_records(lines, viol, ["line"])
-    assert rows(clean1, "id") == rows(clean2, "id") and rows(failed1, "id") == rows(failed2, "id")
-    plan = RC.violations_of(checked)._jdf.queryExecution().executedPlan().toString()
-    # lines are never shuffled: every join is a broadcast join (exchanges only build the small sides)
-    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "BatchEvalPython" not in plan
-
-
-def test_flag_lines_matches_split(spark):
-    lines, comp, viol = _check(spark)
-    flagged = RC.flag_lines(RC.parse_records(lines), comp, _refs(spark))
-    _, failed = RC.split_records(lines, viol, ["line"])
-    assert rows(flagged.where("failed"), "id") == rows(failed, "id")
-    plan = flagged._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    got = {r.id: (r.failed, len(r.violations)) for r in checked.collect()}
+    assert all(failed == (n > 0) for failed, n in got.values()) and sum(n for _, n in got.values()) == viol.count()
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan
+
+
+def test_membership_of_any_size_is_one_hash_join(spark):
+    """A reference of ten million values is joined by (record type, value), never gathered into an array."""
+    lines = spark.createDataFrame([(0, '0015|"1|"2|"3|"w7'), (1, '0015|"1|"2|"3|"none')], "id int, line string")
+    comp = RC.compile_rules(spark, [_rule("0015", 4, "WAGETYPECHECK", "q"), _rule("0015", 4, "INFOTYPECOMBINATIONFORMAT", "q")])
+    big = spark.range(10_000_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("Wagetype"), F.lit("0015").alias("Infotype"))
+    refs = RC.References("US", wagetypes=big, infotypes=big.withColumn("Country", F.lit("US")))
+    checked = RC.check_lines(RC.parse_records(lines), comp, refs)
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "collect_set" not in plan and "NestedLoop" not in plan and "SortMergeJoin" in plan
+    small = [f.where("Wagetype IN ('w7', 'w8')") for f in (refs.wagetypes, refs.infotypes)]
+    checked = RC.check_lines(RC.parse_records(lines), comp, RC.References("US", wagetypes=small[0], infotypes=small[1]))
+    assert {r.id: len(r.violations) for r in checked.collect()} == {0: 0, 1: 2}
+
+
+def test_rules_of_many_files_are_compiled_once(spark):
+    a, b = _rule("T", 1, "IN", "['x']"), _rule("T", 2, "COUNTRYCHECK")
+    cols = ["f", *RC.FILE_RULE_COLUMNS]
+    data = [("f1", a), ("f2", a), ("f2", b), ("f3", b), ("f3", b), ("f3", _rule("T", 1, "LENGTHCHECK"))]
+    frame = spark.createDataFrame([tuple({"f": f, **r}[c] for c in cols) for f, r in data], ", ".join(f"{c} string" for c in cols))
+    comp, bits = RC.compile_file_rules(frame, "f")
+    assert len(comp.rows) == 3 and [r["Operator"] for r in comp.unknown] == ["LENGTHCHECK"]   # f3 has b twice
+    lines = spark.createDataFrame([(f, c, 'T|"x|"US') for f, c in (("f1", "CA"), ("f2", "CA"), ("f2", "US"), ("f3", "CA"), ("f4", "CA"))],
+                                  "f string, country string, line string").join(bits, "f", "left")
+    checked = RC.check_lines(RC.parse_records(lines), comp, RC.References(country_col="country"), "rule_bits")
+    got = {(r.f, r.country): sorted(v.operator for v in r.violations) for r in checked.collect()}
+    assert got == {("f1", "CA"): ["IN"], ("f2", "CA"): ["COUNTRYCHECK", "IN"], ("f2", "US"): ["IN"],
+                   ("f3", "CA"): ["COUNTRYCHECK", "COUNTRYCHECK"], ("f4", "CA"): []}
+
+
+def test_many_rules_need_several_words(spark):
+    cols = ["f", *RC.FILE_RULE_COLUMNS]
+    data = [("f1" if i % 2 else "f2", _rule("T", 1, "IN", f"['{i}']")) for i in range(150)]
+    frame = spark.createDataFrame([tuple({"f": f, **r}[c] for c in cols) for f, r in data], ", ".join(f"{c} string" for c in cols))
+    comp, bits = RC.compile_file_rules(frame, "f")
+    assert len(comp.rows) == 150 and all(len(r.rule_bits) == 3 for r in bits.collect())
+    lines = spark.createDataFrame([(f, f'T|"{i}') for f in ("f1", "f2") for i in range(150)], "f string, line string").join(bits, "f")
+    checked = RC.check_lines(RC.parse_records(lines), comp, RC.References("US"), "rule_bits")
+    assert {(r.f, r.line) for r in checked.where("failed").collect()} == {("f1" if i % 2 else "f2", f'T|"{i}') for i in range(150)}
+
+
+def test_references_by_country(spark):
+    lines = spark.createDataFrame([("US", 'T|"w1|"USD'), ("CA", 'T|"w1|"USD'), ("MX", 'T|"w1|"MXN'), ("CA", 'T|"w2|"EUR')], "c string, line string")
+    wt = spark.createDataFrame([("w1", "T", "US"), ("w2", "T", "CA")], "Wagetype string, Infotype string, Country string")
+    ck = spark.createDataFrame([("US", "USD"), ("CA", "CAD"), ("MX", "MXN")], "CountryKey string, CurrencyKey string")
+    wtc = spark.createDataFrame([("CA", "w2", "ds", "EUR")], "Country string, WageType string, DataSource string, CurrencyKey string")
+    comp = RC.compile_rules(spark, [_rule("T", 1, "WAGETYPECHECK", "q"), _rule("T", 2, "CURRENCYCHECK"), _rule("T", 2, "WAGETYPECURRENCYCHECK")])
+    checked = RC.check_lines(RC.parse_records(lines), comp, RC.References(None, "ds", wt, None, ck, wtc, country_col="c"))
+    got = {(r.c, r.line): sorted(v.operator for v in r.violations) for r in checked.collect()}
+    assert got == {("US", 'T|"w1|"USD'): [], ("CA", 'T|"w1|"USD'): ["CURRENCYCHECK", "WAGETYPECHECK", "WAGETYPECURRENCYCHECK"],
+                   ("MX", 'T|"w1|"MXN'): [], ("CA", 'T|"w2|"EUR'): ["CURRENCYCHECK"]}   # MX has no wage types: no check
 
 
 def test_send_check_composition(spark):
@@ -175,6 +216,30 @@ def test_literal_and_position_edge_cases(spark):
     assert got == [("NOTIN",)]
 
 
+def _written(spark, path):
+    df = spark.read.text(path) if path.endswith(("clean", "failed", "logfile")) else spark.read.parquet(path)
+    return rows(df)
+
+
+def test_two_file_checks_of_one_day_keep_their_rows(spark, tmp_path):
+    """Each check owns its slices: another country's check of the same run neither reads nor rewrites them."""
+    import datetime as dt
+    from ledgerline.operators.send import run_send_check
+    lines, comp, _ = _check(spark)
+    lines.select("line").createOrReplaceTempView("ll_send_lines3")
+    comp.baseline_queries[:] = ["SELECT COUNT(*) FROM ll_send_lines3"]
+    stage_map = spark.createDataFrame([("dag06", "File checks")], "Stage string, StageDescription string")
+    base = dict(orchestrator_id="o", stage="dag06", region="r", source="s", component="007", vendor="v", objectname="f.csv",
+                run_date="2024-01-15", threshold="50")
+    for country in ("US", "CA", "US"):
+        run_send_check(spark, lines.select("line"), comp, _refs(spark), [lines], stage_map, log_path=str(tmp_path / "log"),
+                       summary_path=str(tmp_path / "summary"), clean_path=str(tmp_path / f"clean{country}"),
+                       log_file_path=str(tmp_path / f"file{country}"), country=country, now=dt.datetime(2024, 1, 15, 12), **base)
+    summary = spark.read.parquet(str(tmp_path / "summary"))
+    assert rows(summary, "country", "stagefailure") == [("CA", 8), ("US", 8)]
+    assert dict(spark.read.parquet(str(tmp_path / "log")).groupBy("country").count().collect()) == {"US": 9, "CA": 9}
+
+
 def test_run_send_check_writes_and_reruns(spark, tmp_path):
     import datetime as dt
     from ledgerline.operators.send import run_send_check
@@ -182,18 +247,23 @@ def test_run_send_check_writes_and_reruns(spark, tmp_path):
     lines.select("line").createOrReplaceTempView("ll_send_lines2")
     comp.baseline_queries[:] = ["SELECT COUNT(*) FROM ll_send_lines2"]
     stage_map = spark.createDataFrame([("dag06", "File checks")], "Stage string, StageDescription string")
-    paths = {k: str(tmp_path / k) for k in ("log", "summary", "clean", "logfile")}
+    paths = {k: str(tmp_path / k) for k in ("log", "summary", "clean", "failed", "logfile")}
+    first = None
     params = dict(orchestrator_id="o", stage="dag06", region="r", country="US", source="s", component="c",
                   vendor="v", objectname="f.csv", run_date="2024-01-15", threshold="50",
                   now=dt.datetime(2024, 1, 15, 12))
     for _ in range(2):   # a rerun replaces, never duplicates
         status, proceed = run_send_check(spark, lines.select("line"), comp, _refs(spark), [lines], stage_map,
                                          log_path=paths["log"], summary_path=paths["summary"],
-                                         clean_path=paths["clean"], log_file_path=paths["logfile"], **params)
-    assert spark.read.parquet(paths["summary"]).count() == 1
+                                         clean_path=paths["clean"], failed_path=paths["failed"],
+                                         log_file_path=paths["logfile"], **params)
+        first = first if _ else {k: _written(spark, p) for k, p in paths.items()}
+    assert {k: _written(spark, p) for k, p in paths.items()} == first
+    assert len(first["summary"]) == 1 and first["failed"]
     n_log = spark.read.parquet(paths["log"]).count()
     assert n_log == RC.check_records(RC.parse_records(lines.select("line")), comp, _refs(spark)).count()
-    assert spark.read.text(paths["logfile"]).first().value.startswith("Timestamp : ")
+    from ledgerline.sinks import lines as LN
+    assert LN.read_lines(spark, paths["logfile"]).orderBy(*LN.written_order()).first().line.startswith("Timestamp : ")
     assert status in ("Success", "Partial", "Failure") and proceed == (status != "Failure")
 
 
@@ -203,5 +273,5 @@ def test_record_type_missing_from_reference_is_a_violation(spark):
     wt = spark.createDataFrame([("M100", "0020")], "Wagetype string, Infotype string")   # no 0015 entries at all
     refs = RC.References("US", wagetypes=wt)
     assert rows(RC.check_records(RC.parse_records(lines), comp, refs), "operator") == [("WAGETYPECHECK",)]
-    flagged = RC.flag_lines(RC.parse_records(lines), comp, RC.References("US", wagetypes=wt))
-    assert [r.failed for r in flagged.collect()] == [True]
+    checked = RC.check_lines(RC.parse_records(lines), comp, RC.References("US", wagetypes=wt))
+    assert [r.failed for r in checked.collect()] == [True]
