@@ -209,13 +209,12 @@ def generate_file_set(files: DataFrame, views: Mapping[str, DataFrame], layouts:
                              "rule_bits" if rule_bits is not None else None)
     on = F.col("check_enabled") & F.col("line").isNotNull()
     checked = store(checked.select(
-        file_key, "view_rank", "block", "order_key", "line", "head", "record_type", (F.col("failed") & on).alias("failed"),
-        F.when(on, F.col("violations")).otherwise(F.array().cast(T.ArrayType(RC.VIOLATION_TYPE))).alias("violations")), "file-lines")
-
-    errors = F.size(F.filter("violations", lambda v: v["type"] == K.ERROR_TYPE))
+        file_key, "view_rank", "block", "order_key", "line", "head", "record_type",
+        F.when(on, F.col("violated")).otherwise(F.array().cast("array<int>")).alias("violated")), "file-lines")
+    clean = F.col("line").isNotNull() & (F.size("violated") == 0)
     counts = checked.groupBy(file_key).agg(
         F.count_if(F.trim("line") != "").alias("file_count"), F.count_if("head").alias("view_count"),
-        F.sum(errors).cast("long").alias("stagefailure"), F.count_if(F.col("line").isNotNull() & ~F.col("failed")).alias("clean_count"))
+        F.sum(RC.is_error(rules)).cast("long").alias("stagefailure"), F.count_if(clean).alias("clean_count"))
     own = files.select(file_key, "check_enabled", "override", "skip", "threshold").join(counts, file_key, "left").fillna(
         0, ["file_count", "view_count", "stagefailure", "clean_count"])
     own = (own.join(baseline, file_key, "left") if baseline is not None else own.withColumn("baseline", F.col("view_count")))
@@ -235,15 +234,14 @@ def generate_file_set(files: DataFrame, views: Mapping[str, DataFrame], layouts:
     none = F.lit(None).cast(f"array<{ORDER_PART}>").alias("order_key")
     header = formatted.select(file_key, F.lit(SECTION_HEADER).alias("section"), F.lit(None).cast("int").alias("view_rank"),
                               F.posexplode("header").alias("block", "line"), none, "route")
-    body = (checked.where(F.col("line").isNotNull() & ~F.col("failed")).join(status.select(file_key, "route"), file_key)
+    body = (checked.where(clean).join(status.select(file_key, "route"), file_key)
             .select(file_key, F.lit(SECTION_BODY).alias("section"), F.col("view_rank").cast("int"), F.col("block").cast("int"),
                     "order_key", "line", "route"))
     total = F.replace("footer", F.lit(K.TOTAL_LINE_COUNT_TOKEN), (F.col("clean_count") + 2).cast("string"))
     footer = formatted.where(F.coalesce("footer", F.lit("")) != "").select(
         file_key, F.lit(SECTION_FOOTER).alias("section"), F.lit(None).cast("int").alias("view_rank"), F.lit(0).alias("block"), none,
         total.alias("line"), "route")
-    log = checked.where("failed").select(file_key, "line", "record_type", F.explode("violations").alias("v")).select(
-        file_key, "line", "record_type", "v.*")
+    log = RC.violations_of(checked.select(file_key, "line", "record_type", "violated"), rules)
     return FileSet(header.unionByName(body).unionByName(footer), status.drop("header", "footer"), log)
 
 

@@ -4,9 +4,8 @@ Operators: C13 file_scope, D6 record_rule_join (compile_rules), H1-H11 checks, D
 fallback, H12/C11 check_and_split.
 
 Rules are configuration: each compiles on the driver into a literal expression (index, pattern, list and date format are
-constants).  The rules of a record type form one ``CASE record_type WHEN t THEN bad_1 OR bad_2 ...`` flag, so a line
-evaluates only its own type's rules, without a join with the rules; the log entries of a line are built only where the flag
-is set.  Membership and currencies are plain equi-joins with the reference (record type, value), at any size: the planner
+constants).  The rules of a record type form one branch of ``CASE record_type WHEN t THEN [1 if bad_1, 2 if bad_2, ...]``, so a
+line evaluates only its own type's rules and yields the numbers of those it breaks; log entries are made of these.  Membership and currencies are plain equi-joins with the reference (record type, value), at any size: the planner
 broadcasts a reference that is small and shuffles by the pair otherwise, splitting skewed pairs.
 Every check is a built-in expression: no Python runs per line.
 """
@@ -18,7 +17,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions.text import bind_name, bind_query, parse_fields_literal, parse_list_literal, prefix_match
@@ -165,6 +163,11 @@ def compile_file_rules(rules: DataFrame, file_key: str) -> tuple[CompiledRules,
 
 # --------------------------------------------------------------------------- A5 parse
 
+def parts_of(line: Column) -> Column:
+    """All parts of a line, trailing empties kept."""
+    return F.split(line, r'\|"', -1)
+
+
 def parse_records(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Add ``fields`` (all parts, trailing empties kept) and ``record_type`` (field 0).
 
@@ -172,7 +175,7 @@ def parse_records(lines: DataFrame, line_col: str = "line") -> DataFrame:
     the same value as field 0, but cheap enough that the null check the optimizer infers
     from the rule join does not re-split every line.
     """
-    fields = F.split(F.col(line_col), r'\|"', -1)
+    fields = parts_of(F.col(line_col))
     rtype = F.substring_index(F.col(line_col), K.RECORD_FIELD_SEPARATOR, 1)
     return lines.withColumn("fields", fields).withColumn("record_type", rtype)
 
@@ -263,14 +266,6 @@ def _attach_currencies(df: DataFrame, rules: list[CompiledRule], refs: Reference
 
 # --------------------------------------------------------------------------- H1-H10
 
-VIOLATION_TYPE = T.StructType([
-    T.StructField("field_index", T.IntegerType()), T.StructField("operator", T.StringType()),
-    T.StructField("value", T.StringType()), T.StructField("errorseverity", T.StringType()),
-    T.StructField("type", T.StringType()), T.StructField("errordescription", T.StringType()),
-    T.StructField("erroridentifier", T.StringType()), T.StructField("recommendation", T.StringType()),
-])
-
-
 def _violated(r: CompiledRule, country: Column, member: Column) -> Column:
     v = F.get("fields", F.lit(r.index))
     if r.index < 1:
@@ -293,21 +288,11 @@ def _violated(r: CompiledRule, country: Column, member: Column) -> Column:
     return (F.size("fields") > F.lit(r.index)) & F.coalesce(bad, F.lit(False))
 
 
-def _entry(r: CompiledRule) -> Column:
-    parts = [F.concat(F.lit(f"{n}:"), F.coalesce(F.get("fields", F.lit(i)), F.lit(""))) for i, n in r.fields]
-    text = F.concat(F.lit(f"{r.description};"), F.concat_ws("|", *parts)) if parts else F.lit(f"{r.description};")
-    return F.struct(F.lit(r.index).cast("int").alias("field_index"), F.lit(r.op).alias("operator"),
-                    F.get("fields", F.lit(r.index)).alias("value"), F.lit(r.severity).cast("string").alias("errorseverity"),
-                    F.lit(r.type).cast("string").alias("type"), text.alias("errordescription"),
-                    F.lit(r.identifier).cast("string").alias("erroridentifier"),
-                    F.lit(r.recommendation).cast("string").alias("recommendation"))
-
-
 def check_lines(records: DataFrame, compiled: CompiledRules, refs: References, rule_bits: str | None = None) -> DataFrame:
-    """Parsed records with ``failed`` and ``violations`` (one struct per violated rule, empty for a clean line).
+    """Parsed records with ``violated``: the numbers of the rules that the line breaks (empty for a clean line).
 
     With ``rule_bits``, a bitmap column of ``compile_file_rules``, a line meets only its own file's rules; a null bitmap
-    means none.
+    means none.  ``violations_of`` gives the log entries.
     """
     rules = compiled.rows
     checks = {K.OP_WAGETYPECHECK: ("wt", refs.wagetypes), K.OP_INFOTYPECOMBINATIONFORMAT: ("it", refs.infotypes)}
@@ -330,32 +315,49 @@ def check_lines(records: DataFrame, compiled: CompiledRules, refs: References, r
         found = F.coalesce(f"__{name}_{places[r.op, r.record_type].index(r.index)}", F.lit(False))
         return F.when(F.col(f"__{name}_on"), found)
 
-    flags: dict[str, list[Column]] = {}
-    entries: dict[str, list[Column]] = {}
+    numbers: dict[str, list[Column]] = {}
     for i, r in enumerate(rules):
         bad = _violated(r, country, member(r))
         if rule_bits is not None:
             word = F.get(rule_bits, F.lit(i // _WORD))
             bad = F.coalesce(word.bitwiseAND(F.lit(1 << i % _WORD).cast("long")) != 0, F.lit(False)) & bad
-        flags.setdefault(r.record_type, []).append(bad)
-        entries.setdefault(r.record_type, []).append(F.when(bad, _entry(r)))
-    none = F.array().cast(T.ArrayType(VIOLATION_TYPE))
-    if not rules:
-        return df.select(*records.columns, F.lit(False).alias("failed"), none.alias("violations"))
-    failed = F.coalesce(_by_type({t: reduce(lambda a, b: a | b, bad) for t, bad in flags.items()}), F.lit(False))
-    found = F.coalesce(_by_type({t: F.array_compact(F.array(*e)) for t, e in entries.items()}), none)
-    return df.select(*records.columns, failed.alias("failed"), F.when(failed, found).otherwise(none).alias("violations"))
+        numbers.setdefault(r.record_type, []).append(F.when(bad, F.lit(i)))
+    none = F.array().cast("array<int>")
+    violated = _by_type({t: F.array_compact(F.array(*n)) for t, n in numbers.items()})
+    return df.select(*records.columns, (none if violated is None else F.coalesce(violated, none)).alias("violated"))
+
+
+_ENTRY = ("number int, field_index int, operator string, errorseverity string, type string, description string, "
+          "names array<struct<at:int,name:string>>, erroridentifier string, recommendation string")
+
+
+def violations_of(checked: DataFrame, compiled: CompiledRules, line_col: str = "line") -> DataFrame:
+    """One row per (line, violated rule): the line's columns plus the rule's log fields.
+
+    Adds ``field_index``, ``operator``, ``value``, ``errorseverity``, ``type``, ``errordescription``
+    (``description;name:value|...`` over the rule's field map), ``erroridentifier`` and ``recommendation``.
+    """
+    keep = [c for c in checked.columns if c not in ("violated", "fields")]
+    rules = checked.sparkSession.createDataFrame(
+        [(i, r.index, r.op, r.severity, r.type, r.description, list(r.fields), r.identifier, r.recommendation)
+         for i, r in enumerate(compiled.rows)], _ENTRY)
+    found = checked.where(F.size("violated") > 0).select(
+        *keep, parts_of(F.col(line_col)).alias("__parts"), F.explode("violated").alias("__number"))
+    part = F.transform("names", lambda e: F.concat(e["name"], F.lit(":"), F.coalesce(F.get("__parts", e["at"]), F.lit(""))))
+    return found.join(F.broadcast(rules), F.col("__number") == F.col("number")).select(  # the file's compiled rules
+        *keep, "field_index", "operator", F.get("__parts", F.col("field_index")).alias("value"), "errorseverity", "type",
+        F.concat("description", F.lit(";"), F.array_join(part, "|")).alias("errordescription"), "erroridentifier", "recommendation")
 
 
-def violations_of(checked: DataFrame) -> DataFrame:
-    """One row per (line, violated rule): the line's columns plus the rule's log fields."""
-    keep = [c for c in checked.columns if c not in ("violations", "failed", "fields")]
-    return checked.where("failed").select(*keep, F.explode("violations").alias("__v")).select(*keep, "__v.*")
+def is_error(compiled: CompiledRules) -> Column:
+    """How many of a line's violations are of type ``Error``."""
+    errors = [i for i, r in enumerate(compiled.rows) if r.type == K.ERROR_TYPE]
+    return F.size(F.filter("violated", lambda n: n.isin(errors))) if errors else F.lit(0)
 
 
 def check_records(records: DataFrame, compiled: CompiledRules, refs: References) -> DataFrame:
     """The violations of parsed records: one row per (line, violated rule)."""
-    return violations_of(check_lines(records, compiled, refs))
+    return violations_of(check_lines(records, compiled, refs), compiled)
 
 
 # --------------------------------------------------------------------------- H12 / C11
@@ -368,8 +370,8 @@ def check_and_split(lines: DataFrame, compiled: CompiledRules, refs: References,
     identical lines go together; the split is a filter on the line's flag, and no line is looked up among the failed ones.
     """
     checked = check_lines(parse_records(lines, line_col), compiled, refs)
-    return (violations_of(checked), checked.where(~F.col("failed")).select(*lines.columns),
-            checked.where(F.col("failed")).select(*lines.columns))
+    return (violations_of(checked, compiled, line_col), checked.where(F.size("violated") == 0).select(*lines.columns),
+            checked.where(F.size("violated") > 0).select(*lines.columns))
 
 
 def send_log_rows(violations: DataFrame, orchestrator_id: str, stage: str, region: str, country: str,

@@ -245,14 +245,14 @@ def sql_template(spark, sf_dir):
 # ----------------------------------------------------------------------------- L2
 
 def reverse_words():
-    """User transform script over a file's lines: reverse the word order of each line.
+    """User transform script over a file's lines: composed characters (NFC), words in reverse order.
 
     Returns the batch function; it is defined locally so that it ships to the Python workers by
     value and does not need this package importable there.
     """
     def run(batches):
         for pdf in batches:
-            pdf["line"] = pdf["line"].map(lambda s: " ".join(reversed(s.split(" "))) if s is not None else None)
+            pdf["line"] = pdf["line"].str.normalize("NFC").str.split(" ").str[::-1].str.join(" ")
             yield pdf
     return run
 
@@ -264,7 +264,7 @@ def transform_lines(df, fn, schema: str):
 
 @query("transform_lines", """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
     CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS line_no FROM documents)
-SELECT doc_id, line_no, array_to_string(list_reverse(string_split(line, ' ')), ' ') AS line FROM l""")
+SELECT doc_id, line_no, array_to_string(list_reverse(string_split(nfc_normalize(line), ' ')), ' ') AS line FROM l""")
 def transform_lines_q(spark, sf_dir):
     """Every line of every document through a user transform in Arrow batches (L2)."""
     t = Tables(spark, sf_dir)
