@@ -64,16 +64,20 @@ class Vocabulary:
 
 
 class PairTable:
-    """Which tokens may stand side by side; answers are kept."""
+    """Which tokens may stand side by side; answers are kept.
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.left = [a for a, _ in vocabulary.halves]
-        self.right = [b for _, b in vocabulary.halves]
-        self.merged = {a << 32 | b: r for r, (a, b) in enumerate(vocabulary.halves) if r >= 256}
+    ``halves`` are the two tokens that each was merged from (a basic one: anything); the first ``basic`` ranks are basic.
+    """
+
+    def __init__(self, halves: list[tuple[int, int]], basic: int):
+        self.basic = basic
+        self.left = [a for a, _ in halves]
+        self.right = [b for _, b in halves]
+        self.merged = {a << 32 | b: r for r, (a, b) in enumerate(halves) if r >= basic}
         self.known: dict[int, bool] = {}
 
     def survives(self, x: int, y: int, before: int) -> bool:
-        """Whether no merge of rank below ``before`` joins x's bytes with y's when both are merged together.
+        """Whether no merge of rank below ``before`` joins x's symbols with y's when both are merged together.
 
         Goes back in time, undoing whichever of the two tokens at the border was made later.  At each moment the border pair
         would merge if its rank comes before the merges that took its left (``a``) and right (``b``) token away; of equal
@@ -84,9 +88,9 @@ class PairTable:
             c = self.merged.get(x << 32 | y)
             if c is not None and c < a and c <= b:
                 return c == before
-            if x > y and x >= 256:
+            if x > y and x >= self.basic:
                 a, x = x, self.right[x]
-            elif y >= 256:
+            elif y >= self.basic:
                 b, y = y, self.left[y]
             else:
                 return True
@@ -102,39 +106,30 @@ class PairTable:
         return known
 
 
-class BacktrackingEncoder:
-    """``ids(text)``: the library's ids of a text, as int32."""
+class Merger:
+    """``ranks(word)``: the tokens that the merges give a word, found by backtracking over its longest tokens.
 
-    def __init__(self, tokenizer: str):
+    ``tokens`` are strings of symbols, one character a symbol, by rank: the ``basic`` ones, then each merge's.
+    """
+
+    def __init__(self, tokens: list[str], halves: list[tuple[int, int]], basic: int):
         import ahocorasick
-        import regex
-        from tokenizers import Tokenizer
 
-        v = Vocabulary(tokenizer)
-        self.pairs = PairTable(v)
-        # tokens that their own bytes aren't merged into can't come out
-        made = [True] * 256
-        for r in range(256, len(v.tokens)):
-            a, b = v.halves[r]
+        self.pairs = PairTable(halves, basic)
+        # tokens that their own symbols aren't merged into can't come out
+        made = [True] * basic
+        for r in range(basic, len(tokens)):
+            a, b = halves[r]
             made.append(made[a] and made[b] and self.pairs.survives(a, b, r))
-        rank = {t: r for r, t in enumerate(v.tokens) if made[r]}
-        self.length = [len(t) for t in v.tokens]
-        self.shorter = [next((rank[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in rank), -1) for t in v.tokens]
+        rank = {t: r for r, t in enumerate(tokens) if made[r]}
+        self.length = [len(t) for t in tokens]
+        self.shorter = [next((rank[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in rank), -1) for t in tokens]
         self.find = ahocorasick.Automaton()
         for t, r in rank.items():
-            self.find.add_word(t.decode("latin-1"), r)
+            self.find.add_word(t, r)
         self.find.make_automaton()
-        self.out = [i.tobytes() for i in v.ids]
-        self.words = regex.compile(WORDS)
-        self.settled = regex.compile(SETTLED)
-        self.split = Tokenizer.from_str(tokenizer).pre_tokenizer.pre_tokenize_str
-        self.byte = {ord(c): b for b, c in enumerate(alphabet())}
-        self.special = {t["content"]: np.array([t["id"]], np.int32).tobytes() for t in v.added}
-        self.apart = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or "(?!)")
-        self.table: dict[str, bytes] = {}
 
     def ranks(self, word: str) -> list[int]:
-        """The tokens of a word's bytes (as latin-1 characters)."""
         length, shorter, fits = self.length, self.shorter, self.pairs.fits
         longest = [0] * len(word)
         for end, r in self.find.iter(word):  # of one start, the longer match ends later
@@ -157,8 +152,27 @@ class BacktrackingEncoder:
                     r = shorter[r]
         return out
 
+
+class BacktrackingEncoder:
+    """``ids(text)``: the library's ids of a text, as int32."""
+
+    def __init__(self, tokenizer: str):
+        import regex
+        from tokenizers import Tokenizer
+
+        v = Vocabulary(tokenizer)
+        self.merger = Merger([t.decode("latin-1") for t in v.tokens], v.halves, 256)
+        self.out = [i.tobytes() for i in v.ids]
+        self.words = regex.compile(WORDS)
+        self.settled = regex.compile(SETTLED)
+        self.split = Tokenizer.from_str(tokenizer).pre_tokenizer.pre_tokenize_str
+        self.byte = {ord(c): b for b, c in enumerate(alphabet())}
+        self.special = {t["content"]: np.array([t["id"]], np.int32).tobytes() for t in v.added}
+        self.apart = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or "(?!)")
+        self.table: dict[str, bytes] = {}
+
     def _word(self, word: str) -> bytes:
-        return b"".join([self.out[r] for r in self.ranks(word.encode().decode("latin-1"))])
+        return b"".join([self.out[r] for r in self.merger.ranks(word.encode().decode("latin-1"))])
 
     def _part(self, text: str) -> bytes:
         if self.settled.fullmatch(text):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import _BASE, ALNUM, Words, _powers, mix, sub_batches
-from .common import bounded_batches, store
+from .common import bounded_batches, spare, store
 
 _INV = pow(_BASE, -1, 1 << 64)
 RESULT = "struct<n_words:bigint,runs:array<struct<first:bigint,last:bigint,start:bigint,end:bigint>>,items:array<string>>"
@@ -160,7 +160,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     """``docs`` (same columns) without contaminated documents, or with their hit spans cut out (``remove="spans"``)."""
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove={remove!r}: documents or spans")
-    mark = "__contamination"
+    mark = spare(docs, "contamination")
     marked = mark_contamination(docs, benchmark, size, text_col=text_col, out=mark)
     if remove == "documents":
         return marked.where(~is_contaminated(mark)).drop(mark)

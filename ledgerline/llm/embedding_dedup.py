@@ -48,6 +48,8 @@ def _sign(bits: int, tables: int, vec: str):
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
                 x = np.array([raw[i] for i in at], np.float64)
+                # by a power of two, which loses nothing: squares of large doubles would overflow, of small ones vanish
+                x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
                 signs = (x @ _planes(int(d), bits * tables).T > 0).reshape(len(at), tables, bits)
                 sigs = (signs * weights).sum(axis=2)
                 yield pa.RecordBatch.from_arrays(

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import spare, store
 
 PATHS = 5
 MOST = 0.7
@@ -75,8 +75,8 @@ def page_blocks(page: str) -> list[tuple[str, int, int, tuple[str, ...]]]:
     """The page's blocks outside boilerplate, in page order: (text, link characters, characters, containers' paths).
 
     An element named as boilerplate is taken for a wrapper, and kept, when the page's article is in it: more marked article text
-    than outside, or more text than all the rest (readers' comments apart).  The largest first, at most ``ROUNDS`` of them.
-    A page that would stay empty is read without the names.
+    than outside, or more text than all the rest (readers' comments apart).  The largest first.  Where ``ROUNDS`` of them lie
+    around each other, and where a page would stay empty, the names say nothing: the page is read without them.
     """
     kept: set[int] = set()
     for _ in range(ROUNDS):
@@ -89,7 +89,7 @@ def page_blocks(page: str) -> list[tuple[str, int, int, tuple[str, ...]]]:
             break
         kept.add(max(wrappers)[2])
     else:
-        blocks = _read(page, kept)[0]
+        return _read(page, None)[0]
     return blocks or (_read(page, None)[0] if named else blocks)
 
 
@@ -138,9 +138,13 @@ def _read(page: str, kept: set[int] | None):
             dropped[1] += size if stack[-1][7] else 0
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    last = page.rfind(">") + 1  # no tag ends beyond it: looking for one there would read the rest again at every "<"
+    open_ended = False
+    for m in _TOKEN.finditer(page, 0, last):
         text(page[at:m.start()])
         at = m.end()
+        open_ended = at == last and (m[1] is not None and re.search(rf"</{m[1]}\s*>\Z", m[0], re.I) is None
+                                     or m[0].startswith("<!--") and not m[0].endswith("-->"))
         tag = m[3]
         if tag is None:
             continue
@@ -191,7 +195,8 @@ def _read(page: str, kept: set[int] | None):
         path = top[1] + "/" + ".".join((tag, *classes)) if tag in _BLOCK else top[1]
         holders = top[2] + (path,) if tag in _CONTAINER else top[2]
         stack.append((tag, path, holders, dropped, top[4] or tag == "a", article, place, inner))
-    text(page[at:])
+    if not open_ended:  # else the rest belongs to a comment or script that nothing closes
+        text(page[at:].partition("<!--")[0])
     flush()
     return out, marked, named
 
@@ -284,7 +289,8 @@ def extract_text(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     ones too, and other columns stay; an existing column ``out`` is replaced.
     """
     winners = store(host_paths(pages, url_col, html_col), "ex-paths")
-    winners = winners.select(F.col("host").alias("__host"), F.col("paths").alias("__paths"))
-    both = pages.withColumn("__host", host_of(url_col)).join(winners, "__host", "left")
+    host, paths = spare(pages, "host"), spare(pages, "paths")
+    winners = winners.select(F.col("host").alias(host), F.col("paths").alias(paths))
+    both = pages.withColumn(host, host_of(url_col)).join(winners, host, "left")
     extract = F.arrow_udf(_extract, "string").asNondeterministic()
-    return both.withColumn(out, extract(F.col(html_col), F.col("__paths"))).drop("__host", "__paths")
+    return both.withColumn(out, extract(F.col(html_col), F.col(paths))).drop(host, paths)

@@ -4,7 +4,7 @@ Features are relative frequencies of hashed byte 2-, 3- and 4-grams of the whole
 that is no letter read as one blank.  Each is divided by the root of its mean frequency in the sample, which is folded into
 the weights, so a text is scored in one linear pass: the sum of its n-grams' weights over their number.  All machines
 (one-versus-rest for families, one-versus-one within a family) are trained by dual coordinate descent on a bounded
-sample (``per_language`` texts a language, by hash of the id).
+sample (``per_language`` texts a language, by hash of the text).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytewords import sub_batches
@@ -177,29 +177,31 @@ class LanguageModel:
         return out, np.where(ok, np.clip(score, 0, 1), 0.0)
 
 
-def train_languages(docs: DataFrame, usable: Column, per_language: int = 600, lang_col: str = "lang", text_col: str = "text",
-                    id_col: str = "doc_id") -> LanguageModel:
-    """Learn from at most about ``per_language`` texts (1.5 times that at most) of each language among the ``usable`` rows.
+def train_languages(docs: DataFrame, usable: Column, per_language: int = 600, lang_col: str = "lang",
+                    text_col: str = "text") -> LanguageModel:
+    """Learn from at most ``per_language`` different texts of each language among the ``usable`` rows.
 
-    The sample is the rows of the smallest id hashes, by a threshold from the languages' counts, so it is bounded at any size.
-    Rows without a language, and texts without a letter, teach nothing.
+    The sample is drawn in Spark, by a hash of the text: copies of a text count once and ids play no part, so neither a hot id nor a
+    hot text can crowd a language out or swell what is collected, which is ``per_language`` rows a language at most.  The
+    languages themselves, one count each and one machine per pair within a family, are taken whole: their number is that of the
+    labels.  Rows without a language, and texts without a letter, teach nothing.
     """
     bounded_batches(docs.sparkSession)
-    rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}  # one row a language
-    languages = sorted(counts)
-    if not languages:
+    h = F.pmod(F.xxhash64(F.col(text_col)), F.lit(1 << 30))
+    rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), h.alias("h"))
+    counts = {r[0]: r[1] for r in rows.select("lang", "h").distinct().groupBy("lang").count().collect()}
+    if not counts:
         return LanguageModel([], [])
-    draw = (F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / float(1 << 30))
-    share = F.create_map(*(x for a in languages for x in (F.lit(a), F.lit(min(1.0, per_language / counts[a])))))
-    picked = rows.where(draw < F.element_at(share, F.col(lang_col)))
+    # half as many again are drawn, so that the cut below finds enough
+    share = F.create_map(*(x for a in sorted(counts) for x in (F.lit(a), F.lit(min(1.0, 1.5 * per_language / counts[a])))))
+    drawn = rows.where(F.col("h") / float(1 << 30) < F.element_at(share, F.col("lang")))
+    once = drawn.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     count = F.arrow_udf(_counts, "binary").asNondeterministic()
-    got = picked.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), count(F.col(text_col)).alias("grams")).collect()
+    got = (once.withColumn("r", first).where(F.col("r") <= per_language).select("lang", count(F.col("text")).alias("grams")).collect())
     sample = sorted(((r.lang, bytes(r.grams)) for r in got if len(r.grams)), key=lambda x: (x[0], x[1]))
-    per: dict[str, list] = {}
-    for x in sample:
-        per.setdefault(x[0], []).append(x)
-    return LanguageModel(sorted(per), [x for a in sorted(per) for x in per[a][:per_language * 3 // 2]])
+    return LanguageModel(sorted({a for a, _ in sample}), sample)
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel, text_col: str = "text", out: str = "language") -> DataFrame:

@@ -144,21 +144,30 @@ class FactorisationMachine:
 
 def train_quality(docs: DataFrame, labels: DataFrame, usable: Column, per_class: int = 3000, id_col: str = "doc_id",
                   text_col: str = "text", chars_col: str = "n_chars") -> FactorisationMachine | None:
-    """Learn from at most about ``per_class`` rows (half as many again at most) of each label, among ``usable`` label rows.
+    """Learn from at most ``per_class`` rows of each label, among ``usable`` label rows.
 
-    ``usable`` is a condition on the label rows' id.  Labels other than 0 and 1 and rows without an id teach nothing.  Gives
-    None when either class is missing.
+    ``usable`` is a condition on the label rows' id.  The ids of the smallest hashes are taken, ``per_class`` of each label, and of
+    their documents the ``per_class`` of the smallest hashes of id and text, copies once: what is broadcast and what is collected
+    are bounded exactly, by row, however often an id or a text repeats.  Labels other than 0 and 1 and rows without an id teach
+    nothing.  Gives None when either class is missing.
     """
-    known = labels.where(usable & F.col("quality").isin(0, 1) & F.col(id_col).isNotNull()).select(id_col, "quality")
+    known = labels.where(usable & F.col("quality").isin(0, 1) & F.col(id_col).isNotNull()).select(id_col, "quality").distinct()
     counts = {r[0]: r[1] for r in known.groupBy("quality").count().collect()}
     if len(counts) < 2:
         return None
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    share = F.when(F.col("quality") == 1, min(1.0, per_class / counts[1])).otherwise(min(1.0, per_class / counts[0]))
-    picked = known.where(draw < share).limit(3 * per_class)  # the bound of the broadcast; the draw stays well below it
-    given = F.col(chars_col) if chars_col in docs.columns else F.lit(None).cast("long")
+    h = F.xxhash64(F.col(id_col), F.lit(3))
+    picked = known.where("quality = 0").orderBy(h, id_col).limit(per_class).unionByName(
+        known.where("quality = 1").orderBy(h, id_col).limit(per_class))
+    given = (F.col(chars_col) if chars_col in docs.columns else F.lit(None)).cast("long")
+    own = F.xxhash64(F.col(id_col), F.col(text_col))
+    found = (docs.select(id_col, F.col(text_col).alias("text"), given.alias("given")).join(F.broadcast(picked), id_col)
+             .select(F.col(id_col).alias("id"), "quality", "text", "given", own.alias("h"))
+             .dropDuplicates(["quality", "h"]))
     make = F.arrow_udf(_featurise, "binary").asNondeterministic()
-    rows = (docs.join(F.broadcast(picked), id_col).select(id_col, "quality", make(F.col(text_col), given).alias("f")).collect())
+    rows = []
+    for q in (0, 1):
+        some = found.where(F.col("quality") == q).orderBy("h").limit(per_class)
+        rows += some.select("id", "quality", make(F.col("text"), F.col("given")).alias("f")).collect()
     rows = sorted((r[0], r.quality, bytes(r.f)) for r in rows)
     if len({q for _, q, _ in rows}) < 2:
         return None

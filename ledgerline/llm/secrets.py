@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, spare
 
 KINDS = ("assign", "access", "hex", "id", "blob", "endpoint")
 REACH = math.inf  # characters between linked parts: no bound but the paragraph
@@ -80,8 +80,8 @@ def link_parts(text: str, base: list[tuple[int, int, str]], reach: float = REACH
     """All spans to report, by start, then kind."""
     weak = _weak_spans(text)
     taken = sorted((s, e) for s, e, _ in base)
-    weak = [w for w in weak if not any(s < w[1] and w[0] < e for s, e in taken)] if len(taken) * len(weak) < 10_000 else \
-        [w for w, hit in zip(weak, _overlaps(weak, taken)) if not hit]
+    weak = [w for w, hit in zip(weak, _overlaps(weak, taken)) if not hit]
+    found = list(base)
     if weak:
         ids = _Intervals([x for x in base if x[2] == "access"] + [x for x in weak if x[2] == "id"], reach)
         keys = _Intervals([x for x in base if x[2] != "access"] + [x for x in weak if x[2] == "blob"], reach)
@@ -90,8 +90,8 @@ def link_parts(text: str, base: list[tuple[int, int, str]], reach: float = REACH
             k = bisect_left(breaks, x[0] + 1)
             paragraph = (breaks[k - 1], breaks[k])
             if (x[2] == "id" or ids.near(x, paragraph)) and (x[2] == "blob" or keys.near(x, paragraph)):
-                base = [*base, x]
-    return sorted(base, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
+                found.append(x)
+    return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
 def _overlaps(weak, taken):
@@ -122,7 +122,8 @@ def find_secrets(docs: DataFrame, text_col: str = "text", out: str = "secrets",
     """``docs`` with an array column ``out`` of spans (kind, start, end), in code points of the whole text, end exclusive.
 
     By start, then kind in the order of ``KINDS``.  Weak parts link within their paragraph, at most ``reach`` characters apart
-    (by default any number).  Null and empty texts have no spans; every row is kept, repeated ones too; other columns stay as
+    (by default any number).  Null and empty texts have no spans; a very long text takes time and memory in proportion to its length
+    and its candidates; every row is kept, repeated ones too; other columns stay as
     they are (an existing column ``out`` is replaced).
     """
     bounded_batches(docs.sparkSession)
@@ -153,7 +154,7 @@ def _redact(by: str):
 
 def redact_secrets(docs: DataFrame, by: str = "[secret]", text_col: str = "text") -> DataFrame:
     """``docs`` (same columns) with every reported span of the text replaced by ``by``; overlapping spans by one."""
-    spans = "__secrets"
+    spans = spare(docs, "secrets")
     found = find_secrets(docs, text_col, spans)
     clean = F.arrow_udf(_redact(by), "string").asNondeterministic()
     return found.withColumn(text_col, clean(F.col(text_col), F.col(spans))).drop(spans)

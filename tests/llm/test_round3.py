@@ -98,7 +98,7 @@ def test_bpe_odd_strings(tokenizer):
 def test_bpe_pairs_are_merges(tokenizer):
     """Compatible pairs are those that the merges, carried out one by one, leave as they are."""
     v = bpe.Vocabulary(tokenizer)
-    pairs = bpe.PairTable(v)
+    pairs = bpe.PairTable(v.halves, 256)
     merge = {h: r for r, h in enumerate(v.halves) if r >= 256}
 
     def merged(text):
@@ -208,3 +208,96 @@ def test_bpe_query_digests(spark, tokenizer):
         ids = lib.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+# --------------------------------------------------------------------------- earlier operators, mended
+
+def test_no_language_is_crowded_out(spark):
+    """All rows of a language under one id, or with one text, still teach it; what is collected stays bounded."""
+    from ledgerline.llm import langid
+
+    en, de = "the cat and the dog of the house number", "der hund und die katze von dem haus nummer"
+    rows = [(7, f"{en} {i}", "en") for i in range(900)] + [(i, f"{de} {i}", "de") for i in range(700)] + [(i, "le chat et le chien", "fr") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train_languages(docs, F.lit(True), per_language=50)
+    assert model.languages == ["de", "en", "fr"]
+    got = langid.predict_languages(docs, model).groupBy("lang", "language.lang").count().collect()
+    assert {(r[0], r[1]) for r in got} == {("en", "en"), ("de", "de"), ("fr", "fr")}
+
+
+def test_quality_sample_is_bounded_by_row(spark, monkeypatch):
+    from ledgerline.llm import quality
+
+    docs = spark.createDataFrame([(i % 40, f"{'good plain words' if i % 2 else 'buy now $$$ click'} {i // 40}", 10) for i in range(4000)],
+                                 "doc_id long, text string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 3, "doc_id long, quality int")
+    seen = []
+
+    class Counted(quality.FactorisationMachine):
+        def __init__(self, rows, y, prior):
+            seen.append((int((y == 0).sum()), int((y == 1).sum())))
+            super().__init__(rows, y, prior)
+    monkeypatch.setattr(quality, "FactorisationMachine", Counted)
+    model = quality.train_quality(docs, labels, F.lit(True), per_class=30)
+    assert seen == [(30, 30)]
+    scores = quality.score_quality(docs, model).groupBy(F.col("doc_id") % 2).agg(F.avg("quality_score")).collect()
+    assert dict(map(tuple, scores))[1] > dict(map(tuple, scores))[0]
+
+
+@pytest.mark.parametrize("depth", [1, 8, 9, 40])
+def test_article_within_many_wrappers(depth):
+    from ledgerline.llm.extract import page_blocks
+
+    page = "<body>" + "<div class='widget'>" * depth + "<p>" + "The article goes on and on. " * 20 + "</p>" + "</div>" * depth + "<p>Just beside it here</p></body>"
+    assert any(b[0].startswith("The article goes on") for b in page_blocks(page))
+
+
+def test_unclosed_tags_and_comments():
+    import time
+
+    from ledgerline.llm.extract import page_blocks
+
+    for page in ("<a " * 350_000, "<p>x</p>" + "<a " * 350_000, "<div '" * 170_000 + ">"):
+        start = time.perf_counter()
+        page_blocks(page)
+        assert time.perf_counter() - start < 5
+    def text(page):
+        return [b[0] for b in page_blocks(page)]
+    assert text("<p>one</p><!-- two <b>three</b> four") == ["one"]
+    assert text("<p>one</p><script>if (a > b) four") == ["one"]
+    assert text("<p>one</p><script>x</script>two") == ["one", "two"]
+    assert text("<p>one</p><!-- x -->two <b") == ["one", "two <b"]
+    assert text("<p>one</p>two <!-- three") == ["one", "two"]
+
+
+def test_many_linked_secrets_are_linear(spark):
+    import time
+
+    from ledgerline.llm import secrets as sc
+
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKEY"
+    text = "\n".join(f"CLIENT_ID=svc-{i}\nKEY={key}" for i in range(20_000))
+    start = time.perf_counter()
+    found = sc.link_parts(text, sc.base_spans(text))
+    assert time.perf_counter() - start < 10 and sum(k == "blob" for _, _, k in found) == 20_000 and sum(k == "id" for _, _, k in found) == 20_000
+
+
+def test_large_and_small_doubles_link(spark):
+    from ledgerline.llm.embedding_dedup import near_vectors
+
+    rows = [(1, [1e200, 2e200, 3e200]), (2, [1.0001e200, 2e200, 3e200]), (3, [1e-200, 2e-200, 3e-200]), (4, [3.0, -2.0, 0.5])]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.9).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+
+
+def test_columns_named_like_the_operators_own(spark):
+    from ledgerline.llm import decontaminate as dc
+    from ledgerline.llm import secrets as sc
+    from ledgerline.llm.extract import extract_text
+
+    own = ["__secrets", "__contamination", "__host", "__paths", "__HOST_"]
+    df = spark.createDataFrame([(1, "password: hunter22", "https://a.example/x", "<p>text</p>", *own)],
+                               "doc_id long, text string, url string, html string, " + ", ".join(f"{c} string" for c in own))
+    bench = spark.createDataFrame([(9, "nothing of it")], "item_id long, text string")
+    for out in (sc.redact_secrets(df), dc.decontaminate(df, bench), extract_text(df, out="main").drop("main")):
+        assert out.columns == df.columns and [out.first()[c] for c in own] == own
