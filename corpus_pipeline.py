@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import store
+from ledgerline.llm.common import spare, store
 from ledgerline.llm.decontaminate import decontaminate
 from ledgerline.llm.jaccard_join import jaccard_groups
 from ledgerline.llm.langid import UNDETERMINED, predict_languages, train_languages
@@ -20,10 +20,11 @@ from ledgerline.plans.tables import Tables
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents whose language can't be determined (no text, or no letter in it)."""
+    """Drop the documents whose language can't be determined: null texts and texts without a letter, and all of them when
+    there is nothing to learn from.  Repeated rows are decided alike; an empty table stays empty."""
     model = train_languages(docs, (fold() != 1) & F.col("doc_id").isNotNull())
-    return (predict_languages(docs, model, out="__language").where(F.col("__language.lang") != UNDETERMINED)
-            .drop("__language"))
+    out = spare(docs, "language")
+    return predict_languages(docs, model, out=out).where(F.col(f"{out}.lang") != UNDETERMINED).drop(out)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are decided by their texts, each for itself: rows of one id with different texts may all stay, a row without an id
     goes only when a row linked to it stays.  Rows without words link with nothing; of those with the same id, one stays.
     """
-    row = "__row"
+    row = spare(docs, "row")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())  # the same at every read of a stored frame
     groups = jaccard_groups(numbered, shingle=5, threshold=80, id_col=row)
     groups = groups.select(F.col("doc_id").alias(row), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("group"))
@@ -44,19 +45,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold benchmark text, by the same rule as the query of operator 6."""
+    """Drop the documents that hold benchmark text, by the same rule as the query of operator 6.  Null and empty texts hold
+    none, an empty benchmark drops nothing; repeated rows are decided alike."""
     return decontaminate(docs, Tables(spark, sf_dir).benchmark)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace secrets, and weak parts whose complements stand near, in the texts; ``n_chars`` follows changed texts."""
-    clean = redact_secrets(docs.withColumn("__old", F.col("text")))
-    return clean.withColumn("n_chars", F.when(F.col("text") != F.col("__old"), F.char_length("text").cast("long"))
+    """Replace secrets, and weak parts whose complements stand near, in the texts; ``n_chars`` follows changed texts.  Every row
+    stays, repeated ones too; null and empty texts stay as they are."""
+    old = spare(docs, "old")
+    clean = redact_secrets(docs.withColumn(old, F.col("text")))
+    return clean.withColumn("n_chars", F.when(F.col("text") != F.col(old), F.char_length("text").cast("long"))
                             .otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' ids, their number, and digests of ids and decoded text."""
+    """The documents' ids, their number, and digests of ids and decoded text; one row a row, null and empty texts without ids."""
     model = read_model()
     coded = decode_pieces(encode_pieces(docs.select("doc_id", "text"), model), model)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),

@@ -351,9 +351,9 @@ UNION ALL SELECT 'logfile', count(*), line FROM (
 def record_send_rerun(spark, sf_dir):
     """The file check run twice: every output of the second run, read back from storage, equals the first's."""
     base = _send_written(Tables(spark, sf_dir), 2)
-    s = spark.read.parquet(f"{base}/summary").join(
-        spark.read.text(f"{base}/logfile").where(F.col("value").startswith("Total Base Record : "))
-        .select(F.substring_index("value", " : ", -1).alias("baseline")))
+    total = (spark.read.text(f"{base}/logfile").where(F.col("value").startswith("Total Base Record : "))
+             .select(F.substring_index("value", " : ", -1)))
+    s = spark.read.parquet(f"{base}/summary").withColumn("baseline", total.scalar())
     info = [F.col(c) for c in ("logtimestamp", "executiondate", "region", "country", "source", "sourcecomponent", "stagefailure",
                                "g2vsviewcountfailure", "baseline", "totalfailure", "thresholdpercentage", "errorpercentage", "status")]
     out = s.select(F.lit("summary").alias("output"), F.concat_ws("|", *[c.cast("string") for c in info]).alias("line"))
