@@ -1,8 +1,9 @@
 """Hilbert-curve sharding (operator 2), with DataFrame functions only.
 
 Several metadata dimensions are quantised to ``bits`` bits each, and rows are ordered by their index on the Hilbert curve
-through that grid (then by id and content), so that rows close in all dimensions lie together and a shard's or row group's
-min/max statistics prune by any of them.  The order is cut into runs whose row counts differ by at most one.
+through that grid (then by id and content), so that rows close in all dimensions lie together.  Categories are quantised in the
+order of their values, so that a run's smallest and largest value say something of each dimension: ``write_shards`` cuts
+the runs into files whose min/max statistics let a reader skip files by any of them.  The runs' row counts differ by at most one.
 
 The global position of a row comes from two levels: rows are range-partitioned and sorted by (curve index, id, checksum) and
 written; a row's position is its place within its partition plus the sizes of the partitions before.  Only the partitions'
@@ -16,15 +17,28 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, store
+from .common import partitions, spare, store
 
 
 def quantise_hash(c: Column, bits: int) -> Column:
-    """A category as one of 2^bits grid values; null is 0."""
+    """A value as one of 2^bits grid values by its hash; null is 0.  Keeps equal values together, but no order to prune by."""
     return F.when(c.isNull(), F.lit(0).cast("long")).otherwise(
         F.pmod(F.xxhash64(c.cast("string")), F.lit((1 << bits) - 1)) + 1)
 
 
+def with_rank(rows: DataFrame, column: str, bits: int, out: str) -> DataFrame:
+    """``rows`` with ``out``: the values of a category in their order, as one of 2^bits grid values holding about equal numbers of
+    rows; null is 0.  The distinct values (one row each) are ranked in one place: meant for categories, not for ids."""
+    value, n, before = spare(rows, "value"), spare(rows, "n"), spare(rows, "before")
+    counts = rows.where(F.col(f"`{column}`").isNotNull()).groupBy(F.col(f"`{column}`").alias(value)).agg(F.count("*").alias(n))
+    order = Window.orderBy(value)
+    total = F.sum(n).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    start = F.sum(n).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    ranks = counts.withColumn(before, F.coalesce(start, F.lit(0)) / total).select(
+        value, (F.floor(F.col(before) * ((1 << bits) - 1)) + 1).cast("long").alias(out))
+    return rows.join(ranks, F.col(f"`{column}`") == F.col(value), "left").drop(value).fillna(0, [out])
+
+
 def quantise_log(c: Column, bits: int, top: float = 34.0) -> Column:
     """A size from 0 to 2^top on a logarithmic grid; larger ones share the last value; null counts as 0."""
     cells = (1 << bits) - 1
@@ -112,3 +126,12 @@ def shard_by_curve(rows: DataFrame, dims: list[Column], order: list[Column], sha
     return (placed.withColumn("__part", part).join(starts, "__part").withColumn("position", position)
             .withColumn("shard", shard).withColumn("slot", F.col("position") - first)
             .drop("__part", "__before", "__at"))
+
+
+def write_shards(placed: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """Write a placed frame (``shard_by_curve``) by shard: files of at most ``rows_per_file`` rows in curve order, none of which
+    shares its part of the curve with another, so their min/max statistics are narrow in every dimension."""
+    run = F.floor(F.col("slot") / rows_per_file)
+    (placed.withColumn("__run", run).repartitionByRange(partitions(placed.sparkSession), "shard", "__run", "slot")
+     .sortWithinPartitions("shard", "__run", "slot").drop("__run")
+     .write.option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(path))

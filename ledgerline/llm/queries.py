@@ -22,7 +22,7 @@ from .embedding_dedup import near_vectors
 from .extract import extract_text
 from .fim import fill_in_middle, restore_text
 from .hard_negatives import mine_hard_negatives
-from .hilbert import quantise_hash, quantise_log, shard_by_curve
+from .hilbert import quantise_log, shard_by_curve, with_rank
 from .jaccard_join import jaccard_groups
 from .langid import predict_languages, train_languages
 from .pieces import decode_pieces, encode_pieces, read_model
@@ -77,7 +77,8 @@ def op2(spark, sf_dir):
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", "lang", "source", (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"))
-    dims = [quantise_hash(F.col("lang"), 8), quantise_hash(F.col("source"), 8), quantise_log(F.col("size"), 8)]
+    rows = with_rank(with_rank(rows, "lang", 8, "lang_rank"), "source", 8, "source_rank")
+    dims = [F.col("lang_rank"), F.col("source_rank"), quantise_log(F.col("size"), 8)]
     placed = shard_by_curve(rows, dims, [F.col("doc_id"), F.col("text_crc32"), F.col("size")], 8, 8,
                             [F.col("doc_id"), F.col("size"), F.col("text_crc32")])
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",

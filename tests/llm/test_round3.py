@@ -301,3 +301,37 @@ def test_columns_named_like_the_operators_own(spark):
     bench = spark.createDataFrame([(9, "nothing of it")], "item_id long, text string")
     for out in (sc.redact_secrets(df), dc.decontaminate(df, bench), extract_text(df, out="main").drop("main")):
         assert out.columns == df.columns and [out.first()[c] for c in own] == own
+
+
+def test_shard_files_are_skipped_by_every_dimension(spark, tmp_path):
+    """Files' min/max statistics leave few files to a filter on either category or on the size."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from ledgerline.llm.hilbert import quantise_log, shard_by_curve, with_rank, write_shards
+
+    rng = random.Random(6)
+    rows = [(i, rng.choice("abcdefgh"), f"src{rng.randrange(16):02d}", rng.randrange(1, 1 << 20)) for i in range(8000)]
+    df = spark.createDataFrame(rows + [(9000, None, None, 5), (9001, None, "src03", None)], "id long, lang string, source string, size long")
+    ranked = with_rank(with_rank(df, "lang", 4, "l"), "source", 4, "s")
+    assert ranked.where("lang is null and l <> 0").count() == 0 and ranked.select("l").distinct().count() == 9
+    placed = shard_by_curve(ranked, [F.col("l"), F.col("s"), quantise_log(F.col("size"), 4, 20)], [F.col("id")], 8, 4)
+    write_shards(placed, str(tmp_path / "out"), 125)
+    assert rows_of(spark, tmp_path / "out") == 8002
+    files = []
+    for f in glob.glob(f"{tmp_path}/out/shard=*/*.parquet"):
+        md = pq.ParquetFile(f).metadata
+        assert md.num_rows <= 125
+        stats = {md.schema.column(i).name: md.row_group(0).column(i).statistics for i in range(md.num_columns)}
+        files.append({c: (stats[c].min, stats[c].max) for c in ("lang", "source", "size") if stats[c].has_min_max})
+    assert len(files) >= 64
+    for c, value in (("lang", "c"), ("source", "src07"), ("size", 300)):
+        hit = [f for f in files if c not in f or f[c][0] <= value <= f[c][1]]
+        assert len(hit) < 0.5 * len(files), (c, len(hit), len(files))
+    both = [f for f in files if all(c in f and f[c][0] <= v <= f[c][1] for c, v in (("lang", "c"), ("source", "src07")))]
+    assert len(both) < 0.2 * len(files)
+
+
+def rows_of(spark, path):
+    return spark.read.parquet(str(path)).count()
