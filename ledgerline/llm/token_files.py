@@ -59,8 +59,8 @@ class _Models:
         self.counts = np.zeros(ids, np.int64)
         self.news: list[np.ndarray] = []
         self.step, self.refresh = 0, 1
-        self.a = np.zeros(lanes, np.int32)
-        self.b = np.zeros(lanes, np.int32)
+        self.a = np.zeros(lanes, np.intp)
+        self.b = np.zeros(lanes, np.intp)
         self._order0()
         self._mix()
 
@@ -83,13 +83,12 @@ class _Models:
     def predict(self, n: int):
         """Of the first n lanes: order-2 and order-1 ids, and three times the mixing context."""
         a, b = self.a[:n], self.b[:n]
-        self.h = (a.view(np.uint32) * np.uint32(0x9E3779B1) ^ b.view(np.uint32) * np.uint32(0x85EBCA6B)) \
-            >> np.uint32(32 - _HASH_BITS)
+        self.h = ((a * 0x9E3779B1 ^ b * 0x85EBCA6B) & 0xFFFFFFFF) >> (32 - _HASH_BITS)
         self.e2, self.e1 = self.after2.take(self.h), self.after1.take(b)
         i2, i1 = self.e2 >> 2, self.e1 >> 2
         ctx = ((self.e2 & 3) << 2) + (self.e1 & 3)
         ctx += (i1 == i2) * np.int32(16)
-        return i2, i1, ctx * 3
+        return i2, i1, ctx.astype(np.intp) * 3
 
     def learn(self, ids: np.ndarray, right2: np.ndarray, right1: np.ndarray, cell: np.ndarray):
         """``cell``: three times the context plus what happened."""
@@ -100,7 +99,7 @@ class _Models:
         for table, at, e, right in ((self.after2, self.h, self.e2, right2), (self.after1, b, self.e1, right1)):
             c = e & 3
             # right: one more confidence, up to 3; wrong: one less, or the new id at none
-            table[at] = np.where(right, e + (c < 3), np.where(c > 0, e - 1, fresh))
+            table.put(at, np.where(right, e + (c < 3), np.where(c > 0, e - 1, fresh)))
         self.a[:n] = b
         self.b[:n] = ids
         self.news.append(ids)
@@ -148,7 +147,8 @@ class _Coder:
                 self.low[:at], self.range[:at] = low, rng
                 first, at = False, np.arange(at)
             else:
-                self.low[at], self.range[at] = low, rng
+                self.low.put(at, low)
+                self.range.put(at, rng)
             if not len(go):
                 return
             at, low, rng, thin = at.take(go), low.take(go), rng.take(go), ~same.take(go)
@@ -170,8 +170,8 @@ class _Writer(_Coder):
         if self.moves >= self.out.shape[1] - 4 and int(self.used.max()) + 4 > self.out.shape[1]:
             self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
         used = self.used.take(at)
-        self.out[at, used] = words.astype(np.uint16)
-        self.used[at] = used + 1
+        self.out.put(at * self.out.shape[1] + used, words.astype(np.uint16))
+        self.used.put(at, used + 1)
 
     def close(self) -> list[bytes]:
         """Two more words settle a value within the range, which is at least 2^32."""
@@ -196,9 +196,9 @@ class _Reader(_Coder):
 
     def move(self, at, _) -> None:
         used = self.used.take(at)
-        word = self.words[at, np.minimum(used, self.words.shape[1] - 1)]
-        self.code[at] = (self.code.take(at) << _16) | word
-        self.used[at] = used + 1
+        word = self.words.take(at * self.words.shape[1] + np.minimum(used, self.words.shape[1] - 1))
+        self.code.put(at, (self.code.take(at) << _16) | word)
+        self.used.put(at, used + 1)
 
     def value(self, at, bits: int) -> np.ndarray:
         if isinstance(at, np.ndarray):
@@ -227,7 +227,7 @@ def encode_ids(ids: np.ndarray, vocabulary: int) -> list[bytes]:
         coder.narrow(now, model.mstart.take(cell), model.mfreq.take(cell), _MIX_BITS)
         rest = np.flatnonzero(~(right2 | right1))
         if len(rest):
-            miss = own.take(rest)
+            miss = own.take(rest).astype(np.intp)
             coder.narrow(rest, model.start.take(miss), model.freq.take(miss), _ID_BITS)
         model.learn(own, right2, right1, cell)
     return coder.close()
@@ -246,15 +246,16 @@ def decode_ids(streams: list[bytes], n: int, vocabulary: int) -> np.ndarray:
         now = lanes if s < n // lanes else n % lanes
         i2, i1, ctx = model.predict(now)
         v = coder.value(now, _MIX_BITS)
-        kind = (v >= model.mstart.take(ctx + 1)).astype(np.int32) + (v >= model.mstart.take(ctx + 2))
+        kind = (v >= model.mstart.take(ctx + 1)).astype(np.intp) + (v >= model.mstart.take(ctx + 2))
         cell = ctx + kind
         coder.narrow(now, model.mstart.take(cell), model.mfreq.take(cell), _MIX_BITS)
         own = np.where(kind == 0, i2, i1)
         rest = np.flatnonzero(kind == 2)
         if len(rest):
             miss = model.slot.take(coder.value(rest, _ID_BITS).view(np.int64))
+            own.put(rest, miss)
+            miss = miss.astype(np.intp)
             coder.narrow(rest, model.start.take(miss), model.freq.take(miss), _ID_BITS)
-            own[rest] = miss
         model.learn(own, own == i2, own == i1, cell)
         grid[s, :now] = own
     if n % lanes == 0:
@@ -292,21 +293,29 @@ def unpack_block(block: bytes) -> tuple[list, list[int], np.ndarray, int]:
 _SPACES = bytes.maketrans(b"\t\n\r", b"   ")
 _LOWER = bytes.maketrans(b"\t\n\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"   abcdefghijklmnopqrstuvwxyz")
 _CAPITAL_WITH_MARK = re.compile(rb"[A-Z][\xcc\xcd]")
+_PUNCTUATION = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
 
-def _plain(text: str) -> bool:
-    """Small letters only, composed."""
-    return text.isalpha() and text == text.lower() and is_normalized("NFC", text)
+def _small(word: bytes) -> bytes | None:
+    """A word of letters alone in small letters; None for others, and where lower-casing or composing may not be plain."""
+    if word.isascii():
+        return word.lower() if word.isalpha() else None
+    text = word.decode()
+    if not text.isalpha():
+        return None
+    if max(text) < "\u0250":  # below, all letters but one have one small letter and none composes
+        return None if "\u0130" in text else text.lower().encode()
+    return word if text == text.lower() and is_normalized("NFC", text) else None
 
 
 class WordTable:
     """Ids of whole texts by a table of distinct words.
 
     A tokenizer that composes characters, lower-cases, drops white space and splits at it gives a text the ids of its runs
-    between spaces, tabs and line ends, in order.  Plain new words (lower-case letters only, composed) are encoded together by
-    a copy of the tokenizer that has nothing left to do but split at spaces and merge; each gives one unit that ends in a
-    word-end token.  All others, and texts that may hold special tokens, go through the tokenizer itself, as does every text
-    of a tokenizer of another make.
+    between spaces, tabs and line ends, in order.  Plain new words (letters only, composed) are encoded together, in small
+    letters, by a copy of the tokenizer that has nothing left to do but split at spaces and merge; each gives one unit that
+    ends in a word-end token.  A word with ASCII punctuation after its letters is these two units.  All others, and texts
+    that may hold special tokens, go through the tokenizer itself, as does every text of a tokenizer of another make.
     """
 
     def __init__(self, tokenizer: str):
@@ -325,8 +334,10 @@ class WordTable:
             make["pre_tokenizer"]["pretokenizers"][0]["invert"] and make["post_processor"] is None
         if self.by_word:
             make["normalizer"] = None
-            make["pre_tokenizer"]["pretokenizers"][0] = {"type": "WhitespaceSplit"}
+            make["pre_tokenizer"]["pretokenizers"][0] = {"type": "CharDelimiterSplit", "delimiter": " "}
+            added, make["added_tokens"] = make["added_tokens"], []
             self.merge = Tokenizer.from_str(json.dumps(make))
+            make["added_tokens"] = added
         self.special = tuple(x["content"].encode() for x in make["added_tokens"])
         self.table: dict[bytes, bytes] = {b"": b""}
 
@@ -335,18 +346,20 @@ class WordTable:
 
     def _add(self, words: Iterable[bytes]) -> None:
         table = self.table
-        plain, ends, rest = {}, [], []
+        plain, parts, rest = {}, [], {}
         for w in words:
-            core = w[:-1] if w[-1] in b",." else w
-            if core.isalpha() and core.islower() or not core.isascii() and _plain(core.decode()):
-                if core not in table:
-                    plain[core] = None
-                if core is not w:
-                    ends.append((w, core, w[-1:]))
-            else:
-                rest.append(w)
-        if ends:
-            rest += [c for c in (b",", b".") if c not in table]
+            letters = w.rstrip(_PUNCTUATION)
+            core = _small(letters) if letters else None
+            if core is None:
+                rest[w] = None
+                continue
+            if core not in table:
+                plain[core] = None
+            tail = w[len(letters):]
+            if tail and tail not in table:
+                rest[tail] = None
+            if tail or core != w:
+                parts.append((w, core, tail))
         if plain:
             ids = self._encode(b" ".join(plain).decode(), self.merge)
             cut = np.flatnonzero(self.last[ids]) + 1
@@ -356,27 +369,29 @@ class WordTable:
                     table[w] = raw[at * n:e * n]
                     at = e
             else:
-                rest += plain
+                rest |= plain
         if rest:
             for w, got in zip(rest, self.tok.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
                 table[w] = np.array(got.ids, self.dtype).tobytes()
-        for w, core, end in ends:
-            table[w] = table[core] + table[end]
+        for w, core, tail in parts:
+            table[w] = table[core] + table[tail]
 
-    def ids(self, text: str) -> np.ndarray:
-        raw = text.encode()
+    def ids(self, text: str | bytes) -> np.ndarray:
+        """The ids of a text, given as such or in UTF-8."""
+        raw = text.encode() if isinstance(text, str) else text
         if not self.by_word or any(x in raw for x in self.special) or b"<|" in raw:
-            return self._encode(text)
+            return self._encode(raw.decode())
         # a capital before a combining mark may compose otherwise than its small letter
-        words = raw.translate(_SPACES if _CAPITAL_WITH_MARK.search(raw) else _LOWER).split(b" ")
+        marked = (b"\xcc" in raw or b"\xcd" in raw) and _CAPITAL_WITH_MARK.search(raw)
+        words = raw.translate(_SPACES if marked else _LOWER).split(b" ")
         table = self.table
         got = list(map(table.get, words))
-        if None in got:
+        new = [i for i, x in enumerate(got) if x is None]
+        if new:
             if len(table) > TABLE_WORDS:
                 table.clear()
                 table[b""] = b""
-            new = [i for i, x in enumerate(got) if x is None]
-            self._add(dict.fromkeys(words[i] for i in new))
+            self._add(dict.fromkeys([words[i] for i in new]))
             for i in new:
                 got[i] = table[words[i]]
         return np.frombuffer(b"".join(got), self.dtype)
@@ -412,7 +427,8 @@ def _writer(tokenizer: str, end_id: int):
                 names=["part", "position", "n", "block"])
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = np.append(table.ids(text.as_py() or ""), end_id).astype(np.int32)
+                raw = text.as_buffer()
+                own = np.append(table.ids(raw.to_pybytes() if raw is not None else b""), end_id).astype(np.int32)
                 docs.append(doc)
                 lengths.append(len(own))
                 ids.append(own)
