@@ -99,7 +99,7 @@ class _Models:
         for table, at, e, right in ((self.after2, self.h, self.e2, right2), (self.after1, b, self.e1, right1)):
             c = e & 3
             # right: one more confidence, up to 3; wrong: one less, or the new id at none
-            table.put(at, np.where(right, e + (c < 3), np.where(c > 0, e - 1, fresh)))
+            table[at] = np.where(right, e + (c < 3), np.where(c > 0, e - 1, fresh))
         self.a[:n] = b
         self.b[:n] = ids
         self.news.append(ids)
@@ -142,13 +142,12 @@ class _Coder:
         rng = rng * freq
         while True:
             same = (low ^ (low + rng)) < _SAME
-            go = np.flatnonzero(same | (rng < _BOT))
+            go = (same | (rng < _BOT)).nonzero()[0]
             if first:
                 self.low[:at], self.range[:at] = low, rng
                 first, at = False, np.arange(at)
             else:
-                self.low.put(at, low)
-                self.range.put(at, rng)
+                self.low[at], self.range[at] = low, rng
             if not len(go):
                 return
             at, low, rng, thin = at.take(go), low.take(go), rng.take(go), ~same.take(go)
@@ -170,8 +169,8 @@ class _Writer(_Coder):
         if self.moves >= self.out.shape[1] - 4 and int(self.used.max()) + 4 > self.out.shape[1]:
             self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
         used = self.used.take(at)
-        self.out.put(at * self.out.shape[1] + used, words.astype(np.uint16))
-        self.used.put(at, used + 1)
+        self.out.reshape(-1)[at * self.out.shape[1] + used] = words.astype(np.uint16)
+        self.used[at] = used + 1
 
     def close(self) -> list[bytes]:
         """Two more words settle a value within the range, which is at least 2^32."""
@@ -197,8 +196,8 @@ class _Reader(_Coder):
     def move(self, at, _) -> None:
         used = self.used.take(at)
         word = self.words.take(at * self.words.shape[1] + np.minimum(used, self.words.shape[1] - 1))
-        self.code.put(at, (self.code.take(at) << _16) | word)
-        self.used.put(at, used + 1)
+        self.code[at] = (self.code.take(at) << _16) | word
+        self.used[at] = used + 1
 
     def value(self, at, bits: int) -> np.ndarray:
         if isinstance(at, np.ndarray):
@@ -225,7 +224,7 @@ def encode_ids(ids: np.ndarray, vocabulary: int) -> list[bytes]:
         right2, right1 = own == i2, own == i1
         cell = ctx + np.where(right2, 0, np.where(right1, 1, 2))
         coder.narrow(now, model.mstart.take(cell), model.mfreq.take(cell), _MIX_BITS)
-        rest = np.flatnonzero(~(right2 | right1))
+        rest = (~(right2 | right1)).nonzero()[0]
         if len(rest):
             miss = own.take(rest).astype(np.intp)
             coder.narrow(rest, model.start.take(miss), model.freq.take(miss), _ID_BITS)
@@ -250,10 +249,10 @@ def decode_ids(streams: list[bytes], n: int, vocabulary: int) -> np.ndarray:
         cell = ctx + kind
         coder.narrow(now, model.mstart.take(cell), model.mfreq.take(cell), _MIX_BITS)
         own = np.where(kind == 0, i2, i1)
-        rest = np.flatnonzero(kind == 2)
+        rest = (kind == 2).nonzero()[0]
         if len(rest):
             miss = model.slot.take(coder.value(rest, _ID_BITS).view(np.int64))
-            own.put(rest, miss)
+            own[rest] = miss
             miss = miss.astype(np.intp)
             coder.narrow(rest, model.start.take(miss), model.freq.take(miss), _ID_BITS)
         model.learn(own, own == i2, own == i1, cell)
