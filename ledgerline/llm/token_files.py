@@ -44,7 +44,8 @@ _HEAD = "<4sHHIIIIQ"
 _SAME = np.uint64(1 << 48)  # the top 16 bits of low and low + range agree below this
 _BOT = np.uint64(1 << 32)
 _16, _48 = np.uint64(16), np.uint64(48)
-TABLE_WORDS = 1_000_000
+TABLE_WORDS = 700_000  # of a generation of the word table
+TABLE_BYTES = 32 << 20  # of its words
 
 
 class _Models:
@@ -315,6 +316,8 @@ class WordTable:
     letters, by a copy of the tokenizer that has nothing left to do but split at spaces and merge; each gives one unit that
     ends in a word-end token.  A word with ASCII punctuation after its letters is these two units.  All others, and texts
     that may hold special tokens, go through the tokenizer itself, as does every text of a tokenizer of another make.
+
+    A full table becomes the old generation, from which words still in use are carried over; the one before it goes.
     """
 
     def __init__(self, tokenizer: str):
@@ -339,23 +342,33 @@ class WordTable:
             make["added_tokens"] = added
         self.special = tuple(x["content"].encode() for x in make["added_tokens"])
         self.table: dict[bytes, bytes] = {b"": b""}
+        self.old: dict[bytes, bytes] = {}
+        self.held = 0
 
     def _encode(self, text: str, tok=None) -> np.ndarray:
         return np.array((tok or self.tok).encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
+    def _known(self, word: bytes) -> bool:
+        got = self.old.get(word)
+        if got is not None:
+            self.table[word] = got
+        return got is not None or word in self.table
+
     def _add(self, words: Iterable[bytes]) -> None:
         table = self.table
         plain, parts, rest = {}, [], {}
         for w in words:
+            if self._known(w):
+                continue
             letters = w.rstrip(_PUNCTUATION)
             core = _small(letters) if letters else None
             if core is None:
                 rest[w] = None
                 continue
-            if core not in table:
+            if not self._known(core):
                 plain[core] = None
             tail = w[len(letters):]
-            if tail and tail not in table:
+            if tail and not self._known(tail):
                 rest[tail] = None
             if tail or core != w:
                 parts.append((w, core, tail))
@@ -387,10 +400,12 @@ class WordTable:
         got = list(map(table.get, words))
         new = [i for i, x in enumerate(got) if x is None]
         if new:
-            if len(table) > TABLE_WORDS:
-                table.clear()
-                table[b""] = b""
-            self._add(dict.fromkeys([words[i] for i in new]))
+            if len(table) > TABLE_WORDS or self.held > TABLE_BYTES:
+                self.old, self.table, self.held = table, {b"": b""}, 0
+                table = self.table
+            distinct = dict.fromkeys([words[i] for i in new])
+            self.held += sum(map(len, distinct))
+            self._add(distinct)
             for i in new:
                 got[i] = table[words[i]]
         return np.frombuffer(b"".join(got), self.dtype)
