@@ -51,8 +51,10 @@ TABLE_BYTES = 32 << 20  # of its words
 class _Models:
     """The adaptive predictions of one block; coder and decoder drive it alike."""
 
-    def __init__(self, ids: int, lanes: int):
-        self.ids = ids
+    def __init__(self, ids: int, lanes: int, slots: bool = False):
+        """``slots``: keep the id at each place of the order-0 frequencies, too, for a decoder."""
+        self.ids, self.slots = ids, slots
+        self.names = np.arange(ids, dtype=np.uint16 if ids <= 1 << 16 else np.int32)
         self.after2 = np.zeros(1 << _HASH_BITS, np.int32)  # 4 * id + confidence
         self.after1 = np.zeros(ids, np.int32)
         self.hits = np.full(96, 8, np.int64)
@@ -70,9 +72,14 @@ class _Models:
         left = (1 << _ID_BITS) - self.ids
         f = 1 + self.counts * left // max(1, int(self.counts.sum()))
         f[int(f.argmax())] += (1 << _ID_BITS) - int(f.sum())
-        self.freq = f.astype(np.uint64)
-        self.start = np.cumsum(self.freq) - self.freq
-        self.slot = np.repeat(np.arange(self.ids, dtype=np.int32), f)
+        self.span = ((np.cumsum(f) - f) << 32 | f).astype(np.uint64)
+        if self.slots:
+            self.slot = np.repeat(self.names, f)
+
+    def order0(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and frequency of each id."""
+        span = self.span.take(ids)
+        return span >> np.uint64(32), span & np.uint64(0xFFFFFFFF)
 
     def _mix(self):
         hits = self.hits.reshape(32, 3)
@@ -179,7 +186,9 @@ class _Writer(_Coder):
         value = (self.low + (_BOT - np.uint64(1))) & ~(_BOT - np.uint64(1))
         self.move(at, value >> _48)
         self.move(at, (value >> np.uint64(32)) & np.uint64(0xFFFF))
-        return [self.out[i, :n].astype("<u2").tobytes() for i, n in enumerate(self.used.tolist())]
+        words = self.out[np.arange(self.out.shape[1]) < self.used[:, None]].astype("<u2").tobytes()
+        ends = 2 * np.cumsum(np.append(0, self.used))
+        return [words[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
 class _Reader(_Coder):
@@ -187,8 +196,7 @@ class _Reader(_Coder):
         super().__init__(len(streams))
         n = np.array([len(s) // 2 for s in streams])
         self.words = np.zeros((len(streams), int(n.max()) + 8), np.uint16)
-        for i, s in enumerate(streams):
-            self.words[i, :n[i]] = np.frombuffer(s, "<u2")
+        self.words[np.arange(self.words.shape[1]) < n[:, None]] = np.frombuffer(b"".join(streams), "<u2")
         self.code = np.zeros(len(streams), np.uint64)
         self.used = np.full(len(streams), 4)
         for k in range(4):
@@ -228,7 +236,7 @@ def encode_ids(ids: np.ndarray, vocabulary: int) -> list[bytes]:
         rest = (~(right2 | right1)).nonzero()[0]
         if len(rest):
             miss = own.take(rest).astype(np.intp)
-            coder.narrow(rest, model.start.take(miss), model.freq.take(miss), _ID_BITS)
+            coder.narrow(rest, *model.order0(miss), _ID_BITS)
         model.learn(own, right2, right1, cell)
     return coder.close()
 
@@ -240,7 +248,7 @@ def decode_ids(streams: list[bytes], n: int, vocabulary: int) -> np.ndarray:
     lanes, steps = _shape(n)
     if lanes != len(streams):
         raise ValueError("lanes don't fit the number of ids")
-    model, coder = _Models(vocabulary, lanes), _Reader(streams)
+    model, coder = _Models(vocabulary, lanes, slots=True), _Reader(streams)
     grid = np.zeros((steps, lanes), np.int32)
     for s in range(steps):
         now = lanes if s < n // lanes else n % lanes
@@ -252,10 +260,9 @@ def decode_ids(streams: list[bytes], n: int, vocabulary: int) -> np.ndarray:
         own = np.where(kind == 0, i2, i1)
         rest = (kind == 2).nonzero()[0]
         if len(rest):
-            miss = model.slot.take(coder.value(rest, _ID_BITS).view(np.int64))
+            miss = model.slot.take(coder.value(rest, _ID_BITS).view(np.int64)).astype(np.intp)
             own[rest] = miss
-            miss = miss.astype(np.intp)
-            coder.narrow(rest, model.start.take(miss), model.freq.take(miss), _ID_BITS)
+            coder.narrow(rest, *model.order0(miss), _ID_BITS)
         model.learn(own, own == i2, own == i1, cell)
         grid[s, :now] = own
     if n % lanes == 0:
@@ -355,23 +362,28 @@ class WordTable:
         return got is not None or word in self.table
 
     def _add(self, words: Iterable[bytes]) -> None:
-        table = self.table
+        """Add new words; carry over those that the old generation has."""
+        table, old = self.table, self.old.get
         plain, parts, rest = {}, [], {}
         for w in words:
-            if self._known(w):
+            got = old(w)
+            if got is not None:
+                table[w] = got
                 continue
             letters = w.rstrip(_PUNCTUATION)
             core = _small(letters) if letters else None
             if core is None:
                 rest[w] = None
                 continue
+            if core == w:
+                plain[w] = None
+                continue
             if not self._known(core):
                 plain[core] = None
             tail = w[len(letters):]
             if tail and not self._known(tail):
                 rest[tail] = None
-            if tail or core != w:
-                parts.append((w, core, tail))
+            parts.append((w, core, tail))
         if plain:
             ids = self._encode(b" ".join(plain).decode(), self.merge)
             cut = np.flatnonzero(self.last[ids]) + 1
