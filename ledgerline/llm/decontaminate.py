@@ -2,7 +2,8 @@
 
 Words are runs of digits, a-z (A-Z lower-cased) and anything beyond ASCII.  A benchmark item's windows are its runs of
 ``size`` consecutive words; a shorter item is one window.  The windows' hashes are broadcast in blocks whose bytes are
-counted beforehand (``block_bytes``); with more than one block the documents are scanned once per block.  Each task rolls the
+counted beforehand (``block_bytes``), a window's items dealt over all of them, so a window of very many items is split; with more
+than one block the documents are scanned once per block and the hits united.  Each task rolls the
 same hash over the words of its whole texts, looks up every position, and verifies hits on the words themselves.
 """
 
@@ -129,7 +130,8 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, bl
     blocks = max(1, -(-held // block_bytes))
     done = docs.withColumn(out, F.lit(None).cast(RESULT))
     for k in range(blocks):
-        block = grams.where(F.pmod(F.xxhash64("h"), F.lit(blocks)) == k).collect()  # at most about block_bytes
+        # by item too, so a window that many items share spreads over the blocks: each holds at most about block_bytes
+        block = grams.where(F.pmod(F.xxhash64("h", "item"), F.lit(blocks)) == k).collect()
         scan = _scanner([(r.item, r.m, r.h, bytes(r.gram)) for r in block])
         done = done.withColumn(out, scan(F.col(text_col), F.col(out)))
         if k + 1 < blocks:
