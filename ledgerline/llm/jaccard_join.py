@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import NON_SPACE, Words, mix, sub_batches
-from .common import bounded_batches, components, give_back, store
+from .common import bounded_batches, components, give_back, partitions, store
 
 _MULT = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3,
                                 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9FB21C651E98DF25)]
@@ -342,6 +342,7 @@ def jaccard_groups(docs: DataFrame, shingle: int = 5, threshold: int = 80, id_co
 
     # keys that still hold several components: compare across them, in blocks
     near = members.join(of.select("fp", "cls"), "fp").select("key", "cls")
+    width = partitions(docs.sparkSession)
     for forest in (True, False):
         now = store(near.join(comps, F.col("cls") == F.col("node"), "left")
                     .select("key", "cls", F.coalesce("component", "cls").alias("comp")), "jj-near")
@@ -352,7 +353,8 @@ def jaccard_groups(docs: DataFrame, shingle: int = 5, threshold: int = 80, id_co
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
                 .select("key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "cls",
                         "comp", "n", "sketch"))
-        held = held.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+        # a count of their own: blocks are light in bytes and heavy in work, so packing them by bytes makes few long tasks
+        held = held.repartition(width, "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
         rest = store(held.mapInArrow(_blocks(t, forest), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"),
                      "jj-rest")
         more = store(verified(rest), "jj-links")
