@@ -480,7 +480,7 @@ def access_check_written(spark, sf_dir):
     """The table-level run against a validation log stored as Parquet, partitioned by its delete key: a rerun replaces
     only its own slices (I2 with the B2 sink)."""
     from ..session import scratch_path
-    from ..sinks.slices import LOG_SLICE, read_slices
+    from ..sinks.slices import LOG_SLICE, by_slice, read_slices
     t = Tables(spark, sf_dir)
     ctx = _ctx()
     rules = _rules(t, ctx)
@@ -489,7 +489,7 @@ def access_check_written(spark, sf_dir):
     first, _ = R.evaluate_rules(rules, objects, ctx)
     prior = first.unionByName(first.where(F.col("erroridentifier") == "l_quantity")
                               .withColumn("createddttm", F.lit("2024-01-14").cast("date")))
-    prior.write.partitionBy(*LOG_SLICE).parquet(path)
+    by_slice(prior, LOG_SLICE, 2 * len(C.run_countries(t))).write.partitionBy(*LOG_SLICE).parquet(path)
     R.run_access_check(spark, rules, objects, ctx, path, C.run_countries(t))
     return read_slices(spark, path, R.LOG_SCHEMA).select(*LOG_OUT)
 
