@@ -119,11 +119,12 @@ class LanguageModel:
         x, mean = [], np.zeros(dims)
         for _, raw in sample:
             pairs = np.frombuffer(raw, "<u4").reshape(-1, 2).astype(np.int64)
-            f = pairs[:, 1] / max(1, pairs[:, 1].sum())
-            x.append((pairs[:, 0], f))
-            mean[pairs[:, 0]] += f
+            at, f = pairs[:, 0].copy(), pairs[:, 1] / max(1, pairs[:, 1].sum())  # a view would keep the counts too
+            x.append((at, f))
+            mean[at] += f
         scale = 1 / np.sqrt(mean / max(1, len(x)) + 1e-6)
-        x = [(at, f * scale[at]) for at, f in x]
+        for at, f in x:
+            f *= scale[at]
         lang = np.array([languages.index(a) for a, _ in sample], dtype=np.int64)
         fam = np.array([self.families.index(family[i]) for i in lang], dtype=np.int64)
         columns = []
@@ -201,6 +202,7 @@ def train_languages(docs: DataFrame, usable: Column, per_language: int = 600, la
     count = F.arrow_udf(_counts, "binary").asNondeterministic()
     got = (once.withColumn("r", first).where(F.col("r") <= per_language).select("lang", count(F.col("text")).alias("grams")).collect())
     sample = sorted(((r.lang, bytes(r.grams)) for r in got if len(r.grams)), key=lambda x: (x[0], x[1]))
+    del got
     return LanguageModel(sorted({a for a, _ in sample}), sample)
 
 
