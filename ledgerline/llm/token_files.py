@@ -46,6 +46,8 @@ _BOT = np.uint64(1 << 32)
 _16, _48 = np.uint64(16), np.uint64(48)
 TABLE_WORDS = 700_000  # of a generation of the word table
 TABLE_BYTES = 32 << 20  # of its words
+_TEXT_BYTES = 8 << 20  # of texts whose words are looked up together
+_WORDS_AT_ONCE = 1 << 20  # whose ids are laid out together
 
 
 class _Models:
@@ -315,6 +317,20 @@ def _small(word: bytes) -> bytes | None:
     return word if text == text.lower() and is_normalized("NFC", text) else None
 
 
+def _cut_words(texts: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all words, a space after each; each word's end; each text's number of words) of texts in small letters.
+
+    ``sizes`` are the texts' numbers of words between spaces.  A full stop or comma between an ASCII letter and white space is a
+    unit of its own, so it is cut off here and the word before it is known with and without.
+    """
+    text = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    ends = np.flatnonzero(text == 32)
+    mark, letter = text.take(ends - 1, mode="wrap"), text.take(ends - 2, mode="wrap")
+    cut = ((mark == 44) | (mark == 46)) & (letter >= 97) & (letter <= 122)
+    text = np.insert(text, ends[cut] - 1, 32)
+    return text, np.flatnonzero(text == 32) + 1, sizes + np.add.reduceat(cut, np.cumsum(sizes) - sizes, dtype=np.int64)
+
+
 class WordTable:
     """Ids of whole texts by a table of distinct words.
 
@@ -328,7 +344,7 @@ class WordTable:
     """
 
     def __init__(self, tokenizer: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self.tok = Tokenizer.from_str(tokenizer)
         vocabulary = self.tok.get_vocab(True)
@@ -347,6 +363,10 @@ class WordTable:
             added, make["added_tokens"] = make["added_tokens"], []
             self.merge = Tokenizer.from_str(json.dumps(make))
             make["added_tokens"] = added
+            if make["model"]["type"] == "BPE":  # a word comes once, so the library's own cache of words would only cost
+                fields = {k: v for k, v in make["model"].items() if k not in ("type", "merges") and v is not None}
+                merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in make["model"]["merges"]]
+                self.merge.model = models.BPE(merges=merges, cache_capacity=0, **fields)
         self.special = tuple(x["content"].encode() for x in make["added_tokens"])
         self.table: dict[bytes, bytes] = {b"": b""}
         self.old: dict[bytes, bytes] = {}
@@ -370,6 +390,9 @@ class WordTable:
             if got is not None:
                 table[w] = got
                 continue
+            if w.isalpha() and w.islower():  # ASCII letters
+                plain[w] = None
+                continue
             letters = w.rstrip(_PUNCTUATION)
             core = _small(letters) if letters else None
             if core is None:
@@ -408,6 +431,10 @@ class WordTable:
         # a capital before a combining mark may compose otherwise than its small letter
         marked = (b"\xcc" in raw or b"\xcd" in raw) and _CAPITAL_WITH_MARK.search(raw)
         words = raw.translate(_SPACES if marked else _LOWER).split(b" ")
+        return np.frombuffer(b"".join(self._look_up(words)), self.dtype)
+
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        """Each word's ids; new words are added."""
         table = self.table
         got = list(map(table.get, words))
         new = [i for i, x in enumerate(got) if x is None]
@@ -420,7 +447,43 @@ class WordTable:
             self._add(distinct)
             for i in new:
                 got[i] = table[words[i]]
-        return np.frombuffer(b"".join(got), self.dtype)
+        return got
+
+    def ids_of(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text, given in UTF-8; a word that the texts hold often is looked up once."""
+        out: list = [None] * len(texts)
+        plain, at, sizes = [], [], []
+        for i, raw in enumerate(texts):
+            if not self.by_word or b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw or any(x in raw for x in self.special):
+                out[i] = self.ids(raw)
+                continue
+            low = raw.translate(_LOWER)
+            plain.append(low)
+            at.append(i)
+            sizes.append(low.count(b" ") + 1)
+        if not plain:
+            return out
+        joined, ends, sizes = _cut_words(plain, np.array(sizes))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.append(0, ends)),
+                                                                                pa.py_buffer(joined)])
+        coded = words.dictionary_encode()
+        got = self._look_up(coded.dictionary.buffers()[2].to_pybytes().split(b" ")[:len(coded.dictionary)])
+        flat = np.frombuffer(b"".join(got), self.dtype)
+        size = np.fromiter(map(len, got), np.int32, len(got)) // self.dtype.itemsize
+        start = np.cumsum(size, dtype=np.int32) - size
+        which = np.asarray(coded.indices)
+        pieces = []
+        for k in range(0, len(which), _WORDS_AT_ONCE):
+            w = which[k:k + _WORDS_AT_ONCE]
+            n = size.take(w)
+            place = np.repeat(start.take(w) - np.cumsum(n, dtype=np.int32) + n, n)
+            place += np.arange(len(place), dtype=np.int32)
+            pieces.append(flat.take(place))
+        ids = np.concatenate(pieces)
+        counts = np.add.reduceat(size.take(which), np.cumsum(sizes) - sizes, dtype=np.int64)
+        for i, own in zip(at, np.split(ids, np.cumsum(counts)[:-1])):
+            out[i] = own
+        return out
 
 
 def _word_table(tokenizer: str) -> WordTable:
@@ -434,6 +497,21 @@ def _word_table(tokenizer: str) -> WordTable:
     return held[tokenizer]
 
 
+def _texts_encoded(table: WordTable, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """Each row's document id and the ids of its text, in order; texts are encoded by the few megabytes."""
+    for batch in batches:
+        docs, raws, held = [], [], 0
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            raw = text.as_buffer()
+            docs.append(doc)
+            raws.append(raw.to_pybytes() if raw is not None else b"")
+            held += len(raws[-1])
+            if held >= _TEXT_BYTES:
+                yield from zip(docs, table.ids_of(raws))
+                docs, raws, held = [], [], 0
+        yield from zip(docs, table.ids_of(raws))
+
+
 def _writer(tokenizer: str, end_id: int):
     def run(batches):
         import os
@@ -451,18 +529,16 @@ def _writer(tokenizer: str, end_id: int):
                 [pa.array([part], pa.int32()), pa.array([position], pa.int64()), pa.array([held], pa.int64()),
                  pa.array([pack_block(docs, lengths, np.concatenate(ids), position, vocabulary)], pa.binary())],
                 names=["part", "position", "n", "block"])
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = text.as_buffer()
-                own = np.append(table.ids(raw.to_pybytes() if raw is not None else b""), end_id).astype(np.int32)
-                docs.append(doc)
-                lengths.append(len(own))
-                ids.append(own)
-                held += len(own)
-                if held >= BLOCK_IDS:
-                    yield block()
-                    position += held
-                    docs, lengths, ids, held = [], [], [], 0
+        for doc, got in _texts_encoded(table, batches):
+            own = np.append(got, end_id).astype(np.int32)
+            docs.append(doc)
+            lengths.append(len(own))
+            ids.append(own)
+            held += len(own)
+            if held >= BLOCK_IDS:
+                yield block()
+                position += held
+                docs, lengths, ids, held = [], [], [], 0
         if docs:
             yield block()
     return run

@@ -44,3 +44,21 @@ def test_generations_turn_without_a_change(tokenizer, monkeypatch):
     for text, got in zip(texts, table.tok.encode_batch_fast(texts, add_special_tokens=False)):
         assert table.ids(text).tolist() == got.ids, text[:40]
     assert table.old and len(table.old) < 200 and len(table.table) < 200
+
+
+def test_many_texts_together(tokenizer, monkeypatch):
+    """Texts encoded together have the library's ids; a word before a comma or full stop is known by itself, and looked up once."""
+    texts = ["", " ", "one, two. one, one", "", "a.", ".", ",a", "  b,  c.\td.\n", "x's, it's.", "é, éa. —, ...,", "A1, 2, b2. zz!, zz..",
+             "<|endoftext|> one, two", "Ábc, Ö.", "ΣΣ, aΣ. b", "m@n.org, m.n.", "x , y, z.", ",", "end."]
+    table = token_files.WordTable(tokenizer)
+    expected = [e.ids for e in table.tok.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(token_files, "_WORDS_AT_ONCE", 3)
+    asked, look_up = [], table._look_up
+    monkeypatch.setattr(table, "_look_up", lambda words: asked.append(words) or look_up(words))
+    for _ in range(2):
+        assert [x.tolist() for x in table.ids_of([t.encode() for t in texts])] == expected
+    for i in range(len(texts)):
+        assert [x.tolist() for x in table.ids_of([t.encode() for t in texts[i:]])] == expected[i:]
+    assert b"one" in table.table and not {b"one,", b"two.", b"end."} & set(table.table)
+    together = max(asked, key=len)
+    assert len(together) == len(set(together))
